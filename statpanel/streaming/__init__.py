@@ -1,0 +1 @@
+"""Empty on purpose: every operation of this package is a batch job."""
