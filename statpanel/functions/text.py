@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from statpanel.schema import NAME_ANNOTATION, NATIONAL_MARK, NATIONAL_NAME, TOPIC_RULES
+from statpanel.schema import (
+    DATASET_OF_TABLE,
+    NAME_ANNOTATION,
+    NATIONAL_MARK,
+    NATIONAL_NAME,
+    TOPIC_RULES,
+)
 
 
 def _none_if_empty(text: Column) -> Column:
@@ -40,6 +46,12 @@ def request_tag(table: Column, line_code: Column) -> Column:
     return F.concat_ws("-", table, line_code)
 
 
+def dataset_of(table: Column, datasets: dict[str, str] = DATASET_OF_TABLE) -> Column:
+    """Dataset of a source table, null for an unknown one; a lookup inside the row, not a join."""
+    pairs = [F.lit(text) for pair in sorted(datasets.items()) for text in pair]
+    return F.create_map(*pairs)[table]
+
+
 def strip_annotation(name: Column, mark: str = NAME_ANNOTATION) -> Column:
     """Name without a literal annotation mark."""
     return F.replace(name, F.lit(mark), F.lit(""))

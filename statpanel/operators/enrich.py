@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from statpanel.functions import (
     clean_topic,
+    dataset_of,
     description_text,
     endpoint_of,
     request_tag,
@@ -14,7 +15,8 @@ from statpanel.functions import (
     table_tag,
     unmark_name,
 )
-from statpanel.schema import EXCLUDED_LINE_CODES, NATIONAL_NAME, TOPIC_RULES
+from statpanel.operators.joins import broadcast_if_small
+from statpanel.schema import DATASET_OF_TABLE, EXCLUDED_LINE_CODES, NATIONAL_NAME, TOPIC_RULES
 
 
 def prepare_dictionary(raw: DataFrame) -> DataFrame:
@@ -51,21 +53,20 @@ def split_codes(df: DataFrame) -> DataFrame:
 
 
 def topics_of(
-    dictionary: DataFrame, datasets: DataFrame, rules: dict[str, list[str]] = TOPIC_RULES
+    dictionary: DataFrame,
+    datasets: dict[str, str] = DATASET_OF_TABLE,
+    rules: dict[str, list[str]] = TOPIC_RULES,
 ) -> DataFrame:
-    """Distinct `(table, endpoint, topic)`; `datasets` (table, dataset) picks the rules of a table."""
-    return (
-        dictionary.withColumnsRenamed({"Key": "endpoint", "Desc": "desc"})
-        .join(datasets, "table", "left")
-        .select("table", "endpoint", clean_topic(F.col("desc"), F.col("dataset"), rules).alias("topic"))
-        .distinct()
-    )
+    """Distinct `(table, endpoint, topic)`; the dataset of the table picks the rules."""
+    renamed = dictionary.withColumnsRenamed({"Key": "endpoint", "Desc": "desc"})
+    topic = clean_topic(F.col("desc"), dataset_of(F.col("table"), datasets), rules)
+    return renamed.distinct().select("table", "endpoint", topic.alias("topic")).distinct()
 
 
 def enrich(
     facts: DataFrame,
     dictionary: DataFrame,
-    datasets: DataFrame,
+    datasets: dict[str, str] = DATASET_OF_TABLE,
     *,
     rules: dict[str, list[str]] = TOPIC_RULES,
     national: str = NATIONAL_NAME,
@@ -75,6 +76,8 @@ def enrich(
     The code is split on the row itself, so the observations are read once and never reduced to
     their distinct codes. Patterns run on the dictionary, not on the observations. Rows whose code has
     no description are dropped; `unmatched_codes` counts them.
+
+    The topics are counted, and broadcast only if there are few; else both sides are shuffled.
     """
     rows = facts.toDF(*[c.lower() for c in facts.columns])
     rows = rows.withColumns(
@@ -84,5 +87,5 @@ def enrich(
             "endpoint": endpoint_of(F.col("code")),
         }
     )
-    topics = topics_of(dictionary, datasets, rules)
+    topics = broadcast_if_small(topics_of(dictionary, datasets, rules))
     return rows.join(topics, ["table", "endpoint"]).select(*rows.columns, "topic")

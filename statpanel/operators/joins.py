@@ -6,6 +6,7 @@ from functools import reduce
 from operator import and_
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -17,3 +18,12 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
     same = reduce(and_, [left[k].eqNullSafe(other[f"_right_{k}"]) for k in keys])
     return left.join(other, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Mark `df` for broadcast if it has at most `max_rows` rows, which is counted here.
+
+    For dimensions that Spark cannot size before it runs them, such as the distinct rows of a table.
+    Without the mark Spark would shuffle the large side before it knew how small this one is.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

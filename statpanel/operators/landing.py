@@ -5,28 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statpanel.functions import table_of
+from statpanel.functions import dataset_of, table_of
 from statpanel.operators.names import keep_listed
 from statpanel.operators.sets import union_by_name
-from statpanel.schema import UNROUTED
+from statpanel.schema import DATASET_OF_TABLE, UNROUTED
 
 
-def route(df: DataFrame, datasets: DataFrame, code: str = "code") -> DataFrame:
+def route(df: DataFrame, datasets: dict[str, str] = DATASET_OF_TABLE) -> DataFrame:
     """Add `dataset`, found by the table part of the code; codes of unknown tables get `_unrouted`."""
-    mapping = datasets.select(F.col("table").alias("_table"), "dataset")
-    return (
-        df.withColumn("_table", table_of(F.col(code)))
-        .join(mapping, "_table", "left")
-        .withColumn("dataset", F.coalesce("dataset", F.lit(UNROUTED)))
-        .drop("_table")
-    )
+    dataset = dataset_of(table_of(F.col("code")), datasets)
+    return df.withColumn("dataset", F.coalesce(dataset, F.lit(UNROUTED)))
 
 
 def land(
     frames: list[DataFrame],
     names: DataFrame | None,
-    datasets: DataFrame,
     path: str,
+    datasets: dict[str, str] = DATASET_OF_TABLE,
     *,
     rebalance: bool = False,
 ) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statpanel.functions import round_whole
+
 NATIONAL = "ALL NATIONS"
 ALL_TYPES = "All types total"
 TYPE_PREFIX = "Revenue by type: "
@@ -30,7 +32,7 @@ def _position(values: list[str], column: str, offset: int = 0) -> Column:
 
 
 def _cents(amount: Column) -> Column:
-    return F.round(amount * 100, 0).cast("bigint")
+    return round_whole(amount * 100).cast("bigint")
 
 
 def _year(date: str) -> Column:

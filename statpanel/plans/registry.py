@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from statpanel import functions as fn
 from statpanel import operators as op
 from statpanel import sources as src
 from statpanel.plans import panels, views
-from statpanel.schema import dataset_map, enriched, landed
+from statpanel.schema import enriched, landed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,7 +34,6 @@ DATASETS = {
     "TYP2": "types",
 }
 TYPE_RULES = {"types": [panels.TYPE_PREFIX, r" \(\d.+\)$"]}
-OBSERVATION = enriched().fieldNames()
 
 QUERIES: dict[str, Query] = {}
 
@@ -374,7 +374,7 @@ def code_split(spark, sf_dir):
 @query
 def topic_clean(spark, sf_dir):
     dictionary = op.prepare_dictionary(panels.raw_dictionary(spark, sf_dir))
-    return op.topics_of(dictionary, dataset_map(spark, DATASETS), TYPE_RULES)
+    return op.topics_of(dictionary, DATASETS, TYPE_RULES)
 
 
 def _enriched(spark, panel, sf_dir, table):
@@ -382,9 +382,7 @@ def _enriched(spark, panel, sf_dir, table):
     dictionary = op.prepare_dictionary(panels.raw_dictionary(spark, sf_dir)).withColumn(
         "table", F.lit(table)
     )
-    return op.enrich(
-        facts, dictionary, dataset_map(spark, DATASETS), rules=TYPE_RULES, national=panels.NATIONAL
-    )
+    return op.enrich(facts, dictionary, DATASETS, rules=TYPE_RULES, national=panels.NATIONAL)
 
 
 @query
@@ -407,10 +405,9 @@ def route_datasets(spark, sf_dir):
         panels.customer_activity(spark, sf_dir),
     ]
     path = src.scratch_path(spark, "landing")
-    datasets = dataset_map(spark, DATASETS)
     names = frames[0].select("geoname").unionByName(frames[3].select("geoname"))
     names = names.filter(~F.col("geoname").isin("ASIA", "EUROPE"))
-    return op.land(frames, names, datasets, path, rebalance=True)
+    return op.land(frames, names, path, DATASETS, rebalance=True)
 
 
 # ---- Sources and sinks --------------------------------------------------------------------------
@@ -448,7 +445,7 @@ def fetch_manifest(spark, sf_dir):
 
 
 def _response_schema():
-    return landed().__class__([f for f in landed().fields if f.name != "code"])
+    return StructType([f for f in landed().fields if f.name != "code"])
 
 
 @query

@@ -6,7 +6,6 @@ change type in the next one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, DoubleType, LongType, StringType, StructField, StructType
 
 
@@ -97,9 +96,3 @@ def dataset_schema(dataset: str) -> StructType:
     """Schema of one enriched dataset table."""
     value = DoubleType() if dataset in DOUBLE_DATASETS else LongType()
     return enriched(value, noteref=dataset not in DATASETS_WITHOUT_NOTEREF)
-
-
-def dataset_map(spark: SparkSession, mapping: dict[str, str] | None = None) -> DataFrame:
-    """`(table, dataset)` rows, one per source table."""
-    rows = sorted((mapping or DATASET_OF_TABLE).items())
-    return spark.createDataFrame(rows, "table string, dataset string")
