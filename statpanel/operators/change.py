@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statpanel.functions import pct_change, previous
-from statpanel.operators.joins import join_null_safe
 
 
 def change(
@@ -29,9 +28,9 @@ def change(
     task gives the same rows.
 
     A series (one `entity`) holds one row per period, so its window is as long as the calendar.
-    For series too long for one task, give `chunk`: a column that never decreases as the period
-    grows, such as `F.substring("timeperiod", 1, 3)`. Each chunk is then its own window, and its
-    first row takes the last value of the chunk before. Results are the same.
+    For series too long for one task, give `chunk`: a column that never decreases in that order, such
+    as `F.substring("timeperiod", 1, 3)`. Each chunk is then its own window, which starts from the last
+    value of the chunk before. Results are the same.
     """
     v = F.col(value)
     order = [F.col(period).asc_nulls_last(), v.asc_nulls_last()]
@@ -52,22 +51,20 @@ def _previous_by_chunk(
     prev_name: str,
     chunk: Column,
 ) -> DataFrame:
+    """Last values are combined before the shuffle, and join their next chunk as one extra row."""
     v = F.col(value)
-    rows = df.withColumn("_chunk", chunk)
-    in_chunk = Window.partitionBy(*entity, "_chunk").orderBy(*order)
-    chunks = Window.partitionBy(*entity).orderBy(F.col("_chunk").asc_nulls_last())
+    rows = df.withColumns({"_chunk": chunk, "_carried": F.lit(False)})
     place = F.struct(F.col(period).isNull(), F.col(period), v.isNull(), v)
+    chunks = Window.partitionBy(*entity).orderBy(F.col("_chunk").asc_nulls_last())
     carried = (
         rows.groupBy(*entity, "_chunk")
-        .agg(F.max_by(v, place).alias("_last"))
-        .withColumn("_carried", previous(F.col("_last"), chunks))
-        .drop("_last")
-    )
-    inside = rows.withColumns(
-        {prev_name: previous(v, in_chunk), "_place": F.row_number().over(in_chunk)}
+        .agg(F.max_by(v, place).alias(value))
+        .withColumns({value: previous(v, chunks), "_carried": F.lit(True)})
     )
+    in_chunk = Window.partitionBy(*entity, "_chunk").orderBy(F.col("_carried").desc(), *order)
     return (
-        join_null_safe(inside, carried, [*entity, "_chunk"])
-        .withColumn(prev_name, F.when(F.col("_place") == 1, F.col("_carried")).otherwise(F.col(prev_name)))
-        .drop("_chunk", "_place", "_carried")
+        rows.unionByName(carried, allowMissingColumns=True)
+        .withColumn(prev_name, previous(v, in_chunk))
+        .filter(~F.col("_carried"))
+        .drop("_chunk", "_carried")
     )

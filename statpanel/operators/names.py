@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statpanel.functions import strip_annotation
+from statpanel.operators.joins import join_null_safe
 from statpanel.schema import NATIONAL_MARK, NATIONAL_NAME
 
 
@@ -34,6 +35,6 @@ def reference_names(
 def keep_listed(df: DataFrame, listed: DataFrame, column: str) -> DataFrame:
     """Rows whose `column` occurs in the column of the same name of `listed`.
 
-    A list small enough by its measured size is broadcast; a longer one is shuffled.
+    A list small enough by its measured size is broadcast; a longer one is shuffled. Null is on no list.
     """
-    return df.join(listed.select(column).distinct(), column, "left_semi")
+    return join_null_safe(df, listed.select(column).dropna().distinct(), [column], "left_semi")

@@ -19,7 +19,8 @@ def fetch_requests(
     """Run `fetch(table, line_code)` for every request of the manifest, in parallel tasks.
 
     `fetch` yields Arrow record batches with the columns of `schema`, so that a response is never held
-    whole; `code` (the request) is added. The manifest stays distributed. `fetch` must be repeatable, as a lost
+    whole; `code` (the request) is added. The manifest stays distributed; it is dealt out over
+    `partitions` tasks, by default one per core. `fetch` must be repeatable, as a lost
     task is run again, and must be picklable: define it inside a function, with its imports in its body.
     """
     names = schema.fieldNames()
@@ -36,8 +37,10 @@ def fetch_requests(
                     yield pa.RecordBatch.from_arrays(columns, names=[*names, "code"])
 
     requests = manifest.select("table", "line_code", "code")
-    if partitions is not None:
-        requests = requests.repartition(partitions, "table", "line_code")
+    # Dealt out by number: a repartition by the key columns would be folded into the shuffle of a
+    # distinct manifest, whose few small partitions are then merged into one.
+    tasks = partitions or manifest.sparkSession.sparkContext.defaultParallelism
+    requests = requests.repartition(tasks)
     out = StructType([*schema.fields, StructField("code", StringType())])
     return requests.mapInArrow(pull, out)
 
