@@ -271,6 +271,11 @@ _LANDED = f"""
     select code, geoname from ({MARKED}) union all
     select code, geoname from ({PRI} union all {ACT} union all {ACU})"""
 
+_LOADED = f"""
+    select case "table" when 'TYP1' then 'statpanel_nation_types' else 'statpanel_supplier_types' end
+            as dataset, *
+    from ({TYP} union all {TYS}) where endpoint in (select "Key" from ({DIC}))"""
+
 VIEWS = {
     "view_expenditure_change": _expenditure(
         _with_national(SEG), ["AUTOMOBILE", "FURNITURE", "HOUSEHOLD", "MACHINERY"], _SEGMENT_CASE
@@ -390,6 +395,21 @@ ORACLE = {
                 when 'ACT1' then 'activity' else '_unrouted' end as dataset,
             count(*) as n_rows
         from ({_LANDED}) where geoname not in ('ASIA', 'EUROPE') group by 1""",
+    "load_and_check": _report(
+        {
+            "null_records": "count(*) filter (where geoname is null)",
+            "non_numeric_periods": "count(*) filter (where try_cast(timeperiod as int) is null)",
+            "repeated_keys": "count(*) - count(distinct (geoname, timeperiod, topic))",
+        },
+        "= 0",
+        _LOADED,
+    )
+    + " union all "
+    + _report(
+        {"geofips_count": "count(distinct geofips)", "geoname_count": "count(distinct geoname)"},
+        ">= 50",
+        _LOADED,
+    ),
     "json_columnar_roundtrip": f"select *, 'types' as dataset from ({TYS})",
     "csv_roundtrip": TYS,
     "table_ctas": CUS,

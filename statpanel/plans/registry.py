@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from statpanel import functions as fn
 from statpanel import operators as op
 from statpanel import sources as src
 from statpanel.plans import panels, views
+from statpanel.plans.load import check_tables, load_tables
 from statpanel.schema import enriched, landed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -410,6 +411,31 @@ def route_datasets(spark, sf_dir):
     return op.land(frames, names, path, DATASETS, rebalance=True)
 
 
+@query
+def load_and_check(spark, sf_dir):
+    datasets = {"TYP1": "statpanel_nation_types", "TYP2": "statpanel_supplier_types"}
+    panel = panels.part_types(spark, sf_dir).unionByName(panels.supplier_part_types(spark, sf_dir))
+    landing = src.scratch_path(spark, "landing")
+    op.land([panel.select(landed().fieldNames())], None, landing, datasets)
+    first = op.prepare_dictionary(panels.raw_dictionary(spark, sf_dir))
+    dictionary = first.unionByName(first.withColumn("table", F.lit("TYP2")))
+    names = sorted(datasets.values())
+    load_tables(
+        spark,
+        spark.read.schema(_landed_with_dataset()).parquet(landing),
+        dictionary,
+        src.scratch_path(spark, "tables"),
+        datasets=datasets,
+        schemas={name: enriched() for name in names},
+        rules={name: TYPE_RULES["types"] for name in names},
+    )
+    return check_tables(spark, names)
+
+
+def _landed_with_dataset():
+    return StructType([*landed().fields, StructField("dataset", StringType())])
+
+
 # ---- Sources and sinks --------------------------------------------------------------------------
 
 

@@ -32,3 +32,11 @@ def spark(tmp_path_factory):
 def folder(tmp_path):
     """A new folder per test."""
     return str(tmp_path)
+
+
+@pytest.fixture
+def no_views_left(spark):
+    yield
+    for name in spark.catalog.listTables():
+        if name.isTemporary:
+            spark.catalog.dropTempView(name.name)

@@ -1,0 +1,116 @@
+"""The whole way: requests, landing, tables, checks, views, export."""
+
+from __future__ import annotations
+
+import itertools
+
+import pytest
+from pyspark.sql.types import DecimalType, StructType
+
+from statpanel import operators as op
+from statpanel import sources as src
+from statpanel.plans import views
+from statpanel.plans.load import check_tables, load_tables
+from statpanel.schema import DATASET_OF_TABLE, dataset_schema, landed
+
+DICTIONARY = [
+    ("1", "[SAGDP4N] Compensation of employees: All industry total"),
+    ("3", "[SAGDP4N] Compensation of employees: Farming (111)"),
+    ("4", "[SAGDP4N] Compensation of employees: Mining (21)"),
+    ("5(x)", "[SAGDP4N] Compensation of employees: Not requested"),
+    ("1", "[SAPCE2] Per capita personal consumption expenditures: Services"),
+    ("51", "[SAINC51] Per capita disposable personal income"),
+    ("30", "[CAINC4] Per capita personal income"),
+    ("1", "[CAINC30] Total employment"),
+    ("2", "[CAINC30] Population"),
+    ("9", "[ZZ9] Nothing"),
+]
+NAMES = ["United States *", "Ohio", "Utah", "Far West"]
+YEARS = ["1999", "2000", "2001"]
+
+
+@pytest.fixture
+def loaded(spark, folder):
+    schema = StructType([f for f in landed(DecimalType(28, 6)).fields if f.name != "code"])
+    raw = spark.createDataFrame(DICTIONARY, "Key string, Desc string")
+    dictionary = op.prepare_dictionary(raw)
+    tables = sorted(DATASET_OF_TABLE)
+    manifest = op.request_manifest(dictionary, tables)
+    assert manifest.count() == 8
+
+    def fetch(table, line_code):
+        import decimal
+        import itertools
+
+        import pyarrow as pa
+
+        rows = [
+            {
+                "geofips": f"{i:05d}",
+                "geoname": name,
+                "timeperiod": year,
+                "cl_unit": "u",
+                "unit_mult": 0,
+                "datavalue": decimal.Decimal(10 * (i + 1) + len(table) * j + int(line_code)),
+                "noteref": None,
+            }
+            for (i, name), (j, year) in itertools.product(
+                enumerate(["United States *", "Ohio", "Utah", "Far West"]), enumerate(["1999", "2000", "2001"])
+            )
+        ]
+        fields = [("geofips", pa.string()), ("geoname", pa.string()), ("timeperiod", pa.string())]
+        fields += [("cl_unit", pa.string()), ("unit_mult", pa.int64()), ("datavalue", pa.decimal128(28, 6))]
+        yield pa.RecordBatch.from_pylist(rows, pa.schema([*fields, ("noteref", pa.string())]))
+
+    src.write_responses(src.fetch_requests(manifest, fetch, schema), f"{folder}/responses")
+    responses = src.read_responses(spark, f"{folder}/responses", schema, manifest)
+    names = spark.createDataFrame([(n,) for n in NAMES[:3]], "geoname string")
+    counts = op.land([responses], names, f"{folder}/landed")
+    load_tables(spark, spark.read.parquet(f"{folder}/landed"), dictionary, f"{folder}/tables")
+    return counts, dictionary
+
+
+def test_from_requests_to_views_and_export(spark, folder, no_views_left, loaded):
+    counts, dictionary = loaded
+    assert {r.dataset: r.n_rows for r in counts.collect()} == {
+        "compensation": 27,
+        "consumption_expenditures": 9,
+        "disposable_income": 9,
+        "employment": 9,
+        "wages_salary": 18,
+    }
+    assert spark.table("consumption_expenditures").schema == dataset_schema("consumption_expenditures")
+    assert spark.table("disposable_income").schema["datavalue"].dataType.simpleString() == "double"
+    topics = {r.topic for r in spark.table("compensation").select("topic").distinct().collect()}
+    assert topics == {"All industry total", "Farming", "Mining"}
+    states = {r.geoname for r in spark.table("employment").collect()}
+    assert states == {"United States", "Ohio", "Utah"}
+
+    report = check_tables(spark, ["compensation", "consumption_expenditures"], minimum=3).collect()
+    assert len(report) == 10 and all(r.passed for r in report)
+
+    views.create_views(spark)
+    employment = spark.sql("select * from employment_population order by state, year").collect()
+    assert [tuple(r) for r in employment] == [
+        (state, year, 10 * i + 7 * j + 1, 10 * i + 7 * j + 2, "Total employment")
+        for (state, i), (year, j) in itertools.product(
+            (("Ohio", 2), ("United States", 1), ("Utah", 3)), (("2000", 1), ("2001", 2))
+        )
+    ]
+    assert spark.table("consumer_expenditures").count() == 6
+    assert spark.table("income").count() == 12
+    top = spark.table("industry_compensation")
+    assert top.count() == 12 and {r.top_industry for r in top.collect()} == {"Mining"}
+
+    exported = {"wages_salary": spark.table("wages_salary"), "employment": spark.table("employment")}
+    src.export_database(spark, exported, f"{folder}/export")
+    back = src.import_csv(spark, f"{folder}/export/employment", dataset_schema("employment"))
+    assert back.exceptAll(exported["employment"]).count() == 0 and back.count() == 9
+
+
+def test_loading_again_replaces_the_tables(spark, folder, loaded):
+    _, dictionary = loaded
+    half = spark.read.parquet(f"{folder}/landed").filter("timeperiod = '2000'")
+    load_tables(spark, half, dictionary, f"{folder}/tables2")
+    assert spark.table("employment").count() == 3
+    assert spark.table("real_gdp").count() == 0

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql.types import DoubleType
 
 from statpanel.operators import in_order
 from statpanel.plans import views
 from statpanel.schema import enriched
-from pyspark.sql.types import DoubleType
 
 SPEND = "Per capita personal consumption expenditures: "
 
@@ -135,7 +135,7 @@ def test_industry_compensation(compensation):
     assert sorted(shown(views.industry_compensation(compensation), "industry_compensation")) == INDUSTRY
 
 
-def test_views_in_the_session(spark, consumption, income_tables, wages, compensation):
+def test_views_in_the_session(spark, no_views_left, consumption, income_tables, wages, compensation):
     consumption.createOrReplaceTempView("consumption_expenditures")
     income_tables[0].createOrReplaceTempView("disposable_income")
     income_tables[1].createOrReplaceTempView("employment")
