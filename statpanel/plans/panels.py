@@ -1,8 +1,6 @@
 """Panels derived from the star-schema tables, in the shape of enriched observations.
 
 Nation panels are small whatever the scale of the tables; the customer and supplier panels grow with them.
-Each one aggregates the large table before or right after the join to its dimension, so that what is
-shuffled after that is one row per entity, year and topic of each task.
 """
 
 from __future__ import annotations
@@ -62,20 +60,32 @@ def observations(
     )
 
 
-def _orders_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _orders_by_customer(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    """Orders per customer, year and `extra`: their number, their value, the value of finished ones.
+
+    Aggregated before any join, so a customer with a large share of all orders is a few rows from here on.
+    """
+    cents = _cents(F.col("o_totalprice"))
+    finished = F.when(F.col("o_orderstatus") == "F", cents).otherwise(F.lit(0).cast("bigint"))
+    return (
+        read(spark, sf_dir, "orders")
+        .groupBy("o_custkey", _year("o_orderdate").alias("timeperiod"), *extra)
+        .agg(
+            F.count(F.lit(1)).alias("orders"),
+            F.sum(cents).alias("total"),
+            F.sum(finished).alias("finished"),
+        )
+    )
+
+
+def _orders_by_nation(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     customer = read(spark, sf_dir, "customer")
     nation = read(spark, sf_dir, "nation")
     return (
-        read(spark, sf_dir, "orders")
+        _orders_by_customer(spark, sf_dir, *extra)
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .withColumns(
-            {
-                "geofips": _fips("n_nationkey", 5),
-                "geoname": F.col("n_name"),
-                "timeperiod": _year("o_orderdate"),
-            }
-        )
+        .withColumns({"geofips": _fips("n_nationkey", 5), "geoname": F.col("n_name")})
     )
 
 
@@ -84,7 +94,7 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = (
         _orders_by_nation(spark, sf_dir)
         .groupBy("geofips", "geoname", "timeperiod", "c_mktsegment")
-        .agg(F.sum(_cents(F.col("o_totalprice"))).alias("datavalue"))
+        .agg(F.sum("total").alias("datavalue"))
     )
     topic = F.concat(F.lit("Order value: "), "c_mktsegment")
     return observations(rows, "SEG1", _position(SEGMENTS, "c_mktsegment"), topic, "cents")
@@ -135,9 +145,9 @@ def with_gaps(panel: DataFrame) -> DataFrame:
 def priorities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nation, year, order priority -> number of orders."""
     rows = (
-        _orders_by_nation(spark, sf_dir)
+        _orders_by_nation(spark, sf_dir, "o_orderpriority")
         .groupBy("geofips", "geoname", "timeperiod", "o_orderpriority")
-        .agg(F.count(F.lit(1)).alias("datavalue"))
+        .agg(F.sum("orders").alias("datavalue"))
     )
     return observations(
         rows, "PRI1", _position(PRIORITIES, "o_orderpriority"), F.col("o_orderpriority"), "orders"
@@ -149,10 +159,7 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = (
         _orders_by_nation(spark, sf_dir)
         .groupBy("geofips", "geoname", "timeperiod")
-        .agg(
-            F.count(F.lit(1)).alias("Total orders"),
-            F.count_distinct("o_custkey").alias("Active customers"),
-        )
+        .agg(F.sum("orders").alias("Total orders"), F.count(F.lit(1)).alias("Active customers"))
     )
     return _activity(rows, "ACT1")
 
@@ -169,19 +176,14 @@ def incomes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         _orders_by_nation(spark, sf_dir)
         .groupBy("geofips", "geoname", "timeperiod")
         .agg(
-            F.sum(_finished_cents()).alias("finished"),
-            F.sum(_cents(F.col("o_totalprice"))).alias("total"),
-            F.count_distinct("o_custkey").alias("per"),
+            F.sum("finished").alias("finished"),
+            F.sum("total").alias("total"),
+            F.count(F.lit(1)).alias("per"),
         )
     )
     return _incomes(rows, "INC")
 
 
-def _finished_cents() -> Column:
-    cents = _cents(F.col("o_totalprice"))
-    return F.when(F.col("o_orderstatus") == "F", cents).otherwise(F.lit(0).cast("bigint"))
-
-
 def _incomes(rows: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     def one(n: str, column: str, topic: str) -> DataFrame:
         values = rows.withColumn("datavalue", F.col(column) / F.col("per"))
@@ -248,11 +250,7 @@ def _named_customers(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataF
 
 def customer_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer, year, order priority -> order value in cents."""
-    rows = (
-        read(spark, sf_dir, "orders")
-        .groupBy("o_custkey", _year("o_orderdate").alias("timeperiod"), "o_orderpriority")
-        .agg(F.sum(_cents(F.col("o_totalprice"))).alias("datavalue"))
-    )
+    rows = _orders_by_customer(spark, sf_dir, "o_orderpriority").withColumn("datavalue", F.col("total"))
     topic = F.concat(F.lit("Order value: "), "o_orderpriority")
     return observations(
         _named_customers(rows, spark, sf_dir),
@@ -265,11 +263,7 @@ def customer_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer, year, order priority -> number of orders; most groups have tied tops."""
-    rows = (
-        read(spark, sf_dir, "orders")
-        .groupBy("o_custkey", _year("o_orderdate").alias("timeperiod"), "o_orderpriority")
-        .agg(F.count(F.lit(1)).alias("datavalue"))
-    )
+    rows = _orders_by_customer(spark, sf_dir, "o_orderpriority").withColumn("datavalue", F.col("orders"))
     return observations(
         _named_customers(rows, spark, sf_dir),
         "CUS2",
@@ -294,15 +288,7 @@ def customer_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_incomes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Customer, year -> value per order: of finished orders, and of all orders."""
-    rows = (
-        read(spark, sf_dir, "orders")
-        .groupBy("o_custkey", _year("o_orderdate").alias("timeperiod"))
-        .agg(
-            F.sum(_finished_cents()).alias("finished"),
-            F.sum(_cents(F.col("o_totalprice"))).alias("total"),
-            F.count(F.lit(1)).alias("per"),
-        )
-    )
+    rows = _orders_by_customer(spark, sf_dir).withColumn("per", F.col("orders"))
     return _incomes(_named_customers(rows, spark, sf_dir), "CIN")
 
 
