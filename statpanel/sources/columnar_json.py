@@ -18,11 +18,15 @@ _CELLS = "map<string,string>"
 
 
 def _typed(text: Column, kind: DataType) -> Column:
-    """A JSON scalar as the declared type; `12.0` is a whole number."""
+    """A JSON scalar as the declared type. `12.0` is a whole number, `12.5` in its place fails."""
     if isinstance(kind, StringType):
         return text
     if isinstance(kind, IntegralType):
-        return F.coalesce(text.try_cast(kind), text.try_cast("decimal(38,9)").try_cast(kind))
+        number = text.try_cast("decimal(38,9)")
+        whole = F.when(number % 1 == 0, number.try_cast(kind)).when(
+            number.isNotNull(), F.raise_error(F.concat(F.lit("not a whole number: "), text))
+        )
+        return F.coalesce(text.try_cast(kind), whole)
     return text.try_cast(kind)
 
 

@@ -75,6 +75,14 @@ def test_broken_document_fails(spark, folder):
         src.read_columnar_json(spark, folder, landed()).collect()
 
 
+def test_fraction_in_a_whole_column_fails(spark, folder):
+    write_document(folder, "a.json", {"DataValue": {"0": 1e3, "1": None, "2": "(NA)"}})
+    assert rows(src.read_columnar_json(spark, folder, landed()).select("datavalue")) == [(1000,), (None,), (None,)]
+    write_document(folder, "b.json", {"DataValue": {"0": 12.5}})
+    with pytest.raises(Exception, match="not a whole number: 12.5"):
+        src.read_columnar_json(spark, folder, landed()).collect()
+
+
 def test_columnar_json_roundtrip(spark, folder):
     df = panel(spark).withColumn("dataset", F.when(F.col("endpoint") == "1", "one").otherwise("two"))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
