@@ -22,7 +22,7 @@ def load_tables(
 ) -> None:
     """Enrich landed observations (with `dataset`) and register one table per dataset.
 
-    The rows are written as parquet under `path/dataset=...`, in one job per type of `datavalue`;
+    The rows are written as parquet under the new folder `path`, in one job per type of `datavalue`;
     observations landed by dataset are read once, as each job prunes the others' partitions. The tables
     are external and replace older ones of the same name, whose files stay. Rows of no known dataset
     are not loaded.
@@ -32,11 +32,12 @@ def load_tables(
     by_type: dict = {}
     for name in names:
         by_type.setdefault(schemas[name]["datavalue"].dataType, []).append(name)
-    for kind, members in by_type.items():
+    for n, (kind, members) in enumerate(by_type.items()):
         rows = observations.filter(F.col("dataset").isin(members))
         typed = rows.withColumn("datavalue", F.col("datavalue").cast(kind))
         enriched = enrich(typed, dictionary, datasets, rules=rules)
-        enriched.write.mode("append").partitionBy("dataset").parquet(path)
+        mode = "append" if n else "errorifexists"
+        enriched.write.mode(mode).partitionBy("dataset").parquet(path)
     for name in names:
         spark.sql(f"DROP TABLE IF EXISTS `{name}`")
         spark.catalog.createTable(name, f"{path}/dataset={name}", "parquet", schemas[name])

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statpanel.functions import at_least_year, categorise
@@ -60,8 +60,12 @@ def consumer_expenditures(
     topics: list[str] = EXPENDITURE_TOPICS,
     categories: list[tuple[str, str]] = EXPENDITURE_CATEGORIES,
     since: int = FIRST_YEAR,
+    chunk: Column | None = None,
 ) -> DataFrame:
-    """Spend per state, year and category, its change, and the rank of the change."""
+    """Spend per state, year and category, its change, and the rank of the change.
+
+    `chunk` (over `year`) splits long series, see `change`.
+    """
     rows = panel.filter(F.col("topic").isin(topics) & (F.col("timeperiod") >= str(since))).select(
         F.col("geoname").alias("state"),
         F.col("timeperiod").alias("year"),
@@ -69,7 +73,13 @@ def consumer_expenditures(
         "topic",
     )
     changed = change(
-        rows, ["state", "topic"], "year", "spend", prev_name="prev_year_spend", change_name="spend_change"
+        rows,
+        ["state", "topic"],
+        "year",
+        "spend",
+        prev_name="prev_year_spend",
+        change_name="spend_change",
+        chunk=chunk,
     ).withColumn("consumer_expenditure", categorise(F.col("topic"), categories))
     ranked = rank_within(changed, ["year", "consumer_expenditure"], "spend_change", "change_rank")
     return ranked.select(
@@ -91,8 +101,12 @@ def income(
     personal_topic: str = PERSONAL_INCOME_TOPIC,
     categories: list[tuple[str, str]] = INCOME_CATEGORIES,
     since: int = FIRST_YEAR,
+    chunk: Column | None = None,
 ) -> DataFrame:
-    """Disposable and personal income per state and year, the change, and the rank of the change."""
+    """Disposable and personal income per state and year, the change, and the rank of the change.
+
+    `chunk` (over `year`) splits long series, see `change`.
+    """
 
     def one(panel: DataFrame, topic: str) -> DataFrame:
         return panel.filter((F.col("topic") == topic) & at_least_year(F.col("timeperiod"), since)).select(
@@ -104,7 +118,13 @@ def income(
 
     rows = union_distinct(one(disposable, disposable_topic), one(personal, personal_topic))
     changed = change(
-        rows, ["state", "topic"], "year", "income", prev_name="prev_year_income", change_name="income_change"
+        rows,
+        ["state", "topic"],
+        "year",
+        "income",
+        prev_name="prev_year_income",
+        change_name="income_change",
+        chunk=chunk,
     ).withColumn("income_type", categorise(F.col("topic"), categories))
     ranked = rank_within(changed, ["year", "income_type"], "income_change", "change_rank")
     return ranked.select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql.types import DecimalType, StructType
 
 from statpanel import operators as op
@@ -114,3 +115,5 @@ def test_loading_again_replaces_the_tables(spark, folder, loaded):
     load_tables(spark, half, dictionary, f"{folder}/tables2")
     assert spark.table("employment").count() == 3
     assert spark.table("real_gdp").count() == 0
+    with pytest.raises(AnalysisException):
+        load_tables(spark, half, dictionary, f"{folder}/tables2")

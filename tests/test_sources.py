@@ -2,9 +2,12 @@ from __future__ import annotations
 
 import json
 import os
+import subprocess
+import sys
 
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -205,6 +208,26 @@ def test_landed_responses_of_a_manifest(spark, folder):
     assert src.read_responses(spark, f"{folder}/r", response_schema()).count() == 25
 
 
+def test_worker_functions_need_no_package_on_the_workers(spark, folder, monkeypatch):
+    """Executors have Spark and Arrow, but not this package."""
+    sent = []
+
+    def keep(self, function, schema):
+        sent.append(cloudpickle.dumps(function))
+        return self.limit(0).select(F.lit("d").alias("dataset"), F.lit("v").alias("value"))
+
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", keep)
+    src.write_columnar_json(panel(spark).withColumn("dataset", F.lit("d")), f"{folder}/out")
+    manifest = spark.createDataFrame([("T", "1", "T-1")], "table string, line_code string, code string")
+    src.fetch_requests(manifest, lambda table, code: iter(()), response_schema())
+    assert len(sent) == 2
+    for i, pickled in enumerate(sent):
+        with open(f"{folder}/{i}", "wb") as f:
+            f.write(pickled)
+        load = f"from pyspark import cloudpickle; f = cloudpickle.load(open('{folder}/{i}', 'rb')); list(f(iter(())))"
+        subprocess.run([sys.executable, "-c", load], cwd="/", check=True, timeout=120)
+
+
 def test_fetch_requests_in_parallel_tasks(spark):
     def fetch(table, line_code):
         import pyarrow as pa

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from statpanel.operators import in_order
@@ -55,6 +56,14 @@ def test_consumer_expenditures(consumption):
     ]
 
 
+def test_views_with_chunked_series(consumption, income_tables):
+    decade = F.substring("year", 1, 3)
+    plain = shown(views.consumer_expenditures(consumption), "consumer_expenditures")
+    assert shown(views.consumer_expenditures(consumption, chunk=decade), "consumer_expenditures") == plain
+    year = F.col("year")
+    assert shown(views.income(*income_tables, chunk=year), "income") == shown(views.income(*income_tables), "income")
+
+
 @pytest.fixture
 def income_tables(spark):
     disposable = [
