@@ -195,23 +195,23 @@ def _incomes(rows: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def _part_type_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _revenue_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue in cents per supplier, year and part type, before the supplier is joined."""
     part = read(spark, sf_dir, "part")
-    supplier = read(spark, sf_dir, "supplier")
     revenue = _cents(F.col("l_extendedprice") * (1 - F.col("l_discount")))
-    return (
+    rows = (
         read(spark, sf_dir, "lineitem")
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .withColumns({"timeperiod": _year("l_shipdate"), "datavalue": revenue})
+        .groupBy("l_suppkey", _year("l_shipdate").alias("timeperiod"), "p_type")
+        .agg(F.sum(revenue).alias("datavalue"))
     )
+    return rows.join(read(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
 
 
 def _part_types(rows: DataFrame, table: str) -> DataFrame:
     """Per entity, year and part type the revenue, and the same over all types."""
     entity = ["geofips", "geoname", "timeperiod"]
-    by_type = rows.groupBy(*entity, "p_type").agg(F.sum("datavalue").alias("datavalue"))
-    both = by_type.withColumn("_type", F.explode(F.array("p_type", F.lit(ALL_TYPES))))
+    both = rows.withColumn("_type", F.explode(F.array("p_type", F.lit(ALL_TYPES))))
     totals = both.groupBy(*entity, "_type").agg(F.sum("datavalue").alias("datavalue"))
     is_total = F.col("_type") == ALL_TYPES
     endpoint = F.when(is_total, F.lit("1")).otherwise(_position(TYPES, "_type", 10))
@@ -225,7 +225,7 @@ def part_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nation of the supplier, year, part type -> revenue in cents."""
     nation = read(spark, sf_dir, "nation")
     rows = (
-        _part_type_rows(spark, sf_dir)
+        _revenue_by_supplier(spark, sf_dir)
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .withColumns({"geofips": _fips("n_nationkey", 5), "geoname": F.col("n_name")})
     )
@@ -234,7 +234,7 @@ def part_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def supplier_part_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier, year, part type -> revenue in cents."""
-    rows = _part_type_rows(spark, sf_dir).withColumns(
+    rows = _revenue_by_supplier(spark, sf_dir).withColumns(
         {"geofips": _fips("s_suppkey", 9), "geoname": F.col("s_name")}
     )
     return _part_types(rows, "TYP2")
