@@ -33,11 +33,11 @@ def request_manifest(
     tables: list[str] | None = None,
     exclude: dict[str, str] = EXCLUDED_LINE_CODES,
 ) -> DataFrame:
-    """Distinct requests `(table, line_code, code)` of the wanted tables.
+    """Distinct requests `(table, line_code, code)` of the wanted tables (all if None).
 
     `exclude` maps a table to a pattern; line codes of that table that contain it are left out.
     """
-    keys = dictionary.select("table", F.col("Key").alias("line_code"))
+    keys = dictionary.select("table", F.col("Key").alias("line_code")).dropna()
     if tables is not None:
         keys = keys.filter(F.col("table").isin(tables))
     for table, pattern in exclude.items():

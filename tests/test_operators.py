@@ -252,6 +252,7 @@ def test_request_manifest_excludes_bracket_keys_of_one_table(spark):
         ("SAGDP4N", "11", "SAGDP4N-11"),
         ("SAPCE2", "1(a)", "SAPCE2-1(a)"),
     ]
+    assert op.request_manifest(dictionary(spark)).count() == 3
 
 
 def facts(spark):
