@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import base64
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from statpanel.llm import warc
+
+SCHEMA = "page_id long, url string, html string, kind string"
+
+
+def expected(rows, least=0):
+    first = {}
+    for page, _, html, _ in rows:
+        data = (html or "").encode()
+        if len(data) >= least and page is not None:
+            first[data] = min(first.get(data, page), page)
+    out = []
+    for page, _, html, _ in rows:
+        data = (html or "").encode()
+        digest = base64.b32encode(hashlib.sha1(data).digest()).decode()
+        refers = first[data] if page is not None and page > first.get(data, page) else None
+        out.append((page, len(data), digest, "response" if refers is None else "revisit", refers))
+    return sorted(out, key=str)
+
+
+def got(spark, rows, folder, files=3, least=0):
+    pages = spark.createDataFrame(rows, SCHEMA).repartition(files)
+    warc.write_archives(pages, f"{folder}/w", least)
+    read = warc.read_archives(spark, f"{folder}/w")
+    columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return sorted((tuple(r) for r in read.select(*columns).collect()), key=str)
+
+
+INNER = "WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 5\r\n\r\nabcde\r\n\r\n"
+ROWS = [
+    (1, "http://a.example/x", "<p>one</p>", "k"),
+    (2, "http://a.example/y z\r\nWARC-Type: evil", "<p>one</p>", "k"),
+    (3, None, None, None),
+    (4, "", "", "k"),
+    (5, "u", "WARC/1.0\r\n" * 3, "k"),
+    (6, "u", f"before {INNER}{INNER} after", "k"),
+    (7, "u", INNER, "k"),
+    (8, "u", "x\r\n\r\nWARC/1.0\r\nContent-Length: 999999999\r\n\r\n", "k"),
+    (9, "u", "é" * 50_000 + "WARC/1.0\r\n" + "ü" * 50_000, "k"),
+    (10, "u", "ends with WARC/1.0\r\n", "k"),
+    (None, "u", "<p>one</p>", "k"),
+    (11, "u", "<p>one</p>", "k"),
+    (11, "u", "<p>one</p>", "k"),
+]
+
+
+@pytest.mark.parametrize("files", [1, 4])
+def test_round_trip_with_magic_in_payloads(spark, folder, files):
+    assert got(spark, ROWS, folder, files) == expected(ROWS)
+
+
+def test_small_payloads_are_responses(spark, folder):
+    assert got(spark, ROWS, folder, least=11) == expected(ROWS, 11)
+
+
+def test_blocks_smaller_than_records(spark, folder):
+    rows = [(i, f"u{i}", f"{'y' * (i % 90)}{INNER if i % 3 else ''}{i}", "k") for i in range(300)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        assert got(spark, rows, folder, 2) == expected(rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_empty_table(spark, folder):
+    assert got(spark, [], folder) == []
+
+
+def test_broken_archive_fails(spark, folder):
+    pages = spark.createDataFrame(ROWS[:1], SCHEMA)
+    warc.write_archives(pages, f"{folder}/w")
+    text = spark.read.option("lineSep", "@@@@").text(f"{folder}/w").first()[0]
+    spark.createDataFrame([(text[:-9],)], "value string").write.option("lineSep", "\n").text(f"{folder}/cut")
+    with pytest.raises(ValueError, match="broken"):
+        warc.read_archives(spark, f"{folder}/cut").count()
+
+
+def test_base32(spark):
+    data = [bytes([i]) * i for i in range(40)]
+    found = spark.createDataFrame([(bytearray(d),) for d in data], "d binary")
+    found = [r[0] for r in found.select(warc.base32_sha1(F.col("d"))).collect()]
+    assert found == [base64.b32encode(hashlib.sha1(d).digest()).decode() for d in data]
