@@ -7,13 +7,52 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statpanel.llm import neighbours, warc
+import public_tokenizers
+
+from statpanel.llm import lexicon, neighbours, packing, syncmers, toxicity, warc
 from statpanel.llm.common import table
 from statpanel.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), VOCABULARY))
+
+
+def op3_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    name = lexicon.build_lexicon(docs, VOCABULARY)
+    return lexicon.round_trip(docs, VOCABULARY, name).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
+
+
+def op4_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.against_next(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.scored(docs, machine)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -27,6 +66,10 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_packing": op1_packing,
+    "op3_lexicon": op3_lexicon,
+    "op4_syncmers": op4_syncmers,
+    "op7_toxicity": op7_toxicity,
     "op9_warc": op9_warc,
     "op10_nearest": op10_nearest,
 }

@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+from tokenizers import Tokenizer
+
+from statpanel.llm import lexicon, queries
+from tests.llm import texts
+
+PATH = queries.VOCABULARY
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def want(library, rows):
+    out = []
+    for doc, text in rows:
+        ids = library.encode(text, add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        sha = [hashlib.sha256(x.encode()).hexdigest() for x in (",".join(map(str, ids)), decoded)]
+        out.append((doc, len(ids), *sha))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("words", [0, 3, 1000])
+def test_odd_texts(spark, library, words):
+    docs = texts.odd(spark)
+    name = lexicon.build_lexicon(docs, PATH, words)
+    got = lexicon.round_trip(docs, PATH, name).collect()
+    for doc, ids, decoded in got:
+        assert library.decode(ids, skip_special_tokens=False) == decoded
+    ids = lambda t: library.encode(t, add_special_tokens=False).ids
+    assert sorted((str(r[0]), list(r[1])) for r in got) == sorted((str(i), ids(t)) for i, t in texts.plain())
+
+
+def test_query_equals_library(spark, library):
+    got = queries.QUERIES["op3_lexicon"](spark, texts.SMALL).collect()
+    assert sorted((tuple(r) for r in got), key=str) == want(library, texts.small(spark))
+
+
+def test_empty_table(spark):
+    docs = texts.odd(spark, [])
+    assert lexicon.round_trip(docs, PATH, lexicon.build_lexicon(docs, PATH)).count() == 0
+
+
+def test_automaton_is_minimal_and_exact(tmp_path):
+    rng = random.Random(3)
+    words = {bytes(rng.choices(b"abc", k=rng.randint(1, 9))) for _ in range(2000)}
+    entries = {w: [rng.randrange(50_000) for _ in range(rng.randint(1, 4))] for w in words}
+    (tmp_path / "x").write_bytes(lexicon.compile_lexicon(entries))
+    found = lexicon.Lexicon(str(tmp_path / "x"))
+    asked = sorted(words) + [b"d", b"abcabcabcabc", b"x" * 99, b""]
+    assert found.find(asked) == [entries.get(w) for w in asked]
+    # No two states may have equal right languages: the suffix sets of the words, prefix by prefix.
+    prefixes = {w[:i] for w in words for i in range(len(w) + 1)}
+    languages = {frozenset(w[len(p) :] for w in words if w.startswith(p)) for p in prefixes}
+    assert len(found.finals) == len(languages)
+
+
+def test_merges_of_long_words(library):
+    encoder = lexicon.Encoder(PATH)
+    rng = random.Random(4)
+    for n in (47, 48, 49, 300):
+        word = "".join(rng.choices("etaoinshr", k=n))
+        assert encoder.encode([word])[0] == library.encode(word, add_special_tokens=False).ids
