@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statpanel.sources.scratch import scratch_path
@@ -64,3 +65,58 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         before = state
     nodes = links.select(F.col("a").alias("id"), F.col("b").alias("component"))
     return nodes.union(links.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct()
+
+
+def perhaps_among(rows: DataFrame, key: str, members: DataFrame, bits: int = 25) -> DataFrame:
+    """The rows whose long `key` may be among the `members` (one long column): none that is gets lost.
+
+    A filter to put before a join, so that rows without a partner are not shuffled. The members become a bitmap of 2**bits places
+    by hash, 4 MB whatever their number, which is broadcast; of other rows the share of places taken gets through.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits)) + 1
+    spot = members.select(place(F.col(members.columns[0])).alias("place"))
+    maps = spot.groupBy(F.bitmap_bucket_number("place").alias("bucket"))
+    maps = maps.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bitmap"))
+    at = F.bitmap_bit_position("place")
+    byte = F.conv(F.hex(F.substring(F.col("bitmap"), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    marked = rows.withColumn("place", place(F.col(key))).withColumn("bucket", F.bitmap_bucket_number("place"))
+    marked = marked.join(F.broadcast(maps), "bucket").filter(F.getbit(byte, (at % 8).cast("int")) == 1)
+    return marked.select(*rows.columns)
+
+
+def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str, stars: int = 2) -> DataFrame:
+    """Classes (id, component) of nodes `n` that share a `bucket` and that `verify` confirms, without all pairs of a bucket.
+
+    `verify` takes and returns distinct pairs (a, b), a < b. First each node is compared with the smallest node of each of its buckets,
+    then, where a bucket still holds several classes, with `stars - 1` other nodes of it. What is still apart after that is compared pair by
+    pair, but only across classes. So a bucket of copies costs a few comparisons per node, and no link between classes is lost.
+    """
+    whole = Window.partitionBy("bucket")
+    several = members.withColumn("least", F.min("n").over(whole)).withColumn("most", F.max("n").over(whole))
+    members = written(several.filter("least < most").select("bucket", "n"), name)
+    open_ = members.withColumn("c", F.col("n"))
+    links = tried = None
+    for turn in range(stars + 1):
+        if turn < stars:
+            first = F.min(F.struct(F.xxhash64("n", F.lit(turn)) if turn else F.lit(0), "n", "c")).over(whole)
+            pairs = open_.withColumn("f", first).filter("f.c <> c").select(F.col("n").alias("x"), F.col("f.n").alias("y"))
+        else:
+            one, two = open_.alias("one"), open_.alias("two")
+            pairs = one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.c") < F.col("two.c")))
+            pairs = pairs.select(F.col("one.n").alias("x"), F.col("two.n").alias("y"))
+        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = written(pairs, name)
+        tried = pairs if tried is None else tried.union(pairs)
+        found = written(verify(pairs), name)
+        links = found if links is None else links.union(found)
+        labels = written(components(links, name), name)
+        if turn < stars:
+            labelled = members.join(labels, F.col("n") == F.col("id"), "left")
+            labelled = labelled.select("bucket", "n", F.coalesce("component", "n").alias("c"))
+            apart = labelled.withColumn("least", F.min("c").over(whole)).withColumn("most", F.max("c").over(whole))
+            open_ = written(apart.filter("least < most").select("bucket", "n", "c"), name)
+            if open_.isEmpty():
+                break
+    return labels
