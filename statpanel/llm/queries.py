@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from statpanel.llm import lexicon, neighbours, packing, syncmers, toxicity, warc
+from statpanel.llm import html, lexicon, licenses, lines, near_duplicates, neighbours, packing, syncmers, toxicity, warc
 from statpanel.llm.common import table
 from statpanel.sources.scratch import scratch_path
 
@@ -23,6 +23,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), VOCABULARY))
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     name = lexicon.build_lexicon(docs, VOCABULARY)
@@ -35,15 +39,15 @@ def op3_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return syncmers.against_next(table(spark, sf_dir, "documents")).select(
-        "doc_id",
-        "n_chars",
-        F.sha2("edited", 256).alias("edited_sha256"),
-        "fingerprint",
-        "edited_fingerprint",
-        "near_edited",
-        "near_next",
-    )
+    return syncmers.against_next(table(spark, sf_dir, "documents"))
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "first")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +57,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.deduplicated_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "removed_lines")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -67,9 +75,13 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op2_html": op2_html,
     "op3_lexicon": op3_lexicon,
     "op4_syncmers": op4_syncmers,
+    "op5_licenses": op5_licenses,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_toxicity": op7_toxicity,
+    "op8_lines": op8_lines,
     "op9_warc": op9_warc,
     "op10_nearest": op10_nearest,
 }
