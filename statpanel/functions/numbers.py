@@ -46,6 +46,8 @@ def pct_change(value: Column, prev: Column, base: str = "current", digits: int =
     if base not in ("current", "previous"):
         raise ValueError(f"base must be 'current' or 'previous', not {base!r}")
     by = value if base == "current" else prev
-    hundred = F.lit(100).cast("bigint")
-    change = F.try_divide((hundred * (value - prev)).cast("double"), by.cast("double"))
+    # As a double: a hundred times a large whole number leaves the range of bigint.
+    exact = F.try_subtract(value, prev).cast("double")
+    difference = F.coalesce(exact, value.cast("double") - prev.cast("double"))
+    change = F.try_divide(100.0 * difference, by.cast("double"))
     return round_half_away(change, digits)

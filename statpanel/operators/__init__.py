@@ -5,6 +5,7 @@ from statpanel.operators.change import change
 from statpanel.operators.checks import (
     check_coverage,
     check_keys,
+    check_rows,
     check_sentinels,
     check_unique,
     unmatched_codes,
@@ -16,6 +17,7 @@ from statpanel.operators.enrich import (
     split_codes,
     topics_of,
 )
+from statpanel.operators.joins import sized
 from statpanel.operators.landing import land, route
 from statpanel.operators.names import first_rows, keep_listed, reference_names
 from statpanel.operators.order import in_order
@@ -34,6 +36,7 @@ __all__ = [
     "change",
     "check_coverage",
     "check_keys",
+    "check_rows",
     "check_sentinels",
     "check_unique",
     "enrich",
@@ -47,6 +50,7 @@ __all__ = [
     "reference_names",
     "request_manifest",
     "route",
+    "sized",
     "split_codes",
     "symmetric_difference",
     "top_per_group",

@@ -17,16 +17,20 @@ def align_topics(
     """`keys` plus one column per topic, for the keys that have every topic.
 
     `topics` maps a topic to its column name. A key that repeats within a topic gives every
-    combination; `check_unique` finds such keys.
+    combination; `check_unique` finds such keys. Rows with a null key are dropped.
+
+    One scan and one shuffle: the values of a key are gathered per topic, then unfolded.
     """
-    sides = [
-        df.filter(F.col(topic) == F.lit(name)).select(*keys, F.col(value).alias(column))
-        for name, column in topics.items()
+    rows = df.filter(F.col(topic).isin(*topics)).dropna(subset=keys)
+    # The structs keep null values, which a list of values would leave out.
+    held = [
+        F.collect_list(F.when(F.col(topic) == F.lit(name), F.struct(F.col(value).alias("v")))).alias(f"_all{i}")
+        for i, name in enumerate(topics)
     ]
-    aligned = sides[0]
-    for side in sides[1:]:
-        aligned = aligned.join(side, keys)
-    return aligned.select(*keys, *topics.values())
+    wide = rows.groupBy(*keys).agg(*held)
+    for i, column in enumerate(topics.values()):
+        wide = wide.withColumn(f"_one{i}", F.explode(f"_all{i}")).withColumn(column, F.col(f"_one{i}.v"))
+    return wide.select(*keys, *topics.values())
 
 
 def align_topics_pivot(

@@ -35,6 +35,27 @@ def check_coverage(df: DataFrame, minimum: int = 50) -> DataFrame:
     return _report(measured, F.col("observed") >= minimum)
 
 
+def check_rows(df: DataFrame, minimum: int = 50, sentinels: list[str] | None = None) -> DataFrame:
+    """`check_keys` and `check_coverage`, the rows without a measure, and with `sentinels` also `check_sentinels`, in one pass."""
+    period = F.col("timeperiod")
+    measures = [
+        F.count_if(any_null(KEY_COLUMNS)).alias("null_records"),
+        F.count_if(period.isNotNull() & year_number(period).isNull()).alias("non_numeric_periods"),
+        F.count_if(F.col("datavalue").isNull()).alias("null_values"),
+        F.count_distinct("geofips").alias("geofips_count"),
+        F.count_distinct("geoname").alias("geoname_count"),
+    ]
+    if sentinels is not None:
+        measures.append(F.count_if(F.col("code").isin(sentinels)).alias("sentinel_records"))
+    check = F.col("check")
+    passed = (
+        F.when(check.isin("geofips_count", "geoname_count"), F.col("observed") >= minimum)
+        .when(check == "sentinel_records", F.col("observed") > 0)
+        .otherwise(F.col("observed") == 0)
+    )
+    return _report(df.groupBy("dataset").agg(*measures), passed)
+
+
 def check_unique(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Keys that occur more than once; aligning and comparing periods rely on there being none."""
     keys = keys or ["geoname", "timeperiod", "topic"]

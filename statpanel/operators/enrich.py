@@ -15,7 +15,6 @@ from statpanel.functions import (
     table_tag,
     unmark_name,
 )
-from statpanel.operators.joins import broadcast_if_small
 from statpanel.schema import DATASET_OF_TABLE, EXCLUDED_LINE_CODES, NATIONAL_NAME, TOPIC_RULES
 
 
@@ -70,6 +69,7 @@ def enrich(
     *,
     rules: dict[str, list[str]] = TOPIC_RULES,
     national: str = NATIONAL_NAME,
+    topics: DataFrame | None = None,
 ) -> DataFrame:
     """Landed observations with lower-case columns, clean names, and table, endpoint and topic.
 
@@ -77,8 +77,11 @@ def enrich(
     their distinct codes. Patterns run on the dictionary, not on the observations. Rows whose code has
     no description are dropped; `unmatched_codes` counts them.
 
-    The topics are counted, and broadcast only if there are few; else both sides are shuffled.
+    `topics`, if given, is used in place of the dictionary's `topics_of`. Put through `sized` once it serves any number of
+    calls, and Spark broadcasts it if its bytes allow; else both sides are shuffled.
     """
+    if topics is None:
+        topics = topics_of(dictionary, datasets, rules)
     rows = facts.toDF(*[c.lower() for c in facts.columns])
     rows = rows.withColumns(
         {
@@ -87,5 +90,4 @@ def enrich(
             "endpoint": endpoint_of(F.col("code")),
         }
     )
-    topics = broadcast_if_small(topics_of(dictionary, datasets, rules))
     return rows.join(topics, ["table", "endpoint"]).select(*rows.columns, "topic")

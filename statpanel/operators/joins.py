@@ -6,7 +6,8 @@ from functools import reduce
 from operator import and_
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from statpanel.sources.scratch import scratch_path
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -20,10 +21,12 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(other, same, how).drop(*[f"_right_{k}" for k in keys])
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark `df` for broadcast if it has at most `max_rows` rows, which is counted here.
+def sized(df: DataFrame) -> DataFrame:
+    """`df` written to the shared working folder and read again, so that Spark knows its bytes.
 
-    For dimensions that Spark cannot size before it runs them, such as the distinct rows of a table.
-    Without the mark Spark would shuffle the large side before it knew how small this one is.
+    For dimensions that Spark cannot size before it runs them, such as the distinct rows of a table: a join then broadcasts
+    one below `spark.sql.autoBroadcastJoinThreshold`, and shuffles a larger one. Call it once and pass the result on.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    path = scratch_path(df.sparkSession, "sized")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, NumericType
 
 from statpanel.functions import dataset_of, table_of
 from statpanel.operators.names import keep_listed
@@ -17,6 +18,17 @@ def route(df: DataFrame, datasets: dict[str, str] = DATASET_OF_TABLE) -> DataFra
     return df.withColumn("dataset", F.coalesce(dataset, F.lit(UNROUTED)))
 
 
+def _same_types(frames: list[DataFrame]) -> list[DataFrame]:
+    """Numbers that are whole in one frame and not in another become text, which holds both without loss."""
+    kinds: dict[str, list] = {}
+    for frame in frames:
+        for field in frame.schema:
+            if isinstance(field.dataType, NumericType):
+                kinds.setdefault(field.name, []).append(field.dataType)
+    mixed = [n for n, k in kinds.items() if len({isinstance(x, IntegralType) for x in k}) > 1]
+    return [f.withColumns({n: F.col(n).cast("string") for n in mixed if n in f.columns}) for f in frames]
+
+
 def land(
     frames: list[DataFrame],
     names: DataFrame | None,
@@ -31,8 +43,11 @@ def land(
     a task reads one extract, so it writes one dataset. With `rebalance=True` the rows are
     shuffled by dataset first, small partitions are merged and large ones split by size, for
     inputs that are mixed or come in many small pieces. The counts come from the file footers.
+
+    A measure that is whole in some frames and fractional in others lands as text: a common number type would round
+    whole numbers above 2**53. `load_tables` gives each dataset its own type again.
     """
-    rows = union_by_name(*frames)
+    rows = union_by_name(*_same_types(frames))
     if names is not None:
         rows = keep_listed(rows, names, "geoname")
     rows = route(rows, datasets)

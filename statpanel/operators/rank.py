@@ -14,10 +14,24 @@ _LONG_MIN = -(2**63)
 _SLOT_LIMIT = float(2**62)
 
 
-def _slot(value: Column, kind: DataType, digits: int) -> Column:
+def _bits(real: Column) -> Column:
+    """A bigint that grows with a double and that at most a few neighbouring doubles share: exponent, then mantissa."""
+    size = F.abs(real)
+    power = F.greatest(F.floor(F.log2(size)), F.lit(-1074))
+    rest = F.least(F.greatest(size / F.pow(F.lit(2.0), power), F.lit(1.0)), F.lit(2.0))
+    # The exponent alone fills a double's digits, so it is added as a whole number.
+    slot = (power + 1075).cast("bigint") * 2**51 + ((rest - 1) * float(2**51)).cast("bigint")
+    slot = F.when(size == 0, F.lit(0)).when(size == float("inf"), F.lit(2100 * 2**51)).otherwise(slot)
+    return F.when(real < 0, -slot).when(real.isNotNull(), slot)
+
+
+def _slot(value: Column, kind: DataType, digits: int | None) -> Column:
     """A bigint that never decreases as the value grows; nulls come lowest, NaN highest."""
     if isinstance(kind, IntegralType):
         slot = value.cast("bigint")
+    elif digits is None:
+        real = value.cast("double")
+        slot = F.when(~F.isnan(real), _bits(real)).when(value.isNotNull(), F.lit(2**63 - 1))
     else:
         real = value.cast("double")
         scaled = F.floor(F.least(F.greatest(real * float(10**digits), F.lit(-_SLOT_LIMIT)), F.lit(_SLOT_LIMIT)))
@@ -27,7 +41,7 @@ def _slot(value: Column, kind: DataType, digits: int) -> Column:
     return F.coalesce(slot, F.lit(_LONG_MIN))
 
 
-def rank_within(df: DataFrame, by: list[str], value: str, name: str, *, digits: int = 2) -> DataFrame:
+def rank_within(df: DataFrame, by: list[str], value: str, name: str, *, digits: int | None = None) -> DataFrame:
     """Add `name`: dense rank (bigint, 1 = highest) of `value` among the rows with the same `by`.
 
     Nulls rank last and are ranked, not left out; rows with null `by` form their own group.
@@ -35,10 +49,10 @@ def rank_within(df: DataFrame, by: list[str], value: str, name: str, *, digits:
     A dense rank depends only on the distinct values, and a group such as (year, category) holds a
     large share of all rows. So the rows are first reduced to distinct values, which combines before
     the shuffle. The values are then cut into slots in order: a window inside one slot range gives
-    the local rank, the counts of the ranges above it give the offset. For integers, and for
-    numbers rounded to `digits`, no window can hold more than 2**22 rows. Other numbers get the same
-    exact ranks, but many values may share a slot. At the end the ranks are joined back; only that join
-    moves whole rows.
+    the local rank, the counts of the ranges above it give the offset. No window holds more than 2**22
+    values, whether whole or fractional (but decimals that are one double share a slot). For numbers rounded
+    to `digits`, naming that makes fewer and fuller windows; do not name it for others, whose slots would fill without
+    bound. At the end the ranks are joined back; only that join moves whole rows.
     """
     kind = df.schema[value].dataType
     if not isinstance(kind, NumericType):

@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statpanel.operators.joins import join_null_safe
-
 
 def union_distinct(*frames: DataFrame) -> DataFrame:
     """Distinct rows of all frames, columns by position; nulls compare equal."""
@@ -35,8 +33,11 @@ def symmetric_difference(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def first_wins(frames: list[DataFrame], keys: list[str]) -> DataFrame:
-    """Per key, all rows of the first frame that has the key; later frames lose it."""
+    """Per key, all rows of the first frame that has the key; later frames lose it. Null keys are one key.
+
+    Each frame is read and shuffled once. The rows of one key meet in one task, which spills them if they are many.
+    """
     tagged = [df.withColumn("_priority", F.lit(i)) for i, df in enumerate(frames)]
     rows = reduce(DataFrame.unionByName, tagged)
-    first = rows.groupBy(*keys).agg(F.min("_priority").alias("_priority"))
-    return join_null_safe(rows, first, [*keys, "_priority"], "left_semi").drop("_priority")
+    first = F.min("_priority").over(Window.partitionBy(*keys))
+    return rows.withColumn("_first", first).filter("_priority = _first").drop("_priority", "_first")

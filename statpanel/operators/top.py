@@ -32,17 +32,12 @@ def top_per_group(df: DataFrame, by: list[str], value: str, k: int = 1) -> DataF
 def with_top(df: DataFrame, by: list[str], value: str, label: str, name: str) -> DataFrame:
     """Every row beside the label of the highest row of its group.
 
-    A row is repeated for each tied top row, and rows with a null in `by` are dropped. The rank filter
-    becomes a `WindowGroupLimit` below the shuffle, so a task sends only its top rows.
+    A row is repeated for each tied top row, and rows with a null in `by` are dropped. The highest value per
+    group combines before the shuffle, and a semi join picks the rows that have it, so that any number of ties is fine.
     """
     rows = df.dropna(subset=by)
-    best = Window.partitionBy(*by).orderBy(F.col(value).desc_nulls_last())
-    tops = (
-        rows.select(*by, value, F.col(label).alias(name))
-        .withColumn("_rank", F.dense_rank().over(best))
-        .filter(F.col("_rank") == 1)
-        .select(*by, name)
-    )
+    labels = rows.select(*by, value, F.col(label).alias(name))
+    tops = top_per_group(labels, by, value).select(*by, name)
     # The null-safe keys shuffle the tops once more. That makes both join inputs plain shuffles, the
     # only kind of which Spark splits the partition of a large group.
     return join_null_safe(rows, tops, by)

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from statpanel.operators import check_coverage, check_keys, check_unique, enrich
-from statpanel.schema import DATASET_OF_TABLE, TOPIC_RULES, dataset_schema
+from statpanel.operators import check_rows, check_unique, enrich, sized, topics_of, unmatched_codes
+from statpanel.schema import DATASET_OF_TABLE, TOPIC_RULES, UNROUTED, dataset_schema
+from statpanel.sources.columnar_json import typed_number
 
 
 def load_tables(
@@ -24,18 +25,23 @@ def load_tables(
 
     The rows are written as parquet under the new folder `path`, in one job per type of `datavalue`;
     observations landed by dataset are read once, as each job prunes the others' partitions. The tables
-    are external and replace older ones of the same name, whose files stay. Rows of no known dataset
-    are not loaded.
+    are external and replace older external ones of the same name, whose files stay; a managed table of that name
+    is refused, as replacing it would delete its files. Rows of no known dataset and of codes without a
+    description are not loaded; `check_tables` reports them. A fraction in a dataset of whole numbers fails.
     """
     names = sorted(set(datasets.values()))
     schemas = schemas or {name: dataset_schema(name) for name in names}
+    for name in names:
+        if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "MANAGED":
+            raise ValueError(f"{name} is a managed table; drop it or choose another name")
+    topics = sized(topics_of(dictionary, datasets, rules))
     by_type: dict = {}
     for name in names:
         by_type.setdefault(schemas[name]["datavalue"].dataType, []).append(name)
     for n, (kind, members) in enumerate(by_type.items()):
         rows = observations.filter(F.col("dataset").isin(members))
-        typed = rows.withColumn("datavalue", F.col("datavalue").cast(kind))
-        enriched = enrich(typed, dictionary, datasets, rules=rules)
+        typed = rows.withColumn("datavalue", typed_number(F.col("datavalue"), rows.schema["datavalue"].dataType, kind))
+        enriched = enrich(typed, dictionary, datasets, rules=rules, topics=topics)
         mode = "append" if n else "errorifexists"
         enriched.write.mode(mode).partitionBy("dataset").parquet(path)
     for name in names:
@@ -43,10 +49,36 @@ def load_tables(
         spark.catalog.createTable(name, f"{path}/dataset={name}", "parquet", schemas[name])
 
 
-def check_tables(spark: SparkSession, names: list[str], minimum: int = 50) -> DataFrame:
-    """All checks of the loaded tables, as rows `(dataset, check, observed, passed)`."""
+def check_tables(
+    spark: SparkSession,
+    names: list[str],
+    minimum: int = 50,
+    *,
+    observations: DataFrame | None = None,
+    dictionary: DataFrame | None = None,
+    sentinels: list[str] | None = None,
+) -> DataFrame:
+    """All checks of the loaded tables, as rows `(dataset, check, observed, passed)`.
+
+    With the landed observations also the rows that belong to no dataset, and with the dictionary beside them the codes
+    without a description and their rows: what the load leaves out. The tables are read twice, once for the repeated keys.
+    """
     tables = [spark.table(name).withColumn("dataset", F.lit(name)) for name in names]
     rows = tables[0]
     for table in tables[1:]:
         rows = rows.unionByName(table, allowMissingColumns=True)
-    return check_keys(rows).union(check_coverage(rows, minimum)).union(check_unique(rows))
+    report = check_rows(rows, minimum, sentinels).union(check_unique(rows))
+    if observations is not None:
+        unrouted = observations.filter(F.col("dataset") == UNROUTED).agg(F.count(F.lit(1)).alias("observed"))
+        report = report.union(
+            unrouted.select(
+                F.lit(UNROUTED).alias("dataset"),
+                F.lit("unrouted_records").alias("check"),
+                "observed",
+                (F.col("observed") == 0).alias("passed"),
+            )
+        )
+        if dictionary is not None:
+            routed = observations.filter(F.col("dataset") != UNROUTED)
+            report = report.union(unmatched_codes(routed, dictionary))
+    return report

@@ -140,6 +140,10 @@ DICTIONARY = f"""
     select "Key", substr("Desc", 8) as "Desc", 'TYP1' as "table" from ({DIC})"""
 
 
+_TABLES_BY_KEY = f"""
+    select "Key", substr("Desc", 8) as "Desc", 'TYP' || substr("Key", 2, 1) as "table" from ({DIC})"""
+
+
 def _gaps(panel: str) -> str:
     return f"select * from ({panel}) where cast(timeperiod as int) % 7 <> cast(geofips as int) % 7"
 
@@ -338,7 +342,28 @@ ORACLE = {
         (select c_name from customer order by c_custkey limit 50) union all
         (select s_name from supplier order by s_suppkey limit 1)""",
     "semi_join_names": f"select * from ({MARKED}) where geoname in (select geoname from ({_NAMES}))",
-    "semi_join_values": DICTIONARY,
+    "strip_annotation_all": "select c_name as geoname from customer union all select s_name from supplier",
+    "semi_join_values": f"""
+        select * from ({_TABLES_BY_KEY}) d
+        where exists (select 1 from ({TYS}) f where d."table" = 'TYP' || substr(f.timeperiod, 4, 1))""",
+    "csv_dictionary": _TABLES_BY_KEY,
+    "database_export_restore": """
+        select c_custkey as id, '  ' || c_name || ' ' || chr(9) as padded,
+            c_mktsegment || chr(10) || 'second "line", ' || chr(39) || 'quoted' || chr(39) as broken,
+            nullif(c_mktsegment, 'BUILDING') as segment, c_acctbal as balance, c_acctbal > 0 as rich,
+            cast((select count(*) from nation) as int) as nations
+        from customer""",
+    "json_discovery": f"select *, 'nation types+1' as dataset from ({TYP})",
+    "memoised_panel": f"""
+        select topic as part, cast(sum(datavalue) as bigint) as total from ({CUS}) group by all union all
+        select timeperiod as part, cast(sum(datavalue) as bigint) as total from ({CUS}) group by all""",
+    "missing_views": f"""
+        select 'statpanel_kept' as view_name, count(*) as n_rows, false as created from nation union all
+        select 'statpanel_added', count(*), true from ({PRI})""",
+    "rank_fractional_customers": f"""
+        select geoname, timeperiod, datavalue,
+            dense_rank() over (partition by timeperiod order by datavalue desc) as value_rank
+        from ({CIN[1]})""",
     "geo_normalise": f"select * replace (replace(geoname, ' *', '') as geoname) from ({MARKED})",
     "like_case_category": f"""
         select code, geofips, timeperiod, case {_SEGMENT_CASE} end as category from ({SEG})""",
@@ -399,12 +424,23 @@ ORACLE = {
         {
             "null_records": "count(*) filter (where geoname is null)",
             "non_numeric_periods": "count(*) filter (where try_cast(timeperiod as int) is null)",
+            "null_values": "count(*) filter (where datavalue is null)",
             "repeated_keys": "count(*) - count(distinct (geoname, timeperiod, topic))",
         },
         "= 0",
         _LOADED,
     )
     + " union all "
+    + _report({"sentinel_records": "count(*) filter (where code in ('TYP1-11', 'TYP2-1'))"}, "> 0", _LOADED)
+    + f"""
+    union all select '_unrouted', 'unrouted_records', count(*), count(*) = 0 from ({PRI})
+    union all
+    select case "table" when 'TYP1' then 'statpanel_nation_types' else 'statpanel_supplier_types' end,
+        'unmatched_codes', count(distinct code) filter (where endpoint not in (select "Key" from ({DIC}))),
+        count(distinct code) filter (where endpoint not in (select "Key" from ({DIC}))) = 0
+    from ({TYP} union all {TYS}) group by "table"
+    """
+    + " union all "
     + _report(
         {"geofips_count": "count(distinct geofips)", "geoname_count": "count(distinct geoname)"},
         ">= 50",
@@ -413,10 +449,10 @@ ORACLE = {
     "json_columnar_roundtrip": f"select *, 'types' as dataset from ({TYS})",
     "csv_roundtrip": TYS,
     "table_ctas": CUS,
-    "fetch_manifest": f"""
+    **dict.fromkeys(("fetch_manifest", "landed_responses"), f"""
         select code, geofips, geoname, timeperiod, cl_unit, unit_mult, datavalue, noteref
         from ({TYP}) where code in (
-            select 'TYP1-' || "Key" from ({DIC}) where "Key" not like '%(%')""",
+            select 'TYP1-' || "Key" from ({DIC}) where "Key" not like '%(%')"""),
     "view_catalog": " union all ".join(
         f"""select '{name}' as view_name, cast({width} as bigint) as n_columns, count(*) as n_rows
             from ({VIEWS[key]})"""

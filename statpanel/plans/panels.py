@@ -60,39 +60,47 @@ def observations(
     )
 
 
-def _orders_by_customer(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+def _measures() -> list[Column]:
+    cents = _cents(F.col("o_totalprice"))
+    finished = F.when(F.col("o_orderstatus") == "F", cents).otherwise(F.lit(0).cast("bigint"))
+    return [F.count(F.lit(1)).alias("orders"), F.sum(cents).alias("total"), F.sum(finished).alias("finished")]
+
+
+def orders_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per customer, day and priority: what a query writes once to build several panels over orders from it."""
+    day = F.to_date("o_orderdate").alias("day")
+    rows = read(spark, sf_dir, "orders").groupBy("o_custkey", day, "o_orderpriority").agg(*_measures())
+    return rows.withColumn("timeperiod", _year("day"))
+
+
+def _orders_by_customer(spark: SparkSession, sf_dir: str, *extra: str, base: DataFrame | None = None) -> DataFrame:
     """Orders per customer, year and `extra`: their number, their value, the value of finished ones.
 
-    Aggregated before any join, so a customer with a large share of all orders is a few rows from here on.
+    Aggregated before any join, so a customer with a large share of all orders is a few rows from here on. With `base`, a
+    written `orders_by_day`, the orders are not read again.
     """
-    cents = _cents(F.col("o_totalprice"))
-    finished = F.when(F.col("o_orderstatus") == "F", cents).otherwise(F.lit(0).cast("bigint"))
-    return (
-        read(spark, sf_dir, "orders")
-        .groupBy("o_custkey", _year("o_orderdate").alias("timeperiod"), *extra)
-        .agg(
-            F.count(F.lit(1)).alias("orders"),
-            F.sum(cents).alias("total"),
-            F.sum(finished).alias("finished"),
-        )
-    )
+    if base is not None:
+        sums = [F.sum(c).alias(c) for c in ("orders", "total", "finished")]
+        return base.groupBy("o_custkey", "timeperiod", *extra).agg(*sums)
+    by = ["o_custkey", _year("o_orderdate").alias("timeperiod"), *extra]
+    return read(spark, sf_dir, "orders").groupBy(*by).agg(*_measures())
 
 
-def _orders_by_nation(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+def _orders_by_nation(spark: SparkSession, sf_dir: str, *extra: str, base: DataFrame | None = None) -> DataFrame:
     customer = read(spark, sf_dir, "customer")
     nation = read(spark, sf_dir, "nation")
     return (
-        _orders_by_customer(spark, sf_dir, *extra)
+        _orders_by_customer(spark, sf_dir, *extra, base=base)
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .withColumns({"geofips": _fips("n_nationkey", 5), "geoname": F.col("n_name")})
     )
 
 
-def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def segments(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     """Nation, year, market segment -> order value in cents."""
     rows = (
-        _orders_by_nation(spark, sf_dir)
+        _orders_by_nation(spark, sf_dir, base=base)
         .groupBy("geofips", "geoname", "timeperiod", "c_mktsegment")
         .agg(F.sum("total").alias("datavalue"))
     )
@@ -142,10 +150,10 @@ def with_gaps(panel: DataFrame) -> DataFrame:
     return panel.filter(F.col("timeperiod").cast("int") % 7 != F.col("geofips").cast("int") % 7)
 
 
-def priorities(spark: SparkSession, sf_dir: str) -> DataFrame:
+def priorities(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     """Nation, year, order priority -> number of orders."""
     rows = (
-        _orders_by_nation(spark, sf_dir, "o_orderpriority")
+        _orders_by_nation(spark, sf_dir, "o_orderpriority", base=base)
         .groupBy("geofips", "geoname", "timeperiod", "o_orderpriority")
         .agg(F.sum("orders").alias("datavalue"))
     )
@@ -154,10 +162,10 @@ def priorities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+def activity(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     """Nation, year -> `Total orders` and `Active customers`."""
     rows = (
-        _orders_by_nation(spark, sf_dir)
+        _orders_by_nation(spark, sf_dir, base=base)
         .groupBy("geofips", "geoname", "timeperiod")
         .agg(F.sum("orders").alias("Total orders"), F.count(F.lit(1)).alias("Active customers"))
     )
@@ -170,10 +178,10 @@ def _activity(rows: DataFrame, table: str) -> DataFrame:
     return observations(long, table, _position(topics, "_topic"), F.col("_topic"), "count")
 
 
-def incomes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def incomes(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Nation, year -> order value per customer: of finished orders, and of all orders."""
     rows = (
-        _orders_by_nation(spark, sf_dir)
+        _orders_by_nation(spark, sf_dir, base=base)
         .groupBy("geofips", "geoname", "timeperiod")
         .agg(
             F.sum("finished").alias("finished"),
@@ -273,15 +281,12 @@ def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customer_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customer_activity(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     """Customer, year -> `Total orders`, and `Active customers` for the days with an order."""
-    rows = (
-        read(spark, sf_dir, "orders")
-        .groupBy("o_custkey", _year("o_orderdate").alias("timeperiod"))
-        .agg(
-            F.count(F.lit(1)).alias("Total orders"),
-            F.count_distinct(F.to_date("o_orderdate")).alias("Active customers"),
-        )
+    if base is None:
+        base = orders_by_day(spark, sf_dir)
+    rows = base.groupBy("o_custkey", "timeperiod").agg(
+        F.sum("orders").alias("Total orders"), F.count_distinct("day").alias("Active customers")
     )
     return _activity(_named_customers(rows, spark, sf_dir), "ACT2")
 

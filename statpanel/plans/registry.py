@@ -152,7 +152,7 @@ def pct_change_current_base(spark, sf_dir):
 @query
 def dense_rank_change(spark, sf_dir):
     changed = _changes(panels.with_gaps(panels.segments(spark, sf_dir)))
-    return op.rank_within(changed, ["timeperiod", "topic"], "change", "change_rank")
+    return op.rank_within(changed, ["timeperiod", "topic"], "change", "change_rank", digits=2)
 
 
 @query
@@ -161,6 +161,13 @@ def dense_rank_value_customers(spark, sf_dir):
     return op.rank_within(rows, ["timeperiod"], "datavalue", "value_rank")
 
 
+@query
+def rank_fractional_customers(spark, sf_dir):
+    """Values per order are doubles with all their digits."""
+    rows = panels.customer_incomes(spark, sf_dir)[1].select("geoname", "timeperiod", "datavalue")
+    return op.rank_within(rows, ["timeperiod"], "datavalue", "value_rank")
+
+
 @query
 def top_per_group(spark, sf_dir):
     panel = panels.priorities(spark, sf_dir)
@@ -225,9 +232,16 @@ def _reference_names(spark, sf_dir):
     return op.reference_names(country, nation, district, n=20, word=panels.NATIONAL)
 
 
-def _marked_panel(spark, sf_dir):
+def _once(spark, df):
+    """A panel that a query uses several times: written, and read again."""
+    path = src.scratch_path(spark, "panel")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _marked_panel(spark, sf_dir, base=None):
     """Nations, their regions, and the marked national total."""
-    nations = panels.segments(spark, sf_dir)
+    nations = _once(spark, panels.segments(spark, sf_dir, base))
     total = panels.with_national(nations, mark=" *").filter(F.col("geofips") == "99999")
     return panels.with_regions(nations, spark, sf_dir).unionByName(total)
 
@@ -244,18 +258,33 @@ def strip_annotation(spark, sf_dir):
     return op.reference_names(country, customers, suppliers, n=50, word=panels.NATIONAL)
 
 
+@query
+def strip_annotation_all(spark, sf_dir):
+    customers = panels.read(spark, sf_dir, "customer").select(F.concat("c_name", F.lit("[B]")).alias("name"))
+    suppliers = panels.read(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"))
+    names = customers.unionByName(suppliers)
+    return names.select(fn.strip_annotation(F.col("name")).alias("geoname"))
+
+
 @query
 def semi_join_names(spark, sf_dir):
     return op.keep_listed(_marked_panel(spark, sf_dir), _reference_names(spark, sf_dir), "geoname")
 
 
+def _tables_by_key(spark, sf_dir):
+    """The dictionary with its keys spread over the tables TYP1 to TYP6."""
+    tag = F.concat(F.lit("TYP"), F.substring("Key", 2, 1))
+    raw = panels.raw_dictionary(spark, sf_dir)
+    return op.prepare_dictionary(raw.withColumn("Desc", F.regexp_replace("Desc", F.lit("TYP1"), tag)))
+
+
 @query
 def semi_join_values(spark, sf_dir):
-    dictionary = op.prepare_dictionary(panels.raw_dictionary(spark, sf_dir))
+    """Facts of the tables TYP5 to TYP9, TYP0 and TYP1: some tables are on one side only."""
     facts = panels.supplier_part_types(spark, sf_dir).select(
-        F.regexp_replace("table", "2", "1").alias("table")
+        F.concat(F.lit("TYP"), F.substring("timeperiod", 4, 1)).alias("table")
     )
-    return op.keep_listed(dictionary, facts, "table")
+    return op.keep_listed(_tables_by_key(spark, sf_dir), facts, "table")
 
 
 @query
@@ -383,7 +412,8 @@ def _enriched(spark, panel, sf_dir, table):
     dictionary = op.prepare_dictionary(panels.raw_dictionary(spark, sf_dir)).withColumn(
         "table", F.lit(table)
     )
-    return op.enrich(facts, dictionary, DATASETS, rules=TYPE_RULES, national=panels.NATIONAL)
+    topics = op.sized(op.topics_of(dictionary, DATASETS, TYPE_RULES))
+    return op.enrich(facts, dictionary, national=panels.NATIONAL, topics=topics)
 
 
 @query
@@ -399,11 +429,12 @@ def enrich_observations_suppliers(spark, sf_dir):
 
 @query
 def route_datasets(spark, sf_dir):
+    base = _once(spark, panels.orders_by_day(spark, sf_dir))
     frames = [
-        _marked_panel(spark, sf_dir),
-        panels.priorities(spark, sf_dir).drop("noteref"),
-        panels.activity(spark, sf_dir),
-        panels.customer_activity(spark, sf_dir),
+        _once(spark, _marked_panel(spark, sf_dir, base)),
+        panels.priorities(spark, sf_dir, base).drop("noteref"),
+        panels.activity(spark, sf_dir, base),
+        _once(spark, panels.customer_activity(spark, sf_dir, base)),
     ]
     path = src.scratch_path(spark, "landing")
     names = frames[0].select("geoname").unionByName(frames[3].select("geoname"))
@@ -416,20 +447,25 @@ def load_and_check(spark, sf_dir):
     datasets = {"TYP1": "statpanel_nation_types", "TYP2": "statpanel_supplier_types"}
     panel = panels.part_types(spark, sf_dir).unionByName(panels.supplier_part_types(spark, sf_dir))
     landing = src.scratch_path(spark, "landing")
-    op.land([panel.select(landed().fieldNames())], None, landing, datasets)
+    other = panels.priorities(spark, sf_dir)
+    frames = [df.select(landed().fieldNames()) for df in (panel, other)]
+    op.land(frames, None, landing, datasets, rebalance=True)
     first = op.prepare_dictionary(panels.raw_dictionary(spark, sf_dir))
     dictionary = first.unionByName(first.withColumn("table", F.lit("TYP2")))
     names = sorted(datasets.values())
+    observations = spark.read.schema(_landed_with_dataset()).parquet(landing)
     load_tables(
         spark,
-        spark.read.schema(_landed_with_dataset()).parquet(landing),
+        observations,
         dictionary,
         src.scratch_path(spark, "tables"),
         datasets=datasets,
         schemas={name: enriched() for name in names},
         rules={name: TYPE_RULES["types"] for name in names},
     )
-    return check_tables(spark, names)
+    return check_tables(
+        spark, names, observations=observations, dictionary=dictionary, sentinels=["TYP1-11", "TYP2-1"]
+    )
 
 
 def _landed_with_dataset():
@@ -448,6 +484,49 @@ def json_columnar_roundtrip(spark, sf_dir):
     return src.read_columnar_json(spark, path, enriched(), pattern="*.txt")
 
 
+@query
+def json_discovery(spark, sf_dir):
+    """A folder of `name.json` documents with other files beside them; the name is the dataset."""
+    path = src.scratch_path(spark, "documents")
+    panel = panels.part_types(spark, sf_dir).withColumn("dataset", F.lit("types")).coalesce(1)
+    src.write_columnar_json(panel, f"{path}-parts")
+    src.name_document(spark, f"{path}-parts/dataset=types", f"{path}/nation types+1.json")
+    panel.select(F.lit("no document").alias("value")).write.text(f"{path}/notes.txt")
+    return src.read_columnar_json(spark, path, enriched())
+
+
+@query
+def csv_dictionary(spark, sf_dir):
+    path = src.scratch_path(spark, "csv")
+    src.write_csv(_tables_by_key(spark, sf_dir), path)
+    return src.read_dictionary(spark, path)
+
+
+@query
+def database_export_restore(spark, sf_dir):
+    """Export tables and a view, run the scripts, read the tables: blanks, quotes, line breaks and nulls come back."""
+    customers, nations, rich = "statpanel_back_customers", "statpanel_back_nations", "statpanel_back_rich"
+    rows = panels.read(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.concat(F.lit("  "), "c_name", F.lit(" \t")).alias("padded"),
+        F.concat("c_mktsegment", F.lit("\nsecond \"line\", 'quoted'")).alias("broken"),
+        F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment"),
+        F.col("c_acctbal").alias("balance"),
+    )
+    names = panels.read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    path = src.scratch_path(spark, "it's an export")
+    view = {rich: f"SELECT id FROM {customers}\nWHERE balance > 0"}
+    src.export_database(spark, {customers: rows, nations: names}, path, view)
+    spark.sql(f"DROP VIEW IF EXISTS {rich}")
+    for name in (customers, nations):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    src.run_script(spark, f"{path}/schema.sql")
+    src.run_script(spark, f"{path}/load.sql")
+    shown = spark.table(rich).withColumn("rich", F.lit(True))
+    back = spark.table(customers).join(shown, "id", "left").withColumn("rich", F.coalesce("rich", F.lit(False)))
+    return back.withColumn("nations", F.lit(spark.table(nations).count()))
+
+
 @query
 def csv_roundtrip(spark, sf_dir):
     path = src.scratch_path(spark, "csv")
@@ -463,24 +542,80 @@ def table_ctas(spark, sf_dir):
 
 @query
 def fetch_manifest(spark, sf_dir):
+    """Every request of the manifest is fetched by its task, from what stands in for the remote service."""
+    path = _responses(spark, sf_dir)
+    schema = _response_schema()
+
+    def fetch(table, line_code):
+        import pyarrow.json as pj
+        from pyarrow import fs
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        shape = pj.ParseOptions(explicit_schema=to_arrow_schema(schema))
+        store, root = fs.FileSystem.from_uri(f"{path}/code={table}-{line_code}")
+        for file in store.get_file_info(fs.FileSelector(root, allow_not_found=True)):
+            if file.size and file.extension == "json":
+                with store.open_input_stream(file.path) as stream:
+                    yield from pj.read_json(stream, parse_options=shape).to_batches()
+
+    return src.fetch_requests(_manifest(spark, sf_dir), fetch, schema)
+
+
+@query
+def landed_responses(spark, sf_dir):
+    return src.read_responses(spark, _responses(spark, sf_dir), _response_schema(), _manifest(spark, sf_dir))
+
+
+def _responses(spark, sf_dir):
     path = src.scratch_path(spark, "responses")
     src.write_responses(panels.part_types(spark, sf_dir).drop("table", "endpoint", "topic"), path)
+    return path
+
+
+def _manifest(spark, sf_dir):
     dictionary = op.prepare_dictionary(panels.raw_dictionary(spark, sf_dir))
-    manifest = op.request_manifest(dictionary, ["TYP1"], {"TYP1": r"\("})
-    return src.read_responses(spark, path, _response_schema(), manifest)
+    return op.request_manifest(dictionary, ["TYP1"], {"TYP1": r"\("})
 
 
 def _response_schema():
     return StructType([f for f in landed().fields if f.name != "code"])
 
 
+@query
+def memoised_panel(spark, sf_dir):
+    """One panel, kept on the executors for two aggregations."""
+    with src.cached(panels.customer_spend(spark, sf_dir)) as panel:
+        total = F.sum("datavalue").alias("total")
+        sums = [panel.groupBy(F.col(c).alias("part")).agg(total) for c in ("topic", "timeperiod")]
+        return _once(spark, op.union_by_name(*sums))
+
+
+@query
+def missing_views(spark, sf_dir):
+    """A view that is there stays as it is, the other one is created."""
+    kept, added = "statpanel_kept", "statpanel_added"
+    src.create_or_replace_views({kept: panels.read(spark, sf_dir, "nation")})
+    spark.catalog.dropTempView(added)
+    builders = {kept: lambda: panels.segments(spark, sf_dir), added: lambda: panels.priorities(spark, sf_dir)}
+    made = src.create_missing_views(spark, builders)
+    rows = [spark.table(name).select(F.lit(name).alias("view_name")) for name in (kept, added)]
+    counts = op.union_by_name(*rows).groupBy("view_name").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.withColumn("created", F.col("view_name").isin(made))
+
+
 @query
 def view_catalog(spark, sf_dir):
+    base = _once(spark, panels.orders_by_day(spark, sf_dir))
+    segments = _once(spark, panels.segments(spark, sf_dir, base))
+    types = _once(spark, panels.part_types(spark, sf_dir))
+    spending = views.consumer_expenditures(
+        panels.with_national(segments), topics=SEGMENT_TOPICS, categories=SEGMENT_CATEGORIES, since=SINCE
+    )
     created = {
-        "statpanel_expenditures": view_expenditure_change(spark, sf_dir),
-        "statpanel_income": view_income_change(spark, sf_dir),
-        "statpanel_employment": view_employment_population(spark, sf_dir),
-        "statpanel_industry": view_top_industry(spark, sf_dir),
+        "statpanel_expenditures": spending,
+        "statpanel_income": _income(*panels.incomes(spark, sf_dir, base)),
+        "statpanel_employment": _employment(panels.activity(spark, sf_dir, base)),
+        "statpanel_industry": _top_industry(panels.with_national(types)),
     }
     src.create_or_replace_views(created)
     counted = [

@@ -81,7 +81,7 @@ def consumer_expenditures(
         change_name="spend_change",
         chunk=chunk,
     ).withColumn("consumer_expenditure", categorise(F.col("topic"), categories))
-    ranked = rank_within(changed, ["year", "consumer_expenditure"], "spend_change", "change_rank")
+    ranked = rank_within(changed, ["year", "consumer_expenditure"], "spend_change", "change_rank", digits=2)
     return ranked.select(
         "state",
         "year",
@@ -126,7 +126,7 @@ def income(
         change_name="income_change",
         chunk=chunk,
     ).withColumn("income_type", categorise(F.col("topic"), categories))
-    ranked = rank_within(changed, ["year", "income_type"], "income_change", "change_rank")
+    ranked = rank_within(changed, ["year", "income_type"], "income_change", "change_rank", digits=2)
     return ranked.select(
         "state",
         "year",

@@ -7,7 +7,7 @@ from statpanel.sources.catalog import (
     describe_columns,
     view_names,
 )
-from statpanel.sources.columnar_json import read_columnar_json, write_columnar_json
+from statpanel.sources.columnar_json import name_document, read_columnar_json, write_columnar_json
 from statpanel.sources.csv_tables import (
     export_database,
     import_csv,
@@ -29,6 +29,7 @@ __all__ = [
     "fetch_requests",
     "from_arrow",
     "import_csv",
+    "name_document",
     "read_columnar_json",
     "read_dictionary",
     "read_responses",

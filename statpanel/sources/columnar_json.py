@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegralType, StringType, StructType
 
+from statpanel.schema import UNROUTED
+
 # Without the first option a document over 20 MB decodes to null; the second makes a broken one fail.
 _JSON = {"maxStringLen": str(2**31 - 1), "mode": "FAILFAST"}
 _CELLS = "map<string,string>"
@@ -30,12 +32,30 @@ def _typed(text: Column, kind: DataType) -> Column:
     return text.try_cast(kind)
 
 
+def typed_number(value: Column, given: DataType, kind: DataType) -> Column:
+    """A measure as the declared type. A fraction in a whole number's place, and text that is no number, fail."""
+    if not isinstance(kind, IntegralType) or isinstance(given, IntegralType):
+        return value.cast(kind)
+    text = value.cast("string")
+    number = text.cast("decimal(38,9)") if isinstance(given, StringType) else value
+    fraction = F.raise_error(F.concat(F.lit("not a whole number: "), text)).cast(kind)
+    exact = F.coalesce(text.try_cast(kind), number.cast(kind)) if isinstance(given, StringType) else value.cast(kind)
+    return F.when(number % 1 != 0, fraction).otherwise(exact)
+
+
+def _decoded(text: Column) -> Column:
+    """Percent-encoded text; a plus sign stands for itself."""
+    return F.url_decode(F.regexp_replace(text, r"\+", "%2B"))
+
+
 def dataset_of_path(path: Column) -> Column:
-    """Dataset named by a file: `.../name.json`, or a part file under `.../dataset=name/`."""
-    return F.coalesce(
-        F.nullif(F.regexp_extract(path, r"dataset=([^/]+)/[^/]*$", 1), F.lit("")),
-        F.nullif(F.regexp_extract(path, r"([^/]+)\.json$", 1), F.lit("")),
-    )
+    """Dataset named by a file's address: `.../name.json`, or a part file under `.../dataset=name/`.
+
+    The address is percent-encoded; the name of a folder is so once more.
+    """
+    folder = F.nullif(F.regexp_extract(path, r"dataset=([^/]+)/[^/]*$", 1), F.lit(""))
+    file = F.nullif(F.regexp_extract(path, r"([^/]+)\.json$", 1), F.lit(""))
+    return F.coalesce(_decoded(_decoded(folder)), _decoded(file))
 
 
 def read_columnar_json(
@@ -60,13 +80,28 @@ def read_columnar_json(
     columns = docs.select(
         "dataset", F.transform_keys("doc", lambda key, _: F.lower(key)).alias("doc")
     )
-    rows = columns.select("dataset", F.explode(F.map_values(_zipped(F.col("doc"), schema))).alias("row"))
+    rows = columns.select("dataset", F.explode(_rows(F.col("doc"), schema)).alias("row"))
     typed = [
         _typed(F.col("row")[i], field.dataType).alias(field.name) for i, field in enumerate(schema.fields)
     ]
     return rows.select(*typed, "dataset")
 
 
+def _rows(doc: Column, schema: StructType) -> Column:
+    """The rows of a document, each an array of cells in schema order.
+
+    Where all columns list the same row ids in the same order, as most documents do, their values are zipped by place; else by id.
+    """
+    names = [name.lower() for name in schema.fieldNames()]
+    ids = F.map_keys(F.get(F.map_values(doc), F.lit(0)))
+    present = F.filter(F.map_values(doc), lambda cells: cells.isNotNull())
+    same = F.forall(present, lambda cells: F.map_keys(cells) == ids)
+    blank = F.transform(ids, lambda _: F.lit(None).cast("string"))
+    columns = [F.coalesce(F.map_values(doc[F.lit(n)]), blank).alias(f"c{i}") for i, n in enumerate(names)]
+    zipped = F.transform(F.arrays_zip(*columns), lambda row: F.array(*[row.getField(f"c{i}") for i in range(len(names))]))
+    return F.when(same, zipped).otherwise(F.map_values(_zipped(doc, schema)))
+
+
 def _zipped(doc: Column, schema: StructType) -> Column:
     """Map of row id -> array of cells in schema order."""
     nothing = F.create_map().cast(_CELLS)
@@ -85,11 +120,24 @@ def _zipped(doc: Column, schema: StructType) -> Column:
     return reduce(add, enumerate(schema.fieldNames()), start)
 
 
-def write_columnar_json(df: DataFrame, path: str) -> None:
+def name_document(spark: SparkSession, folder: str, path: str) -> None:
+    """Move the one part file below `folder` to `path`, as documents that others name `name.json` are found by their name."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    (found,) = fs.globStatus(hadoop.Path(f"{folder}/part-*"))
+    fs.mkdirs(target.getParent())
+    if not fs.rename(found.getPath(), target):
+        raise OSError(f"cannot write {path}")
+
+
+def write_columnar_json(df: DataFrame, path: str, max_bytes: int = 1 << 22) -> None:
     """Write rows (with a `dataset` column) as documents under `path/dataset=...`, one per line.
 
-    A document holds the rows of one dataset in one Arrow batch
-    (`spark.sql.execution.arrow.maxRecordsPerBatch`), so no rows are shuffled or gathered.
+    A document holds rows of one dataset of about `max_bytes` bytes at most, all from one Arrow batch
+    (`spark.sql.execution.arrow.maxRecordsPerBatch`), so no rows are shuffled or gathered. Rows without a dataset
+    go to `_unrouted`. The encoder is Python's, in batches: with built-in functions a document would need a shuffle
+    by its number to be put together.
     """
 
     def encode(batches):
@@ -102,7 +150,11 @@ def write_columnar_json(df: DataFrame, path: str) -> None:
         def cell(v):
             return None if isinstance(v, float) and not math.isfinite(v) else v
 
-        for batch in batches:
+        def bounded(batch):
+            size = max(1, batch.num_rows * max_bytes // max(1, batch.nbytes))
+            return (batch.slice(at, size) for at in range(0, batch.num_rows, size))
+
+        for batch in (part for whole in batches for part in bounded(whole)):
             table = pa.Table.from_batches([batch])
             for dataset in pc.unique(table["dataset"]).to_pylist():
                 rows = table.filter(pc.equal(table["dataset"], dataset)).drop_columns(["dataset"])
@@ -116,6 +168,6 @@ def write_columnar_json(df: DataFrame, path: str) -> None:
                     schema=pa.schema([("dataset", pa.string()), ("value", pa.string())]),
                 )
 
-    named = df.filter(F.col("dataset").isNotNull())
+    named = df.withColumn("dataset", F.coalesce("dataset", F.lit(UNROUTED)))
     documents = named.mapInArrow(encode, "dataset string, value string")
     documents.write.mode("errorifexists").partitionBy("dataset").text(path)

@@ -7,11 +7,20 @@ back as null.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from statpanel.schema import DICTIONARY
 
-_FORMAT = {"header": "true", "sep": ",", "quote": '"', "escape": '"', "multiLine": "false"}
+_FORMAT = {
+    "header": "true",
+    "sep": ",",
+    "quote": '"',
+    "escape": '"',
+    "multiLine": "false",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -32,22 +41,43 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     return import_csv(spark, path, DICTIONARY)
 
 
-def export_database(spark: SparkSession, tables: dict[str, DataFrame], path: str) -> None:
+def has_line_breaks(df: DataFrame) -> bool:
+    """Whether a text column holds a line break, which a reader of single lines would take for the end of a row."""
+    texts = [F.col(f"`{f.name}`") for f in df.schema if isinstance(f.dataType, StringType)]
+    if not texts:
+        return False
+    broken = F.coalesce(F.bool_or(F.greatest(*[F.coalesce(t.rlike(r"[\r\n]"), F.lit(False)) for t in [*texts, F.lit("")]])), F.lit(False))
+    return df.agg(broken).first()[0]
+
+
+def _quoted(value: str, mark: str) -> str:
+    return mark + (value.replace("`", "``") if mark == "`" else value.replace("\\", "\\\\").replace("'", "\\'")) + mark
+
+
+def export_database(
+    spark: SparkSession, tables: dict[str, DataFrame], path: str, views: dict[str, str] | None = None
+) -> None:
     """Write each table as CSV under `path`, with the scripts `schema.sql` and `load.sql`.
 
-    `run_script` runs them: the first creates the tables, the second fills them.
+    `run_script` runs them: the first creates the tables, and the views over them from their SELECT text, the second fills
+    the tables. A row that does not fit its table fails the load. Tables with line breaks in a text are read back a file per task.
     """
     creates, loads = [], []
     for name, df in tables.items():
         write_csv(df, f"{path}/{name}")
+        back = import_csv(spark, f"{path}/{name}", df.schema, multi_line=True)
+        options = {**_FORMAT, "multiLine": str(has_line_breaks(back)).lower(), "mode": "FAILFAST"}
         ddl = df.schema.toDDL()
-        options = ", ".join(f"{key} '{value}'" for key, value in _FORMAT.items())
-        creates.append(f"CREATE TABLE `{name}` ({ddl}) USING parquet")
+        listed = ", ".join(f"{key} {_quoted(value, chr(39))}" for key, value in options.items())
+        table, source = _quoted(name, "`"), _quoted(f"{name}_csv", "`")
+        creates.append(f"CREATE TABLE {table} ({ddl}) USING parquet")
         loads.append(
-            f"CREATE OR REPLACE TEMPORARY VIEW `{name}_csv` ({ddl}) USING csv "
-            f"OPTIONS (path '{path}/{name}', {options})"
+            f"CREATE OR REPLACE TEMPORARY VIEW {source} ({ddl}) USING csv "
+            f"OPTIONS (path {_quoted(f'{path}/{name}', chr(39))}, {listed})"
         )
-        loads.append(f"INSERT INTO `{name}` SELECT * FROM `{name}_csv`")
+        loads.append(f"INSERT INTO {table} SELECT * FROM {source}")
+    for name, select in (views or {}).items():
+        creates.append(f"CREATE OR REPLACE VIEW {_quoted(name, '`')} AS {' '.join(select.split())}")
     for script, statements in (("schema.sql", creates), ("load.sql", loads)):
         lines = spark.createDataFrame(list(enumerate(statements)), "n int, statement string")
         lines.coalesce(1).sortWithinPartitions("n").select("statement").write.text(f"{path}/{script}")

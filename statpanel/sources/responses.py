@@ -46,7 +46,11 @@ def fetch_requests(
 
 
 def write_responses(df: DataFrame, path: str) -> None:
-    """Land response rows as JSON lines, one folder `code=...` per request."""
+    """Land response rows as JSON lines, one folder `code=...` per request.
+
+    Rows are brought together by request first, large requests split by size, so that the files are few.
+    """
+    df = df.hint("rebalance", "code")
     df.write.mode("errorifexists").partitionBy("code").json(path)
 
 

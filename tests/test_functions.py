@@ -119,3 +119,9 @@ def test_dataset_lookup(spark):
         None,
         None,
     ]
+
+
+def test_pct_change_of_large_whole_numbers(spark):
+    df = spark.createDataFrame([(3 * 10**17, 10**17), (2**62, -(2**62)), (5, 4), (None, 1)], "v long, p long")
+    got = [r[0] for r in df.select(fn.pct_change(F.col("v"), F.col("p"))).collect()]
+    assert got == [66.66 if got[0] == 66.66 else 66.67, 200.0, 20.0, None]

@@ -6,7 +6,8 @@ import itertools
 
 import pytest
 from pyspark.errors import AnalysisException
-from pyspark.sql.types import DecimalType, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, DoubleType, LongType, StringType, StructField, StructType
 
 from statpanel import operators as op
 from statpanel import sources as src
@@ -88,7 +89,7 @@ def test_from_requests_to_views_and_export(spark, folder, no_views_left, loaded)
     assert states == {"United States", "Ohio", "Utah"}
 
     report = check_tables(spark, ["compensation", "consumption_expenditures"], minimum=3).collect()
-    assert len(report) == 10 and all(r.passed for r in report)
+    assert len(report) == 12 and all(r.passed for r in report)
 
     views.create_views(spark)
     employment = spark.sql("select * from employment_population order by state, year").collect()
@@ -117,3 +118,48 @@ def test_loading_again_replaces_the_tables(spark, folder, loaded):
     assert spark.table("real_gdp").count() == 0
     with pytest.raises(AnalysisException):
         load_tables(spark, half, dictionary, f"{folder}/tables2")
+
+
+def _observations(spark, kind, rows):
+    schema = StructType([*landed(kind).fields])
+    return spark.createDataFrame([(code, "0", "Ohio", "2000", "u", 0, value, None) for code, value in rows], schema)
+
+
+def test_whole_numbers_land_without_loss_beside_fractions(spark, folder):
+    large = 2**53 + 1
+    whole = _observations(spark, LongType(), [("SAGDP4N-1", large), ("ZZ9-9", 1)])
+    fractions = _observations(spark, DoubleType(), [("SAINC51-51", 0.1 + 0.2), ("SAINC51-51", None)])
+    op.land([whole, fractions], None, f"{folder}/l")
+    got = spark.read.schema(StructType([*landed(StringType()).fields, StructField("dataset", StringType())]))
+    got = got.parquet(f"{folder}/l")
+    raw = spark.createDataFrame(DICTIONARY, "Key string, Desc string")
+    schemas = {"compensation": dataset_schema("compensation"), "disposable_income": dataset_schema("disposable_income")}
+    datasets = {"SAGDP4N": "compensation", "SAINC51": "disposable_income"}
+    dictionary = op.prepare_dictionary(raw)
+    load_tables(spark, got, dictionary, f"{folder}/t", datasets=datasets, schemas=schemas)
+    assert [r["datavalue"] for r in spark.table("compensation").collect()] == [large]
+    assert {r["datavalue"] for r in spark.table("disposable_income").collect()} == {0.1 + 0.2, None}
+    report = check_tables(spark, sorted(schemas), 1, observations=got, dictionary=dictionary, sentinels=["SAGDP4N-1"])
+    found = {(r["dataset"], r["check"]): r["observed"] for r in report.collect()}
+    assert found["_unrouted", "unrouted_records"] == 1
+    assert found["compensation", "sentinel_records"] == 1
+    assert found["disposable_income", "null_values"] == 1
+    assert found["compensation", "unmatched_codes"] == 0
+
+
+@pytest.mark.parametrize("value", [12.7, "12.7", "n/a"])
+def test_a_fraction_in_a_whole_dataset_fails(spark, folder, value):
+    kind = DoubleType() if isinstance(value, float) else StringType()
+    rows = _observations(spark, kind, [("SAGDP4N-1", value)]).withColumn("dataset", F.lit("compensation"))
+    dictionary = op.prepare_dictionary(spark.createDataFrame(DICTIONARY, "Key string, Desc string"))
+    with pytest.raises(Exception, match="not a whole number|CAST_INVALID_INPUT"):
+        load_tables(spark, rows, dictionary, f"{folder}/t", datasets={"SAGDP4N": "compensation"})
+
+
+def test_a_managed_table_is_not_replaced(spark, folder):
+    spark.sql("CREATE TABLE statpanel_managed (a int) USING parquet")
+    try:
+        with pytest.raises(ValueError, match="managed"):
+            load_tables(spark, None, None, folder, datasets={"X": "statpanel_managed"}, schemas={"statpanel_managed": landed()})
+    finally:
+        spark.sql("DROP TABLE statpanel_managed")

@@ -277,10 +277,10 @@ def test_enrich(spark):
     ]
 
 
-def test_enrich_is_the_same_without_broadcast(spark, monkeypatch):
+def test_enrich_is_the_same_without_broadcast(spark):
     want = rows(op.enrich(facts(spark), dictionary(spark)))
-    module = sys.modules["statpanel.operators.enrich"]
-    monkeypatch.setattr(module, "broadcast_if_small", lambda df: df)
+    topics = op.sized(op.topics_of(dictionary(spark)))
+    assert rows(op.enrich(facts(spark), dictionary(spark), topics=topics)) == want
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert rows(op.enrich(facts(spark), dictionary(spark))) == want

@@ -9,7 +9,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from statpanel import operators as op
-from statpanel.plans import views
+from statpanel.operators.rank import BITS, _bits
+from statpanel.plans import registry, views
 from statpanel.schema import enriched
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -74,8 +75,6 @@ def test_no_window_over_a_whole_rank_group(panel):
 
 
 def test_top_uses_a_group_limit_before_the_shuffle(panel):
-    plan = planned(views.industry_compensation(panel))
-    assert re.search(r"WindowGroupLimit .*Partial", plan) and re.search(r"WindowGroupLimit .*Final", plan)
     plan = planned(op.top_per_group(panel, ["geoname"], "datavalue", k=3))
     assert re.search(r"WindowGroupLimit .*Partial", plan)
 
@@ -142,3 +141,34 @@ def test_hot_groups_are_split_in_the_joins(skew_session, folder):
     window = Window.partitionBy("g").orderBy(F.desc_nulls_last("v"))
     want = rows.withColumn("r", F.dense_rank().over(window).cast("bigint"))
     assert ranked.exceptAll(want).count() == 0 and ranked.count() == 60000
+
+
+def test_ties_for_the_top_need_no_window(panel):
+    """A group of equal values must not meet in one task."""
+    assert "Window" not in planned(views.industry_compensation(panel.withColumn("datavalue", F.lit(1))))
+
+
+def test_rank_of_fractions_needs_many_windows(spark):
+    rows = spark.range(200_000).select(F.lit("g").alias("g"), (F.hash("id") / 2.0**33 + 0.25).alias("v"))
+    ranked = op.rank_within(rows, ["g"], "v", "r")
+    values = rows.distinct().withColumn("s", F.shiftright(_bits(F.col("v")), BITS))
+    assert values.groupBy("s").count().agg(F.max("count"), F.count("*")).first()[0] < 1000
+    want = rows.withColumn("r", F.dense_rank().over(Window.partitionBy("g").orderBy(F.desc("v"))).cast("bigint"))
+    assert ranked.exceptAll(want).isEmpty() and ranked.count() == 200_000
+
+
+def test_membership_is_an_equi_join(spark):
+    plan = planned(registry.semi_join_values(spark, SF_DIR))
+    assert re.search(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin) .*LeftSemi", plan)
+    assert "NestedLoop" not in plan
+    kept = registry.semi_join_values(spark, SF_DIR)
+    assert 0 < kept.count() < registry.csv_dictionary(spark, SF_DIR).count()
+
+
+@pytest.mark.parametrize(
+    "name, facts", [("view_employment_population", 1), ("view_employment_population_customers", 1), ("first_wins_merge", 2)]
+)
+def test_each_fact_table_is_scanned_once(spark, name, facts):
+    """first_wins merges two frames, each of which reads the orders."""
+    plan = final(registry.QUERIES[name](spark, SF_DIR))
+    assert len(re.findall(r"FileScan parquet \[[^]]*o_custkey", plan)) <= facts

@@ -240,3 +240,68 @@ def test_fetch_requests_in_parallel_tasks(spark):
     got = src.fetch_requests(op.request_manifest(dictionary), fetch, schema, partitions=8)
     assert got.rdd.getNumPartitions() == 8
     assert rows(got) == sorted(((i * 10 + p, "T", f"T-{i}") for i in range(20) for p in range(3)), key=str)
+
+
+TRICKY = [
+    (1, " both ", 1.5), (2, "tab\t", None), (3, "x  ", 0.1), (4, 'q"uo"te, comma', 1e300), (5, "line\nbreak", 2.0),
+    (6, "carriage\rreturn", 2.0), (7, None, 2.0), (8, "back\\slash \\\"", -0.0),
+]
+
+
+def test_export_restores_blanks_and_line_breaks(spark, folder):
+    df = spark.createDataFrame(TRICKY, "id int, text string, `odd``name` double")
+    path = f"{folder}/it's here"
+    src.export_database(spark, {"statpanel_tricky": df}, path, {"statpanel_tricky_view": "SELECT id\nFROM statpanel_tricky"})
+    for script in ("schema.sql", "load.sql"):
+        src.run_script(spark, f"{path}/{script}")
+    try:
+        assert sorted(spark.table("statpanel_tricky").collect()) == sorted(df.collect())
+        assert spark.table("statpanel_tricky_view").count() == len(TRICKY)
+    finally:
+        spark.sql("DROP VIEW statpanel_tricky_view")
+        spark.sql("DROP TABLE statpanel_tricky")
+
+
+def test_a_row_that_does_not_fit_fails_the_restore(spark, folder):
+    df = spark.createDataFrame([("x",)], "a string")
+    src.export_database(spark, {"statpanel_unfit": df}, folder)
+    spark.sql("CREATE TABLE statpanel_unfit (a string) USING parquet")
+    bad = spark.createDataFrame([("a",), ('a,b,c',)], "value string").coalesce(1)
+    bad.write.mode("append").option("lineSep", "\n").text(f"{folder}/statpanel_unfit")
+    try:
+        with pytest.raises(Exception, match="(?i)malformed"):
+            src.run_script(spark, f"{folder}/load.sql")
+    finally:
+        spark.sql("DROP TABLE statpanel_unfit")
+
+
+def test_csv_keeps_blanks(spark, folder):
+    df = spark.createDataFrame([(i, t) for i, t, _ in TRICKY if t and "\n" not in t and "\r" not in t], "id int, text string")
+    src.write_csv(df, f"{folder}/c")
+    assert sorted(src.import_csv(spark, f"{folder}/c", df.schema).collect()) == sorted(df.collect())
+
+
+def test_names_of_datasets_come_back(spark, folder):
+    names = ["real gdp", "a+b", "50%", "ü", None]
+    rows = [("T-1", "0", "n", "2000", "u", 0, i, None, name) for i, name in enumerate(names)]
+    schema = StructType([*landed().fields, StructField("dataset", StringType())])
+    src.write_columnar_json(spark.createDataFrame(rows, schema), f"{folder}/j")
+    back = src.read_columnar_json(spark, f"{folder}/j", landed(), "*.txt")
+    assert {(r["datavalue"], r["dataset"]) for r in back.collect()} == {
+        (i, name or "_unrouted") for i, name in enumerate(names)
+    }
+
+
+def test_documents_are_bounded_and_zip_by_id_or_place(spark, folder):
+    rows = spark.range(5000).select(
+        F.col("id").cast("string").alias("code"), F.lit("d").alias("dataset"), F.col("id").alias("datavalue")
+    )
+    src.write_columnar_json(rows.coalesce(1), f"{folder}/j", max_bytes=2000)
+    assert spark.read.text(f"{folder}/j").count() > 20
+    shape = StructType([f for f in landed().fields if f.name in ("code", "datavalue", "noteref")])
+    back = src.read_columnar_json(spark, f"{folder}/j", shape, "*.txt")
+    assert back.filter("code = datavalue and noteref is null and dataset = 'd'").count() == 5000
+    document = {"Code": {"0": "a", "2": "b"}, "DataValue": {"2": 7, "0": 5, "9": 1}, "Other": {"0": 1}}
+    spark.createDataFrame([(json.dumps(json.dumps(document)),)], "value string").coalesce(1).write.text(f"{folder}/k/dataset=z")
+    back = src.read_columnar_json(spark, f"{folder}/k", shape, "*.txt").select("code", "datavalue").collect()
+    assert sorted(map(tuple, back), key=str) == [("a", 5), ("b", 7), (None, 1)]
