@@ -1,0 +1,80 @@
+from __future__ import annotations
+
+import html as entities
+import re
+import time
+
+import pytest
+
+from statpanel.llm import html, queries
+
+SCHEMA = "page_id long, url string, html string, text string, host int"
+PAGE = """<!DOCTYPE html><html><head><title>t</title></head><body class="has-sidebar"><header><h1>Site</h1></header><nav>menu</nav>
+<div id="cookie-notice">We use cookies</div><main><article><header><h1>Head &amp; line</h1><p>By me</p></header>
+<p>One<br>two <b>bold</b>&nbsp;x<p>Three <a href="x">link</a></p><ul><li>a<li>b</ul><div class="share-buttons">Share</div>
+<aside>related</aside><form>q</form><script>var a="</p>"</script><table><tr><td>c1<td>c2</table><pre> x
+ y</pre><p hidden>not shown</p></article><section id="comments"><article class="comment"><p>nice</p></article></section></main>
+<footer>f</footer></body></html>"""
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (PAGE, "Head & line\nOne two bold x\nThree link\na\nb\nc1\nc2\nx y"),
+        ("", ""),
+        ("no markup at all", "no markup at all"),
+        ("a < b && c > d &lt;i&gt; &euro; &#8364; &amp;amp;", "a < b && c > d <i> € € &amp;"),
+        ("<p>plain <i>x</i>\n y</p>text<div>z</div>", "plain x y\ntext\nz"),
+        ("<nav>n</nav><div class='sidebar'>s</div><div class=content><h2>T</h2>body text long enough</div>", "T\nbody text long enough"),
+        ("<p><b>unclosed<br><p>next</p><!-- ad --><p>last", "unclosed\nnext\nlast"),
+        ("<article><p>kept</p><div class='ad'>bad</div><p>also</p></article><div>outside</div>", "kept\nalso"),
+        ("<div class='AdBanner top'>x</div><p>download the header file</p>", "download the header file"),
+        ("<script>if (a < b) { '<p>' }</script><style>p{}</style><p>t</p><textarea>typed</textarea>", "t"),
+        ("<p title='a > b' data-x=\"<p>\">quoted</p>", "quoted"),
+        ("<p>open tag <a href='x", "open tag"),
+        ("</div></p>stray<li>x</span>y", "stray\nxy"),
+    ],
+)
+def test_main_text(page, text):
+    assert html.extract(page)[0] == text
+
+
+@pytest.mark.parametrize("page", ["<div>" * 20_000 + "x", "<b>" * 4000 + "<p>x" * 4000, '<a "' * 20_000, "<!-- " * 20_000, "<div class=ad>" * 3000 + "<article>x"])
+def test_long_nonsense_is_quick(page):
+    start = time.monotonic()
+    html.extract(page)
+    assert time.monotonic() - start < 5
+
+
+def rows(spark, pages):
+    return spark.createDataFrame([(i, u, h, "t", 1) for i, u, h in pages], SCHEMA).repartition(3)
+
+
+def got(spark, pages, **options):
+    return sorted(((r["page_id"], r["url"], r["text"]) for r in html.main_text(rows(spark, pages), **options).collect()), key=str)
+
+
+def test_templates_of_a_host_go(spark):
+    box = "<div class=x>Read more on our site</div>"
+    same = "<p>A passage that many articles quote.</p>"
+    pages = [(i, f"https://User@A.example:80/{i}", f"<article><p>text {i}</p>{same}{box}</article>") for i in range(8)]
+    pages += [(20 + i, "http://a.example/copy", f"<article><p>one copy</p><div class=y>own {1}</div></article>") for i in range(9)]
+    pages += [(40 + i, f"http://b.example/{i}", f"<article><p>text {i}</p>{box}</article>") for i in range(3)]
+    pages += [(60, None, None), (61, "no url", ""), (62, "http://c.example", f"<body>{box}<p>x</p></body>"), (60, None, None)]
+    want = [(i, u, f"text {i}\nA passage that many articles quote.") for i, u, _ in pages[:8]]
+    want += [(i, u, "one copy\nown 1") for i, u, _ in pages[8:17]]
+    want += [(i, u, f"text {i - 40}\nRead more on our site") for i, u, _ in pages[17:20]]
+    want += [(60, None, ""), (61, "no url", ""), (62, "http://c.example", "Read more on our site\nx"), (60, None, "")]
+    assert got(spark, pages) == sorted(want, key=str)
+    assert got(spark, []) == []
+
+
+def test_query_equals_the_articles(spark):
+    folder = "/root/testdata/sf0.001"
+    want = {}
+    for page, _, text in spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url", "html").collect():
+        article = text.split("<article>")[1].split("</article>")[0]
+        blocks = [" ".join(entities.unescape(re.sub("<[^>]*>", " ", b)).split()) for b in re.split("</?(?:p|h1)>", article)]
+        want[page] = "\n".join(b for b in blocks if b)
+    for r in queries.QUERIES["op2_html"](spark, folder).collect():
+        assert (r["text"], r["n_chars"]) == (want[r["page_id"]], len(want[r["page_id"]]))
