@@ -7,14 +7,14 @@ hashes and their places; two fingerprints are compared by anchors that both hold
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statpanel.llm.common import written
-
 K, S = 12, 5
 #: Anchors kept per fingerprint, characters per step of place, characters hashed at a time.
 KEPT, PLACE, BLOCK = 64, 16, 1 << 18
@@ -123,67 +123,77 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, text string, fingerprint string")
 
 
-_ROW = "doc_id long, n_chars long, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+def _following(docs: DataFrame) -> DataFrame:
+    """(part, ahead, late, back, h, doc_id, text): rows cut into parts by descending doc_id, and to each part the row that follows it.
+
+    The parts are quantiles of the ids, four for each partition of Spark's shuffle, so that hashing them deals them evenly. The first row of every part also goes, as `ahead`, to the part before, the
+    first of all to the last one.
+    """
+    spark = docs.sparkSession
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumns(
+        {"late": F.col("doc_id").isNull(), "back": F.bitwise_not(F.coalesce("doc_id", F.lit(0))), "h": F.xxhash64("text")}
+    )
+    wanted = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    number = rows.filter("not late").select(F.col("back").cast("double").alias("at"))
+    shares = [i / wanted for i in range(1, wanted)]
+    cuts = sorted(set(number.approxQuantile("at", shares, 0.1 / wanted))) if shares else []
+    if cuts:
+        cutter = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="at", outputCol="part")
+        rows = cutter.transform(rows.withColumn("at", F.col("back").cast("double"))).drop("at")
+        rows = rows.withColumn("part", F.when(F.col("late"), float(len(cuts))).otherwise(F.col("part")))
+    else:
+        rows = rows.withColumn("part", F.lit(0.0))
+    # One row per part.
+    heads = rows.groupBy("part").agg(F.min(F.struct("late", "back", "h")).alias("head"))
+    heads = sorted((r["part"], tuple(r["head"])) for r in heads.collect())
+    before = [(heads[i - 1][0], *head) for i, (_, head) in enumerate(heads)]
+    before = F.broadcast(spark.createDataFrame(before, "before double, late boolean, back long, h long"))
+    ahead = rows.drop("part").join(before, ["late", "back", "h"]).withColumnRenamed("before", "part")
+    return rows.withColumn("ahead", F.lit(False)).unionByName(ahead.withColumn("ahead", F.lit(True)))
+
+
+_ROW = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
 def _compared(doc, text: str, fp: str, following: str, next_fp: str) -> tuple:
     changed = edited(text, following)
     changed_fp = fp if changed == text else fingerprint(changed)
-    return (doc, len(text), changed, fp, changed_fp, likeness(fp, changed_fp), likeness(fp, next_fp))
+    digest = hashlib.sha256(changed.encode()).hexdigest()
+    return doc, len(text), digest, fp, changed_fp, likeness(fp, changed_fp), likeness(fp, next_fp)
 
 
 def against_next(docs: DataFrame) -> DataFrame:
     """Fingerprints each text and its edited text, and compares it with both the edited text's and the next document's.
 
-    The next document is the next in descending doc_id, after the last the first; equal doc_ids are ordered by their text's hash and
-    text, a null doc_id comes last. A document alone is its own next one. Rows are range-partitioned and sorted, and each
-    task holds one row until it sees the next. Only the first row of every partition crosses to the partition before. Null text is
-    empty; an empty table gives an empty table; other columns are ignored.
+    Rows (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next). The next document is the next in descending
+    doc_id, after the last the first; equal doc_ids are ordered by a hash of their text, a null doc_id comes last. A document
+    alone is its own next one. Texts are shuffled once, into sorted parts that each also hold the row that follows them, and a
+    task holds one row until it sees the next. Null text is empty; repeated rows each follow another; an empty table gives an
+    empty table; other columns are ignored.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    order = [F.desc_nulls_last("doc_id"), F.asc("h"), F.asc("text")]
-    rows = rows.withColumn("h", F.xxhash64("text"))
-    rows = rows.repartitionByRange(order[0], order[1]).sortWithinPartitions(*order).select("doc_id", "text")
+    rows = _following(docs)
+    rows = rows.repartition("part").sortWithinPartitions("part", "ahead", "late", "back", "h").select("part", "ahead", "doc_id", "text")
 
     def run(batches):
-        part = TaskContext.get().partitionId()
-        held = None
+        held = at = None
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
+            for some in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
                 out = []
-                for doc, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+                for part, ahead, doc, text in zip(*(c.to_pylist() for c in some.columns)):
+                    if part != at:
+                        at, held = part, None
                     fp = fingerprint(text)
-                    if held is None:
-                        out.append((part, "head", text, doc, len(text), None, fp, None, None, None))
-                    else:
-                        out.append((part, "row", None, *_compared(*held, text, fp)))
-                    held = (doc, text, fp)
+                    if held is not None:
+                        out.append(_compared(*held, text, fp))
+                    held = None if ahead else (doc, text, fp)
                 yield _batch(out)
-        if held is not None:
-            doc, text, fp = held
-            yield _batch([(part, "tail", text, doc, len(text), None, fp, None, None, None)])
-
-    found = written(rows.mapInArrow(run, f"part int, kind string, text string, {_ROW}"), "syncmers")
-    # One row per partition from here on.
-    heads = found.filter("kind = 'head'").select("part", F.col("text").alias("following"), F.col("fingerprint").alias("next_fp"))
-    parts = heads.select("part")
-    after = parts.select("part", F.lead("part").over(Window.orderBy("part")).alias("then"))
-    after = after.crossJoin(parts.agg(F.min("part").alias("first"))).select("part", F.coalesce("then", "first").alias("then"))
-    tails = found.filter("kind = 'tail'").join(after, "part").drop("following")
-    tails = tails.join(heads.withColumnRenamed("part", "then"), "then")
-    tails = tails.select("doc_id", "text", "fingerprint", "following", "next_fp")
-
-    def close(batches):
-        for batch in batches:
-            out = [(0, "row", None, *_compared(*r)) for r in zip(*(c.to_pylist() for c in batch.columns))]
-            yield _batch(out).select([f.split()[0] for f in _ROW.split(", ")])
 
-    return found.filter("kind = 'row'").select([f.split()[0] for f in _ROW.split(", ")]).union(tails.mapInArrow(close, _ROW))
+    return rows.mapInArrow(run, _ROW)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-    names = ["part", "kind", "text", *(f.split()[0] for f in _ROW.split(", "))]
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    names = [f.split()[0] for f in _ROW.split(", ")]
     columns = zip(*rows) if rows else [[]] * len(names)
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
