@@ -157,10 +157,9 @@ def learn(docs: DataFrame, labels: DataFrame, most_rows: int = 16000) -> Machine
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.join(picked, "doc_id")
     sample = _buckets(texts, ["doc_id", "toxic"])
-    sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "buckets").limit(most_rows).collect()
-    rows = [np.array(r["buckets"], np.int32) for r in sample]
-    labels_ = np.array([r["toxic"] for r in sample], np.float32)
-    return fit(rows, labels_, counts.get(1, 0) / max(1, sum(counts.values())))
+    sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "buckets").limit(most_rows).toArrow()
+    rows = [r.values.to_numpy() for r in sample["buckets"]]
+    return fit(rows, sample["toxic"].to_numpy().astype(np.float32), counts.get(1, 0) / max(1, sum(counts.values())))
 
 
 def scored(docs: DataFrame, machine: Machine, threshold: float = 0.7) -> DataFrame:
