@@ -86,4 +86,19 @@ QUERIES: dict[str, Query] = {
     "op10_nearest": op10_nearest,
 }
 
-ORACLE: dict[str, str] = {}
+#: SQL where it can express a query. The others are tested against brute force, round trips or held-out labels.
+ORACLE: dict[str, str] = {
+    "op9_warc": """
+        with digested as (
+            select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex from pages),
+        chunked as (
+            select *, min(page_id) over (partition by html) as first,
+                list_transform(range(8), lambda i: cast('0x' || substr(hex, cast(5 * i + 1 as int), 5) as int)) as chunks
+            from digested)
+        select page_id, cast(octet_length(encode(html)) as bigint) as payload_bytes,
+            array_to_string(list_transform(chunks, lambda v: array_to_string(list_transform([15, 10, 5, 0],
+                lambda b: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> b) & 31) + 1, 1)), '')), '') as payload_digest,
+            case when page_id > first then 'revisit' else 'response' end as record_type,
+            case when page_id > first then first end as refers_to
+        from chunked""",
+}

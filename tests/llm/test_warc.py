@@ -6,7 +6,8 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from statpanel.llm import warc
+from statpanel.llm import queries, warc
+from tests.compare import assert_same, connect
 
 SCHEMA = "page_id long, url string, html string, kind string"
 
@@ -84,6 +85,11 @@ def test_broken_archive_fails(spark, folder):
         warc.read_archives(spark, f"{folder}/cut").count()
 
 
+def test_query_equals_sql(spark):
+    con = connect("/root/testdata/sf0.001")
+    assert assert_same(queries.QUERIES["op9_warc"](spark, "/root/testdata/sf0.001"), con, queries.ORACLE["op9_warc"]) > 0
+
+
 def test_base32(spark):
     data = [bytes([i]) * i for i in range(40)]
     found = spark.createDataFrame([(bytearray(d),) for d in data], "d binary")
