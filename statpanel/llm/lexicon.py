@@ -11,8 +11,9 @@ import heapq
 import json
 import re
 import uuid
+from array import array
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -31,11 +32,14 @@ USUAL = "\x00-՗‐-‧‰-⁞₠-₿ぁ-ゖァ-ヺ一-龥가-힣"
 
 _WORDS = regex.compile(WORD_PATTERN)
 _UNUSUAL = re.compile(f"[^{USUAL}]")
+#: A space that does not stand between two other characters, and white space that is rare.
+_ODD_SPACE = re.compile(r"\A | \Z|\s\s")
+_RARE_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 
 #: Longest word in the lexicon, in bytes; characters that a worker tokenizes at a time; words that it remembers.
 LONGEST = 32
 CHUNK = 1_000_000
-REMEMBERED = 200_000
+REMEMBERED = 800_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -45,6 +49,23 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
+def unusual(text: str) -> bool:
+    """Whether a text has code points that versions of Unicode may classify differently."""
+    if text.isascii():
+        return False
+    try:
+        text.encode("latin-1")  # faster than the search, and enough for many texts
+        return False
+    except UnicodeEncodeError:
+        return _UNUSUAL.search(text) is not None
+
+
+def _odd_spaces(text: str) -> bool:
+    if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " ":
+        return True
+    return any(c in text for c in _RARE_SPACES) and _ODD_SPACE.search(text) is not None
+
+
 class Vocabulary:
     """Tokens, merges and added tokens of a `tokenizers` file with a byte-level BPE model."""
 
@@ -66,44 +87,60 @@ class Vocabulary:
         for letter, byte in letters.items():
             self.byte_id[byte] = ids[letter]
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        self.merges = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(pairs)}
+        found = [(ids[a], ids[b], ids[a + b]) for a, b in pairs]
+        self.ranks = {a << 32 | b: rank for rank, (a, b, _) in enumerate(found)}
+        self.merged = [new for _, _, new in found]
+        table = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
+        self._flat = np.frombuffer(b"".join(table), np.uint8)
+        self._sizes = np.array([*map(len, table), 0])  # the last one stands for ids without a token
+        self._starts = np.cumsum([0, *self._sizes[:-1]])
 
     def merge(self, word: bytes) -> list[int]:
         """Apply the best-ranked merge, leftmost first, until none applies."""
         parts = [self.byte_id[b] for b in word]
         if len(parts) > 48:
             return self._merge_long(parts)
-        merges = self.merges
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                found = merges.get((parts[i], parts[i + 1]))
-                if found is not None and (best is None or found < best):
-                    best, at = found, i
-            if best is None:
+        rank, none = self.ranks.get, len(self.ranks)
+        ranks = [rank(a << 32 | b, none) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
                 break
-            parts[at : at + 2] = [best[1]]
+            at = ranks.index(best)
+            parts[at : at + 2] = [self.merged[best]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank(parts[at - 1] << 32 | parts[at], none)
+            if at < len(ranks):
+                ranks[at] = rank(parts[at] << 32 | parts[at + 1], none)
         return parts
 
+    def decode(self, ids: np.ndarray) -> str:
+        ids = np.where((ids < 0) | (ids >= len(self._sizes)), len(self._sizes) - 1, ids)
+        sizes = self._sizes[ids]
+        ends = np.cumsum(sizes)
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self._starts[ids] - ends + sizes, sizes)
+        return self._flat[places].tobytes().decode("utf-8", "replace")
+
     def _merge_long(self, parts: list[int]) -> list[int]:
         """The same with a heap over a linked list: long words cost n log n."""
         n = len(parts)
         left, right = [*range(-1, n - 1)], [*range(1, n + 1)]
-        heap: list[tuple[int, int, int, int, int]] = []
+        heap: list[tuple[int, int, int, int]] = []
 
         def offer(i: int) -> None:
             j = right[i]
-            if j < n and (found := self.merges.get((parts[i], parts[j]))) is not None:
-                heapq.heappush(heap, (found[0], i, parts[i], parts[j], found[1]))
+            if j < n and (found := self.ranks.get(parts[i] << 32 | parts[j])) is not None:
+                heapq.heappush(heap, (found, i, parts[i], parts[j]))
 
         for i in range(n - 1):
             offer(i)
         while heap:
-            _, i, a, b, new = heapq.heappop(heap)
+            rank, i, a, b = heapq.heappop(heap)
             j = right[i]
             if parts[i] != a or j >= n or parts[j] != b:
                 continue
-            parts[i], parts[j], right[i] = new, -1, right[j]
+            parts[i], parts[j], right[i] = self.merged[rank], -1, right[j]
             if right[i] < n:
                 left[right[i]] = i
             offer(i)
@@ -173,9 +210,10 @@ class Lexicon:
             out.append(data[at : at + 4 * n].view(np.int32))
             at += 4 * n
         self.targets, self.skips, self.finals, self.starts, self.ids = out
+        self.bytes = memoryview(self.ids.view(np.uint8))
 
-    def find(self, words: list[bytes]) -> list[list[int] | None]:
-        """The ids of each word, None for words that the lexicon lacks; all words take a step at a time."""
+    def find(self, words: list[bytes]) -> list[bytes | None]:
+        """The ids of each word as 32-bit numbers, None for words that the lexicon lacks; all words take a step at a time."""
         if not words or not len(self.keys):
             return [None] * len(words)
         lengths = np.array([len(w) for w in words])
@@ -196,58 +234,82 @@ class Lexicon:
             state[rows] = self.targets[edge]
             number[rows] += self.skips[edge]
         alive &= self.finals[state] == 1
-        starts = self.starts
-        found = zip(alive.tolist(), number.tolist())
-        return [self.ids[starts[n] : starts[n + 1]].tolist() if ok else None for ok, n in found]
+        number = np.where(alive, number, 0)
+        found = zip(alive.tolist(), (4 * self.starts[number]).tolist(), (4 * self.starts[number + 1]).tolist())
+        return [self.bytes[a:b] if ok else None for ok, a, b in found]
 
 
 class Encoder:
-    """Encodes and decodes as the `tokenizers` library does, with add_special_tokens=False."""
+    """Encodes and decodes as the `tokenizers` library does, with add_special_tokens=False.
+
+    A text is cut at its spaces. As no word reaches over a space between other characters, the ids of a part stand by themselves, and
+    are remembered.
+    """
 
     def __init__(self, vocabulary: str, lexicon: str | None = None):
         self.vocabulary = Vocabulary(vocabulary)
         self.lexicon = Lexicon(lexicon) if lexicon else None
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # ids of parts at the start of a text, and of words
+        self.spaced: dict[str, bytes] = {}  # ids of parts behind a space, by the part without it
         added = sorted(self.vocabulary.added, key=len, reverse=True)
         self._added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
 
-    def _plain(self, text: str) -> list[str]:
-        if _UNUSUAL.search(text):
+    def parts(self, text: str) -> tuple[list[str], list[str]]:
+        """First words that stand by themselves, then parts that each follow a space. Added tokens have a NUL and a letter ahead, as no word has."""
+        if self._added is not None and self._added.search(text):
+            split = self._added.split(text)
+            return [w for i, p in enumerate(split) for w in ([f"\0a{p}"] if i % 2 else self._words(p))], []
+        if _odd_spaces(text) or unusual(text):
+            return self._words(text), []
+        first, *rest = text.split(" ")
+        return [first] if first else [], rest
+
+    def _words(self, text: str) -> list[str]:
+        if unusual(text):
             # The library's own splitter decides where versions of Unicode differ.
             from tokenizers.pre_tokenizers import ByteLevel
 
             return [text[a:b] for _, (a, b) in ByteLevel(add_prefix_space=False).pre_tokenize_str(text)]
         return _WORDS.findall(text)
 
-    def words(self, text: str) -> list[str]:
-        """The words of a text in order. Added tokens are marked by a leading NUL and letter, which no word has."""
-        if self._added is None or not self._added.search(text):
-            return self._plain(text)
-        parts = self._added.split(text)
-        return [w for i, p in enumerate(parts) for w in ([f"\0a{p}"] if i % 2 else self._plain(p))]
-
-    def _learn(self, words: set[str]) -> None:
-        added = {w: [self.vocabulary.added[w[2:]]] for w in words if w.startswith("\0a")}
-        rest = [w for w in words if w not in added]
-        raw = [w.encode() for w in rest]
+    def words(self, part: str, ahead: str = "") -> list[str]:
+        """The words of a part with a space `ahead` or none; an added token, or a word that the library's splitter found, is one."""
+        if part.isalpha():
+            return [ahead + part]
+        part = ahead + part
+        return [part] if part.startswith("\0a") or unusual(part) else _WORDS.findall(part)
+
+    def _ids(self, parts: list[str], ahead: str = "") -> list[bytes]:
+        split = [self.words(p, ahead) for p in parts]
+        words = list(set(chain.from_iterable(split)).difference(self.known))
+        new: dict[str, bytes] = {}
+        plain = [w for w in words if not w.startswith("\0a")]
+        raw = [w.encode() for w in plain]
         ids = self.lexicon.find(raw) if self.lexicon else [None] * len(raw)
-        self.known |= added
-        self.known |= {w: self.vocabulary.merge(b) if i is None else i for w, b, i in zip(rest, raw, ids)}
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        split = [self.words(t) for t in texts]
-        if len(self.known) > REMEMBERED:
+        merge = self.vocabulary.merge
+        for word, data, known in zip(plain, raw, ids):
+            new[word] = array("i", merge(data)).tobytes() if known is None else known
+        new |= {w: array("i", [self.vocabulary.added[w[2:]]]).tobytes() for w in words if w.startswith("\0a")}
+        return [b"".join([new[w] if w in new else self.known[w] for w in s]) for s in split]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where each text's begin and end."""
+        if len(self.known) + len(self.spaced) > REMEMBERED:
             self.known.clear()
-        missing = set(chain.from_iterable(split)).difference(self.known)
-        if missing:
-            self._learn(missing)
-        known = self.known.__getitem__
-        return [list(chain.from_iterable(map(known, words))) for words in split]
-
-    def decode(self, ids: Iterable[int]) -> str:
+            self.spaced.clear()
+        split = [self.parts(t) for t in texts]
+        missing = list({w for first, _ in split for w in first}.difference(self.known))
+        self.known.update(zip(missing, self._ids(missing)))
+        missing = list(set(chain.from_iterable(rest for _, rest in split)).difference(self.spaced))
+        self.spaced.update(zip(missing, self._ids(missing, " ")))
+        known, spaced = self.known.__getitem__, self.spaced.__getitem__
+        data = [b"".join(map(known, first)) + b"".join(map(spaced, rest)) for first, rest in split]
+        ends = np.cumsum([0, *map(len, data)]) // 4
+        return np.frombuffer(b"".join(data), np.int32), ends
+
+    def decode(self, ids: np.ndarray) -> str:
         """As the library's decode(ids, skip_special_tokens=False); ids without a token are skipped."""
-        known = self.vocabulary.bytes_of
-        return b"".join([known[i] for i in ids if i in known]).decode("utf-8", "replace")
+        return self.vocabulary.decode(ids)
 
 
 def chunks(batch: pa.RecordBatch, column: str, size: int = CHUNK) -> Iterator[pa.RecordBatch]:
@@ -265,31 +327,27 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
 
 
 def word_counts(texts: DataFrame, vocabulary: str) -> DataFrame:
-    """(word, n) over all texts, of words of at most LONGEST bytes; tasks add up before they send."""
-
-    def count(batches):
-        encoder = Encoder(vocabulary)
-        seen: Counter = Counter()
+    """(word, n) over all texts, of words of at most LONGEST bytes, each taken with the space before it.
 
-        def out():
-            words = [w for w in seen if len(w.encode()) <= LONGEST and not w.startswith("\0a")]
-            return pa.RecordBatch.from_pydict({"word": pa.array(words, pa.string()), "n": pa.array([seen[w] for w in words], pa.int64())})
+    Spark counts the parts between spaces; only distinct parts are cut into words.
+    """
 
+    def cut(batches):
+        encoder = Encoder(vocabulary)
         for batch in batches:
-            for part in chunks(batch, "text"):
-                for text in texts_of(part):
-                    seen.update(encoder.words(text))
-                if len(seen) > REMEMBERED:
-                    yield out()
-                    seen.clear()
-        if seen:
-            yield out()
-
-    counted = texts.select("text").mapInArrow(count, "word string, n long")
+            seen: Counter = Counter()
+            for part, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for word in encoder.words(part, " "):
+                    if len(word.encode()) <= LONGEST:
+                        seen[word] += n
+            yield pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
+
+    parts = texts.select(F.explode(F.split("text", " ")).alias("part")).filter("part <> ''").groupBy("part").count()
+    counted = parts.mapInArrow(cut, "word string, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def build_lexicon(texts: DataFrame, vocabulary: str, words: int = 1 << 17) -> str:
+def build_lexicon(texts: DataFrame, vocabulary: str, words: int = 1 << 18) -> str:
     """Compile the `words` most frequent words of all texts; returns the name to give to `encode`.
 
     Counts cover every text. Ties at the end of the list go to the smaller word. The driver sees only that list, whose size
@@ -340,9 +398,9 @@ def round_trip(docs: DataFrame, vocabulary: str, lexicon: str | None = None, key
         encoder = _encoder(vocabulary, lexicon)
         for batch in batches:
             for part in chunks(batch, "text"):
-                ids = encoder.encode(texts_of(part))
-                decoded = [encoder.decode(i) for i in ids]
-                lists = pa.array(ids, pa.list_(pa.int32()))
+                ids, ends = encoder.encode(texts_of(part))
+                decoded = [encoder.decode(ids[a:b]) for a, b in zip(ends, ends[1:])]
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(decoded, pa.string())], [key, "ids", "decoded"])
 
     schema = f"{key} {kind.simpleString()}, ids array<int>, decoded string"

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statpanel.llm.common import one_thread, written
-from statpanel.llm.lexicon import _UNUSUAL, WORD_PATTERN, Vocabulary, chunks, texts_of
+from statpanel.llm.lexicon import WORD_PATTERN, Vocabulary, chunks, texts_of, unusual
 
 #: Pieces that are ranked together in one task.
 BLOCK_BITS = 17
@@ -40,7 +40,7 @@ def _tokenizers(path: str) -> tuple:
         ranks = {t: i for i, t in words.bytes_of.items() if i not in words.added.values()}
         fast = None
         # The faster library takes ids as ranks of merges; where a file's ids differ, the first one does all.
-        if sorted(ranks.values()) == [*range(len(ranks))] and all(new == 256 + r for r, new in words.merges.values()):
+        if sorted(ranks.values()) == [*range(len(ranks))] and all(new == 256 + r for r, new in enumerate(words.merged)):
             fast = tiktoken.Encoding("own", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens=words.added)
         _TOKENIZERS[path] = exact, fast
     return _TOKENIZERS[path]
@@ -48,7 +48,7 @@ def _tokenizers(path: str) -> tuple:
 
 def token_ids(text: str, path: str) -> np.ndarray:
     exact, fast = _tokenizers(path)
-    if fast is None or _UNUSUAL.search(text):
+    if fast is None or unusual(text):
         return np.array(exact.encode(text, add_special_tokens=False).ids, "<u4")
     return np.array(fast.encode(text, allowed_special="all"), "<u4")
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
@@ -55,7 +56,8 @@ def test_automaton_is_minimal_and_exact(tmp_path):
     (tmp_path / "x").write_bytes(lexicon.compile_lexicon(entries))
     found = lexicon.Lexicon(str(tmp_path / "x"))
     asked = sorted(words) + [b"d", b"abcabcabcabc", b"x" * 99, b""]
-    assert found.find(asked) == [entries.get(w) for w in asked]
+    got = [None if ids is None else np.frombuffer(ids, np.int32).tolist() for ids in found.find(asked)]
+    assert got == [entries.get(w) for w in asked]
     # No two states may have equal right languages: the suffix sets of the words, prefix by prefix.
     prefixes = {w[:i] for w in words for i in range(len(w) + 1)}
     languages = {frozenset(w[len(p) :] for w in words if w.startswith(p)) for p in prefixes}
@@ -67,4 +69,15 @@ def test_merges_of_long_words(library):
     rng = random.Random(4)
     for n in (47, 48, 49, 300):
         word = "".join(rng.choices("etaoinshr", k=n))
-        assert encoder.encode([word])[0] == library.encode(word, add_special_tokens=False).ids
+        assert encoder.encode([word])[0].tolist() == library.encode(word, add_special_tokens=False).ids
+
+
+def test_odd_spaces_and_unknown_ids(library):
+    encoder = lexicon.Encoder(PATH)
+    samples = [" a", "a ", " ", "a  b c", "a\n b", "a \nb", "a\u00a0 b", "x\u2028 y", "tab\t tab", "a b\n\nc d", "it's 'so' don't", "\x1f a"]
+    ids, ends = encoder.encode(samples)
+    for text, a, b in zip(samples, ends, ends[1:]):
+        assert ids[a:b].tolist() == library.encode(text, add_special_tokens=False).ids, text
+    wild = np.random.default_rng(1).integers(0, 60_000, 400).astype(np.int32)
+    assert encoder.decode(wild) == library.decode([i for i in wild.tolist() if i < 50257], skip_special_tokens=False)
+    assert encoder.decode(np.zeros(0, np.int32)) == ""
