@@ -50,11 +50,13 @@ class Weights:
         order = np.argsort(hashes)
         self.hashes, self.idf = hashes[order], np.log1p(documents / counts[order])
         rarest = int(counts.min()) if len(counts) >= FREQUENT_WORDS else 1
-        self.rest = math.log1p(documents / rarest)
+        self.rest = math.log1p(documents / max(rarest, 1))
 
-    def of(self, value: int) -> float:
-        at = int(np.searchsorted(self.hashes, value))
-        return float(self.idf[at]) if at < len(self.hashes) and self.hashes[at] == value else self.rest
+    def of(self, values: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.full(len(values), self.rest)
+        at = np.minimum(np.searchsorted(self.hashes, values), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == values, self.idf[at], self.rest)
 
 
 class Shingler:
@@ -69,13 +71,15 @@ class Shingler:
         if len(words) > self.most // 2:  # a text with more words than are remembered goes in parts
             half = len(words) // 2
             return tuple(np.concatenate(x) for x in zip(self._numbers(words[:half]), self._numbers(words[half:])))
-        new = set(words).difference(self.numbers)
+        new = list(set(words).difference(self.numbers))
         if len(self.numbers) + len(new) > self.most:
             self.numbers.clear()
-            new = set(words)
-        for word in new:
-            value, n = xxhash.xxh64_intdigest(word), len(self.numbers)
-            self.numbers[word], self.hashes[n], self.idf[n] = n, value, self.weights.of(value)
+            new = list(set(words))
+        if new:
+            n = len(self.numbers)
+            values = np.fromiter(map(xxhash.xxh64_intdigest, new), np.uint64, len(new))
+            self.numbers.update(zip(new, range(n, n + len(new))))
+            self.hashes[n : n + len(new)], self.idf[n : n + len(new)] = values, self.weights.of(values)
         at = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
         return self.hashes[at], self.idf[at]
 
@@ -114,7 +118,7 @@ def samples(shingles: np.ndarray, weights: np.ndarray, starts: np.ndarray, count
     out = np.zeros((len(starts), count), np.uint32)
     low24, low16 = np.uint64(0xFFFFFF), np.uint64(0xFFFF)
     for d in range(count):
-        x = _mix(shingles + np.uint64(2 * d + 1) * _M[0])
+        x = _mix(shingles + np.uint64((2 * d + 1) * int(_M[0]) % 2**64))
         y = _mix(x + _M[0])
         u1 = ((x >> np.uint64(40)).astype(np.float64) + 0.5) * 2.0**-24
         u2 = (((x >> np.uint64(16)) & low24).astype(np.float64) + 0.5) * 2.0**-24
@@ -177,11 +181,15 @@ def _signatures(rows: DataFrame, weights) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, key binary, samples array<int>")
 
 
+def _bands():
+    """The hash of each band of two samples."""
+    sample = lambda i: F.element_at("samples", i + 1)
+    return F.array(*[F.xxhash64(F.lit(i), sample(2 * i), sample(2 * i + 1)) for i in range(BANDS)])
+
+
 def _buckets(nodes: DataFrame) -> DataFrame:
     """(bucket, n): a bucket for each two bands, named by the bands and all four samples in them."""
-    sample = lambda i: F.element_at("samples", i + 1)
-    bands = [F.xxhash64(F.lit(i), sample(2 * i), sample(2 * i + 1)) for i in range(BANDS)]
-    banded = nodes.filter("samples is not null").select("n", F.array(*bands).alias("bands"))
+    banded = nodes.filter("samples is not null").select("n", _bands().alias("bands"))
     both = F.array(*[F.struct(F.lit(i + 1).alias("i"), F.lit(j + 1).alias("j")) for i, j in combinations(range(BANDS), 2)])
     names = F.transform(both, lambda p: F.xxhash64(F.element_at("bands", p["i"]), F.element_at("bands", p["j"])))
     return banded.select(F.explode(names).alias("bucket"), "n")
@@ -213,7 +221,7 @@ def near_classes(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
 
     def verify(pairs: DataFrame) -> DataFrame:
         if not found:  # the first pairs name all nodes that can ever be compared
-            involved = written(pairs.select(F.explode(F.array("a", "b")).alias("n")).distinct(), "near-nodes")
+            involved = pairs.select(F.explode(F.array("a", "b")).alias("n")).distinct()
             wanted = nodes.join(involved, "n").select("key", "doc_id", "n", F.xxhash64("key", "doc_id").alias("h"))
             wanted = written(wanted, "near-nodes")
             again = texts.withColumn("h", F.xxhash64("key", "doc_id"))
@@ -247,7 +255,20 @@ def near_classes(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
 
         return pairs.mapInArrow(compare, "a long, b long")
 
-    labels = linked(_buckets(nodes), verify, "near-links")
+    def apart(open_: DataFrame) -> DataFrame:
+        """Pairs of a bucket across classes with enough equal samples, each only in the bucket of its first two equal bands."""
+        signed = open_.join(nodes.select("n", "samples", _bands().alias("bands")), "n")
+        one, two = signed.alias("one"), signed.alias("two")
+        same = F.filter(F.zip_with("one.bands", "two.bands", lambda x, y: F.when(x == y, x)), lambda b: b.isNotNull())
+        where = (
+            (F.col("one.bucket") == F.col("two.bucket"))
+            & (F.col("one.c") < F.col("two.c"))
+            & (F.xxhash64(F.get(same, F.lit(0)), F.get(same, F.lit(1))) == F.col("one.bucket"))
+            & (F.size(F.filter(F.zip_with("one.samples", "two.samples", lambda x, y: x == y), lambda e: e)) >= LEAST_EQUAL)
+        )
+        return one.join(two, where).select(F.col("one.n").alias("x"), F.col("two.n").alias("y"))
+
+    labels = linked(_buckets(nodes), verify, "near-links", apart)
     classed = nodes.join(labels, F.col("n") == F.col("id"), "left")
     classed = written(classed.select("key", "late", "doc_id", F.coalesce("component", "n").alias("c")), "near-classes")
     firsts = classed.groupBy("c").agg(F.min(F.struct("late", "doc_id", "key")).alias("m"))
@@ -258,13 +279,15 @@ def near_classes(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
-    """The rows of docs, one of each class of near duplicates: that with the smallest doc_id. All columns are kept."""
-    first = near_classes(docs, similar).filter("first").groupBy("doc_id", "key").agg(F.count("*").alias("copies"))
-    first = first.select(F.col("doc_id").alias("first_id"), F.col("key").alias("first_key"), "copies")
-    first = written(first, "near-first")
+    """The rows of docs, one of each class of near duplicates: that with the smallest doc_id. All columns are kept,
+    except any named _id, _key or _copies."""
+    first = near_classes(docs, similar).filter("first").groupBy("doc_id", "key").agg(F.count("*").alias("_copies"))
+    first = written(first.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "_copies"), "near-first")
     key = text_key(F.col("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (key == F.col("first_key"))
-    once = docs.join(first.filter("copies = 1"), same, "left_semi")
-    repeated = docs.join(first.filter("copies > 1"), same, "left_semi")
-    repeated = repeated.withColumn("first_key", key).dropDuplicates(["doc_id", "first_key"]).drop("first_key")
+    names = [c for c in docs.columns if c not in ("_id", "_key", "_copies")]
+    docs = docs.select(*[F.col(f"`{c}`") for c in names])
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_key"))
+    once = docs.join(first.filter("_copies = 1"), same, "left_semi")
+    repeated = docs.join(first.filter("_copies > 1"), same, "left_semi")
+    repeated = repeated.withColumn("_key", key).dropDuplicates(["doc_id", "_key"]).drop("_key")
     return once.unionByName(repeated)

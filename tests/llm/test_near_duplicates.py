@@ -90,7 +90,7 @@ def test_query(spark):
 
 
 def test_one_row_of_each_class_stays(spark):
-    docs = texts.odd(spark)
+    docs = texts.odd(spark).withColumnsRenamed({"row": "key", "score": "first_key", "label": "copies"})
     kept = near.deduplicated(docs)
     assert kept.columns == docs.columns
     want = {(c if c is not None else LATE) for _, c in classes(texts.plain())}
