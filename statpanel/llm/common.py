@@ -37,32 +37,33 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
+def _tangled(links: DataFrame) -> bool:
+    """Whether edges (a, b) are no star forest: some node points at two others, or points and is pointed at."""
+    sides = links.select(F.col("a").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into"))
+    sides = sides.union(links.select("b", F.lit(0), F.lit(1)))
+    sides = sides.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return not sides.filter("out > 1 or out > 0 and into > 0").isEmpty()
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """Connected components of undirected edges (a, b): rows (id, component), component the smallest id.
 
     Distributed union-find by alternating large-star and small-star steps: every node hooks its larger, then its smaller,
     neighbours to the smallest one it sees. Each step is one aggregation and one join over edges, written to the shared
-    folder, so nothing but two counts reaches the driver; a component of any size converges in a number of rounds
-    that grows with the logarithm of its length. Loops, repeated and reversed edges are allowed, rows with a null end are
-    ignored; an empty input gives an empty table. Nodes with no edge do not appear.
+    folder, until every node points straight at the smallest of its component; a component of any size gets there in a number of rounds
+    that grows with the logarithm of its length, and only a yes or no reaches the driver. Loops, repeated and reversed edges are
+    allowed, rows with a null end are ignored; an empty input gives an empty table. Nodes with no edge do not appear.
     """
-    links = edges.select("a", "b").filter("a is not null and b is not null and a <> b").distinct()
-    links = written(links, name)
-    before = None
-    while True:
+    links = edges.filter("a is not null and b is not null and a <> b")
+    links = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
+    while _tangled(links):
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = written(large.filter("a <> b").distinct(), name)
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        down = written(large.filter("a <> b").distinct(), name)
         low = down.groupBy("a").agg(F.min("b").alias("m"))
         hooked = down.join(low, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
         links = written(hooked.filter("a <> b").distinct(), name)
-        # A star forest is a fixed point: its edges are as many, and sum to the same, as before.
-        state = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if state == before:
-            break
-        before = state
     nodes = links.select(F.col("a").alias("id"), F.col("b").alias("component"))
     return nodes.union(links.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct()
 
@@ -74,49 +75,62 @@ def perhaps_among(rows: DataFrame, key: str, members: DataFrame, bits: int = 25)
     by hash, 4 MB whatever their number, which is broadcast; of other rows the share of places taken gets through.
     """
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits)) + 1
-    spot = members.select(place(F.col(members.columns[0])).alias("place"))
-    maps = spot.groupBy(F.bitmap_bucket_number("place").alias("bucket"))
-    maps = maps.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bitmap"))
-    at = F.bitmap_bit_position("place")
-    byte = F.conv(F.hex(F.substring(F.col("bitmap"), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
-    marked = rows.withColumn("place", place(F.col(key))).withColumn("bucket", F.bitmap_bucket_number("place"))
-    marked = marked.join(F.broadcast(maps), "bucket").filter(F.getbit(byte, (at % 8).cast("int")) == 1)
+    spot = members.select(place(F.col(members.columns[0])).alias("_place"))
+    maps = spot.groupBy(F.bitmap_bucket_number("_place").alias("_bucket"))
+    maps = maps.agg(F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bitmap"))
+    at = F.bitmap_bit_position("_place")
+    byte = F.conv(F.hex(F.substring(F.col("_bitmap"), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    marked = rows.withColumn("_place", place(F.col(key))).withColumn("_bucket", F.bitmap_bucket_number("_place"))
+    marked = marked.join(F.broadcast(maps), "_bucket").filter(F.getbit(byte, (at % 8).cast("int")) == 1)
     return marked.select(*rows.columns)
 
 
-def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str, stars: int = 2) -> DataFrame:
+def linked(
+    members: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    name: str,
+    apart: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
     """Classes (id, component) of nodes `n` that share a `bucket` and that `verify` confirms, without all pairs of a bucket.
 
-    `verify` takes and returns distinct pairs (a, b), a < b. First each node is compared with the smallest node of each of its buckets,
-    then, where a bucket still holds several classes, with `stars - 1` other nodes of it. What is still apart after that is compared pair by
-    pair, but only across classes. So a bucket of copies costs a few comparisons per node, and no link between classes is lost.
+    `verify` takes and returns distinct pairs (a, b), a < b. First each node is compared with the smallest node of each of its
+    buckets, then, where a bucket still holds several classes, with the node that meets most others, such as the text that others are
+    copies of. What is still apart after that is compared pair by pair, but only across classes: `apart`, from rows
+    (bucket, n, c) with c the class so far, gives all pairs (x, y) that can be similar. So a bucket of copies costs a few
+    comparisons per node, and no link between classes is lost.
     """
     whole = Window.partitionBy("bucket")
     several = members.withColumn("least", F.min("n").over(whole)).withColumn("most", F.max("n").over(whole))
-    members = written(several.filter("least < most").select("bucket", "n"), name)
+    members = written(several.filter("least < most").select("bucket", "n", F.count("*").over(whole).alias("size")), name)
     open_ = members.withColumn("c", F.col("n"))
     links = tried = None
-    for turn in range(stars + 1):
-        if turn < stars:
-            first = F.min(F.struct(F.xxhash64("n", F.lit(turn)) if turn else F.lit(0), "n", "c")).over(whole)
+    for turn in range(3):
+        if turn < 2:
+            order = F.lit(0)
+            if turn:
+                met = open_.groupBy("n").agg(F.sum("size").alias("met"))
+                open_, order = open_.join(met, "n"), -F.col("met")
+            first = F.min(F.struct(order, "n", "c")).over(whole)
             pairs = open_.withColumn("f", first).filter("f.c <> c").select(F.col("n").alias("x"), F.col("f.n").alias("y"))
         else:
-            one, two = open_.alias("one"), open_.alias("two")
-            pairs = one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.c") < F.col("two.c")))
-            pairs = pairs.select(F.col("one.n").alias("x"), F.col("two.n").alias("y"))
+            pairs = apart(open_.select("bucket", "n", "c"))
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs, name)
+        if turn and pairs.isEmpty():
+            continue
         tried = pairs if tried is None else tried.union(pairs)
         found = written(verify(pairs), name)
+        if turn and found.isEmpty():
+            continue
         links = found if links is None else links.union(found)
-        labels = written(components(links, name), name)
-        if turn < stars:
+        labels = components(links, name)
+        if turn < 2:
             labelled = members.join(labels, F.col("n") == F.col("id"), "left")
-            labelled = labelled.select("bucket", "n", F.coalesce("component", "n").alias("c"))
-            apart = labelled.withColumn("least", F.min("c").over(whole)).withColumn("most", F.max("c").over(whole))
-            open_ = written(apart.filter("least < most").select("bucket", "n", "c"), name)
+            labelled = labelled.select("bucket", "n", "size", F.coalesce("component", "n").alias("c"))
+            split = labelled.withColumn("least", F.min("c").over(whole)).withColumn("most", F.max("c").over(whole))
+            open_ = written(split.filter("least < most").select("bucket", "n", "size", "c"), name)
             if open_.isEmpty():
                 break
     return labels

@@ -2,11 +2,14 @@
 
 Lines are compared by character shingles: WIDTH characters from the start of each word and, inside runs of more than WIDTH characters without
 white space, from each character on. MinHash signatures of the shingles are cut into bands; lines that share a band are compared
-exactly, classes are the connected components of similar lines, and one line of each class stays.
+exactly (by 64-bit hashes of their shingles), classes are the connected components of similar lines, and one line of each class stays.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,15 +36,17 @@ def _split(text: Column) -> Column:
 
 
 def _trimmed(line: Column) -> Column:
-    return F.trim(line, F.lit(WHITE))
+    """Without white space at the ends. Looking at the ends first spares most lines the trim, which reads them whole."""
+    ends = [test(w) for w in WHITE for test in (line.startswith, line.endswith)]
+    return F.when(reduce(or_, ends), F.trim(line, F.lit(WHITE))).otherwise(line)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """(late, _row, text, _doc): the order of a row, a hash of it, and the row itself. Rows that agree in all columns are interchangeable."""
+    """(late, _row, text, _doc): the order of a row, a hash of it, and its other columns. Rows that agree in all columns are interchangeable."""
     hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
     late = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return docs.select(late.alias("late"), F.xxhash64(*hashed).alias("_row"), "text", whole.alias("_doc"))
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    return docs.select(late.alias("late"), F.xxhash64(*hashed).alias("_row"), "text", rest.alias("_doc"))
 
 
 def _lines(docs: DataFrame, *kept: str) -> DataFrame:
@@ -69,17 +74,41 @@ def similar_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
         if not found:  # the first pairs name all lines that can ever be compared
             involved = written(pairs.select(F.explode(F.array("a", "b")).alias("n")).distinct(), "lines-involved")
             texts = perhaps_among(_lines(docs), "n", involved).join(involved, "n").select("n", "n2", "line")
-            found["lines"] = written(texts.dropDuplicates(["n", "n2"]), "lines-texts")
-        side = lambda s: found["lines"].select(F.col("n").alias(s), F.array_distinct(shingles(F.col("line"))).alias(f"s{s}"))
+            hashed = F.array_distinct(F.transform(shingles(F.col("line")), lambda s: F.xxhash64(s)))
+            sets = texts.dropDuplicates(["n", "n2"]).select("n", "n2", hashed.alias("set"))
+            found["sets"] = written(sets, "lines-sets")
+        sets = perhaps_among(found["sets"], "n", pairs.select(F.explode(F.array("a", "b")).alias("n")))
+        side = lambda s: sets.select(F.col("n").alias(s), F.col("set").alias(f"set_{s}"))
         both = pairs.join(side("b"), "b").join(side("a"), "a")
-        common = F.size(F.array_intersect("sa", "sb"))
-        either = F.size("sa") + F.size("sb") - common
-        return both.filter(common >= either * F.lit(similar)).select("a", "b").distinct()
-
-    labels = linked(_buckets(docs), verify, "lines-links")
+        common = F.size(F.array_intersect("set_a", "set_b")).alias("common")
+        both = both.select("a", "b", (F.size("set_a") + F.size("set_b")).alias("sizes"), common)
+        alike = F.col("common") >= (F.col("sizes") - F.col("common")) * F.lit(similar)
+        return both.filter(alike).select("a", "b").distinct()
+
+    def apart(open_: DataFrame) -> DataFrame:
+        """Pairs of different classes that share one of their rarest shingles, without which they cannot be similar.
+
+        A line of m shingles has at most m - similar * m that a similar line lacks, so of any order of the shingles the first
+        m - ceil(similar * m) + 1 hold a common one. With the rarest first, what many lines share makes no pair.
+        """
+        classes = open_.select("n", "c").distinct()
+        sets = perhaps_among(found["sets"], "n", classes.select("n")).join(classes, "n").select("n", "c", "set")
+        each = sets.select("n", F.explode("set").alias("s"))
+        often = each.groupBy("s").agg(F.count("*").alias("often"))
+        order = F.sort_array(F.collect_list(F.struct("often", "s")))
+        rare = each.join(often, "s").groupBy("n").agg(order.alias("rare"))
+        first = F.size("rare") - F.ceil(F.size("rare") * F.lit(similar) - 1e-9) + 1
+        rare = rare.select("n", F.size("rare").alias("m"), F.explode(F.slice("rare", 1, first.cast("int"))).alias("r"))
+        rare = written(rare.join(classes, "n").select("n", "c", "m", "r.s"), "lines-rare")
+        one, two = rare.alias("one"), rare.alias("two")
+        same = (F.col("one.s") == F.col("two.s")) & (F.col("one.c") < F.col("two.c"))
+        near = F.least("one.m", "two.m") >= F.greatest("one.m", "two.m") * F.lit(similar)
+        return one.join(two, same & near).select(F.col("one.n").alias("x"), F.col("two.n").alias("y"))
+
+    labels = linked(_buckets(docs), verify, "lines-links", apart)
     if not found:
         return docs.sparkSession.createDataFrame([], "n long, n2 long, component long")
-    return labels.join(found["lines"], labels.id == found["lines"].n).select("n", "n2", "component")
+    return labels.join(found["sets"], labels.id == found["sets"].n).select("n", "n2", "component")
 
 
 def deduplicated_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
@@ -112,20 +141,20 @@ def deduplicated_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFram
     marks = written(gone.join(repeated, ["late", "_row"], "full"), "lines-gone")
     out = keyed.join(marks, ["late", "_row"], "left")
 
-    parts = _split(F.col("text"))
-    blank = F.filter(parts, lambda x: _trimmed(x) == "")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
-    kept = F.when(F.col("gone").isNull(), parts).otherwise(F.transform(stay, lambda i: F.get(parts, i)))
+    names = [c for c in docs.columns if c != "removed_lines"]
 
-    def finished(rows: DataFrame, kept: Column) -> DataFrame:
-        rows = rows.withColumn("kept", kept).withColumn("removed", F.size(parts) - F.size("kept"))
-        empty = F.size("kept") == F.size(blank)
-        text = F.when(F.col("removed") > 0, F.when(empty, F.lit("")).otherwise(F.array_join("kept", "\n"))).otherwise(F.col("text"))
-        names = [c for c in docs.columns if c != "removed_lines"]
+    def finished(rows: DataFrame, gone: Column) -> DataFrame:
+        """Texts without the lines at the places `gone`; texts that lose none, where it is null, are not touched."""
+        rows = rows.withColumn("places", gone).withColumn("parts", F.when(F.col("places").isNotNull(), _split(F.col("text"))))
+        rows = rows.withColumn("stay", F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("places")))
+        rows = rows.withColumn("kept", F.transform("stay", lambda i: F.get(F.col("parts"), i)))
+        some = F.exists("kept", lambda x: _trimmed(x) != "")
+        text = F.when(F.col("places").isNull(), F.col("text")).otherwise(F.when(some, F.array_join("kept", "\n")).otherwise(F.lit("")))
         columns = [text.alias(c) if c == "text" else F.col("_doc").getField(c).alias(c) for c in names]
-        return rows.select(*columns, F.coalesce("removed", F.lit(0)).alias("removed_lines"))
+        return rows.select(*columns, F.coalesce(F.size("places"), F.lit(0)).alias("removed_lines"))
 
-    single = finished(out.filter("repeated is null"), kept)
+    single = finished(out.filter("repeated is null"), F.col("gone"))
     number = F.row_number().over(Window.partitionBy("late", "_row").orderBy(F.lit(0)))
     many = out.filter("repeated").withColumn("number", number)
-    return single.unionByName(finished(many, F.when(F.col("number") == 1, kept).otherwise(blank)))
+    full = F.filter(F.transform(_split(F.col("text")), lambda x, i: F.when(_trimmed(x) != "", i)), lambda i: i.isNotNull())
+    return single.unionByName(finished(many, F.when(F.col("number") == 1, F.col("gone")).otherwise(full)))
