@@ -130,7 +130,8 @@ def linked(
             labelled = members.join(labels, F.col("n") == F.col("id"), "left")
             labelled = labelled.select("bucket", "n", "size", F.coalesce("component", "n").alias("c"))
             split = labelled.withColumn("least", F.min("c").over(whole)).withColumn("most", F.max("c").over(whole))
-            open_ = written(split.filter("least < most").select("bucket", "n", "size", "c"), name)
+            # The one pair of a bucket of two has been compared.
+            open_ = written(split.filter("least < most and size > 2").select("bucket", "n", "size", "c"), name)
             if open_.isEmpty():
                 break
     return labels

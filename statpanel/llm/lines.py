@@ -89,7 +89,8 @@ def similar_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
         """Pairs of different classes that share one of their rarest shingles, without which they cannot be similar.
 
         A line of m shingles has at most m - similar * m that a similar line lacks, so of any order of the shingles the first
-        m - ceil(similar * m) + 1 hold a common one. With the rarest first, what many lines share makes no pair.
+        m - ceil(similar * m) + 1 hold a common one. With the rarest first, what many lines share makes no pair. If the first common
+        one stands at place i of m and j of k, no more than min(m - i, k - j) can be common, and similar lines need similar / (1 + similar) of m + k.
         """
         classes = open_.select("n", "c").distinct()
         sets = perhaps_among(found["sets"], "n", classes.select("n")).join(classes, "n").select("n", "c", "set")
@@ -98,11 +99,13 @@ def similar_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
         order = F.sort_array(F.collect_list(F.struct("often", "s")))
         rare = each.join(often, "s").groupBy("n").agg(order.alias("rare"))
         first = F.size("rare") - F.ceil(F.size("rare") * F.lit(similar) - 1e-9) + 1
-        rare = rare.select("n", F.size("rare").alias("m"), F.explode(F.slice("rare", 1, first.cast("int"))).alias("r"))
-        rare = written(rare.join(classes, "n").select("n", "c", "m", "r.s"), "lines-rare")
+        rare = rare.select("n", F.size("rare").alias("m"), F.posexplode(F.slice("rare", 1, first.cast("int"))).alias("i", "r"))
+        rare = rare.select("n", (F.col("m") - F.col("i")).alias("left"), "m", "r.s")
+        rare = written(rare.join(classes, "n").select("n", "c", "m", "left", "s"), "lines-rare")
         one, two = rare.alias("one"), rare.alias("two")
         same = (F.col("one.s") == F.col("two.s")) & (F.col("one.c") < F.col("two.c"))
-        near = F.least("one.m", "two.m") >= F.greatest("one.m", "two.m") * F.lit(similar)
+        need = (F.col("one.m") + F.col("two.m")) * F.lit(similar / (1 + similar)) - 1e-9
+        near = F.least("one.left", "two.left") >= need
         return one.join(two, same & near).select(F.col("one.n").alias("x"), F.col("two.n").alias("y"))
 
     labels = linked(_buckets(docs), verify, "lines-links", apart)
