@@ -137,11 +137,12 @@ def deduplicated_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFram
     firsts = keys.filter("component is not null").groupBy("component").agg(F.min("first").alias("class_first"))
     keys = keys.join(firsts, "component", "left")
     keys = written(keys.select("n", "n2", F.coalesce("class_first", "first").alias("first")), "lines-firsts")
-    gone = occurs.join(keys, ["n", "n2"]).filter(spot != F.col("first"))
-    gone = gone.groupBy("late", "_row").agg(F.collect_set("pos").alias("gone"))
-    repeated = occurs.groupBy("late", "_row").agg((F.count("*") > F.countDistinct("pos")).alias("repeated"))
-    repeated = repeated.filter("repeated")
-    marks = written(gone.join(repeated, ["late", "_row"], "full"), "lines-gone")
+    # Small sides are hashed, so that places and texts need no sort. All lines of rows that repeat are shared ones.
+    shared = occurs.join(keys.hint("shuffle_hash"), ["n", "n2"])
+    gone = F.collect_set(F.when(spot != F.col("first"), F.col("pos"))).alias("gone")
+    marks = shared.groupBy("late", "_row").agg(gone, (F.count("*") > F.size(F.collect_set("pos"))).alias("repeated"))
+    marks = marks.select("late", "_row", F.when(F.size("gone") > 0, F.col("gone")).alias("gone"), "repeated")
+    marks = written(marks.filter("gone is not null or repeated"), "lines-gone").hint("shuffle_hash")
     out = keyed.join(marks, ["late", "_row"], "left")
 
     names = [c for c in docs.columns if c != "removed_lines"]
@@ -156,7 +157,7 @@ def deduplicated_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFram
         columns = [text.alias(c) if c == "text" else F.col("_doc").getField(c).alias(c) for c in names]
         return rows.select(*columns, F.coalesce(F.size("places"), F.lit(0)).alias("removed_lines"))
 
-    single = finished(out.filter("repeated is null"), F.col("gone"))
+    single = finished(out.filter("not coalesce(repeated, false)"), F.col("gone"))
     number = F.row_number().over(Window.partitionBy("late", "_row").orderBy(F.lit(0)))
     many = out.filter("repeated").withColumn("number", number)
     full = F.filter(F.transform(_split(F.col("text")), lambda x, i: F.when(_trimmed(x) != "", i)), lambda i: i.isNotNull())
