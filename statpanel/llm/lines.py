@@ -23,9 +23,6 @@ BANDS, ROWS = 8, 3
 SHINGLE = rf"(?s)(?=(\S.{{0,{WIDTH - 1}}}))(?:\S{{1,{WIDTH}}}(?!\S)\s*|\S)"
 WHITE = " \t\r\x0b\x0c"
 
-#: 32-bit numbers, spread evenly with odd jumps. The least (hash xor number) is another random member of a set for each of them.
-_SALTS = [(((i << 32) // (BANDS * ROWS)) + 0x9E3779B1 * (i + 1)) % (1 << 32) - (1 << 31) for i in range(BANDS * ROWS)]
-
 
 def shingles(line: Column) -> Column:
     return F.regexp_extract_all(line, F.lit(SHINGLE), F.lit(1))
@@ -60,7 +57,8 @@ def _buckets(docs: DataFrame) -> DataFrame:
     """(bucket, n): the bands of every distinct line's signature."""
     each = _lines(docs).select("n", F.explode(shingles(F.col("line"))).alias("shingle"))
     each = each.select("n", F.hash("shingle").alias("h"))
-    least = [F.min(F.col("h").bitwiseXOR(F.lit(s))).alias(f"m{i}") for i, s in enumerate(_SALTS)]
+    # Each minimum mixes the hash anew: with a few shingles, the least (hash xor salt) would be one shingle's for many salts at once.
+    least = [F.min(F.hash("h", F.lit(i))).alias(f"m{i}") for i in range(BANDS * ROWS)]
     signed = each.groupBy("n").agg(*least)
     bands = [F.xxhash64(F.lit(b), *[f"m{b + r * BANDS}" for r in range(ROWS)]) for b in range(BANDS)]
     return signed.select(F.explode(F.array(*bands)).alias("bucket"), "n")

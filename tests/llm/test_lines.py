@@ -114,3 +114,19 @@ def test_query(spark):
 def test_plan_has_no_python(spark):
     plan = queries.QUERIES["op8_lines"](spark, texts.SMALL)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_short_lines_meet_as_often_as_stated(spark):
+    rng = random.Random(5)
+    pairs = []
+    while len(pairs) < 2000:
+        whole = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(rng.randint(4, 30)))
+        cut = whole[: rng.randint(len(whole) // 2, len(whole) - 1)].strip()
+        a, b = shingle_set(whole), shingle_set(cut)
+        if len(a) <= 30 and 0.8 <= len(a & b) / len(a | b) < 0.84:
+            pairs.append((whole, cut))
+    docs = spark.createDataFrame([(2 * i + j, line) for i, pair in enumerate(pairs) for j, line in enumerate(pair)], "doc_id long, text string")
+    number = docs.select("doc_id", lines.F.xxhash64("text").alias("n"))
+    met = lines._buckets(docs).join(number, "n").groupBy("bucket").agg(lines.F.collect_set("doc_id").alias("ids"))
+    found = {i // 2 for r in met.filter("size(ids) > 1").collect() for i in r["ids"] if i ^ 1 in r["ids"]}
+    assert len(found) > 0.99 * len(pairs)
