@@ -31,6 +31,9 @@ TEMPLATES = {
     ],
     "MIT": [
         "Released under the MIT License.",
+        "Licensed under the MIT License.",
+        "Distributed under the MIT License.",
+        "Released under the terms of the MIT License.",
         """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
         files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy,
         modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is
@@ -39,6 +42,7 @@ TEMPLATES = {
     ],
     "BSD-3-Clause": [
         "Released under the BSD 3-Clause License.",
+        "Licensed under the BSD 3-Clause License.",
         """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
         conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the
         following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
@@ -49,22 +53,32 @@ TEMPLATES = {
     "ISC": [
         """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
         provided that the above copyright notice and this permission notice appear in all copies.""",
+        "Licensed under the ISC License.",
     ],
     "GPL-2.0": [
         "This work is licensed under the GNU General Public License, version 2.",
+        "Licensed under the GNU General Public License, version 2.",
         """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as
         published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.""",
     ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
+        "Licensed under the GNU General Public License, version 3.",
         """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as
         published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.""",
     ],
-    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
-    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "Licensed under the GNU Lesser General Public License, version 3.",
+    ],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "Licensed under the GNU Affero General Public License, version 3.",
+    ],
     "MPL-2.0": [
         """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed
         with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+        "Licensed under the Mozilla Public License, Version 2.0.",
     ],
     "CC-BY-4.0": [
         "Licensed under CC BY 4.0.",
@@ -80,7 +94,7 @@ TEMPLATES = {
     ],
     "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
-    "Proprietary": ["Copyright. All rights reserved."],
+    "Proprietary": ["All rights reserved.", "Copyright {…} All rights reserved."],
 }
 #: Words near which a notice may stand; words that carry a license's name or version and must not differ.
 CUES = r"licen[cs]|copyright|all rights reserved|redistribut|permission|public domain|free software|waived|mozilla|creative commons|\bcc[ -]by"
@@ -88,8 +102,11 @@ NAMES = re.compile(
     r"\d+(?:\.\d+)*|apache|mit|bsd|clause|isc|gnu|gpl|lgpl|agpl|lesser|affero|mozilla|mpl|cc0?|by|sa|nc|nd|sharealike|noncommercial|noderivatives|commons|unencumbered|waived"
 )
 
-#: Templates aligned per block, words around a cue that a block takes, least share of a template's words in place.
-WINNERS, AROUND, LEAST_SHARE = 8, 160, 0.9
+#: Words that carry a short notice, of which one may lack or differ.
+CARRIERS = frozenset("this the a is under released licensed version v work".split())
+
+#: Templates aligned per block, words around a cue that a block takes, least share of a template's words in place, most words at a {…}.
+WINNERS, AROUND, LEAST_SHARE, GAP = 12, 160, 0.9, 12
 
 _CUE = re.compile(CUES, re.I)
 _WORD = re.compile(r"\w+(?:\.\d+)*")
@@ -99,6 +116,7 @@ _WORD = re.compile(r"\w+(?:\.\d+)*")
 class Template:
     license: str
     words: tuple[str, ...]
+    gaps: frozenset[int]  # places in the words before which other words may stand
     shape: zstandard.ZstdCompressor
 
 
@@ -112,9 +130,11 @@ def templates() -> tuple[Template, ...]:
     out = []
     for name, wordings in TEMPLATES.items():
         for wording in wordings:
-            words = tuple(w for w, _, _ in words_of(wording))
+            pieces = [[w for w, _, _ in words_of(piece)] for piece in wording.split("{…}")]
+            words = tuple(w for piece in pieces for w in piece)
+            gaps = frozenset(sum(map(len, pieces[:i])) for i in range(1, len(pieces)))
             known = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            out.append(Template(name, words, zstandard.ZstdCompressor(level=19, dict_data=known, write_content_size=False)))
+            out.append(Template(name, words, gaps, zstandard.ZstdCompressor(level=19, dict_data=known, write_content_size=False)))
     return tuple(out)
 
 
@@ -148,8 +168,9 @@ def ranked(words: list[str]) -> list[tuple[float, Template]]:
 def align(words: list[str], template: Template) -> list[tuple[int, int, float, list[str]]]:
     """Every stand of the template in the words: from, to, share of its words in place, differences.
 
-    A stand begins where a run of the template's words begins. It counts if LEAST_SHARE of the template's words stand there in
-    order, no word that names a license or version differs (numbers may be put in), and fewer words are put in than the template has.
+    A stand begins where a run of the template's words begins. It counts if LEAST_SHARE of the template's words, or in a template of
+    fewer than ten all but one of CARRIERS, stand there in order, no word that names a license or version differs (numbers may be
+    put in), and at most one word for eight of the template's is put in, beside up to GAP words at each {…}, which are no difference.
     """
     out, done = [], 0
     goal = template.words
@@ -158,17 +179,22 @@ def align(words: list[str], template: Template) -> list[tuple[int, int, float, l
         if start < done:
             continue
         lead = goal.index(words[start])
-        window = words[start : start + len(goal) + len(goal) // 4 + 2]
+        window = words[start : start + len(goal) + len(goal) // 4 + 2 + GAP * len(template.gaps)]
         matcher = SequenceMatcher(None, goal[lead:], window, autojunk=False)
         matches = [m for m in matcher.get_matching_blocks() if m.size]
         hits = sum(m.size for m in matches)
-        if hits < LEAST_SHARE * len(goal):
+        if hits < min(LEAST_SHARE * len(goal), len(goal) - 1):
             continue
         end = matches[-1].b + matches[-1].size
         changes = [f"-{w}" for w in goal[:lead]]
         for kind, a, b, c, d in matcher.get_opcodes():
+            put_in = window[c : min(d, end)]
+            if kind == "insert" and lead + a in template.gaps and len(put_in) <= GAP:
+                continue
             if kind != "equal":
-                changes += [f"-{w}" for w in goal[lead + a : lead + b]] + [f"+{w}" for w in window[c : min(d, end)]]
+                changes += [f"-{w}" for w in goal[lead + a : lead + b]] + [f"+{w}" for w in put_in]
+        if hits < LEAST_SHARE * len(goal) and not CARRIERS.issuperset(c[1:] for c in changes if c[0] == "-"):
+            continue
         if any(NAMES.fullmatch(c[1:]) and not (c[0] == "+" and c[1].isdigit()) for c in changes):
             continue
         if sum(c[0] == "+" for c in changes) > max(1, len(goal) // 8):

@@ -71,3 +71,34 @@ def test_query_finds_every_plain_notice(spark):
             want += [(doc, name, m.start()) for m in re.finditer(re.escape(wordings[0].rstrip(".")), text)]
     got = queries.QUERIES["op5_licenses"](spark, texts.SMALL).collect()
     assert sorted((r["doc_id"], r["license"], r["start"]) for r in got) == sorted(want)
+
+
+@pytest.mark.parametrize(
+    "text, name, notice, diff",
+    [
+        ("x All rights reserved. y", "Proprietary", "All rights reserved", []),
+        ("x Copyright (c) 2024 Acme Corp. All rights reserved. y", "Proprietary", "Copyright (c) 2024 Acme Corp. All rights reserved", []),
+        ("x Copyright. All rights reserved.", "Proprietary", "Copyright. All rights reserved", []),
+        ("x Licensed under the MIT License y", "MIT", "Licensed under the MIT License", []),
+        ("x Distributed under the MIT License y", "MIT", "Distributed under the MIT License", []),
+        ("x Released under this MIT License y", "MIT", "Released under this MIT License", ["-the", "+this"]),
+        ("x Licensed under the Apache License 2.0", "Apache-2.0", "Licensed under the Apache License 2.0", ["-version"]),
+    ],
+)
+def test_short_wordings(text, name, notice, diff):
+    ((found, a, b, _, _, changes),) = licenses.notices(text)
+    assert (found, text[a:b], changes) == (name, notice, diff)
+
+
+def test_short_templates_keep_their_names():
+    for other in ("Released under the MIT umbrella, no licence", "all rights, copyright", "Released under the Apache Licenses", "Licensed under the BSD License"):
+        assert licenses.notices(other) == []
+    assert [n[0] for n in licenses.notices(f"Copyright {'w ' * 13}. All rights reserved.")] == ["Proprietary"]
+    assert licenses.notices(f"Copyright {'w ' * 13}. All rights reserved.")[0][1] > 20
+
+
+def test_every_reservation_in_the_data_is_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("text rlike '(?i)all rights reserved'")
+    want = [(r["doc_id"], m.start()) for r in docs.collect() for m in re.finditer("(?i)all rights reserved", r["text"])]
+    got = licenses.scan(docs).filter("license = 'Proprietary'").collect()
+    assert len(want) >= 7 and sorted((r["doc_id"], r["end"] - len("all rights reserved")) for r in got) == sorted(want)
