@@ -1,8 +1,9 @@
 """Main text of web pages: rules for what is never text, and removal of site templates.
 
 Pages are parsed into trees. Elements that by tag, role or class are menus, headers, footers, notices, adverts, forms, code or comments go. Of
-the rest, element subtrees are hashed; a subtree that recurs on many different pages of a host is part of the site's template,
-and goes as well. Prose blocks of an article are not judged by that: a passage that articles share is still text.
+the rest, element subtrees of the whole page are hashed; a subtree that recurs on many different pages of a host is part of the site's
+template, and goes as well, before the main text is chosen. Prose blocks of an article are judged only at its edges, by whether most
+pages of the host begin or end with them: a passage that articles share is still text.
 """
 
 from __future__ import annotations
@@ -26,6 +27,10 @@ BLOCK = frozenset(
     h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Blocks of prose, and what may hold the blocks at the edge of an article; most blocks of prose that are judged at an edge.
+PROSE = (HEADINGS - {"h1"}) | frozenset("p li blockquote pre address dt dd center figcaption".split())
+HOLDERS = frozenset("div section".split())
+EDGE = 3
 #: Elements that a start tag ends, up to the element named last.
 ENDED_BY = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -281,46 +286,79 @@ def blocks(parts: list[Node]) -> list[str]:
     return out
 
 
-def subtrees(parts: list[Node], named: bool) -> list[tuple[int, Node]]:
-    """Hash and node of each element that may be part of a template.
+def subtrees(root: Node, parts: list[Node], named: bool) -> list[tuple[int, list[Node]]]:
+    """Hash and nodes of all that may be part of a template, on the whole page.
 
-    In what the page itself names as its article only containers with their own class or role count, so that no
-    prose is judged by how often it is repeated; elsewhere every block counts. Never the parts themselves, nor what holds an h1.
+    In what the page itself names as its article only containers count, and the prose at its edges, so that no
+    prose is judged by how often it is repeated alone; elsewhere every block counts. Never the parts themselves, nor what holds an article,
+    a main element or an h1. Hashes of elements are even, those of runs of prose at an edge odd.
     """
     kinds = BLOCK - {"html", "body", "h1", "main", "article", "tr", "tbody"}
+    containers = {"div", "section", "ul", "ol", "dl", "table", "figure", "details"}
+    inside = {id(n) for p in parts for n in _live(p)} if named else set()
+    chosen = {id(p) for p in parts}
+    # Children come before their parents when the walk is read backwards; each node is hashed once.
+    hashes: dict[int, int | None] = {}
+    out = []
+    for node in reversed(list(_live(root))):
+        inner = []
+        for child in node.children:
+            value = " ".join(child.split()) if type(child) is str else hashes.get(id(child))
+            if value:
+                inner.append(str(value))
+        value = xxhash.xxh64_intdigest("\0".join([node.tag, *inner])) if inner else None
+        hashes[id(node)] = value
+        if value and id(node) not in chosen and not node.holds and node.tag in (containers if id(node) in inside else kinds):
+            out.append(((value & ~1) - (1 << 63), [node]))
     if named:
-        kinds = {"div", "section", "ul", "ol", "dl", "table", "figure", "details"}
+        for part in parts:
+            out += _edges(part, hashes)
+    return out
+
+
+def _edges(part: Node, hashes: dict[int, int | None]) -> list[tuple[int, list[Node]]]:
+    """Hash and nodes of the first and the last one, two, … EDGE blocks of prose of an article, behind its title."""
     out = []
-    for part in parts:
-        # Children come before their parents when the walk is read backwards; each node is hashed once.
-        hashes: dict[int, int | None] = {}
-        titled: set[int] = set()
-        for node in reversed(list(_live(part))):
-            inner = []
-            for child in node.children:
-                value = " ".join(child.split()) if type(child) is str else hashes.get(id(child))
-                if value:
-                    inner.append(str(value))
-                if type(child) is Node and id(child) in titled:
-                    titled.add(id(node))
-            if node.tag == "h1":
-                titled.add(id(node))
-            value = xxhash.xxh64_intdigest("\0".join([node.tag, *inner])) if inner else None
-            hashes[id(node)] = value
-            if value and node is not part and node.tag in kinds and (node.attrs or not named) and id(node) not in titled:
-                out.append((value - (1 << 63), node))
+    for side in ("first", "last"):
+        at: Node | None = part
+        while at is not None:
+            run, holder = [], None
+            for child in at.children if side == "first" else reversed(at.children):
+                if type(child) is str:
+                    if child.strip():
+                        break
+                    continue
+                if not hashes.get(id(child)) or side == "first" and not run and child.tag in ("h1", "header"):
+                    continue
+                if child.tag not in PROSE or child.holds:
+                    holder = child if not run and child.tag in HOLDERS else None
+                    break
+                run.append(child)
+                value = xxhash.xxh64_intdigest("\0".join([side, *(str(hashes[id(n)]) for n in run)]))
+                out.append(((value | 1) - (1 << 63), list(run)))
+                if len(run) == EDGE:
+                    break
+            at = holder
     return out
 
 
-def extract(page: str, template: frozenset[int] = frozenset()) -> tuple[str, list[int]]:
-    """The main text of a page without the given template subtrees, and the hashes of all its subtrees."""
+def extract(page: str, template: frozenset[int] = frozenset()) -> tuple[str, list[int], int]:
+    """The main text of a page without the given template subtrees, the hashes of all its subtrees, and a hash that tells pages apart.
+
+    Pages that name their article differ if their main text does, others if any text does that is not ruled out.
+    """
     root = parse(page)
     mark(root)
     parts, named = main_parts(root)
-    found = subtrees(parts, named)
-    for value, node in found:
-        node.gone = node.gone or value in template
-    return "\n".join(blocks(parts)), sorted({value for value, _ in found})
+    found = subtrees(root, parts, named)
+    hit = [node for value, nodes in found if value in template for node in nodes]
+    whole = "" if named else _text(root)
+    for node in hit:
+        node.gone = True
+    if hit:
+        parts, _ = main_parts(root)
+    text = "\n".join(blocks(parts))
+    return text, sorted({value for value, _ in found}), xxhash.xxh64_intdigest(whole or text) - (1 << 63)
 
 
 def host_of(url):
@@ -333,7 +371,8 @@ def main_text(pages: DataFrame, least_pages: int = 5, least_share: float = 0.1)
     """(page_id, url, text) of every row of pages (page_id, url, html): the main text, blocks joined by one \\n.
 
     A subtree is a template of its host if it stands on at least `least_pages` pages of the host with different texts, and on
-    `least_share` of them; copies of one page count once. Pages without a valid url share the host ''. Null html is empty, and an empty text
+    `least_share` of them; copies of one page count once. The first or last blocks of prose of an article are templates if they stand there
+    on at least `least_pages` such pages and on most of the host's. Pages without a valid url share the host ''. Null html is empty, and an empty text
     is "". Rows that repeat are separate; other columns are ignored; an empty table gives an empty table.
 
     Each page is parsed once; only pages that hold a template subtree are parsed again.
@@ -345,9 +384,8 @@ def main_text(pages: DataFrame, least_pages: int = 5, least_share: float = 0.1)
         for batch in batches:
             for part in chunks(batch, "html"):
                 found = [extract(p) for p in part.column("html").to_pylist()]
-                content = [xxhash.xxh64_intdigest(t) - (1 << 63) for t, _ in found]
-                new = [pa.array([t for t, _ in found], pa.string()), pa.array(content, pa.int64())]
-                new.append(pa.array([h for _, h in found], pa.list_(pa.int64())))
+                new = [pa.array([t for t, _, _ in found], pa.string()), pa.array([c for _, _, c in found], pa.int64())]
+                new.append(pa.array([h for _, h, _ in found], pa.list_(pa.int64())))
                 kept = ["page_id", "url", "host", "key"]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *new], [*kept, "text", "content", "subtrees"])
 
@@ -357,7 +395,8 @@ def main_text(pages: DataFrame, least_pages: int = 5, least_share: float = 0.1)
     spread = held.select("host", "content", F.explode("subtrees").alias("h")).distinct().groupBy("host", "h")
     spread = spread.agg(F.count("*").alias("pages")).filter(F.col("pages") >= least_pages)
     hosts = found.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("all_pages"))
-    templates = spread.join(hosts, "host").filter(F.col("pages") >= F.col("all_pages") * least_share).select("host", "h")
+    share = F.when(F.col("h").bitwiseAND(F.lit(1)) == 1, 0.5).otherwise(least_share)
+    templates = spread.join(hosts, "host").filter(F.col("pages") >= F.col("all_pages") * share).select("host", "h")
     templates = written(templates, "html-templates")
     hit = held.select("host", "key", F.explode("subtrees").alias("h")).join(templates, ["host", "h"])
     hit = written(hit.groupBy("key").agg(F.collect_set("h").alias("template")), "html-hits")

@@ -78,3 +78,25 @@ def test_query_equals_the_articles(spark):
         want[page] = "\n".join(b for b in blocks if b)
     for r in queries.QUERIES["op2_html"](spark, folder).collect():
         assert (r["text"], r["n_chars"]) == (want[r["page_id"]], len(want[r["page_id"]]))
+
+
+def test_templates_are_counted_on_the_whole_page(spark):
+    """A bare box and a notice at the end go from articles; a teaser is no main text; prose that articles share stays where it is no edge."""
+    quote = "<p>A passage that many articles quote.</p>"
+    notice = "<p>Sign up to our letter.</p><p>All texts are ours.</p>"
+    box = "<div>Read more on our site</div>"
+    teaser = f"<div class=content><p>{'The same words on every page. ' * 9}</p></div>"
+    pages = [(i, f"http://a.example/{i}", f"<article><h1>T</h1>{box}<p>text {i}</p>{quote}<p>end {i}</p>{notice}</article>") for i in range(6)]
+    pages += [(20 + i, f"http://b.example/{i}", f"<article><h1>T</h1><div><p>text {i}</p>{quote}</div></article>") for i in range(4)]
+    pages += [(30 + i, f"http://c.example/{i}", f"{teaser}<div class=story><p>Told {i}</p></div>") for i in range(6)]
+    want = [(i, u, f"T\ntext {i}\nA passage that many articles quote.\nend {i}") for i, u, _ in pages[:6]]
+    want += [(i, u, f"T\ntext {i - 20}\nA passage that many articles quote.") for i, u, _ in pages[6:10]]
+    want += [(i, u, f"Told {i - 30}") for i, u, _ in pages[10:]]
+    assert got(spark, pages) == sorted(want, key=str)
+
+
+def test_edges_are_judged_on_most_pages(spark):
+    """A first sentence that five of twelve articles share is text."""
+    first = "<p>It was a dark night.</p>"
+    pages = [(i, f"http://a.example/{i}", f"<article>{first if i < 5 else ''}<p>text {i}</p></article>") for i in range(12)]
+    assert got(spark, pages) == sorted([(i, u, f"It was a dark night.\ntext {i}" if i < 5 else f"text {i}") for i, u, _ in pages], key=str)
