@@ -21,8 +21,11 @@ BUCKETS = 1 << 18
 FACTORS = 8
 #: Letters of a word that make a term of their own.
 STEMS = (3, 4, 5, 6, 7)
-#: Least chi-squared value with the label, over the sample, from which on a term is learned; and rows that have it.
-LEAST_CHI, LEAST_ROWS = 10.0, 2
+#: Least chi-squared value with the label from which on a term is learned, in samples of FULL rows or more and in proportion below; and rows
+#: that have it.
+LEAST_CHI, FULL, LEAST_ROWS = 10.0, 2000, 2
+#: The same for two terms together, and least expected rows in a cell. Two terms that tell nothing alone are tried among the PAIRED most frequent.
+PAIR_CHI, PAIR_ROWS, PAIRED = 40.0, 2.0, 2048
 
 _WORD = re.compile(r"\w+")
 
@@ -64,14 +67,57 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(margin, -30, 30))))
 
 
+def _chi(a, b, positive, negative) -> np.ndarray:
+    """Chi-squared of what stands in a positive and b negative rows; 0 where a cell's expected rows are few."""
+    n, c, d = positive + negative, positive - a, negative - b
+    chi = n * (a * d - b * c) ** 2 / np.maximum((a + b) * (c + d) * positive * negative, 1)
+    least = np.minimum(a + b, c + d) * np.minimum(positive, negative) / np.maximum(n, 1)
+    return np.where(least >= PAIR_ROWS, chi, 0)
+
+
 def telling(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """A mask of the buckets whose presence depends on the label. The others would only add their noise, text by text."""
+    """A mask of the buckets that tell of the label, alone or with another. The others would only add their noise, text by text.
+
+    A bucket that tells nothing alone counts if, among the rows that have some telling bucket, its presence depends on the label; and so do
+    both of two buckets, of the PAIRED most frequent, of which one depends on the label among the rows that have the other.
+    """
     both = [np.concatenate([np.zeros(0, np.int32), *(r for r, y in zip(rows, labels) if y == c)]) for c in (1, 0)]
     a, b = (np.bincount(x, minlength=BUCKETS).astype(np.float64) for x in both)
     n, positive = len(labels), float(labels.sum())
     c, d = positive - a, n - positive - b
     chi = n * (a * d - b * c) ** 2 / np.maximum((a + b) * (c + d) * positive * (n - positive), 1)
-    return (chi >= LEAST_CHI) & (a + b >= LEAST_ROWS)
+    alone = (chi >= LEAST_CHI * min(1, n / FULL)) & (a + b >= LEAST_ROWS)
+    seen = alone.copy()
+
+    having: dict[int, list[int]] = {}
+    for i, row in enumerate(rows):
+        for bucket in row[alone[row]]:
+            having.setdefault(int(bucket), []).append(i)
+    for some in having.values():
+        held = [np.concatenate([np.zeros(0, np.int32), *(rows[i] for i in some if labels[i] == y)]) for y in (1, 0)]
+        yes = int(labels[some].sum())
+        found, places = np.unique(np.concatenate(held), return_inverse=True)
+        with_yes = np.bincount(places[: len(held[0])], minlength=len(found)).astype(np.float64)
+        with_no = np.bincount(places[len(held[0]) :], minlength=len(found)).astype(np.float64)
+        seen[found[_chi(with_yes, with_no, yes, len(some) - yes) >= PAIR_CHI]] = True
+
+    pool = np.nonzero(~seen & (a + b >= LEAST_ROWS))[0]
+    pool = pool[np.argsort(-(a + b)[pool], kind="stable")[:PAIRED]]
+    place = np.full(BUCKETS, -1)
+    place[pool] = np.arange(len(pool))
+    has = np.zeros((n, len(pool)), np.float32)
+    for i, row in enumerate(rows):
+        at = place[row]
+        has[i, at[at >= 0]] = 1
+    toxic = has[labels == 1]
+    yes, all_ = toxic.T @ toxic, has.T @ has
+    for i in range(len(pool)):
+        with_yes, with_all = yes[i].astype(np.float64), all_[i].astype(np.float64)
+        tells = _chi(with_yes, with_all - with_yes, with_yes[i], with_all[i] - with_yes[i]) >= PAIR_CHI
+        if tells.any():
+            seen[pool[i]] = True
+            seen[pool[tells]] = True
+    return seen
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, share: float, epochs: int = 25, seed: int = 7) -> Machine:

@@ -64,3 +64,39 @@ def test_odd_texts_and_labels(spark):
     none = toxicity.learn(docs, labels.limit(0))
     assert {r["predicted"] for r in toxicity.scored(docs, none).collect()} == {0}
     assert toxicity.scored(docs.limit(0), none).count() == 0
+
+
+def test_learns_pairs_of_terms_that_tell_nothing_alone():
+    """An insult is toxic only with a group named, and of two other terms exactly one must stand; groups and these tell nothing alone."""
+    rng = np.random.default_rng(3)
+    rows, labels = [], []
+    for _ in range(4000):
+        insult, group, a, b = rng.random(4) < 0.5
+        kind = rng.random() < 0.5
+        label = (insult == group) if kind else (a != b)
+        here = [2, *([3] if insult else []), *([4] if group else [])] if kind else [*([5] if a else []), *([6] if b else [])]
+        rows.append(np.unique([*here, *rng.integers(10, 60, 5)]).astype(np.int32))
+        labels.append(label)
+    labels = np.array(labels, np.float32)
+    for t in (3, 4, 5, 6):
+        has = np.array([t in r for r in rows])
+        assert abs(labels[has].mean() - 0.5) < 0.05
+    assert toxicity.telling(rows, labels)[[3, 4, 5, 6]].all()
+    machine = toxicity.fit(rows, labels, float(labels.mean()), epochs=60)
+    score = lambda *x: machine.score(np.array(x, np.int32))
+    assert score(2, 3, 4) > score(2, 3) + 0.3 and score(2, 3, 4) > score(2, 4) + 0.3
+    assert min(score(5), score(6)) > score(5, 6) + 0.3
+
+
+def test_group_term_beside_a_telling_insult():
+    """400 toxic and 380 clean rows of 16,000 have the group; among rows with the insult it decides."""
+    rows, labels = [], []
+    for here, toxic, count in (([1, 2], 1, 400), ([2], 0, 380), ([1], 0, 100), ([1], 1, 100), ([], 1, 7500), ([], 0, 7520)):
+        rows += [np.array(sorted([*here, 10 + i % 40]), np.int32) for i in range(count)]
+        labels += [toxic] * count
+    assert toxicity.telling(rows, np.array(labels, np.float32))[[1, 2]].all()
+
+
+def test_small_label_sets_keep_what_tells():
+    rows = [np.array([1] if i < 5 else [2], np.int32) for i in range(100)]
+    assert toxicity.telling(rows, (np.arange(100) < 50).astype(np.float32))[1]
