@@ -130,3 +130,14 @@ def test_short_lines_meet_as_often_as_stated(spark):
     met = lines._buckets(docs).join(number, "n").groupBy("bucket").agg(lines.F.collect_set("doc_id").alias("ids"))
     found = {i // 2 for r in met.filter("size(ids) > 1").collect() for i in r["ids"] if i ^ 1 in r["ids"]}
     assert len(found) > 0.99 * len(pairs)
+
+
+def test_one_changed_letter_is_found_in_lines_of_some_ten_words(spark):
+    """Lines of 12 words of 5 letters with one letter changed in the middle are found nine times in ten."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(200):
+        words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(12)]
+        typo = [*words[:6], words[6][:2] + words[6][2].upper() + words[6][3:], *words[7:]]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(typo))]
+    assert sum(r[2] for r in got(spark, rows)) >= 190
