@@ -26,6 +26,11 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def column(name: str) -> Column:
+    """The column of just this name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def one_thread() -> None:
     """Keep native libraries inside a task on the task's own core."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
