@@ -117,19 +117,22 @@ def test_plan_has_no_python(spark):
 
 
 def test_short_lines_meet_as_often_as_stated(spark):
+    """Pairs of 5 to 30 shingles made to share 80 to 84 % of them: a line, and the line without its last few characters."""
     rng = random.Random(5)
+    sizes = [(m, k) for m in range(5, 31) for k in range(m) if 0.8 <= k / m < 0.84]
     pairs = []
-    while len(pairs) < 2000:
-        whole = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(rng.randint(4, 30)))
-        cut = whole[: rng.randint(len(whole) // 2, len(whole) - 1)].strip()
+    while len(pairs) < 4000:
+        m, k = rng.choice(sizes)
+        whole = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(6))[: m + 4]
+        cut = whole[: k + 4]
         a, b = shingle_set(whole), shingle_set(cut)
-        if len(a) <= 30 and 0.8 <= len(a & b) / len(a | b) < 0.84:
+        if whole.strip() == whole and cut.strip() == cut and len(a) == m and len(b) == k:
             pairs.append((whole, cut))
     docs = spark.createDataFrame([(2 * i + j, line) for i, pair in enumerate(pairs) for j, line in enumerate(pair)], "doc_id long, text string")
     number = docs.select("doc_id", lines.F.xxhash64("text").alias("n"))
     met = lines._buckets(docs).join(number, "n").groupBy("bucket").agg(lines.F.collect_set("doc_id").alias("ids"))
     found = {i // 2 for r in met.filter("size(ids) > 1").collect() for i in r["ids"] if i ^ 1 in r["ids"]}
-    assert len(found) > 0.99 * len(pairs)
+    assert len(found) > 0.993 * len(pairs), len(found) / len(pairs)
 
 
 def test_one_changed_letter_is_found_in_lines_of_some_ten_words(spark):
