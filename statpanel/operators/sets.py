@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from statpanel.operators.joins import join_null_safe
+
 
 def union_distinct(*frames: DataFrame) -> DataFrame:
     """Distinct rows of all frames, columns by position; nulls compare equal."""
@@ -35,9 +37,16 @@ def symmetric_difference(a: DataFrame, b: DataFrame) -> DataFrame:
 def first_wins(frames: list[DataFrame], keys: list[str]) -> DataFrame:
     """Per key, all rows of the first frame that has the key; later frames lose it. Null keys are one key.
 
-    Each frame is read and shuffled once. The rows of one key meet in one task, which spills them if they are many.
+    The first frame goes through as it is. Of all frames only the keys are combined, to the first place of each, before they are
+    shuffled; rows of later frames are kept by a semi join on key and place, which Spark broadcasts, or splits where one
+    key has many rows. So every frame is read twice, once for nothing but its keys: put one that is costly to make
+    through `sized` before.
     """
-    tagged = [df.withColumn("_priority", F.lit(i)) for i, df in enumerate(frames)]
-    rows = reduce(DataFrame.unionByName, tagged)
-    first = F.min("_priority").over(Window.partitionBy(*keys))
-    return rows.withColumn("_first", first).filter("_priority = _first").drop("_priority", "_first")
+    first, *later = frames
+    if not later:
+        return first
+    keyed = [df.select(*keys).withColumn("_place", F.lit(i)) for i, df in enumerate(frames)]
+    owners = reduce(DataFrame.union, keyed).groupBy(*keys).agg(F.min("_place").alias("_place"))
+    placed = [df.withColumn("_place", F.lit(i)) for i, df in enumerate(later, 1)]
+    kept = join_null_safe(reduce(DataFrame.unionByName, placed), owners.filter("_place > 0"), [*keys, "_place"], "left_semi")
+    return first.unionByName(kept.drop("_place"))

@@ -91,12 +91,12 @@ def _employment(panel):
 
 @query
 def view_employment_population(spark, sf_dir):
-    return _employment(panels.activity(spark, sf_dir))
+    return _employment(_once(spark, panels.activity(spark, sf_dir)))
 
 
 @query
 def view_employment_population_customers(spark, sf_dir):
-    return _employment(panels.customer_activity(spark, sf_dir))
+    return _employment(_once(spark, panels.customer_activity(spark, sf_dir)))
 
 
 def _top_industry(panel):
@@ -216,7 +216,7 @@ def symmetric_difference(spark, sf_dir):
 
 @query
 def first_wins_merge(spark, sf_dir):
-    panel = panels.customer_spend(spark, sf_dir).select("code", "geofips", "timeperiod", "datavalue")
+    panel = _once(spark, panels.customer_spend(spark, sf_dir).select("code", "geofips", "timeperiod", "datavalue"))
     estimates = panel.withColumn("datavalue", F.col("datavalue") * 2)
     return op.first_wins([panels.with_gaps(panel), estimates], ["code", "geofips", "timeperiod"])
 

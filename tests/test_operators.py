@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import random
 import sys
+from collections import Counter
 from itertools import groupby
 
 import pytest
 from pyspark.sql import functions as F
 
 from statpanel import operators as op
+from statpanel.operators import align
 from statpanel.schema import UNROUTED, landed
 
 
@@ -183,6 +185,25 @@ def test_align_topics_repeats_for_repeated_keys(spark):
     assert rows(op.align_topics(df, ["k"], {"J": "j", "P": "p"})) == [("a", 1, 3), ("a", 2, 3)]
 
 
+def test_align_topics_folds_and_unfolds_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(align, "STEP", 4)
+    data = [("a", "J", 1)] * 11 + [("a", "J", 2)] + [("a", "P", None)] * 9 + [("b", "J", 1)] * 3 + [("c", "P", 1)]
+    df = spark.createDataFrame(data, "k string, topic string, datavalue bigint")
+    got = op.align_topics(df, ["k"], {"J": "j", "P": "p"}).collect()
+    assert Counter(tuple(r) for r in got) == {("a", 1, None): 99, ("a", 2, None): 9}
+
+
+@pytest.mark.parametrize("kind", ["double", "float", "decimal(20,4)"])
+def test_align_topics_keeps_values_as_they_are(spark, kind):
+    data = [("a", "J", v) for v in (0.0, -0.0, 0.0, 1.5, float("nan"), None)] + [("a", "P", 2.0)]
+    df = spark.createDataFrame(data, "k string, topic string, v double").filter(F.lit(kind != "decimal(20,4)") | ~F.isnan("v"))
+    got = op.align_topics(df.select("k", "topic", F.col("v").cast(kind).alias("datavalue")), ["k"], {"J": "j", "P": "p"})
+    assert got.schema["j"].dataType.simpleString() == kind
+    zeros = ["-0.0", "0.0", "0.0"] if kind != "decimal(20,4)" else ["0.0000"] * 3
+    assert sorted(str(r["j"]) for r in got.collect() if r["j"] == 0) == zeros
+    assert got.count() == (6 if kind != "decimal(20,4)" else 5)
+
+
 def test_unions(spark):
     a = spark.createDataFrame([("x", 1, "n"), ("x", 1, "n"), (None, None, None)], "a string, b int, n string")
     b = spark.createDataFrame([("x", 1), (None, None)], "a string, b int")
@@ -207,6 +228,15 @@ def test_first_wins(spark):
     b = spark.createDataFrame([("x", 3), ("y", 4), (None, 5)], "k string, v int")
     c = spark.createDataFrame([("y", 6), (None, 7)], "k string, v int")
     assert rows(op.first_wins([a, b, c], ["k"])) == [("x", 1), ("x", 2), ("y", 4), (None, 5)]
+    assert rows(op.first_wins([a], ["k"])) == rows(a)
+    assert rows(op.first_wins([a.limit(0), b, b, b.limit(0)], ["k"])) == rows(b)
+
+
+def test_first_wins_with_null_parts_and_other_column_orders(spark):
+    a = spark.createDataFrame([("x", None, 1), (None, None, 2)], "k string, l string, v int")
+    b = spark.createDataFrame([(3, None, "x"), (4, "l", "x"), (5, None, None), (6, "", "x")], "v int, l string, k string")
+    want = [("x", None, 1), (None, None, 2), ("x", "l", 4), ("x", "", 6)]
+    assert Counter(rows(op.first_wins([a, b], ["k", "l"]))) == Counter(want)
 
 
 def test_reference_names_and_keep_listed(spark):

@@ -143,6 +143,26 @@ def test_hot_groups_are_split_in_the_joins(skew_session, folder):
     assert ranked.exceptAll(want).count() == 0 and ranked.count() == 60000
 
 
+def test_a_hot_key_is_split_where_frames_are_merged(skew_session, folder):
+    rows = hot(skew_session, folder).withColumnRenamed("g", "k")
+    first = rows.filter("v % 2 = 0 and k <> 'hot'")
+    merged = op.first_wins([first, rows], ["k"])
+    plan = final(merged)
+    assert "skew=true" in plan and "Window" not in plan and "collect_" not in plan
+    keys = {r.k for r in first.select("k").distinct().collect()}
+    assert merged.count() == first.count() + rows.filter(~F.col("k").isin(*keys)).count()
+
+
+def test_a_hot_key_is_split_where_topics_are_aligned(skew_session, folder):
+    rows = hot(skew_session, folder).select("g", F.col("t").alias("datavalue"), F.lit("J").alias("topic"))
+    other = rows.select("g").distinct().select("g", F.md5("g").alias("datavalue"), F.lit("P").alias("topic"))
+    aligned = op.align_topics(rows.unionByName(other), ["g"], {"J": "j", "P": "p"})
+    plan = final(aligned)
+    assert "skew=true" in plan and "collect_" not in plan
+    assert aligned.exceptAll(rows.select("g", F.col("datavalue").alias("j"), F.md5("g").alias("p"))).isEmpty()
+    assert aligned.count() == 60000
+
+
 def test_ties_for_the_top_need_no_window(panel):
     """A group of equal values must not meet in one task."""
     assert "Window" not in planned(views.industry_compensation(panel.withColumn("datavalue", F.lit(1))))
