@@ -156,7 +156,8 @@ def test_a_hot_key_is_split_where_frames_are_merged(skew_session, folder):
 def test_a_hot_key_is_split_where_topics_are_aligned(skew_session, folder):
     rows = hot(skew_session, folder).select("g", F.col("t").alias("datavalue"), F.lit("J").alias("topic"))
     other = rows.select("g").distinct().select("g", F.md5("g").alias("datavalue"), F.lit("P").alias("topic"))
-    aligned = op.align_topics(rows.unionByName(other), ["g"], {"J": "j", "P": "p"})
+    rows.unionByName(other).write.parquet(f"{folder}/panel")
+    aligned = op.align_topics(skew_session.read.parquet(f"{folder}/panel"), ["g"], {"J": "j", "P": "p"})
     plan = final(aligned)
     assert "skew=true" in plan and "collect_" not in plan
     assert aligned.exceptAll(rows.select("g", F.col("datavalue").alias("j"), F.md5("g").alias("p"))).isEmpty()
