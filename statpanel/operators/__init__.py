@@ -4,10 +4,13 @@ from statpanel.operators.align import align_topics, align_topics_pivot
 from statpanel.operators.change import change
 from statpanel.operators.checks import (
     check_coverage,
+    check_groups,
     check_keys,
     check_rows,
     check_sentinels,
     check_unique,
+    report_of,
+    row_measures,
     unmatched_codes,
 )
 from statpanel.operators.enrich import (
@@ -35,6 +38,7 @@ __all__ = [
     "align_topics_pivot",
     "change",
     "check_coverage",
+    "check_groups",
     "check_keys",
     "check_rows",
     "check_sentinels",
@@ -49,7 +53,9 @@ __all__ = [
     "rank_within",
     "reference_names",
     "request_manifest",
+    "report_of",
     "route",
+    "row_measures",
     "sized",
     "split_codes",
     "symmetric_difference",

@@ -16,6 +16,34 @@ def _report(measured: DataFrame, passed: Column) -> DataFrame:
     return long.withColumn("passed", passed)
 
 
+def row_measures(sentinels: list[str] | None = None) -> dict[str, Column]:
+    """What is counted row by row: the check's name and the condition of its rows. `rows` are all of them."""
+    period = F.col("timeperiod")
+    measures = {
+        "rows": F.lit(True),
+        "null_records": any_null(KEY_COLUMNS),
+        "non_numeric_periods": period.isNotNull() & year_number(period).isNull(),
+        "null_values": F.col("datavalue").isNull(),
+    }
+    if sentinels is not None:
+        measures["sentinel_records"] = F.coalesce(F.col("code").isin(sentinels), F.lit(False))
+    return measures
+
+
+def _passed(minimum: int) -> Column:
+    check = F.col("check")
+    return (
+        F.when(check.isin("geofips_count", "geoname_count"), F.col("observed") >= minimum)
+        .when(check == "sentinel_records", F.col("observed") > 0)
+        .otherwise(F.col("observed") == 0)
+    )
+
+
+def report_of(observed: DataFrame, minimum: int = 50) -> DataFrame:
+    """Rows `(dataset, check, observed)` with whether the check passed."""
+    return observed.withColumn("passed", _passed(minimum))
+
+
 def check_keys(df: DataFrame, columns: list[str] = KEY_COLUMNS) -> DataFrame:
     """Rows with a null key column, and rows whose period is no number; all datasets in one pass."""
     period = F.col("timeperiod")
@@ -37,23 +65,9 @@ def check_coverage(df: DataFrame, minimum: int = 50) -> DataFrame:
 
 def check_rows(df: DataFrame, minimum: int = 50, sentinels: list[str] | None = None) -> DataFrame:
     """`check_keys` and `check_coverage`, the rows without a measure, and with `sentinels` also `check_sentinels`, in one pass."""
-    period = F.col("timeperiod")
-    measures = [
-        F.count_if(any_null(KEY_COLUMNS)).alias("null_records"),
-        F.count_if(period.isNotNull() & year_number(period).isNull()).alias("non_numeric_periods"),
-        F.count_if(F.col("datavalue").isNull()).alias("null_values"),
-        F.count_distinct("geofips").alias("geofips_count"),
-        F.count_distinct("geoname").alias("geoname_count"),
-    ]
-    if sentinels is not None:
-        measures.append(F.count_if(F.col("code").isin(sentinels)).alias("sentinel_records"))
-    check = F.col("check")
-    passed = (
-        F.when(check.isin("geofips_count", "geoname_count"), F.col("observed") >= minimum)
-        .when(check == "sentinel_records", F.col("observed") > 0)
-        .otherwise(F.col("observed") == 0)
-    )
-    return _report(df.groupBy("dataset").agg(*measures), passed)
+    measures = [F.count_if(test).alias(name) for name, test in row_measures(sentinels).items() if name != "rows"]
+    distinct = [F.count_distinct("geofips").alias("geofips_count"), F.count_distinct("geoname").alias("geoname_count")]
+    return _report(df.groupBy("dataset").agg(*measures, *distinct), _passed(minimum))
 
 
 def check_unique(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -64,6 +78,15 @@ def check_unique(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return _report(measured, F.col("observed") == 0)
 
 
+def check_groups(df: DataFrame, minimum: int = 50) -> DataFrame:
+    """`check_unique` and `check_coverage` from one scan and one shuffle of the rows, which are counted per group before it."""
+    keys = ["geoname", "timeperiod", "topic"]
+    groups = df.groupBy("dataset", "geofips", *keys).agg(F.count(F.lit(1)).alias("_n"))
+    counted = groups.groupBy("dataset", *keys).agg(F.sum("_n").alias("_n"))
+    repeated = counted.groupBy("dataset").agg(F.count_if(F.col("_n") > 1).alias("repeated_keys"))
+    return check_coverage(groups, minimum).union(_report(repeated, F.col("observed") == 0))
+
+
 def check_sentinels(df: DataFrame, sentinels: list[str] = SENTINEL_CODES) -> DataFrame:
     """Whether a dataset holds the line code that marks it as complete."""
     is_sentinel = F.col("code").isin(sentinels)

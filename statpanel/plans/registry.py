@@ -454,7 +454,8 @@ def load_and_check(spark, sf_dir):
     dictionary = first.unionByName(first.withColumn("table", F.lit("TYP2")))
     names = sorted(datasets.values())
     observations = spark.read.schema(_landed_with_dataset()).parquet(landing)
-    load_tables(
+    sentinels = ["TYP1-11", "TYP2-1"]
+    counted = load_tables(
         spark,
         observations,
         dictionary,
@@ -462,9 +463,10 @@ def load_and_check(spark, sf_dir):
         datasets=datasets,
         schemas={name: enriched() for name in names},
         rules={name: TYPE_RULES["types"] for name in names},
+        sentinels=sentinels,
     )
     return check_tables(
-        spark, names, observations=observations, dictionary=dictionary, sentinels=["TYP1-11", "TYP2-1"]
+        spark, names, observations=observations, dictionary=dictionary, sentinels=sentinels, counted=counted
     )
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import itertools
+import os
+import threading
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -12,7 +14,7 @@ from pyspark.sql.types import DecimalType, DoubleType, LongType, StringType, Str
 from statpanel import operators as op
 from statpanel import sources as src
 from statpanel.plans import views
-from statpanel.plans.load import check_tables, load_tables
+from statpanel.plans.load import check_tables, load_tables, publish_tables
 from statpanel.schema import DATASET_OF_TABLE, dataset_schema, landed
 
 DICTIONARY = [
@@ -156,6 +158,96 @@ def test_a_fraction_in_a_whole_dataset_fails(spark, folder, value):
         load_tables(spark, rows, dictionary, f"{folder}/t", datasets={"SAGDP4N": "compensation"})
 
 
+DATASETS = {"SAGDP4N": "compensation", "SAINC51": "disposable_income"}
+
+
+@pytest.fixture
+def small(spark, folder):
+    """A function that loads rows of two datasets into a new folder; it removes the tables afterwards."""
+    dictionary = op.prepare_dictionary(spark.createDataFrame(DICTIONARY, "Key string, Desc string"))
+
+    def load(name, whole, fractions, **options):
+        rows = [_observations(spark, StringType(), [("SAGDP4N-1", str(v)) for v in whole]).withColumn("dataset", F.lit("compensation"))]
+        rows.append(_observations(spark, StringType(), [("SAINC51-51", str(v)) for v in fractions]).withColumn("dataset", F.lit("disposable_income")))
+        schemas = {n: dataset_schema(n) for n in DATASETS.values()}
+        return load_tables(spark, op.union_by_name(*rows), dictionary, f"{folder}/{name}", datasets=DATASETS, schemas=schemas, **options)
+
+    for name in DATASETS.values():
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    yield load
+    for name in DATASETS.values():
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def values(spark, name):
+    return sorted(r["datavalue"] for r in spark.table(name).collect())
+
+
+def test_a_load_that_fails_half_way_changes_no_table(spark, folder, small):
+    small("one", [1, 2], [0.5])
+    with pytest.raises(Exception, match="not a whole number"):
+        small("two", [3, "4.5"], [1.5])
+    assert (values(spark, "compensation"), values(spark, "disposable_income")) == ([1, 2], [0.5])
+    with pytest.raises(AnalysisException):
+        publish_tables(spark, f"{folder}/two")
+    assert (values(spark, "compensation"), values(spark, "disposable_income")) == ([1, 2], [0.5])
+
+
+def test_readers_see_whole_loads(spark, folder, small):
+    small("one", [1, 2], [0.5])
+    begun = spark.table("compensation")
+    small("two", [3], [1.5, 2.5], publish=False)
+    assert (values(spark, "compensation"), values(spark, "disposable_income")) == ([1, 2], [0.5])
+    assert publish_tables(spark, f"{folder}/two") == ["compensation", "disposable_income"]
+    assert (values(spark, "compensation"), values(spark, "disposable_income")) == ([3], [1.5, 2.5])
+    assert sorted(r["datavalue"] for r in begun.collect()) == [1, 2]  # analysed before, its files are still there
+    publish_tables(spark, f"{folder}/two")
+    publish_tables(spark, f"{folder}/one")
+    assert (values(spark, "compensation"), values(spark, "disposable_income")) == ([1, 2], [0.5])
+
+
+def test_tables_are_there_all_through_a_reload(spark, small):
+    """A thread that reads all the while finds one load or the other, and never a missing or an empty table."""
+    small("one", [1, 2], [0.5])
+    seen, stop = [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.append(values(spark, "compensation"))
+            except Exception as error:  # kept for the assertion below
+                seen.append(repr(error))
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for i in range(3):
+        small(f"again{i}", [i + 10], [0.5])
+    stop.set()
+    reader.join()
+    assert {str(v) for v in seen} <= {"[1, 2]", "[10]", "[11]", "[12]"} and len(seen) > 3
+
+
+def test_a_table_with_other_columns_is_refused(spark, folder, small):
+    spark.sql(f"CREATE TABLE compensation (a int) USING parquet LOCATION '{folder}/else'")
+    with pytest.raises(ValueError, match="other columns"):
+        small("one", [1], [0.5])
+    assert not os.path.exists(f"{folder}/one")
+
+
+def test_counts_of_the_load_equal_the_checks(spark, small):
+    counted = small("one", [1, 2], [0.5], sentinels=["SAGDP4N-1"])
+    names = sorted(DATASETS.values())
+    want = check_tables(spark, names, 1, sentinels=["SAGDP4N-1"])
+    got = check_tables(spark, names, 1, counted=counted)
+    assert got.dtypes == want.dtypes
+    assert sorted(got.collect()) == sorted(want.collect()) and want.count() == 14
+    plan = got._jdf.queryExecution()
+    plan.toRdd().count()
+    assert plan.executedPlan().toString().split("== Initial Plan ==")[0].count("FileScan") == len(names)
+    empty = small("two", [], [0.5], sentinels=["SAGDP4N-1"])
+    assert {r["dataset"] for r in empty.collect()} == {"disposable_income"}
+
+
 def test_a_managed_table_is_not_replaced(spark, folder):
     spark.sql("CREATE TABLE statpanel_managed (a int) USING parquet")
     try:
