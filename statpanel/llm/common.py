@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statpanel.sources.scratch import scratch_path
@@ -104,9 +104,10 @@ def linked(
     (bucket, n, c) with c the class so far, gives all pairs (x, y) that can be similar. So a bucket of copies costs a few
     comparisons per node, and no link between classes is lost.
     """
-    whole = Window.partitionBy("bucket")
-    several = members.withColumn("least", F.min("n").over(whole)).withColumn("most", F.max("n").over(whole))
-    members = written(several.filter("least < most").select("bucket", "n", F.count("*").over(whole).alias("size")), name)
+    # Buckets are added up before the shuffle and joined back: a bucket of any size is split over tasks.
+    several = members.groupBy("bucket").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("size"))
+    several = several.filter("least < most").select("bucket", "size").hint("shuffle_hash")
+    members = written(members.join(several, "bucket").select("bucket", "n", "size"), name)
     open_ = members.withColumn("c", F.col("n"))
     links = tried = None
     for turn in range(3):
@@ -115,8 +116,8 @@ def linked(
             if turn:
                 met = open_.groupBy("n").agg(F.sum("size").alias("met"))
                 open_, order = open_.join(met, "n"), -F.col("met")
-            first = F.min(F.struct(order, "n", "c")).over(whole)
-            pairs = open_.withColumn("f", first).filter("f.c <> c").select(F.col("n").alias("x"), F.col("f.n").alias("y"))
+            firsts = open_.groupBy("bucket").agg(F.min(F.struct(order, "n", "c")).alias("f")).hint("shuffle_hash")
+            pairs = open_.join(firsts, "bucket").filter("f.c <> c").select(F.col("n").alias("x"), F.col("f.n").alias("y"))
         else:
             pairs = apart(open_.select("bucket", "n", "c"))
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
@@ -134,9 +135,10 @@ def linked(
         if turn < 2:
             labelled = members.join(labels, F.col("n") == F.col("id"), "left")
             labelled = labelled.select("bucket", "n", "size", F.coalesce("component", "n").alias("c"))
-            split = labelled.withColumn("least", F.min("c").over(whole)).withColumn("most", F.max("c").over(whole))
             # The one pair of a bucket of two has been compared.
-            open_ = written(split.filter("least < most and size > 2").select("bucket", "n", "size", "c"), name)
+            labelled = labelled.filter("size > 2")
+            split = labelled.groupBy("bucket").agg(F.min("c").alias("least"), F.max("c").alias("most")).filter("least < most")
+            open_ = written(labelled.join(split.select("bucket").hint("shuffle_hash"), "bucket"), name)
             if open_.isEmpty():
                 break
     return labels

@@ -1,13 +1,18 @@
 """Fuzzy line deduplication with DataFrame functions only.
 
-Lines are compared by character shingles: WIDTH characters from every character on, or the whole of a shorter line. MinHash signatures of the shingles are cut into bands; lines that share a band are compared
-exactly (by 64-bit hashes of their shingles), classes are the connected components of similar lines, and one line of each class stays.
+Lines are compared by character shingles: WIDTH characters from every character on, or the whole of a shorter line. MinHash signatures of the
+shingles are cut into bands; of lines that share a band, those whose signatures agree in enough places are compared exactly, by
+the shingles themselves; classes are the connected components of similar lines, and one line of each class stays.
+
+A short line has a signature of independent minima. A long one has so many shingles that one hash of each will do: it names one of BINS bins,
+and the signature holds the least hash of each. Of lines much longer than that only the hashes below a bound are looked at, as the least
+ones lie there. Lines of lengths that a similar line of the other kind could have get both signatures.
 """
 
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +23,13 @@ WIDTH = 5
 SIMILARITY = 0.8
 #: Lines are compared if one band of three hashes agrees: at a similarity of 0.8 that is missed for 3 pairs in 1,000, at 0.9 for 3 in 10**5.
 BANDS, ROWS = 8, 3
+BINS = BANDS * ROWS
+#: Of the places of a signature at least so many must agree: fewer do for 3 in 10**5 pairs with a similarity of 0.8.
+AGREE = 11
+#: Characters from which on a line has a signature by bins, and up to which it has one of independent minima; hashes looked at per bin.
+BINNED, INDEPENDENT, PER_BIN = 64, 230, 12
+#: A line of INDEPENDENT characters or more with so few different shingles, or so many empty bins, is signed once more, from all its hashes.
+FEW, EMPTY = 128, 3
 #: The shingle stands in a group ahead of the one character that is consumed.
 SHINGLE = rf"(?s)(?=(.{{{WIDTH}}}|\A.{{1,{WIDTH - 1}}}(?!.)))."
 WHITE = " \t\r\x0b\x0c"
@@ -52,31 +64,95 @@ def _lines(docs: DataFrame, *kept: str) -> DataFrame:
     return lines.withColumns({"n": F.xxhash64("line"), "n2": F.xxhash64(F.lit(7), "line")})
 
 
-def _buckets(docs: DataFrame) -> DataFrame:
-    """(bucket, n): the bands of every distinct line's signature."""
-    each = _lines(docs).select("n", F.explode(shingles(F.col("line"))).alias("shingle"))
-    each = each.select("n", F.hash("shingle").alias("h"))
-    # Each minimum mixes the hash anew: with a few shingles, the least (hash xor salt) would be one shingle's for many salts at once.
-    least = [F.min(F.hash("h", F.lit(i))).alias(f"m{i}") for i in range(BANDS * ROWS)]
-    signed = each.groupBy("n").agg(*least)
-    bands = [F.xxhash64(F.lit(b), *[f"m{b + r * BANDS}" for r in range(ROWS)]) for b in range(BANDS)]
-    return signed.select(F.explode(F.array(*bands)).alias("bucket"), "n")
+def _least(rows: DataFrame) -> DataFrame:
+    """(n, full, chars, bound, m0 to m23) of rows (n, line, chars, full, bound): the signature by bins, or if full the independent minima."""
+    # Four bytes a character, so that a shingle is cut out without counting characters.
+    rows = rows.select("n", "full", "chars", "bound", F.encode("line", "UTF-32").alias("wide"))
+    places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("chars") - (WIDTH - 1)))
+    each = rows.select("n", "full", "chars", "bound", "wide", F.explode(places).alias("i"))
+    each = each.select("n", "full", "chars", "bound", F.hash(F.substring(F.col("wide"), F.col("i") * 4 - 3, F.lit(4 * WIDTH))).alias("h"))
+    each = each.withColumn("h", F.when(F.col("full"), F.col("h")).otherwise(F.col("h").bitwiseAND(0x7FFFFFFF)))
+    each = each.filter("full or h <= bound").withColumn("bin", F.col("h") % BINS)
+    # Each independent minimum mixes the hash anew: with a few shingles, the least (hash xor salt) would be one shingle's for many salts.
+    value = lambda i: F.when(F.col("full"), F.hash(F.lit(i), "h")).when(F.col("bin") == i, F.col("h"))
+    chars = [F.first(c).alias(c) for c in ("chars", "bound")]
+    return each.groupBy("n", "full").agg(*chars, *[F.min(value(i)).alias(f"m{i}") for i in range(BINS)])
+
+
+def _signed(docs: DataFrame) -> DataFrame:
+    """(n, full, m0 to m23): the signatures of every distinct line."""
+    lines = _lines(docs).select("n", "line", F.length("line").alias("chars"))
+    kinds = F.when(F.col("chars") < BINNED, F.array(F.lit(True)))
+    kinds = kinds.when(F.col("chars") < INDEPENDENT, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))
+    whole = F.lit(0x7FFFFFFF)
+    bound = F.least(whole, F.floor(whole / F.col("chars") * (PER_BIN * BINS))).cast("int").alias("bound")
+    first = written(_least(lines.select("*", F.explode(kinds).alias("full"), bound)), "lines-signed")
+    # A bin of c hashes has its least at 1 / (c + 1) of the range, on average.
+    low = reduce(add, [F.coalesce(F.col(f"m{i}") / whole, F.lit(1.0)) for i in range(BINS)])
+    empty = reduce(add, [F.col(f"m{i}").isNull().cast("int") for i in range(BINS)])
+    different = (BINS / low - 1) * BINS
+    again = first.filter(~F.col("full") & (F.col("chars") >= INDEPENDENT))
+    again = again.filter((different < FEW) | (empty >= EMPTY) & (F.col("bound") < whole)).select("n")
+    names = ["n", "full", *[f"m{i}" for i in range(BINS)]]
+    if again.isEmpty():
+        return first.select(names)
+    again = written(again, "lines-again")
+    lines = perhaps_among(lines, "n", again).join(again, "n").withColumn("bound", whole)
+    rest = first.join(again.withColumn("full", F.lit(False)), ["n", "full"], "left_anti")
+    return written(rest.select(names).union(_least(lines.select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("full"))).select(names)), "lines-signed")
+
+
+def _buckets(signed: DataFrame) -> DataFrame:
+    """(bucket, n): the bands of the signatures. A band with an empty bin says too little."""
+    bands = [F.xxhash64("full", F.lit(b), *[f"m{b + r * BANDS}" for r in range(ROWS)]) for b in range(BANDS)]
+    filled = [reduce(or_, [F.col(f"m{b + r * BANDS}").isNull() for r in range(ROWS)]) for b in range(BANDS)]
+    named = F.array_compact(F.array(*[F.when(~gap, band) for gap, band in zip(filled, bands)]))
+    return signed.select(F.explode(named).alias("bucket"), "n")
+
+
+def _packed(signed: DataFrame) -> DataFrame:
+    """(n, s0 to s5): a byte of each place of the signature of independent minima in s0 to s2, of that by bins in s3 to s5; null where there is none."""
+    byte = lambda i, at: F.shiftleft(F.shiftright(F.coalesce(f"m{i}", F.lit(0)), 5).bitwiseAND(255).cast("long"), 8 * at)
+    words = [reduce(lambda a, b: a.bitwiseOR(b), [byte(8 * w + at, at) for at in range(8)]) for w in range(3)]
+    sides = [F.max(F.when(F.col("full") == full, word)).alias(f"s{w + 3 * (not full)}") for full in (True, False) for w, word in enumerate(words)]
+    return signed.groupBy("n").agg(*sides)
+
+
+def _agreeing(one: str, two: str, words: range) -> Column:
+    """In how many places two packed signatures agree; null if one has none."""
+    same = lambda w, at: (F.shiftrightunsigned(F.col(f"{one}{w}").bitwiseXOR(F.col(f"{two}{w}")), 8 * at).bitwiseAND(255) == 0).cast("int")
+    return reduce(add, [same(w, at) for w in words for at in range(8)])
 
 
 def similar_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
     """(n, n2, component): the classes of distinct lines that are similar to another distinct line, by the lines' hashes."""
     found: dict[str, DataFrame] = {}
+    signed = _signed(docs)
+    packed = written(_packed(signed), "lines-packed")
+
+    def likely(pairs: DataFrame) -> DataFrame:
+        """The pairs whose signatures agree in enough places, in those of either kind that both have."""
+        side = lambda s: packed.select(F.col("n").alias(s), *[F.col(f"s{w}").alias(f"{s}{w}") for w in range(6)])
+        both = pairs.join(side("a"), "a").join(side("b"), "b")
+        agree = F.greatest(_agreeing("a", "b", range(3)), _agreeing("a", "b", range(3, 6)))
+        return both.filter(agree >= AGREE).select("a", "b")
+
+    def texts_of(pairs: DataFrame) -> DataFrame:
+        """(n, n2, line) of the lines of `pairs`, of those not yet known from the documents."""
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("n")).distinct()
+        if found:
+            wanted = wanted.join(found["texts"], "n", "left_anti")
+        wanted = written(wanted, "lines-involved")
+        texts = perhaps_among(_lines(docs), "n", wanted).join(wanted, "n").select("n", "n2", "line").dropDuplicates(["n", "n2"])
+        found["texts"] = written(texts.union(found["texts"]) if found else texts, "lines-texts")
+        return found["texts"]
 
     def verify(pairs: DataFrame) -> DataFrame:
-        if not found:  # the first pairs name all lines that can ever be compared
-            involved = written(pairs.select(F.explode(F.array("a", "b")).alias("n")).distinct(), "lines-involved")
-            texts = perhaps_among(_lines(docs), "n", involved).join(involved, "n").select("n", "n2", "line")
-            hashed = F.array_distinct(F.transform(shingles(F.col("line")), lambda s: F.xxhash64(s)))
-            sets = texts.dropDuplicates(["n", "n2"]).select("n", "n2", hashed.alias("set"))
-            found["sets"] = written(sets, "lines-sets")
-        sets = perhaps_among(found["sets"], "n", pairs.select(F.explode(F.array("a", "b")).alias("n")))
-        side = lambda s: sets.select(F.col("n").alias(s), F.col("set").alias(f"set_{s}"))
+        pairs = written(likely(pairs), "lines-likely")
+        texts = texts_of(pairs)
+        side = lambda s: texts.select(F.col("n").alias(s), F.col("line").alias(f"line_{s}"))
         both = pairs.join(side("b"), "b").join(side("a"), "a")
+        both = both.select("a", "b", *[F.array_distinct(shingles(F.col(f"line_{s}"))).alias(f"set_{s}") for s in "ab"])
         common = F.size(F.array_intersect("set_a", "set_b")).alias("common")
         both = both.select("a", "b", (F.size("set_a") + F.size("set_b")).alias("sizes"), common)
         alike = F.col("common") >= (F.col("sizes") - F.col("common")) * F.lit(similar)
@@ -90,8 +166,11 @@ def similar_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
         one stands at place i of m and j of k, no more than min(m - i, k - j) can be common, and similar lines need similar / (1 + similar) of m + k.
         """
         classes = open_.select("n", "c").distinct()
-        sets = perhaps_among(found["sets"], "n", classes.select("n")).join(classes, "n").select("n", "c", "set")
-        each = sets.select("n", F.explode("set").alias("s"))
+        wide = perhaps_among(_lines(docs), "n", classes.select("n")).join(classes, "n").dropDuplicates(["n", "n2"])
+        wide = wide.select("n", F.length("line").alias("chars"), F.encode("line", "UTF-32").alias("wide"))
+        places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("chars") - (WIDTH - 1)))
+        each = wide.select("n", "wide", F.explode(places).alias("i"))
+        each = each.select("n", F.xxhash64(F.substring(F.col("wide"), F.col("i") * 4 - 3, F.lit(4 * WIDTH))).alias("s")).distinct()
         often = each.groupBy("s").agg(F.count("*").alias("often"))
         order = F.sort_array(F.collect_list(F.struct("often", "s")))
         rare = each.join(often, "s").groupBy("n").agg(order.alias("rare"))
@@ -105,10 +184,10 @@ def similar_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
         near = F.least("one.left", "two.left") >= need
         return one.join(two, same & near).select(F.col("one.n").alias("x"), F.col("two.n").alias("y"))
 
-    labels = linked(_buckets(docs), verify, "lines-links", apart)
+    labels = linked(_buckets(signed), verify, "lines-links", apart)
     if not found:
         return docs.sparkSession.createDataFrame([], "n long, n2 long, component long")
-    return labels.join(found["sets"], labels.id == found["sets"].n).select("n", "n2", "component")
+    return labels.join(found["texts"], labels.id == found["texts"].n).select("n", "n2", "component")
 
 
 def deduplicated_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
