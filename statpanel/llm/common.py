@@ -101,7 +101,7 @@ def linked(
     `verify` takes and returns distinct pairs (a, b), a < b. First each node is compared with the smallest node of each of its
     buckets, then, where a bucket still holds several classes, with the node that meets most others, such as the text that others are
     copies of. What is still apart after that is compared pair by pair, but only across classes: `apart`, from rows
-    (bucket, n, c) with c the class so far, gives all pairs (x, y) that can be similar. So a bucket of copies costs a few
+    (bucket, n, c, size) with c the class so far and the size of the bucket, gives all pairs (x, y) that can be similar. So a bucket of copies costs a few
     comparisons per node, and no link between classes is lost.
     """
     # Buckets are added up before the shuffle and joined back: a bucket of any size is split over tasks.
@@ -119,7 +119,7 @@ def linked(
             firsts = open_.groupBy("bucket").agg(F.min(F.struct(order, "n", "c")).alias("f")).hint("shuffle_hash")
             pairs = open_.join(firsts, "bucket").filter("f.c <> c").select(F.col("n").alias("x"), F.col("f.n").alias("y"))
         else:
-            pairs = apart(open_.select("bucket", "n", "c"))
+            pairs = apart(open_.select("bucket", "n", "c", "size"))
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")

@@ -2,7 +2,7 @@
 
 Lines are compared by character shingles: WIDTH characters from every character on, or the whole of a shorter line. MinHash signatures of the
 shingles are cut into bands; of lines that share a band, those whose signatures agree in enough places are compared exactly, by
-the shingles themselves; classes are the connected components of similar lines, and one line of each class stays.
+64-bit hashes of the shingles; classes are the connected components of similar lines, and one line of each class stays.
 
 A short line has a signature of independent minima. A long one has so many shingles that one hash of each will do: it names one of BINS bins,
 and the signature holds the least hash of each. Of lines much longer than that only the hashes below a bound are looked at, as the least
@@ -24,12 +24,14 @@ SIMILARITY = 0.8
 #: Lines are compared if one band of three hashes agrees: at a similarity of 0.8 that is missed for 3 pairs in 1,000, at 0.9 for 3 in 10**5.
 BANDS, ROWS = 8, 3
 BINS = BANDS * ROWS
-#: Of the places of a signature at least so many must agree: fewer do for 3 in 10**5 pairs with a similarity of 0.8.
-AGREE = 11
+#: Of the places of a signature at least so many must agree: fewer do for 2 in 10**4 pairs with a similarity of 0.8.
+AGREE = 12
 #: Characters from which on a line has a signature by bins, and up to which it has one of independent minima; hashes looked at per bin.
 BINNED, INDEPENDENT, PER_BIN = 64, 230, 12
 #: A line of INDEPENDENT characters or more with so few different shingles, or so many empty bins, is signed once more, from all its hashes.
 FEW, EMPTY = 128, 3
+#: Lines that share a bucket and more, beyond which they are only paired by their rarest shingles.
+MANY = 32
 #: The shingle stands in a group ahead of the one character that is consumed.
 SHINGLE = rf"(?s)(?=(.{{{WIDTH}}}|\A.{{1,{WIDTH - 1}}}(?!.)))."
 WHITE = " \t\r\x0b\x0c"
@@ -64,13 +66,23 @@ def _lines(docs: DataFrame, *kept: str) -> DataFrame:
     return lines.withColumns({"n": F.xxhash64("line"), "n2": F.xxhash64(F.lit(7), "line")})
 
 
+def _cut(rows: DataFrame, *kept: str) -> DataFrame:
+    """(*kept, shingle): all shingles of `line`, as characters of four bytes, so that they are cut out without counting characters."""
+    wide = rows.select(*kept, F.length("line").alias("_chars"), F.encode("line", "UTF-32").alias("_wide"))
+    places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("_chars") - (WIDTH - 1)))
+    each = wide.select(*kept, "_wide", F.explode(places).alias("_i"))
+    return each.select(*kept, F.substring(F.col("_wide"), F.col("_i") * 4 - 3, F.lit(4 * WIDTH)).alias("shingle"))
+
+
+def _hashed(rows: DataFrame, *kept: str) -> DataFrame:
+    """(*kept, s): 64-bit hashes of all shingles of `line`."""
+    return _cut(rows, *kept).select(*kept, F.xxhash64("shingle").alias("s"))
+
+
 def _least(rows: DataFrame) -> DataFrame:
     """(n, full, chars, bound, m0 to m23) of rows (n, line, chars, full, bound): the signature by bins, or if full the independent minima."""
-    # Four bytes a character, so that a shingle is cut out without counting characters.
-    rows = rows.select("n", "full", "chars", "bound", F.encode("line", "UTF-32").alias("wide"))
-    places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("chars") - (WIDTH - 1)))
-    each = rows.select("n", "full", "chars", "bound", "wide", F.explode(places).alias("i"))
-    each = each.select("n", "full", "chars", "bound", F.hash(F.substring(F.col("wide"), F.col("i") * 4 - 3, F.lit(4 * WIDTH))).alias("h"))
+    kept = ("n", "full", "chars", "bound")
+    each = _cut(rows, *kept).select(*kept, F.hash("shingle").alias("h"))
     each = each.withColumn("h", F.when(F.col("full"), F.col("h")).otherwise(F.col("h").bitwiseAND(0x7FFFFFFF)))
     each = each.filter("full or h <= bound").withColumn("bin", F.col("h") % BINS)
     # Each independent minimum mixes the hash anew: with a few shingles, the least (hash xor salt) would be one shingle's for many salts.
@@ -102,12 +114,26 @@ def _signed(docs: DataFrame) -> DataFrame:
     return written(rest.select(names).union(_least(lines.select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("full"))).select(names)), "lines-signed")
 
 
+def _bands() -> Column:
+    """The hash of each band of a signature, null if it has an empty bin, which says too little."""
+    places = [[F.col(f"m{b + r * BANDS}") for r in range(ROWS)] for b in range(BANDS)]
+    bands = [F.xxhash64("full", F.lit(b), *places[b]) for b in range(BANDS)]
+    return F.array(*[F.when(~reduce(or_, [m.isNull() for m in places[b]]), bands[b]) for b in range(BANDS)])
+
+
 def _buckets(signed: DataFrame) -> DataFrame:
-    """(bucket, n): the bands of the signatures. A band with an empty bin says too little."""
-    bands = [F.xxhash64("full", F.lit(b), *[f"m{b + r * BANDS}" for r in range(ROWS)]) for b in range(BANDS)]
-    filled = [reduce(or_, [F.col(f"m{b + r * BANDS}").isNull() for r in range(ROWS)]) for b in range(BANDS)]
-    named = F.array_compact(F.array(*[F.when(~gap, band) for gap, band in zip(filled, bands)]))
-    return signed.select(F.explode(named).alias("bucket"), "n")
+    """(bucket, n): the bands of the signatures."""
+    return signed.select(F.explode(F.array_compact(_bands())).alias("bucket"), "n")
+
+
+def _finer(signed: DataFrame, open_: DataFrame) -> DataFrame:
+    """(key, n, c): for each open (bucket, n, c), keys of the bucket's band and two more places of the signature."""
+    rest = [[i for i in range(BINS) if i % BANDS != b] for b in range(BANDS)]
+    couple = lambda b, k: F.xxhash64(F.col("bucket"), F.lit(k), *[f"m{i}" for i in rest[b][2 * k : 2 * k + 2]])
+    keys = lambda b: F.array(*[couple(b, k) for k in range((BINS - ROWS) // 2)])
+    banded = signed.select("*", F.posexplode(_bands()).alias("b", "bucket")).join(open_, ["bucket", "n"])
+    which = reduce(lambda out, b: out.when(F.col("b") == b, keys(b)), range(1, BANDS), F.when(F.col("b") == 0, keys(0)))
+    return banded.select(F.explode(which).alias("key"), "n", "c").distinct()
 
 
 def _packed(signed: DataFrame) -> DataFrame:
@@ -152,25 +178,45 @@ def similar_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
         texts = texts_of(pairs)
         side = lambda s: texts.select(F.col("n").alias(s), F.col("line").alias(f"line_{s}"))
         both = pairs.join(side("b"), "b").join(side("a"), "a")
-        both = both.select("a", "b", *[F.array_distinct(shingles(F.col(f"line_{s}"))).alias(f"set_{s}") for s in "ab"])
-        common = F.size(F.array_intersect("set_a", "set_b")).alias("common")
-        both = both.select("a", "b", (F.size("set_a") + F.size("set_b")).alias("sizes"), common)
-        alike = F.col("common") >= (F.col("sizes") - F.col("common")) * F.lit(similar)
-        return both.filter(alike).select("a", "b").distinct()
+        # Dealt by pair, so that the two aggregations that follow need no other shuffle, and a line of many pairs is no hot key.
+        both = both.repartition("a", "b")
+        halves = F.array(*[F.struct(F.lit(bit).alias("half"), F.col(f"line_{s}").alias("line")) for bit, s in ((1, "a"), (2, "b"))])
+        each = _hashed(both.select("a", "b", F.explode(halves).alias("e")).select("a", "b", "e.half", "e.line"), "a", "b", "half")
+        each = each.groupBy("a", "b", "s").agg(F.bit_or("half").alias("halves"))
+        both = each.groupBy("a", "b").agg(F.count_if(F.col("halves") == 3).alias("common"), F.count("*").alias("all"))
+        return both.filter(F.col("common") >= F.col("all") * F.lit(similar)).select("a", "b")
 
     def apart(open_: DataFrame) -> DataFrame:
-        """Pairs of different classes that share one of their rarest shingles, without which they cannot be similar.
+        """Pairs of different classes that share a bucket and whose signatures agree in enough places.
+
+        Of a bucket of MANY lines at most, all such pairs. In larger ones lines have to share two more places of the signature, as all but 1 in
+        20,000 do at a similarity of 0.8, and where many of different classes still meet, one of their rarest shingles.
+        """
+        few = open_.filter(F.col("size") <= MANY).join(packed, "n")
+        one, two = few.alias("one"), few.alias("two")
+        likely_ = F.greatest(_agreeing("one.s", "two.s", range(3)), _agreeing("one.s", "two.s", range(3, 6))) >= AGREE
+        pairs = one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.c") < F.col("two.c")) & likely_)
+        pairs = written(pairs.select(F.col("one.n").alias("x"), F.col("two.n").alias("y")), "lines-few")
+        finer = written(_finer(signed, open_.filter(F.col("size") > MANY).drop("size")), "lines-finer")
+        span = finer.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most"), F.count("*").alias("size"))
+        span = span.filter("least < most").select("key", "size").hint("shuffle_hash")
+        meeting = written(finer.join(span, "key"), "lines-meeting")
+        small = meeting.filter(F.col("size") <= MANY)
+        one, two = small.alias("one"), small.alias("two")
+        more = one.join(two, (F.col("one.key") == F.col("two.key")) & (F.col("one.c") < F.col("two.c")))
+        pairs = pairs.union(more.select(F.col("one.n").alias("x"), F.col("two.n").alias("y")))
+        large = written(meeting.filter(F.col("size") > MANY).select("n", "c").distinct(), "lines-many")
+        return pairs if large.isEmpty() else pairs.union(rare_pairs(large))
+
+    def rare_pairs(classes: DataFrame) -> DataFrame:
+        """Pairs of different classes that share one of their rarest shingles.
 
         A line of m shingles has at most m - similar * m that a similar line lacks, so of any order of the shingles the first
         m - ceil(similar * m) + 1 hold a common one. With the rarest first, what many lines share makes no pair. If the first common
         one stands at place i of m and j of k, no more than min(m - i, k - j) can be common, and similar lines need similar / (1 + similar) of m + k.
         """
-        classes = open_.select("n", "c").distinct()
         wide = perhaps_among(_lines(docs), "n", classes.select("n")).join(classes, "n").dropDuplicates(["n", "n2"])
-        wide = wide.select("n", F.length("line").alias("chars"), F.encode("line", "UTF-32").alias("wide"))
-        places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("chars") - (WIDTH - 1)))
-        each = wide.select("n", "wide", F.explode(places).alias("i"))
-        each = each.select("n", F.xxhash64(F.substring(F.col("wide"), F.col("i") * 4 - 3, F.lit(4 * WIDTH))).alias("s")).distinct()
+        each = _hashed(wide, "n").distinct()
         often = each.groupBy("s").agg(F.count("*").alias("often"))
         order = F.sort_array(F.collect_list(F.struct("often", "s")))
         rare = each.join(often, "s").groupBy("n").agg(order.alias("rare"))
