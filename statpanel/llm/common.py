@@ -95,6 +95,7 @@ def linked(
     verify: Callable[[DataFrame], DataFrame],
     name: str,
     apart: Callable[[DataFrame], DataFrame],
+    sparing: bool = False,
 ) -> DataFrame:
     """Classes (id, component) of nodes `n` that share a `bucket` and that `verify` confirms, without all pairs of a bucket.
 
@@ -102,7 +103,8 @@ def linked(
     buckets, then, where a bucket still holds several classes, with the node that meets most others, such as the text that others are
     copies of. What is still apart after that is compared pair by pair, but only across classes: `apart`, from rows
     (bucket, n, c, size) with c the class so far and the size of the bucket, gives all pairs (x, y) that can be similar. So a bucket of copies costs a few
-    comparisons per node, and no link between classes is lost.
+    comparisons per node, and no link between classes is lost. With `sparing`, for buckets that seldom hold nodes by chance, the first
+    turn compares a node with the smallest of all its buckets only, as most buckets of a group of copies then hold one class.
     """
     # Buckets are added up before the shuffle and joined back: a bucket of any size is split over tasks.
     several = members.groupBy("bucket").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("size"))
@@ -118,6 +120,8 @@ def linked(
                 open_, order = open_.join(met, "n"), -F.col("met")
             firsts = open_.groupBy("bucket").agg(F.min(F.struct(order, "n", "c")).alias("f")).hint("shuffle_hash")
             pairs = open_.join(firsts, "bucket").filter("f.c <> c").select(F.col("n").alias("x"), F.col("f.n").alias("y"))
+            if sparing and not turn:
+                pairs = pairs.groupBy("x").agg(F.min("y").alias("y"))
         else:
             pairs = apart(open_.select("bucket", "n", "c", "size"))
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
@@ -135,8 +139,8 @@ def linked(
         if turn < 2:
             labelled = members.join(labels, F.col("n") == F.col("id"), "left")
             labelled = labelled.select("bucket", "n", "size", F.coalesce("component", "n").alias("c"))
-            # The one pair of a bucket of two has been compared.
-            labelled = labelled.filter("size > 2")
+            if turn or not sparing:  # the one pair of a bucket of two has been compared
+                labelled = labelled.filter("size > 2")
             split = labelled.groupBy("bucket").agg(F.min("c").alias("least"), F.max("c").alias("most")).filter("least < most")
             open_ = written(labelled.join(split.select("bucket").hint("shuffle_hash"), "bucket"), name)
             if open_.isEmpty():

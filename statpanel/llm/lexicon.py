@@ -36,10 +36,11 @@ _UNUSUAL = re.compile(f"[^{USUAL}]")
 _ODD_SPACE = re.compile(r"\A | \Z|\s\s")
 _RARE_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 
-#: Longest word in the lexicon, in bytes; characters that a worker tokenizes at a time; words that it remembers.
+#: Longest word in the lexicon, in bytes; characters that a worker tokenizes at a time.
 LONGEST = 32
 CHUNK = 1_000_000
-REMEMBERED = 800_000
+#: Bytes of parts and ids that a worker remembers, with what Python needs for each; longer parts are not remembered.
+REMEMBERED, EACH, LONG_PART = 48 << 20, 170, 64
 
 
 def byte_letters() -> dict[str, int]:
@@ -251,6 +252,7 @@ class Encoder:
         self.lexicon = Lexicon(lexicon) if lexicon else None
         self.known: dict[str, bytes] = {}  # ids of parts at the start of a text, and of words
         self.spaced: dict[str, bytes] = {}  # ids of parts behind a space, by the part without it
+        self.held = 0
         added = sorted(self.vocabulary.added, key=len, reverse=True)
         self._added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
 
@@ -294,19 +296,30 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and where each text's begin and end."""
-        if len(self.known) + len(self.spaced) > REMEMBERED:
+        if self.held > REMEMBERED:
             self.known.clear()
             self.spaced.clear()
+            self.held = 0
         split = [self.parts(t) for t in texts]
-        missing = list({w for first, _ in split for w in first}.difference(self.known))
-        self.known.update(zip(missing, self._ids(missing)))
-        missing = list(set(chain.from_iterable(rest for _, rest in split)).difference(self.spaced))
-        self.spaced.update(zip(missing, self._ids(missing, " ")))
+        long = self._remember(self.known, {w for first, _ in split for w in first}, "")
+        long_spaced = self._remember(self.spaced, set(chain.from_iterable(rest for _, rest in split)), " ")
         known, spaced = self.known.__getitem__, self.spaced.__getitem__
         data = [b"".join(map(known, first)) + b"".join(map(spaced, rest)) for first, rest in split]
+        for table, parts in ((self.known, long), (self.spaced, long_spaced)):
+            for part in parts:
+                del table[part]
         ends = np.cumsum([0, *map(len, data)]) // 4
         return np.frombuffer(b"".join(data), np.int32), ends
 
+    def _remember(self, table: dict[str, bytes], parts: set[str], ahead: str) -> list[str]:
+        """Add the ids of the parts that `table` lacks, and return those that are too long to stay in it."""
+        missing = list(parts.difference(table))
+        ids = self._ids(missing, ahead)
+        table.update(zip(missing, ids))
+        stay = [(w, x) for w, x in zip(missing, ids) if len(w) <= LONG_PART]
+        self.held += sum(4 * len(w) + len(x) + EACH for w, x in stay)
+        return [w for w in missing if len(w) > LONG_PART]
+
     def decode(self, ids: np.ndarray) -> str:
         """As the library's decode(ids, skip_special_tokens=False); ids without a token are skipped."""
         return self.vocabulary.decode(ids)

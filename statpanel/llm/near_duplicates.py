@@ -238,20 +238,26 @@ def near_classes(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
         def compare(batches):
             shingler = Shingler(weights.value)
             last: dict[int, tuple] = {}
+            held = 0
 
             def shingles(n: int, text: str) -> tuple:
+                nonlocal held
                 if n not in last:
-                    if len(last) >= 64:
+                    if held > 1 << 24:
                         last.clear()
+                        held = 0
                     last[n] = shingler.of(text)
+                    held += 16 * len(last[n][0])
                 return last[n]
 
             for batch in batches:
-                keep = [
-                    similarity(shingles(a, s), shingles(b, t)) >= similar - 1e-9
-                    for a, s, b, t in zip(*(c.to_pylist() for c in batch.columns))
-                ]
-                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                # A few texts at a time become Python strings; a pair's two texts are of like length, as their samples agree.
+                for part in chunks(batch, "text_a", 1 << 18):
+                    keep = [
+                        similarity(shingles(a, s), shingles(b, t)) >= similar - 1e-9
+                        for a, s, b, t in zip(*(c.to_pylist() for c in part.columns))
+                    ]
+                    yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
         return pairs.mapInArrow(compare, "a long, b long")
 
@@ -268,7 +274,7 @@ def near_classes(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
         )
         return one.join(two, where).select(F.col("one.n").alias("x"), F.col("two.n").alias("y"))
 
-    labels = linked(_buckets(nodes), verify, "near-links", apart)
+    labels = linked(_buckets(nodes), verify, "near-links", apart, sparing=True)
     classed = nodes.join(labels, F.col("n") == F.col("id"), "left")
     classed = written(classed.select("key", "late", "doc_id", F.coalesce("component", "n").alias("c")), "near-classes")
     firsts = classed.groupBy("c").agg(F.min(F.struct("late", "doc_id", "key")).alias("m"))

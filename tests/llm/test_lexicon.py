@@ -81,3 +81,16 @@ def test_odd_spaces_and_unknown_ids(library):
     wild = np.random.default_rng(1).integers(0, 60_000, 400).astype(np.int32)
     assert encoder.decode(wild) == library.decode([i for i in wild.tolist() if i < 50257], skip_special_tokens=False)
     assert encoder.decode(np.zeros(0, np.int32)) == ""
+
+
+def test_what_a_worker_remembers_is_bounded_by_bytes(library, monkeypatch):
+    monkeypatch.setattr(lexicon, "REMEMBERED", 200_000)
+    encoder = lexicon.Encoder(PATH)
+    rng = random.Random(5)
+    size = lambda: sum(len(w) + len(x) for t in (encoder.known, encoder.spaced) for w, x in t.items())
+    for i in range(60):
+        whole = "".join(rng.choices("etaoinshr", k=5_000))
+        many = " ".join("".join(rng.choices("etaoinshr", k=6)) for _ in range(300))
+        for text in (whole, f"{whole}{i} {whole} x", many):
+            assert encoder.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+        assert size() < 300_000 and max(map(len, [*encoder.known, *encoder.spaced])) <= lexicon.LONG_PART
