@@ -90,6 +90,28 @@ def perhaps_among(rows: DataFrame, key: str, members: DataFrame, bits: int = 25)
     return marked.select(*rows.columns)
 
 
+#: Nodes that a node is compared with in a sparing turn.
+SOME = 10
+
+
+def _hubs(open_: DataFrame, turn: int, sparing: bool) -> DataFrame:
+    """(bucket, y, yc): of each bucket the node that its other nodes are compared with, and its class.
+
+    In the first turn the smallest. Later the one that meets most others, such as the text that others are copies of; with `sparing`
+    any of the bucket's largest class, another one each turn.
+    """
+    if not turn:
+        first = F.min(F.struct("n", "c"))
+    elif not sparing:
+        met = open_.groupBy("n").agg(F.sum("size").alias("met"))
+        open_, first = open_.join(met, "n"), F.min(F.struct(-F.col("met"), "n", "c"))
+    else:
+        any_ = F.min(F.struct(F.xxhash64("n", F.lit(turn)), "n"))
+        open_ = open_.groupBy("bucket", "c").agg(F.count("*").alias("k"), any_.alias("any"))
+        open_, first = open_.withColumn("n", F.col("any.n")), F.max(F.struct("k", "n", "c"))
+    return open_.groupBy("bucket").agg(first.alias("f")).select("bucket", F.col("f.n").alias("y"), F.col("f.c").alias("yc"))
+
+
 def linked(
     members: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
@@ -103,46 +125,45 @@ def linked(
     buckets, then, where a bucket still holds several classes, with the node that meets most others, such as the text that others are
     copies of. What is still apart after that is compared pair by pair, but only across classes: `apart`, from rows
     (bucket, n, c, size) with c the class so far and the size of the bucket, gives all pairs (x, y) that can be similar. So a bucket of copies costs a few
-    comparisons per node, and no link between classes is lost. With `sparing`, for buckets that seldom hold nodes by chance, the first
-    turn compares a node with the smallest of all its buckets only, as most buckets of a group of copies then hold one class.
+    comparisons per node, and no link between classes is lost.
+
+    With `sparing`, for buckets that seldom hold nodes by chance, a turn compares a node with SOME others of its buckets: first with their
+    smallest ones, then, turn after turn, with some of the largest class of a bucket, as long as that leaves a quarter less to do.
     """
     # Buckets are added up before the shuffle and joined back: a bucket of any size is split over tasks.
     several = members.groupBy("bucket").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("size"))
     several = several.filter("least < most").select("bucket", "size").hint("shuffle_hash")
     members = written(members.join(several, "bucket").select("bucket", "n", "size"), name)
     open_ = members.withColumn("c", F.col("n"))
-    links = tried = None
-    for turn in range(3):
-        if turn < 2:
-            order = F.lit(0)
-            if turn:
-                met = open_.groupBy("n").agg(F.sum("size").alias("met"))
-                open_, order = open_.join(met, "n"), -F.col("met")
-            firsts = open_.groupBy("bucket").agg(F.min(F.struct(order, "n", "c")).alias("f")).hint("shuffle_hash")
-            pairs = open_.join(firsts, "bucket").filter("f.c <> c").select(F.col("n").alias("x"), F.col("f.n").alias("y"))
-            if sparing and not turn:
-                pairs = pairs.groupBy("x").agg(F.min("y").alias("y"))
-        else:
+    links = tried = labels = None
+    left, turn, last = None, 0, False
+    while True:
+        if last:
             pairs = apart(open_.select("bucket", "n", "c", "size"))
+        else:
+            pairs = open_.join(_hubs(open_, turn, sparing).hint("shuffle_hash"), "bucket").filter("yc <> c")
+            if sparing:  # a node has so many buckets and no more
+                some = F.slice(F.sort_array(F.collect_set(F.struct(F.xxhash64("y", "n"), "y"))), 1, SOME)
+                pairs = pairs.groupBy("n").agg(some.alias("some")).select("n", F.explode("some.y").alias("y"))
+            pairs = pairs.select(F.col("n").alias("x"), "y")
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs, name)
-        if turn and pairs.isEmpty():
-            continue
         tried = pairs if tried is None else tried.union(pairs)
-        found = written(verify(pairs), name)
-        if turn and found.isEmpty():
-            continue
-        links = found if links is None else links.union(found)
-        labels = components(links, name)
-        if turn < 2:
-            labelled = members.join(labels, F.col("n") == F.col("id"), "left")
-            labelled = labelled.select("bucket", "n", "size", F.coalesce("component", "n").alias("c"))
-            if turn or not sparing:  # the one pair of a bucket of two has been compared
-                labelled = labelled.filter("size > 2")
-            split = labelled.groupBy("bucket").agg(F.min("c").alias("least"), F.max("c").alias("most")).filter("least < most")
-            open_ = written(labelled.join(split.select("bucket").hint("shuffle_hash"), "bucket"), name)
-            if open_.isEmpty():
-                break
-    return labels
+        found = written(verify(pairs), name) if not turn or not pairs.isEmpty() else pairs.limit(0)
+        if not turn or not found.isEmpty():
+            links = found if links is None else links.union(found)
+            labels = components(links, name)
+        if last:
+            return labels
+        labelled = members.join(labels, F.col("n") == F.col("id"), "left")
+        labelled = labelled.select("bucket", "n", "size", F.coalesce("component", "n").alias("c"))
+        if not sparing:  # the one pair of a bucket of two has been compared
+            labelled = labelled.filter("size > 2")
+        split = labelled.groupBy("bucket").agg(F.min("c").alias("least"), F.max("c").alias("most")).filter("least < most")
+        open_ = written(labelled.join(split.select("bucket").hint("shuffle_hash"), "bucket"), name)
+        before, left, turn = left, open_.count(), turn + 1
+        if not left:
+            return labels
+        last = before is not None and 4 * left > 3 * before if sparing else turn == 2
