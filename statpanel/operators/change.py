@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statpanel.functions import pct_change, previous
+from statpanel.operators.joins import sized
 
 
 def change(
@@ -19,6 +20,7 @@ def change(
     prev_name: str = "prev",
     change_name: str = "change",
     chunk: Column | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add the value of the period before and the percent change against it.
 
@@ -30,16 +32,29 @@ def change(
     A series (one `entity`) holds one row per period, so its window is as long as the calendar.
     For series too long for one task, give `chunk`: a column that never decreases in that order, such
     as `F.substring("timeperiod", 1, 3)`. Each chunk is then its own window, which starts from the last
-    value of the chunk before. Results are the same.
+    value of the chunk before. Results are the same. Where no such column is known, give `ranges`: the rows are dealt
+    into so many ranges of (entity, period) of about equal size and written to the shared working folder, and each range of a series is a chunk.
     """
     v = F.col(value)
     order = [F.col(period).asc_nulls_last(), v.asc_nulls_last()]
+    if ranges is not None:
+        df = _in_ranges(df, entity, order, ranges)
+        chunk = F.col("_range")
     if chunk is None:
         series = Window.partitionBy(*entity).orderBy(*order)
         with_prev = df.withColumn(prev_name, previous(v, series))
     else:
         with_prev = _previous_by_chunk(df, entity, period, value, order, prev_name, chunk)
-    return with_prev.withColumn(change_name, pct_change(v, F.col(prev_name), base, digits))
+    return with_prev.drop("_range").withColumn(change_name, pct_change(v, F.col(prev_name), base, digits))
+
+
+def _in_ranges(df: DataFrame, entity: list[str], order: list[Column], ranges: int) -> DataFrame:
+    """`df` with the number of its range, which never decreases in the order of a series.
+
+    The bounds of the ranges are drawn from a sample, another one each time, so the numbers are written with the rows.
+    """
+    by = [F.col(c).asc_nulls_last() for c in entity]
+    return sized(df.repartitionByRange(ranges, *by, *order).withColumn("_range", F.spark_partition_id()))
 
 
 def _previous_by_chunk(

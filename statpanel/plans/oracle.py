@@ -300,7 +300,10 @@ ORACLE = {
     "view_top_priority_ties": _industry(PRI),
     "view_top_priority_ties_customers": _industry(CUN),
     "lag_previous_period": f"select * exclude (change) from ({_changes(_gaps(SEG))})",
-    "lag_previous_period_chunked": f"select * exclude (change) from ({_changes(CUS)})",
+    **dict.fromkeys(
+        ("lag_previous_period_chunked", "lag_previous_period_ranges", "lag_on_bucketed_table"),
+        f"select * exclude (change) from ({_changes(CUS)})",
+    ),
     "pct_change_current_base": f"select * exclude (prev) from ({_changes(SEG)})",
     "dense_rank_change": f"""
         select *, dense_rank() over (
@@ -453,6 +456,9 @@ ORACLE = {
         select code, geofips, geoname, timeperiod, cl_unit, unit_mult, datavalue, noteref
         from ({TYP}) where code in (
             select 'TYP1-' || "Key" from ({DIC}) where "Key" not like '%(%')"""),
+    "fetch_chosen": f"""
+        select code, geofips, geoname, timeperiod, cl_unit, unit_mult, datavalue, noteref
+        from ({TYP}) where code in ('TYP1-11', 'TYP1-13')""",
     "view_catalog": " union all ".join(
         f"""select '{name}' as view_name, cast({width} as bigint) as n_columns, count(*) as n_rows
             from ({VIEWS[key]})"""

@@ -144,6 +144,23 @@ def lag_previous_period_chunked(spark, sf_dir):
     return _changes(panel, chunk=decade).drop("change")
 
 
+@query
+def lag_previous_period_ranges(spark, sf_dir):
+    """The same without a column that cuts the series: ranges of (entity, period) do."""
+    return _changes(panels.customer_spend(spark, sf_dir), ranges=16).drop("change")
+
+
+@query
+def lag_on_bucketed_table(spark, sf_dir):
+    """Change over a table whose series lie together: the window needs no shuffle."""
+    by = ["geoname", "topic"]
+    path = src.scratch_path(spark, "bucketed")
+    table = src.create_table(
+        panels.customer_spend(spark, sf_dir), "statpanel_series", path, bucket_by=by, sort_by=["timeperiod"], buckets=16
+    )
+    return _changes(table).drop("change")
+
+
 @query
 def pct_change_current_base(spark, sf_dir):
     return _changes(panels.segments(spark, sf_dir)).drop("prev")
@@ -545,7 +562,18 @@ def table_ctas(spark, sf_dir):
 @query
 def fetch_manifest(spark, sf_dir):
     """Every request of the manifest is fetched by its task, from what stands in for the remote service."""
-    path = _responses(spark, sf_dir)
+    return src.fetch_requests(_manifest(spark, sf_dir), _fetcher(_responses(spark, sf_dir)), _response_schema())
+
+
+@query
+def fetch_chosen(spark, sf_dir):
+    """Requests as a data source: of the manifest's requests only the two that the filter names are fetched."""
+    fetch = _fetcher(_responses(spark, sf_dir))
+    rows = src.open_requests(_manifest(spark, sf_dir), fetch, _response_schema())
+    return rows.filter((F.col("table") == "TYP1") & F.col("line_code").isin("11", "13")).drop("table", "line_code")
+
+
+def _fetcher(path):
     schema = _response_schema()
 
     def fetch(table, line_code):
@@ -560,7 +588,7 @@ def fetch_manifest(spark, sf_dir):
                 with store.open_input_stream(file.path) as stream:
                     yield from pj.read_json(stream, parse_options=shape).to_batches()
 
-    return src.fetch_requests(_manifest(spark, sf_dir), fetch, schema)
+    return fetch
 
 
 @query
@@ -585,10 +613,13 @@ def _response_schema():
 
 @query
 def memoised_panel(spark, sf_dir):
-    """One panel, kept on the executors for two aggregations."""
-    with src.cached(panels.customer_spend(spark, sf_dir)) as panel:
-        total = F.sum("datavalue").alias("total")
-        sums = [panel.groupBy(F.col(c).alias("part")).agg(total) for c in ("topic", "timeperiod")]
+    """One panel, built by two callers and kept on the executors once."""
+    total = F.sum("datavalue").alias("total")
+    with src.Memo() as memo:
+        sums = [
+            memo(panels.customer_spend(spark, sf_dir)).groupBy(F.col(c).alias("part")).agg(total)
+            for c in ("topic", "timeperiod")
+        ]
         return _once(spark, op.union_by_name(*sums))
 
 

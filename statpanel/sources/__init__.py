@@ -15,11 +15,13 @@ from statpanel.sources.csv_tables import (
     run_script,
     write_csv,
 )
-from statpanel.sources.memory import cached, from_arrow, to_arrow
+from statpanel.sources.memory import Memo, cached, from_arrow, to_arrow
+from statpanel.sources.requests import open_requests
 from statpanel.sources.responses import fetch_requests, read_responses, write_responses
 from statpanel.sources.scratch import scratch_path
 
 __all__ = [
+    "Memo",
     "cached",
     "create_missing_views",
     "create_or_replace_views",
@@ -30,6 +32,7 @@ __all__ = [
     "from_arrow",
     "import_csv",
     "name_document",
+    "open_requests",
     "read_columnar_json",
     "read_dictionary",
     "read_responses",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -34,3 +35,46 @@ def cached(df: DataFrame) -> Iterator[DataFrame]:
         yield kept
     finally:
         kept.unpersist()
+
+
+class Memo:
+    """Frames kept on the executors, found again by what they compute.
+
+    `memo(df)` gives the kept frame of the same meaning, and keeps `df` if there is none: two callers that build one panel separately share it,
+    as they would the result of a memoised function. At most `most` frames are kept; the one unused for longest is released first.
+    `release` lets one go, or all; as a context manager the memo releases all at its end.
+    """
+
+    def __init__(self, most: int = 8):
+        self.most = most
+        self._kept: OrderedDict[int, list[DataFrame]] = OrderedDict()
+
+    def __len__(self) -> int:
+        return sum(map(len, self._kept.values()))
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        key = df.semanticHash()
+        for kept in self._kept.get(key, []):
+            if kept.sameSemantics(df) and kept.columns == df.columns:
+                self._kept.move_to_end(key)
+                return kept
+        while len(self) >= self.most:
+            self.release(next(iter(self._kept.values()))[0])
+        self._kept.setdefault(key, []).append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        self._kept.move_to_end(key)
+        return df
+
+    def release(self, df: DataFrame | None = None) -> None:
+        for key, frames in list(self._kept.items()):
+            gone = [kept for kept in frames if df is None or kept.sameSemantics(df)]
+            for kept in gone:
+                kept.unpersist()
+                frames.remove(kept)
+            if not frames:
+                del self._kept[key]
+
+    def __enter__(self) -> Memo:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.release()

@@ -167,6 +167,18 @@ def test_with_top_keeps_ties(spark):
     ]
 
 
+@pytest.mark.parametrize("ranges", [1, 7])
+def test_ranges_give_the_same_as_the_whole_series(spark, ranges):
+    rng = random.Random(ranges)
+    hot = [("hot", f"{i:05d}" if i % 50 else None, rng.choice([None, i, -i])) for i in range(1500)]
+    data = hot + hot[:20] + [(f"e{i % 40}", str(1990 + i // 40), rng.randint(0, 5)) for i in range(800)] + [(None, "2000", 1), (None, "2001", 2)]
+    df = spark.createDataFrame(data, SERIES).repartition(5)
+    want = op.change(df, ["e"], "y", "v")
+    got = op.change(df, ["e"], "y", "v", ranges=ranges)
+    assert got.columns == want.columns
+    assert Counter(rows(got)) == Counter(rows(want))
+
+
 # ---- align, sets, names -------------------------------------------------------------------------
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from statpanel import operators as op
+from statpanel import sources as src
 from statpanel.operators.rank import BITS, _bits
 from statpanel.plans import registry, views
 from statpanel.schema import enriched
@@ -164,6 +166,28 @@ def test_a_hot_key_is_split_where_topics_are_aligned(skew_session, folder):
     assert aligned.count() == 60000
 
 
+def test_a_bucketed_table_needs_no_shuffle_below_its_windows(spark, panel, folder):
+    by = ["geoname", "topic"]
+    table = src.create_table(panel, "statpanel_in_buckets", f"{folder}/b", bucket_by=by, sort_by=["timeperiod"], buckets=5)
+    changed = op.change(table, by, "timeperiod", "datavalue")
+    plan = final(changed)
+    assert "Window" in plan and "Exchange" not in plan
+    assert len(table.inputFiles()) <= 5
+    assert changed.exceptAll(op.change(panel, by, "timeperiod", "datavalue")).isEmpty() and changed.count() == 4000
+    totals = table.groupBy(*by).agg(F.sum("datavalue"))
+    assert "Exchange" not in final(totals)
+
+
+def test_no_window_of_a_whole_series_with_ranges(skew_session, folder):
+    rows = hot(skew_session, folder).withColumn("p", F.col("t"))
+    changed = op.change(rows, ["g"], "p", "v", ranges=12)
+    counts = skew_session.read.parquet(os.path.dirname(changed.inputFiles()[0])).groupBy("g", "_range").count()
+    assert counts.agg(F.max("count")).first()[0] < 8000  # of 20,000 rows of the hot series
+    assert re.search(r"Window \[.*\], \[g#\d+, _chunk#\d+\]", planned(changed))
+    window = Window.partitionBy("g").orderBy(F.asc_nulls_last("p"), F.asc_nulls_last("v"))
+    assert changed.select("g", "p", "v", "prev").exceptAll(rows.select("g", "p", "v", F.lag("v").over(window))).isEmpty()
+
+
 def test_ties_for_the_top_need_no_window(panel):
     """A group of equal values must not meet in one task."""
     assert "Window" not in planned(views.industry_compensation(panel.withColumn("datavalue", F.lit(1))))
