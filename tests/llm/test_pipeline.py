@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from statpanel.llm import toxicity
 from statpanel.llm.common import written
@@ -52,3 +54,20 @@ def test_stages_take_empty_and_odd_documents(spark):
             docs = written(stage(spark, docs, texts.SMALL), name)
         # Null and empty texts are one class, and so are the two equal texts.
         assert docs.count() == (2 if rows else 0)
+
+
+def test_stages_carry_columns_of_any_name(spark):
+    names = ["score", "predicted", "removed_lines", "_key", "_id", "_copies", "carried", "class_id", "first", "n", "_row", "late", "a`b.c"]
+    docs = spark.read.parquet(f"{texts.SMALL}/documents.parquet").limit(60)
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{i}-"), F.col("doc_id").cast("string")))
+    docs = docs.withColumn("source", F.when(F.col("doc_id") % 3 > 0, F.col("source")))
+    docs = written(docs, "documents")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        result = written(stage(spark, docs, texts.SMALL), name)
+        assert result.schema == docs.schema
+        for r in result.collect():
+            assert [r[c] for c in names] == [f"{i}-{r['doc_id']}" for i in range(len(names))]
+        assert 0 < result.count() <= docs.count()
+        docs = result
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, texts.SMALL).count() > 0
