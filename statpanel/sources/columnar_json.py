@@ -7,10 +7,11 @@ writes many documents of bounded size per file, which Spark reads in parallel.
 from __future__ import annotations
 
 from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, IntegralType, StringType, StructType
+from pyspark.sql.types import DataType, DecimalType, FractionalType, IntegralType, StringType, StructType
 
 from statpanel.schema import UNROUTED
 
@@ -131,43 +132,43 @@ def name_document(spark: SparkSession, folder: str, path: str) -> None:
         raise OSError(f"cannot write {path}")
 
 
-def write_columnar_json(df: DataFrame, path: str, max_bytes: int = 1 << 22) -> None:
+def _cell(value: Column, kind: DataType) -> Column:
+    """What JSON has no number for is null."""
+    if not isinstance(kind, FractionalType) or isinstance(kind, DecimalType):
+        return value
+    return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
+
+
+def write_columnar_json(df: DataFrame, path: str, max_bytes: int = 1 << 22, max_rows: int = 1 << 12) -> None:
     """Write rows (with a `dataset` column) as documents under `path/dataset=...`, one per line.
 
-    A document holds rows of one dataset of about `max_bytes` bytes at most, all from one Arrow batch
-    (`spark.sql.execution.arrow.maxRecordsPerBatch`), so no rows are shuffled or gathered. Rows without a dataset
-    go to `_unrouted`. The encoder is Python's, in batches: with built-in functions a document would need a shuffle
-    by its number to be put together.
+    A document holds rows of one dataset that one task read one after the other, at most `max_rows` of them and of about `max_bytes`
+    bytes at most. Rows are numbered where they are read; a run of `max_rows` numbers meets in one group, whatever the dataset, so no group
+    grows with the data, and is cut into documents there. Rows without a dataset go to `_unrouted`. Numbers that are
+    infinite or none are written as null. Built-in functions do all of it.
     """
-
-    def encode(batches):
-        import json
-        import math
-
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        def cell(v):
-            return None if isinstance(v, float) and not math.isfinite(v) else v
-
-        def bounded(batch):
-            size = max(1, batch.num_rows * max_bytes // max(1, batch.nbytes))
-            return (batch.slice(at, size) for at in range(0, batch.num_rows, size))
-
-        for batch in (part for whole in batches for part in bounded(whole)):
-            table = pa.Table.from_batches([batch])
-            for dataset in pc.unique(table["dataset"]).to_pylist():
-                rows = table.filter(pc.equal(table["dataset"], dataset)).drop_columns(["dataset"])
-                document = {
-                    name: {str(i): cell(v) for i, v in enumerate(rows[name].to_pylist())}
-                    for name in rows.column_names
-                }
-                line = json.dumps(json.dumps(document))
-                yield pa.RecordBatch.from_pydict(
-                    {"dataset": [dataset], "value": [line]},
-                    schema=pa.schema([("dataset", pa.string()), ("value", pa.string())]),
-                )
-
-    named = df.withColumn("dataset", F.coalesce("dataset", F.lit(UNROUTED)))
-    documents = named.mapInArrow(encode, "dataset string, value string")
-    documents.write.mode("errorifexists").partitionBy("dataset").text(path)
+    fields = [f for f in df.schema if f.name != "dataset"]
+    name = lambda f: F.col("`" + f.name.replace("`", "``") + "`")
+    cells = F.struct(*[_cell(name(f), f.dataType).alias(f"c{i}") for i, f in enumerate(fields)])
+    numbered = df.select(F.coalesce("dataset", F.lit(UNROUTED)).alias("dataset"), F.monotonically_increasing_id().alias("id"), cells.alias("cells"))
+    runs = numbered.select("dataset", F.floor(F.col("id") / max_rows).alias("run"), F.struct((F.col("id") % max_rows).alias("row"), "cells").alias("one"))
+    texts = [F.coalesce(F.length(F.col(f"one.cells.c{i}")), F.lit(0)) for i, f in enumerate(fields) if isinstance(f.dataType, StringType)]
+    # Beside its value a cell holds its row's number, quotes and commas.
+    size = reduce(add, texts, F.lit(20 * len(fields)))
+    # By number, so that small tables are not encoded by a single task.
+    runs = runs.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "dataset", "run")
+    runs = runs.groupBy("dataset", "run").agg(F.sum(size).alias("size"), F.collect_list("one").alias("rows"))
+    pieces = F.least(F.ceil(F.col("size") / max_bytes), F.size("rows"))
+    each = runs.withColumn("per", F.ceil(F.size("rows") / pieces).cast("int"))
+    each = each.withColumn("at", F.explode(F.sequence(F.lit(0), F.ceil(F.size("rows") / F.col("per")).cast("int") - 1)))
+    each = each.select("dataset", F.slice("rows", F.col("at") * F.col("per") + 1, F.col("per")).alias("rows"))
+
+    def column(i: int) -> Column:
+        entry = lambda r: F.struct(r["row"].cast("string"), r["cells"][f"c{i}"])
+        return F.map_from_entries(F.transform("rows", entry)).alias(fields[i].name)
+
+    document = F.to_json(F.struct(*[column(i) for i in range(len(fields))]), {"ignoreNullFields": "false"})
+    # A text alone has no JSON function: it is written as the only item of an array, without the brackets.
+    line = F.to_json(F.array(document))
+    line = F.substring(line, F.lit(2), F.length(line) - 2)
+    each.select("dataset", line.alias("value")).write.mode("errorifexists").partitionBy("dataset").text(path)
