@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+import random
 import subprocess
 import sys
 from decimal import Decimal
@@ -327,3 +328,51 @@ def test_documents_are_bounded_and_zip_by_id_or_place(spark, folder):
     spark.createDataFrame([(json.dumps(json.dumps(document)),)], "value string").coalesce(1).write.text(f"{folder}/k/dataset=z")
     back = src.read_columnar_json(spark, f"{folder}/k", shape, "*.txt").select("code", "datavalue").collect()
     assert sorted(map(tuple, back), key=str) == [("a", 5), ("b", 7), (None, 1)]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_one_file_with_line_breaks_is_read_in_many_blocks(spark, folder, end):
+    rng = random.Random(3)
+    data = []
+    for i in range(4000):
+        text = "".join(rng.choices(["a", "é", '"', '""', ",", "\n", "\r", "\n\n", " ", "漢"], k=rng.randint(0, 30)))
+        data.append((i, text or None, rng.choice(["plain", 'say "hi"', "x\ny", None])))
+    data[1000] = (1000, "line\n" * 3000, "one record over several blocks")
+    quoted = lambda v: "" if v is None else '"' + v.replace('"', '""') + '"'
+    with open(f"{folder}/t.csv", "w", newline="") as f:
+        f.write(f"id,a,b{end}" + "".join(f"{i},{quoted(a)},{quoted(b)}{end}" for i, a, b in data))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        back = src.import_csv(spark, f"{folder}/t.csv", StructType.fromDDL("id bigint, a string, b string"), multi_line=True)
+        blocks = spark.read.option("lineSep", "\n").text(f"{folder}/t.csv").rdd.getNumPartitions()
+        got = rows(back)
+    finally:
+        for key, value in zip(("maxPartitionBytes", "openCostInBytes"), before):
+            spark.conf.set(f"spark.sql.files.{key}", value)
+    assert blocks > 10
+    assert got == rows(spark.createDataFrame(data, "id bigint, a string, b string"))
+
+
+def test_records_of_several_files_and_empty_ones(spark, folder):
+    os.makedirs(f"{folder}/c")
+    for name, text in (("a", "id,t\n1,\"x\ny\"\n2,z"), ("b", "id,t\n"), ("d", ""), ("e", "id,t\n3,\"\"\"\n\"\"\"\n")):
+        with open(f"{folder}/c/{name}.csv", "w", newline="") as f:
+            f.write(text)
+    back = src.import_csv(spark, f"{folder}/c", StructType.fromDDL("id bigint, t string"), multi_line=True)
+    assert rows(back) == [(1, "x\ny"), (2, "z"), (3, '"\n"')]
+    with open(f"{folder}/c/f.csv", "w") as f:
+        f.write("id,t\nno number,x\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        src.import_csv(spark, f"{folder}/c", StructType.fromDDL("id bigint, t string"), multi_line=True).collect()
+
+
+def test_export_finds_line_breaks_while_it_writes(spark, folder):
+    tables = {"broken": spark.createDataFrame([("a\nb",), (None,)], "t string"), "whole": spark.createDataFrame([("a", 1)], "t string, n int")}
+    tables |= {"numbers": spark.range(3), "none": spark.createDataFrame([], "t string")}
+    src.export_database(spark, tables, f"{folder}/e")
+    script = "".join(r["value"] for r in spark.read.text(f"{folder}/e/load.sql").collect())
+    wanted = {"broken": "true", "whole": "false", "numbers": "false", "none": "false"}
+    for name, many in wanted.items():
+        assert f"multiLine '{many}'" in script.split(f"{folder}/e/{name}'")[1].split("INSERT")[0]
