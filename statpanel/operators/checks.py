@@ -84,7 +84,8 @@ def check_groups(df: DataFrame, minimum: int = 50) -> DataFrame:
     groups = df.groupBy("dataset", "geofips", *keys).agg(F.count(F.lit(1)).alias("_n"))
     counted = groups.groupBy("dataset", *keys).agg(F.sum("_n").alias("_n"))
     repeated = counted.groupBy("dataset").agg(F.count_if(F.col("_n") > 1).alias("repeated_keys"))
-    return check_coverage(groups, minimum).union(_report(repeated, F.col("observed") == 0))
+    # Both sides use the counts, so that they ask for the same shuffle and share it.
+    return check_coverage(groups.filter(F.col("_n") > 0), minimum).union(_report(repeated, F.col("observed") == 0))
 
 
 def check_sentinels(df: DataFrame, sentinels: list[str] = SENTINEL_CODES) -> DataFrame:
