@@ -40,7 +40,7 @@ _RARE_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in "
 LONGEST = 32
 CHUNK = 1_000_000
 #: Bytes of parts and ids that a worker remembers, with what Python needs for each; longer parts are not remembered.
-REMEMBERED, EACH, LONG_PART = 48 << 20, 170, 64
+REMEMBERED, EACH, LONG_PART = 112 << 20, 170, 64
 
 
 def byte_letters() -> dict[str, int]:
