@@ -96,9 +96,10 @@ def telling(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     for some in having.values():
         held = [np.concatenate([np.zeros(0, np.int32), *(rows[i] for i in some if labels[i] == y)]) for y in (1, 0)]
         yes = int(labels[some].sum())
-        found, places = np.unique(np.concatenate(held), return_inverse=True)
-        with_yes = np.bincount(places[: len(held[0])], minlength=len(found)).astype(np.float64)
-        with_no = np.bincount(places[len(held[0]) :], minlength=len(found)).astype(np.float64)
+        # Counted over all buckets: sorting what many rows hold would take several times the sample's memory.
+        with_yes, with_no = (np.bincount(x, minlength=BUCKETS) for x in held)
+        found = np.nonzero(with_yes + with_no)[0]
+        with_yes, with_no = with_yes[found].astype(np.float64), with_no[found].astype(np.float64)
         seen[found[_chi(with_yes, with_no, yes, len(some) - yes) >= PAIR_CHI]] = True
 
     pool = np.nonzero(~seen & (a + b >= LEAST_ROWS))[0]
