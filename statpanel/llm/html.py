@@ -1,22 +1,25 @@
-"""Main text of web pages: rules for what is never text, and removal of site templates.
+"""Main text of web pages: removal of site templates, and rules for what is never text.
 
-Pages are parsed into trees. Elements that by tag, role or class are menus, headers, footers, notices, adverts, forms, code or comments go. Of
-the rest, element subtrees of the whole page are hashed; a subtree that recurs on many different pages of a host is part of the site's
-template, and goes as well, before the main text is chosen. Prose blocks of an article are judged only at its edges, by whether most
-pages of the host begin or end with them: a passage that articles share is still text.
+Pages are parsed into trees. Element subtrees of the whole tree are hashed as they stand; one that recurs on several different pages of a host
+is part of the site's template, and goes before the main text is chosen. Blocks of prose count only where most pages of the host hold them,
+and in an article only at its edges: a passage that articles share is still text. What by tag, role or class is a menu, header, footer,
+notice, advert, form, code or comment goes as well, also from hosts of few pages; inside an article class names decide only
+where all their words say so.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
+from functools import cache
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statpanel.llm.common import written
+from statpanel.llm.common import perhaps_among, written
 from statpanel.llm.lexicon import chunks
 
 #: Fixed values of HTML.
@@ -30,6 +33,8 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Blocks of prose, and what may hold the blocks at the edge of an article; most blocks of prose that are judged at an edge.
 PROSE = (HEADINGS - {"h1"}) | frozenset("p li blockquote pre address dt dd center figcaption".split())
 HOLDERS = frozenset("div section".split())
+#: Blocks that articles repeat by chance, outside of articles too.
+SMALL = PROSE | frozenset("td th caption summary legend".split())
 EDGE = 3
 #: Elements that a start tag ends, up to the element named last.
 ENDED_BY = {
@@ -61,6 +66,12 @@ WORDS = frozenset(
 ASIDE = frozenset(
     "comment comments commentlist disqus reply replies respond discussion related recommended recommendations trending popular".split()
 )
+#: Words for adverts, and words that say nothing of what an element holds.
+ADS = frozenset("ad ads adv advert adverts advertisement advertisements advertising adsense adslot sponsor sponsored sponsors".split())
+NEUTRAL = frozenset(
+    """area bar block bottom box btn button buttons card col column container content div group icons inline inner item items left link
+    links list main outer panel right row section slot text top unit wrap wrapper""".split()
+)
 CONTENT = frozenset("content article post entry story maincontent articlebody articletext".split())
 
 _TOKEN = re.compile(
@@ -74,63 +85,96 @@ _ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 
+#: Elements by which a page names its main text.
+NAMED = ("article", "main")
+
+
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "gone", "holds")
+    __slots__ = ("tag", "attrs", "parent", "children", "gone", "holds", "prose")
 
     def __init__(self, tag: str, attrs: str, parent: "Node | None"):
-        self.tag, self.attrs, self.parent, self.children, self.gone = tag, attrs, parent, [], False
+        self.tag, self.attrs, self.parent, self.children, self.gone, self.prose = tag, attrs, parent, [], False, False
         self.holds: frozenset[str] = frozenset()
 
 
+class _Path:
+    """The open elements from the root down, with the places of each tag and of the blocks among them, so that none is searched for."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.places, self.blocks = [root], {}, []
+
+    def open(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def close(self, place: int) -> None:
+        """End the element at this place, and all in it."""
+        while len(self.nodes) > place:
+            node = self.nodes.pop()
+            self.places[node.tag].pop()
+            if node.tag in BLOCK:
+                self.blocks.pop()
+
+    def last(self, tag: str) -> int:
+        """The place of the innermost open element of this tag; 0, that of the root, if there is none."""
+        places = self.places.get(tag)
+        return places[-1] if places else 0
+
+    def first_after(self, tag: str, place: int) -> int:
+        """The place of the outermost open element of this tag behind a place; past the end if there is none."""
+        places = self.places.get(tag, [])
+        at = bisect_right(places, place)
+        return places[at] if at < len(places) else len(self.nodes)
+
+
 def parse(page: str) -> Node:
-    """A tree of elements and texts. Unclosed, misnested and unknown tags are taken as browsers mostly do."""
-    root = at = Node("#root", "", None)
+    """A tree of elements and texts, in time that grows with the page. Unclosed, misnested and unknown tags are taken as browsers mostly do."""
+    root = Node("#root", "", None)
+    path = _Path(root)
     place, size = 0, len(page)
     while place < size:
         token = _TOKEN.match(page, place)
         place = token.end()
         text = token["text"]
         if text is not None:
-            at.children.append(html.unescape(text) if "&" in text else text)
+            path.nodes[-1].children.append(html.unescape(text) if "&" in text else text)
             continue
         tag = token["tag"] or token["tag2"]
         if tag is None:
             if token["cdata"]:
-                at.children.append(token["cdata"])
+                path.nodes[-1].children.append(token["cdata"])
             continue
         tag = tag.lower()
         if token["end"] or token["end2"]:
-            node = at
-            while node is not root and node.tag != tag:
-                # The end of an inline element does not end the blocks around it.
-                node = root if node.tag in BLOCK and tag not in BLOCK else node.parent
-            if node is not root:
-                at = node.parent
+            at = path.last(tag)
+            # The end of an inline element does not end the blocks around it.
+            if at and (tag in BLOCK or not path.blocks or path.blocks[-1] < at):
+                path.close(at)
             continue
-        if tag in BLOCK:
-            node = at
-            while node is not root and (node.tag not in BLOCK or node.tag == "p"):
-                if node.tag == "p":
-                    at = node.parent
-                    break
-                node = node.parent
+        if tag in BLOCK and path.blocks and path.nodes[path.blocks[-1]].tag == "p":
+            path.close(path.blocks[-1])
         if tag in ENDED_BY:
             ended, within = ENDED_BY[tag]
-            node = at
-            while node is not root and node.tag not in within:
-                if node.tag in ended:
-                    at = node.parent
-                node = node.parent
+            limit = max(path.last(t) for t in within)
+            path.close(min(path.first_after(t, limit) for t in ended))
+        at = path.nodes[-1]
         new = Node(tag, token["attrs"] or token["attrs2"] or "", at)
         at.children.append(new)
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, place)
+            end = _raw_end(tag).search(page, place)
             place = end.end() if end else size
         elif tag not in VOID and not (new.attrs.endswith("/") and tag not in BLOCK and tag in ("svg", "path")):
-            at = new
+            path.open(new)
     return root
 
 
+@cache
+def _raw_end(tag: str) -> re.Pattern[str]:
+    return re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I)
+
+
 def _attributes(node: Node) -> dict[str, str]:
     out: dict[str, str] = {}
     for name, *values in _ATTR.findall(node.attrs):
@@ -147,9 +191,10 @@ def _walk(node: Node):
 
 
 def _note_holds(root: Node) -> None:
-    """Note in each node which of the elements that say where the text is stand below it."""
+    """Note in each node which of the elements that say where the text is stand below it, and whether prose does."""
     for node in reversed(list(_walk(root))):
         if node.parent is not None:
+            node.parent.prose |= node.prose or node.tag in PROSE
             below = node.holds | {node.tag} if node.tag in ("article", "main", "h1") else node.holds
             if not below <= node.parent.holds:
                 node.parent.holds |= below
@@ -157,13 +202,12 @@ def _note_holds(root: Node) -> None:
 
 def mark(root: Node) -> None:
     """Mark what is never main text as gone, outside in."""
-    _note_holds(root)
     todo: list[tuple[Node, bool]] = [(root, False)]
     while todo:
         node, inside = todo.pop()
         node.gone = _never(node, inside)
         if not node.gone:
-            inside = inside or node.tag in ("article", "main")
+            inside = inside or node.tag in NAMED
             todo += [(c, inside) for c in node.children if type(c) is Node]
 
 
@@ -184,9 +228,15 @@ def _never(node: Node, inside: bool) -> bool:
         return False
     if attributes.get("role", "").lower() in ROLES:
         return True
-    named = {w.lower() for w in _WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}")}
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
+    named = {w.lower() for w in _WORD.findall(names)}
     if not named & WORDS:
         return False
+    if inside:
+        each = [{w.lower() for w in _WORD.findall(name)} for name in names.split()]
+        named = set().union(*(words for words in each if words & WORDS and words <= WORDS | NEUTRAL))
+        if not named or node.prose and not named & (ASIDE | ADS):
+            return False
     if named & ASIDE and not node.holds & {"main", "h1"}:
         return True
     return tag != "article" and not node.holds
@@ -221,7 +271,8 @@ def main_parts(root: Node) -> tuple[list[Node], bool]:
         return large or articles, True
     for chosen in ([n for n in live if n.tag == "main"], [n for n in live if "main" in n.attrs and _attributes(n).get("role") == "main"]):
         if chosen:
-            return [n for n in chosen if not _within(n, lambda p: p in chosen)], True
+            ids = {id(n) for n in chosen}
+            return [n for n in chosen if not _within(n, lambda p: id(p) in ids)], True
     whole = len(_text(root))
     for node in live:
         if node.attrs and node.tag not in ("html", "body") and node.tag in BLOCK:
@@ -286,37 +337,41 @@ def blocks(parts: list[Node]) -> list[str]:
     return out
 
 
-def subtrees(root: Node, parts: list[Node], named: bool) -> list[tuple[int, list[Node]]]:
-    """Hash and nodes of all that may be part of a template, on the whole page.
+def subtrees(root: Node) -> tuple[list[tuple[int, list[Node]]], dict[int, int]]:
+    """Hash and nodes of all that may be part of a template, on the whole tree, and the hashes of all nodes with a text.
 
-    In what the page itself names as its article only containers count, and the prose at its edges, so that no
-    prose is judged by how often it is repeated alone; elsewhere every block counts. Never the parts themselves, nor what holds an article,
-    a main element or an h1. Hashes of elements are even, those of runs of prose at an edge odd.
+    Containers count everywhere, by an even hash. Blocks of prose count outside of what the page itself names as its article, by an
+    odd one. Never what is, or holds, an article, a main element or an h1.
     """
-    kinds = BLOCK - {"html", "body", "h1", "main", "article", "tr", "tbody"}
-    containers = {"div", "section", "ul", "ol", "dl", "table", "figure", "details"}
-    inside = {id(n) for p in parts for n in _live(p)} if named else set()
-    chosen = {id(p) for p in parts}
+    kinds = BLOCK - {"html", "body", "caption", "tr", "tbody", "thead", "tfoot", "h1", *NAMED}
+    order: list[Node] = []
+    inside: set[int] = set()
+    for node in _walk(root):
+        order.append(node)
+        if node.tag in NAMED or node.parent is not None and id(node.parent) in inside:
+            inside.add(id(node))
     # Children come before their parents when the walk is read backwards; each node is hashed once.
-    hashes: dict[int, int | None] = {}
+    hashes: dict[int, int] = {}
     out = []
-    for node in reversed(list(_live(root))):
+    for node in reversed(order):
         inner = []
         for child in node.children:
             value = " ".join(child.split()) if type(child) is str else hashes.get(id(child))
             if value:
                 inner.append(str(value))
-        value = xxhash.xxh64_intdigest("\0".join([node.tag, *inner])) if inner else None
-        hashes[id(node)] = value
-        if value and id(node) not in chosen and not node.holds and node.tag in (containers if id(node) in inside else kinds):
+        if not inner:
+            continue
+        value = hashes[id(node)] = xxhash.xxh64_intdigest("\0".join([node.tag, *inner]))
+        if node.tag not in kinds or node.holds:
+            continue
+        if node.tag not in SMALL:
             out.append(((value & ~1) - (1 << 63), [node]))
-    if named:
-        for part in parts:
-            out += _edges(part, hashes)
-    return out
+        elif id(node) not in inside:
+            out.append(((value | 1) - (1 << 63), [node]))
+    return out, hashes
 
 
-def _edges(part: Node, hashes: dict[int, int | None]) -> list[tuple[int, list[Node]]]:
+def _edges(part: Node, hashes: dict[int, int]) -> list[tuple[int, list[Node]]]:
     """Hash and nodes of the first and the last one, two, … EDGE blocks of prose of an article, behind its title."""
     out = []
     for side in ("first", "last"):
@@ -328,7 +383,7 @@ def _edges(part: Node, hashes: dict[int, int | None]) -> list[tuple[int, list[No
                     if child.strip():
                         break
                     continue
-                if not hashes.get(id(child)) or side == "first" and not run and child.tag in ("h1", "header"):
+                if child.gone or id(child) not in hashes or side == "first" and not run and child.tag in ("h1", "header"):
                     continue
                 if child.tag not in PROSE or child.holds:
                     holder = child if not run and child.tag in HOLDERS else None
@@ -348,9 +403,12 @@ def extract(page: str, template: frozenset[int] = frozenset()) -> tuple[str, lis
     Pages that name their article differ if their main text does, others if any text does that is not ruled out.
     """
     root = parse(page)
+    _note_holds(root)
+    found, hashes = subtrees(root)
     mark(root)
     parts, named = main_parts(root)
-    found = subtrees(root, parts, named)
+    if named:
+        found += [run for part in parts for run in _edges(part, hashes)]
     hit = [node for value, nodes in found if value in template for node in nodes]
     whole = "" if named else _text(root)
     for node in hit:
@@ -367,13 +425,13 @@ def host_of(url):
     return F.lower(host)
 
 
-def main_text(pages: DataFrame, least_pages: int = 5, least_share: float = 0.1) -> DataFrame:
+def main_text(pages: DataFrame, least_pages: int = 5, least_share: float = 0.5) -> DataFrame:
     """(page_id, url, text) of every row of pages (page_id, url, html): the main text, blocks joined by one \\n.
 
-    A subtree is a template of its host if it stands on at least `least_pages` pages of the host with different texts, and on
-    `least_share` of them; copies of one page count once. The first or last blocks of prose of an article are templates if they stand there
-    on at least `least_pages` such pages and on most of the host's. Pages without a valid url share the host ''. Null html is empty, and an empty text
-    is "". Rows that repeat are separate; other columns are ignored; an empty table gives an empty table.
+    A container is a template of its host if it stands on at least `least_pages` pages of the host with different texts, however many
+    pages the host has; copies of one page count once. A block of prose, or the first or last ones of an article, must also stand on
+    `least_share` of the host's pages. Pages without a valid url share the host ''. Null html is empty, and an empty text is "". Very long pages
+    are parsed whole, in time that grows with them. Rows that repeat are separate; other columns are ignored; an empty table gives an empty table.
 
     Each page is parsed once; only pages that hold a template subtree are parsed again.
     """
@@ -395,8 +453,9 @@ def main_text(pages: DataFrame, least_pages: int = 5, least_share: float = 0.1)
     spread = held.select("host", "content", F.explode("subtrees").alias("h")).distinct().groupBy("host", "h")
     spread = spread.agg(F.count("*").alias("pages")).filter(F.col("pages") >= least_pages)
     hosts = found.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("all_pages"))
-    share = F.when(F.col("h").bitwiseAND(F.lit(1)) == 1, 0.5).otherwise(least_share)
-    templates = spread.join(hosts, "host").filter(F.col("pages") >= F.col("all_pages") * share).select("host", "h")
+    prose = F.col("h").bitwiseAND(F.lit(1)) == 1
+    enough = ~prose | (F.col("pages") >= F.col("all_pages") * F.lit(least_share))
+    templates = spread.join(hosts, "host").filter(enough).select("host", "h")
     templates = written(templates, "html-templates")
     hit = held.select("host", "key", F.explode("subtrees").alias("h")).join(templates, ["host", "h"])
     hit = written(hit.groupBy("key").agg(F.collect_set("h").alias("template")), "html-hits")
@@ -409,5 +468,5 @@ def main_text(pages: DataFrame, least_pages: int = 5, least_share: float = 0.1)
                 texts = pa.array([extract(p, frozenset(t))[0] for p, t in both], pa.string())
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), texts], ["page_id", "url", "text"])
 
-    changed = rows.join(hit, "key").select("page_id", "url", "html", "template")
+    changed = perhaps_among(rows, "key", hit.select("key")).join(hit, "key").select("page_id", "url", "html", "template")
     return plain.union(changed.mapInArrow(again, "page_id long, url string, text string"))

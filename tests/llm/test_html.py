@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import html as entities
+import random
 import re
 import time
+from collections import Counter
+from xml.etree import ElementTree
 
 import pytest
 
@@ -33,13 +36,17 @@ PAGE = """<!DOCTYPE html><html><head><title>t</title></head><body class="has-sid
         ("<p title='a > b' data-x=\"<p>\">quoted</p>", "quoted"),
         ("<p>open tag <a href='x", "open tag"),
         ("</div></p>stray<li>x</span>y", "stray\nxy"),
+        ("<ul><li>a<li>b<ul><li>c</ul>d<li>e</ul><b>f</div>g", "a\nb\nc\nd\ne\nfg"),
+        ("<article><p>a</p><div id='search-algorithms'><p>Binary search.</p></div><div class='related-work'>b</div></article>", "a\nBinary search.\nb"),
+        ("<article><div id=search><p>prose</p></div><div class='share-buttons'>x</div><div class=comments><p>nice</p></div></article>", "prose"),
     ],
 )
 def test_main_text(page, text):
     assert html.extract(page)[0] == text
 
 
-@pytest.mark.parametrize("page", ["<div>" * 20_000 + "x", "<b>" * 4000 + "<p>x" * 4000, '<a "' * 20_000, "<!-- " * 20_000, "<div class=ad>" * 3000 + "<article>x"])
+@pytest.mark.parametrize("page", ["<div>" * 20_000 + "x", "<b>" * 4000 + "<p>x" * 4000, '<a "' * 20_000, "<!-- " * 20_000, "<div class=ad>" * 3000 + "<article>x",
+    "<b>" * 50_000 + "<div>x</div>" * 50_000, "<b>" * 50_000 + "<li>x" * 50_000, "<i>" * 50_000 + "<div></i>" * 50_000])
 def test_long_nonsense_is_quick(page):
     start = time.monotonic()
     html.extract(page)
@@ -100,3 +107,48 @@ def test_edges_are_judged_on_most_pages(spark):
     first = "<p>It was a dark night.</p>"
     pages = [(i, f"http://a.example/{i}", f"<article>{first if i < 5 else ''}<p>text {i}</p></article>") for i in range(12)]
     assert got(spark, pages) == sorted([(i, u, f"It was a dark night.\ntext {i}" if i < 5 else f"text {i}") for i, u, _ in pages], key=str)
+
+
+def test_a_box_goes_however_many_pages_its_host_has(spark):
+    """The same box on 9 of 150 pages of one host and on 9 of 20 of another; prose that a few pages of a host share is text."""
+    box, line = "<div class=x>Read more on our site</div>", "<p>Yes.</p>"
+    page = lambda i, n: f"{box if n < 9 else ''}<div><h2>T{i}</h2><p>text {i}</p>{line if n < 9 else ''}</div>"
+    pages = [(i, f"http://a.example/{i}", page(i, i)) for i in range(150)] + [(200 + i, f"http://b.example/{i}", page(i, i)) for i in range(20)]
+    want = [(i, u, f"T{i % 200}\ntext {i % 200}" + ("\nYes." if i % 200 < 9 else "")) for i, u, _ in pages]
+    assert got(spark, pages) == sorted(want, key=str)
+
+
+def brute(pages, least=5):
+    """The text of well-formed pages of div, section and p: containers on `least` different pages of the host go, counted by their source."""
+    trees = {i: ElementTree.fromstring(f"<body>{h}</body>") for i, _, h in pages}
+    host = {i: u.split("/")[2] for i, u, _ in pages}
+    shown = {i: [e.text for e in t.iter("p")] for i, t in trees.items()}
+    held = {(host[i], ElementTree.tostring(e), tuple(shown[i])) for i, t in trees.items() for e in t.iter() if e.tag in ("div", "section")}
+    counts = Counter((h, e) for h, e, _ in held)
+    texts = {}
+    for i, tree in trees.items():
+        todo, out = [tree], []
+        while todo:
+            e = todo.pop()
+            if counts[host[i], ElementTree.tostring(e)] < least:
+                out += [e.text] if e.tag == "p" else []
+                todo += reversed(list(e))
+        texts[i] = "\n".join(out)
+    return sorted([(i, u, texts[i]) for i, u, _ in pages], key=str)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_counting_by_hand(spark, seed):
+    """Nested boxes drawn from few words on hosts of many and few pages; no prose stands on most pages."""
+    rng = random.Random(seed)
+
+    def box(depth):
+        inner = [box(depth - 1) if depth and rng.random() < 0.5 else f"<p>w{rng.randrange(30)}</p>" for _ in range(rng.randint(1, 2))]
+        tag = rng.choice(["div", "section"])
+        return f"<{tag}>{''.join(inner)}</{tag}>"
+
+    hosts = ["a.example"] * 120 + ["b.example"] * 15 + ["c.example"] * 4
+    pages = [(i, f"http://{h}/{i}", f"<div><p>own {i % 110}</p>{box(0)}{box(2)}</div>{box(1)}") for i, h in enumerate(hosts)]
+    want = brute(pages)
+    assert sum(len(re.findall(r"w\d", t)) < h.count(">w") for (_, _, t), (_, _, h) in zip(want, sorted(pages, key=str))) > 20
+    assert got(spark, pages) == want
