@@ -257,8 +257,8 @@ def _text(node: Node) -> str:
     return " ".join("".join(out).split())
 
 
-def main_parts(root: Node) -> tuple[list[Node], bool]:
-    """The elements that hold the main text in page order, and whether the page names them itself.
+def main_parts(root: Node) -> tuple[list[Node], list[Node]]:
+    """The elements that hold the main text in page order, and those they were chosen from if the page names them itself.
 
     Articles; if one holds half of all their text, only that. Without one, the main element. Without that, the outermost element with
     a class for content that holds half of the page's text, or else the whole page.
@@ -268,19 +268,20 @@ def main_parts(root: Node) -> tuple[list[Node], bool]:
     if articles:
         sizes = [len(_text(a)) for a in articles]
         large = [a for a, s in zip(articles, sizes) if 2 * s > sum(sizes)]
-        return large or articles, True
+        return large or articles, articles
     for chosen in ([n for n in live if n.tag == "main"], [n for n in live if "main" in n.attrs and _attributes(n).get("role") == "main"]):
         if chosen:
             ids = {id(n) for n in chosen}
-            return [n for n in chosen if not _within(n, lambda p: id(p) in ids)], True
+            outer = [n for n in chosen if not _within(n, lambda p: id(p) in ids)]
+            return outer, outer
     whole = len(_text(root))
     for node in live:
         if node.attrs and node.tag not in ("html", "body") and node.tag in BLOCK:
             attributes = _attributes(node)
             named = {w.lower() for w in _WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}")}
             if named & CONTENT and 2 * len(_text(node)) > whole:
-                return [node], False
-    return [root], False
+                return [node], []
+    return [root], []
 
 
 def _live(root: Node):
@@ -397,8 +398,9 @@ def _edges(part: Node, hashes: dict[int, int]) -> list[tuple[int, list[Node]]]:
     return out
 
 
-def extract(page: str, template: frozenset[int] = frozenset()) -> tuple[str, list[int], int]:
-    """The main text of a page without the given template subtrees, the hashes of all its subtrees, and a hash that tells pages apart.
+def extract(page: str, template: frozenset[int] = frozenset()) -> tuple[str, list[int], list[int], int]:
+    """The main text of a page without the given template subtrees, the hashes of all its subtrees, and of those that are part of what
+    the main text is chosen from, so that the others change nothing if they go; and a hash that tells pages apart.
 
     Pages that name their article differ if their main text does, others if any text does that is not ruled out.
     """
@@ -409,14 +411,17 @@ def extract(page: str, template: frozenset[int] = frozenset()) -> tuple[str, lis
     parts, named = main_parts(root)
     if named:
         found += [run for part in parts for run in _edges(part, hashes)]
-    hit = [node for value, nodes in found if value in template for node in nodes]
     whole = "" if named else _text(root)
-    for node in hit:
-        node.gone = True
-    if hit:
+    among = {id(n) for part in named or [root] for n in _live(part)}
+    telling = {value for value, nodes in found if any(id(n) in among for n in nodes)}
+    if not telling.isdisjoint(template):
+        for value, nodes in found:
+            if value in template:
+                for node in nodes:
+                    node.gone = True
         parts, _ = main_parts(root)
     text = "\n".join(blocks(parts))
-    return text, sorted({value for value, _ in found}), xxhash.xxh64_intdigest(whole or text) - (1 << 63)
+    return text, sorted({value for value, _ in found}), sorted(telling), xxhash.xxh64_intdigest(whole or text) - (1 << 63)
 
 
 def host_of(url):
@@ -433,7 +438,7 @@ def main_text(pages: DataFrame, least_pages: int = 5, least_share: float = 0.5)
     `least_share` of the host's pages. Pages without a valid url share the host ''. Null html is empty, and an empty text is "". Very long pages
     are parsed whole, in time that grows with them. Rows that repeat are separate; other columns are ignored; an empty table gives an empty table.
 
-    Each page is parsed once; only pages that hold a template subtree are parsed again.
+    Each page is parsed once; only pages that hold a template subtree in what their main text is chosen from are parsed again.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumns({"host": host_of(F.col("url")), "key": F.xxhash64("page_id", "url", "html")})
@@ -442,12 +447,13 @@ def main_text(pages: DataFrame, least_pages: int = 5, least_share: float = 0.5)
         for batch in batches:
             for part in chunks(batch, "html"):
                 found = [extract(p) for p in part.column("html").to_pylist()]
-                new = [pa.array([t for t, _, _ in found], pa.string()), pa.array([c for _, _, c in found], pa.int64())]
-                new.append(pa.array([h for _, h, _ in found], pa.list_(pa.int64())))
+                texts, all_, telling, contents = zip(*found) if found else [()] * 4
+                new = [pa.array(texts, pa.string()), pa.array(contents, pa.int64())]
+                new += [pa.array(hashes, pa.list_(pa.int64())) for hashes in (all_, telling)]
                 kept = ["page_id", "url", "host", "key"]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *new], [*kept, "text", "content", "subtrees"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *new], [*kept, "text", "content", "subtrees", "telling"])
 
-    schema = "page_id long, url string, host string, key long, text string, content long, subtrees array<long>"
+    schema = "page_id long, url string, host string, key long, text string, content long, subtrees array<long>, telling array<long>"
     found = written(rows.mapInArrow(first, schema), "html-pages")
     held = found.filter(F.size("subtrees") > 0)
     spread = held.select("host", "content", F.explode("subtrees").alias("h")).distinct().groupBy("host", "h")
@@ -457,7 +463,7 @@ def main_text(pages: DataFrame, least_pages: int = 5, least_share: float = 0.5)
     enough = ~prose | (F.col("pages") >= F.col("all_pages") * F.lit(least_share))
     templates = spread.join(hosts, "host").filter(enough).select("host", "h")
     templates = written(templates, "html-templates")
-    hit = held.select("host", "key", F.explode("subtrees").alias("h")).join(templates, ["host", "h"])
+    hit = held.select("host", "key", F.explode("telling").alias("h")).join(templates, ["host", "h"])
     hit = written(hit.groupBy("key").agg(F.collect_set("h").alias("template")), "html-hits")
     plain = found.join(hit, "key", "left_anti").select("page_id", "url", "text")
 
