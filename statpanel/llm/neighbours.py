@@ -16,9 +16,11 @@ FOUND = "q long, query_id long, vec_id long, score double"
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """Rows (vec_id, embedding, dim) that take part: no nulls, no non-finite component, not zero."""
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
-    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) <= F.lit(3.4028235e38))
+    """Rows (vec_id, embedding, dim) that take part: no nulls, no non-finite component, not zero. Floats stay floats, all else is taken as doubles."""
+    kept = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
+    embedding = F.col("embedding") if kept else F.col("embedding").cast("array<double>")
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), embedding.alias("embedding"))
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     rows = rows.filter("vec_id is not null and embedding is not null and size(embedding) > 0")
     rows = rows.filter(F.forall("embedding", finite)).filter(F.exists("embedding", lambda x: x != 0))
     return rows.withColumn("dim", F.size("embedding"))
@@ -29,10 +31,15 @@ def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     return (np.concatenate(flat) if flat else np.zeros(0, np.float32)).reshape(-1, dim)
 
 
+def _scaled(m: np.ndarray) -> np.ndarray:
+    """Rows in double over their largest component, so that squares of tiny or huge ones stay in range."""
+    m = m.astype(np.float64)
+    return m / np.abs(m).max(axis=1, keepdims=True)
+
+
 def _quantised(m: np.ndarray):
     """Unit rows as int8 steps: scale, steps, length of the steps' row, length of the error."""
-    unit = m.astype(np.float64)
-    unit /= np.abs(unit).max(axis=1, keepdims=True)  # keeps squares of tiny or huge components in range
+    unit = _scaled(m)
     unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
     scale = np.abs(unit).max(axis=1) / 127
     steps = np.rint(unit / scale[:, None]).astype(np.int8)
@@ -42,8 +49,7 @@ def _quantised(m: np.ndarray):
 
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row-wise cosine in double precision; equal rows give equal values."""
-    a, b = a.astype(np.float64), b.astype(np.float64)
-    a, b = a / np.abs(a).max(axis=1, keepdims=True), b / np.abs(b).max(axis=1, keepdims=True)
+    a, b = _scaled(a), _scaled(b)
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
 
 
@@ -108,12 +114,13 @@ def _numbers(n: int) -> Column:
 
 
 def nearest(
-    vectors: DataFrame, queries: DataFrame, k: int = 5, tile_rows: int = 16384, tile_queries: int = 4096
+    vectors: DataFrame, queries: DataFrame, k: int = 5, tile_rows: int = 16384, tile_queries: int = 4096, merge_rows: int = 1 << 18
 ) -> DataFrame:
     """The k rows of `vectors` with the largest cosine to each row of `queries` (both vec_id, embedding).
 
     Candidates are cut into strips of about `tile_rows` rows and queries into strips of about `tile_queries`; each pair of strips meets in
-    one task as a tile, which holds no more than that, and keeps k rows per query. Exact: int8 products only rule out
+    one task as a tile, which holds no more than that, and keeps k rows per query; a group of queries whose lists are merged holds about
+    `merge_rows` of these. Exact: int8 products only rule out
     what their error bound proves to be farther. Nearest first, ties to the smaller vec_id, rank from 1, all candidates if fewer than k.
 
     Rows with a null id, null, empty or zero vectors or null or non-finite components take no part, on either side.
@@ -123,7 +130,8 @@ def nearest(
     rows = written(usable(vectors), "nn-rows")
     asked = written(usable(queries).withColumn("q", F.monotonically_increasing_id()), "nn-queries")
     strips = max(1, -(-rows.count() // tile_rows))
-    columns = max(1, -(-asked.count() // tile_queries))
+    questions = asked.count()
+    columns = max(1, -(-questions // tile_queries))
     number = F.monotonically_increasing_id()
     left = rows.select("*", F.pmod(number, F.lit(strips)).alias("r"))
     left = left.select("*", F.explode(_numbers(columns)).alias("c"))
@@ -136,7 +144,9 @@ def nearest(
         return found.append_column("tile", pa.array(np.full(found.num_rows, key[1].as_py(), np.int64)))
 
     tiles = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(tile, FOUND + ", tile long")
-    merged = tiles.groupBy(F.pmod(F.xxhash64("q"), F.lit(max(8, columns * 4))).alias("g"))
+    # A query has a list of k rows from each strip, so the groups grow in number with the strips, and not in size.
+    groups = max(8, -(-questions * strips * k // merge_rows))
+    merged = tiles.groupBy(F.pmod(F.xxhash64("q"), F.lit(groups)).alias("g"))
     return merged.applyInArrow(
         lambda t: _merged(t, k), "query_id long, rank int, vec_id long, score double"
     )

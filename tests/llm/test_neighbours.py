@@ -9,11 +9,11 @@ from statpanel.llm import neighbours, queries
 SCHEMA = "vec_id long, embedding array<float>, label int, query_id long, score double"
 
 
-def brute(rows, asked, k=5):
+def brute(rows, asked, k=5, kind=np.float32):
     def ok(v):
-        return v and all(x is not None and np.isfinite(np.float32(x)) for x in v) and any(x != 0 for x in v)
+        return v and all(x is not None and np.isfinite(kind(x)) for x in v) and any(x != 0 for x in v)
 
-    rows = [(i, np.array(v, np.float32)) for i, v in rows if i is not None and ok(v)]
+    rows = [(i, np.array(v, kind)) for i, v in rows if i is not None and ok(v)]
     out = []
     for q, a in [r for r in rows if r[0] in asked]:
         near = [(-neighbours.cosine(a[None], b[None])[0], i) for i, b in rows if i != q and len(b) == len(a)]
@@ -21,17 +21,18 @@ def brute(rows, asked, k=5):
     return sorted(out)
 
 
-def frame(spark, rows):
-    return spark.createDataFrame([(i, v, 0, 7, 0.5) for i, v in rows], SCHEMA).repartition(3)
+def frame(spark, rows, kind=np.float32):
+    schema = SCHEMA if kind is np.float32 else SCHEMA.replace("array<float>", "array<double>")
+    return spark.createDataFrame([(i, v, 0, 7, 0.5) for i, v in rows], schema).repartition(3)
 
 
-def check(spark, rows, asked, **sizes):
-    vectors = frame(spark, rows)
+def check(spark, rows, asked, kind=np.float32, **sizes):
+    vectors = frame(spark, rows, kind)
     got = neighbours.nearest(vectors, vectors.filter(F.col("vec_id").isin(list(asked))), **sizes)
-    assert sorted(tuple(r) for r in got.collect()) == brute(rows, asked)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows, asked, kind=kind)
 
 
-@pytest.mark.parametrize("sizes", [{}, {"tile_rows": 70, "tile_queries": 9}])
+@pytest.mark.parametrize("sizes", [{}, {"tile_rows": 70, "tile_queries": 9}, {"tile_rows": 70, "tile_queries": 9, "merge_rows": 40}])
 def test_equals_brute_force(spark, sizes):
     rng = np.random.default_rng(5)
     rows = [(i, [float(x) for x in rng.normal(size=16).astype(np.float32)]) for i in range(400)]
@@ -47,6 +48,15 @@ def test_rows_that_take_no_part(spark):
     check(spark, rows, {0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10})
 
 
+def test_doubles_stay_doubles(spark):
+    """Components beyond the range of floats take part, and neighbours that differ only beyond the digits of floats are told apart."""
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=8)
+    rows = [(i, [float(x) for x in base + 1e-9 * rng.normal(size=8)]) for i in range(120)]
+    rows += [(200, [1.0, 1e39] + [0.0] * 6), (201, [1.0, 1e300] + [0.0] * 6), (202, [1e-300] * 8), (203, [float("inf")] + [1.0] * 7)]
+    check(spark, rows, {0, 20, 40, 200, 201, 202, 203}, kind=np.float64, tile_rows=50, merge_rows=10)
+
+
 def test_empty(spark):
     check(spark, [], {0})
 
