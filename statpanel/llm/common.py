@@ -11,15 +11,26 @@ from pyspark.sql import functions as F
 from statpanel.sources.scratch import scratch_path
 
 
+#: Spark's setting to remove the files of a query's shuffles when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` as a parquet table in the shared working folder, read again.
 
     Cuts the lineage: a lost executor costs the tasks it ran, not the steps before the table. Each call writes
-    to a new folder below `spark.checkpoint.dir`; the owner of that folder clears it.
+    to a new folder below `spark.checkpoint.dir`; the owner of that folder clears it. The shuffles of this write are of no use
+    after it, so Spark is asked to remove their files then, instead of when the driver collects garbage.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
@@ -73,12 +84,21 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     return nodes.union(links.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct()
 
 
+def fits(spark, size: int) -> bool:
+    """Whether a table of so many bytes is below Spark's own threshold for broadcasts."""
+    return size <= spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def perhaps_among(rows: DataFrame, key: str, members: DataFrame, bits: int = 25) -> DataFrame:
     """The rows whose long `key` may be among the `members` (one long column): none that is gets lost.
 
-    A filter to put before a join, so that rows without a partner are not shuffled. The members become a bitmap of 2**bits places
-    by hash, 4 MB whatever their number, which is broadcast; of other rows the share of places taken gets through.
+    A filter to put before a join, so that rows without a partner are not shuffled. Members, a written table, that are together below Spark's
+    threshold are broadcast themselves. More become a bitmap of 2**bits places by hash, 4 MB whatever their number, which is
+    broadcast; of other rows the share of places taken gets through.
     """
+    if fits(rows.sparkSession, 16 * members.count()):
+        own = members.select(F.col(members.columns[0]).alias(key)).distinct()
+        return rows.join(F.broadcast(own), key, "left_semi").select(*rows.columns)
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits)) + 1
     spot = members.select(place(F.col(members.columns[0])).alias("_place"))
     maps = spot.groupBy(F.bitmap_bucket_number("_place").alias("_bucket"))
