@@ -1,12 +1,11 @@
-"""Fuzzy line deduplication with DataFrame functions only.
+"""Fuzzy line deduplication: MinHash bands, exact comparison, distributed union-find.
 
 Lines are compared by character shingles: WIDTH characters from every character on, or the whole of a shorter line. MinHash signatures of the
 shingles are cut into bands; of lines that share a band, those whose signatures agree in enough places are compared exactly, by
 64-bit hashes of the shingles; classes are the connected components of similar lines, and one line of each class stays.
 
-A short line has a signature of independent minima. A long one has so many shingles that one hash of each will do: it names one of BINS bins,
-and the signature holds the least hash of each. Of lines much longer than that only the hashes below a bound are looked at, as the least
-ones lie there. Lines of lengths that a similar line of the other kind could have get both signatures.
+Signatures and exact comparisons are made in numpy inside tasks: cutting and hashing shingles with DataFrame functions took several times the
+CPU. All else is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -17,19 +16,15 @@ from operator import add, or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statpanel.llm.common import linked, perhaps_among, written
+from statpanel.llm import line_signatures
+from statpanel.llm.common import fits, linked, perhaps_among, written
+from statpanel.llm.line_signatures import PLACES, WIDTH, WORDS
 
-WIDTH = 5
 SIMILARITY = 0.8
 #: Lines are compared if one band of three hashes agrees: at a similarity of 0.8 that is missed for 3 pairs in 1,000, at 0.9 for 3 in 10**5.
 BANDS, ROWS = 8, 3
-BINS = BANDS * ROWS
 #: Of the places of a signature at least so many must agree: fewer do for 2 in 10**4 pairs with a similarity of 0.8.
 AGREE = 12
-#: Characters from which on a line has a signature by bins, and up to which it has one of independent minima; hashes looked at per bin.
-BINNED, INDEPENDENT, PER_BIN = 64, 230, 12
-#: A line of INDEPENDENT characters or more with so few different shingles, or so many empty bins, is signed once more, from all its hashes.
-FEW, EMPTY = 128, 3
 #: Lines that share a bucket and more, beyond which they are only paired by their rarest shingles.
 MANY = 32
 #: The shingle stands in a group ahead of the one character that is consumed.
@@ -79,89 +74,56 @@ def _hashed(rows: DataFrame, *kept: str) -> DataFrame:
     return _cut(rows, *kept).select(*kept, F.xxhash64("shingle").alias("s"))
 
 
-def _least(rows: DataFrame) -> DataFrame:
-    """(n, full, chars, bound, m0 to m23) of rows (n, line, chars, full, bound): the signature by bins, or if full the independent minima."""
-    kept = ("n", "full", "chars", "bound")
-    each = _cut(rows, *kept).select(*kept, F.hash("shingle").alias("h"))
-    each = each.withColumn("h", F.when(F.col("full"), F.col("h")).otherwise(F.col("h").bitwiseAND(0x7FFFFFFF)))
-    each = each.filter("full or h <= bound").withColumn("bin", F.col("h") % BINS)
-    # Each independent minimum mixes the hash anew: with a few shingles, the least (hash xor salt) would be one shingle's for many salts.
-    value = lambda i: F.when(F.col("full"), F.hash(F.lit(i), "h")).when(F.col("bin") == i, F.col("h"))
-    chars = [F.first(c).alias(c) for c in ("chars", "bound")]
-    return each.groupBy("n", "full").agg(*chars, *[F.min(value(i)).alias(f"m{i}") for i in range(BINS)])
+def _signed(docs: DataFrame) -> DataFrame:
+    """(n, s0 to s5): the packed signature of every distinct line."""
+    rows = line_signatures.signed(docs, WHITE)
+    return written(rows.groupBy("n").agg(*[F.first(f"s{w}").alias(f"s{w}") for w in range(WORDS)]), "lines-signed")
 
 
-def _signed(docs: DataFrame) -> DataFrame:
-    """(n, full, m0 to m23): the signatures of every distinct line."""
-    lines = _lines(docs).select("n", "line", F.length("line").alias("chars"))
-    kinds = F.when(F.col("chars") < BINNED, F.array(F.lit(True)))
-    kinds = kinds.when(F.col("chars") < INDEPENDENT, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))
-    whole = F.lit(0x7FFFFFFF)
-    bound = F.least(whole, F.floor(whole / F.col("chars") * (PER_BIN * BINS))).cast("int").alias("bound")
-    first = written(_least(lines.select("*", F.explode(kinds).alias("full"), bound)), "lines-signed")
-    # A bin of c hashes has its least at 1 / (c + 1) of the range, on average.
-    low = reduce(add, [F.coalesce(F.col(f"m{i}") / whole, F.lit(1.0)) for i in range(BINS)])
-    empty = reduce(add, [F.col(f"m{i}").isNull().cast("int") for i in range(BINS)])
-    different = (BINS / low - 1) * BINS
-    again = first.filter(~F.col("full") & (F.col("chars") >= INDEPENDENT))
-    again = again.filter((different < FEW) | (empty >= EMPTY) & (F.col("bound") < whole)).select("n")
-    names = ["n", "full", *[f"m{i}" for i in range(BINS)]]
-    if again.isEmpty():
-        return first.select(names)
-    again = written(again, "lines-again")
-    lines = perhaps_among(lines, "n", again).join(again, "n").withColumn("bound", whole)
-    rest = first.join(again.withColumn("full", F.lit(False)), ["n", "full"], "left_anti")
-    return written(rest.select(names).union(_least(lines.select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("full"))).select(names)), "lines-signed")
+def _place(i: int, word: str = "s") -> Column:
+    """The 16 bits of a place of the packed signature."""
+    return F.shiftrightunsigned(F.col(f"{word}{i // 4}"), 16 * (i % 4)).bitwiseAND(0xFFFF)
+
+
+def _together(*places: int) -> Column:
+    """Up to four places of the signature in one number."""
+    return reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft(_place(i), 16 * at) for at, i in enumerate(places)])
 
 
 def _bands() -> Column:
-    """The hash of each band of a signature, null if it has an empty bin, which says too little."""
-    places = [[F.col(f"m{b + r * BANDS}") for r in range(ROWS)] for b in range(BANDS)]
-    bands = [F.xxhash64("full", F.lit(b), *places[b]) for b in range(BANDS)]
-    return F.array(*[F.when(~reduce(or_, [m.isNull() for m in places[b]]), bands[b]) for b in range(BANDS)])
+    """The hash of each band of a signature."""
+    return F.array(*[F.xxhash64(F.lit(b), _together(*range(b, PLACES, BANDS))) for b in range(BANDS)])
 
 
 def _buckets(signed: DataFrame) -> DataFrame:
     """(bucket, n): the bands of the signatures."""
-    return signed.select(F.explode(F.array_compact(_bands())).alias("bucket"), "n")
+    return signed.select(F.explode(_bands()).alias("bucket"), "n")
 
 
 def _finer(signed: DataFrame, open_: DataFrame) -> DataFrame:
     """(key, n, c): for each open (bucket, n, c), keys of the bucket's band and two more places of the signature."""
-    rest = [[i for i in range(BINS) if i % BANDS != b] for b in range(BANDS)]
-    couple = lambda b, k: F.xxhash64(F.col("bucket"), F.lit(k), *[f"m{i}" for i in rest[b][2 * k : 2 * k + 2]])
-    keys = lambda b: F.array(*[couple(b, k) for k in range((BINS - ROWS) // 2)])
+    rest = [[i for i in range(PLACES) if i % BANDS != b] for b in range(BANDS)]
+    couple = lambda b, k: F.xxhash64(F.col("bucket"), F.lit(k), _together(*rest[b][2 * k : 2 * k + 2]))
+    keys = lambda b: F.array(*[couple(b, k) for k in range((PLACES - ROWS) // 2)])
     banded = signed.select("*", F.posexplode(_bands()).alias("b", "bucket")).join(open_, ["bucket", "n"])
     which = reduce(lambda out, b: out.when(F.col("b") == b, keys(b)), range(1, BANDS), F.when(F.col("b") == 0, keys(0)))
     return banded.select(F.explode(which).alias("key"), "n", "c").distinct()
 
 
-def _packed(signed: DataFrame) -> DataFrame:
-    """(n, s0 to s5): a byte of each place of the signature of independent minima in s0 to s2, of that by bins in s3 to s5; null where there is none."""
-    byte = lambda i, at: F.shiftleft(F.shiftright(F.coalesce(f"m{i}", F.lit(0)), 5).bitwiseAND(255).cast("long"), 8 * at)
-    words = [reduce(lambda a, b: a.bitwiseOR(b), [byte(8 * w + at, at) for at in range(8)]) for w in range(3)]
-    sides = [F.max(F.when(F.col("full") == full, word)).alias(f"s{w + 3 * (not full)}") for full in (True, False) for w, word in enumerate(words)]
-    return signed.groupBy("n").agg(*sides)
-
-
-def _agreeing(one: str, two: str, words: range) -> Column:
-    """In how many places two packed signatures agree; null if one has none."""
-    same = lambda w, at: (F.shiftrightunsigned(F.col(f"{one}{w}").bitwiseXOR(F.col(f"{two}{w}")), 8 * at).bitwiseAND(255) == 0).cast("int")
-    return reduce(add, [same(w, at) for w in words for at in range(8)])
+def _agreeing(one: str, two: str) -> Column:
+    """In how many places two packed signatures agree."""
+    return reduce(add, [(_place(i, one) == _place(i, two)).cast("int") for i in range(PLACES)])
 
 
 def similar_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
     """(n, n2, component): the classes of distinct lines that are similar to another distinct line, by the lines' hashes."""
     found: dict[str, DataFrame] = {}
     signed = _signed(docs)
-    packed = written(_packed(signed), "lines-packed")
 
     def likely(pairs: DataFrame) -> DataFrame:
-        """The pairs whose signatures agree in enough places, in those of either kind that both have."""
-        side = lambda s: packed.select(F.col("n").alias(s), *[F.col(f"s{w}").alias(f"{s}{w}") for w in range(6)])
-        both = pairs.join(side("a"), "a").join(side("b"), "b")
-        agree = F.greatest(_agreeing("a", "b", range(3)), _agreeing("a", "b", range(3, 6)))
-        return both.filter(agree >= AGREE).select("a", "b")
+        """The pairs whose signatures agree in enough places."""
+        side = lambda s: signed.select(F.col("n").alias(s), *[F.col(f"s{w}").alias(f"{s}{w}") for w in range(WORDS)])
+        return pairs.join(side("a"), "a").join(side("b"), "b").filter(_agreeing("a", "b") >= AGREE).select("a", "b")
 
     def texts_of(pairs: DataFrame) -> DataFrame:
         """(n, n2, line) of the lines of `pairs`, of those not yet known from the documents."""
@@ -178,13 +140,7 @@ def similar_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
         texts = texts_of(pairs)
         side = lambda s: texts.select(F.col("n").alias(s), F.col("line").alias(f"line_{s}"))
         both = pairs.join(side("b"), "b").join(side("a"), "a")
-        # Dealt by pair, so that the two aggregations that follow need no other shuffle, and a line of many pairs is no hot key.
-        both = both.repartition("a", "b")
-        halves = F.array(*[F.struct(F.lit(bit).alias("half"), F.col(f"line_{s}").alias("line")) for bit, s in ((1, "a"), (2, "b"))])
-        each = _hashed(both.select("a", "b", F.explode(halves).alias("e")).select("a", "b", "e.half", "e.line"), "a", "b", "half")
-        each = each.groupBy("a", "b", "s").agg(F.bit_or("half").alias("halves"))
-        both = each.groupBy("a", "b").agg(F.count_if(F.col("halves") == 3).alias("common"), F.count("*").alias("all"))
-        return both.filter(F.col("common") >= F.col("all") * F.lit(similar)).select("a", "b")
+        return line_signatures.similar_pairs(both, similar)
 
     def apart(open_: DataFrame) -> DataFrame:
         """Pairs of different classes that share a bucket and whose signatures agree in enough places.
@@ -192,9 +148,9 @@ def similar_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
         Of a bucket of MANY lines at most, all such pairs. In larger ones lines have to share two more places of the signature, as all but 1 in
         20,000 do at a similarity of 0.8, and where many of different classes still meet, one of their rarest shingles.
         """
-        few = open_.filter(F.col("size") <= MANY).join(packed, "n")
+        few = open_.filter(F.col("size") <= MANY).join(signed, "n")
         one, two = few.alias("one"), few.alias("two")
-        likely_ = F.greatest(_agreeing("one.s", "two.s", range(3)), _agreeing("one.s", "two.s", range(3, 6))) >= AGREE
+        likely_ = _agreeing("one.s", "two.s") >= AGREE
         pairs = one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.c") < F.col("two.c")) & likely_)
         pairs = written(pairs.select(F.col("one.n").alias("x"), F.col("two.n").alias("y")), "lines-few")
         finer = written(_finer(signed, open_.filter(F.col("size") > MANY).drop("size")), "lines-finer")
@@ -246,7 +202,7 @@ def deduplicated_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFram
     empty table gives an empty table.
 
     Equal lines meet as counts added up before any shuffle, so a line that stands in a third of all documents costs no more than
-    another. Texts are shuffled once, to their own removals.
+    another. Texts are shuffled at most once, to their own removals; not at all where these are few enough to be broadcast.
     """
     keyed = _keyed(docs.drop("removed_lines"))
     lines = keyed.drop("_doc")
@@ -264,7 +220,9 @@ def deduplicated_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFram
     gone = F.collect_set(F.when(spot != F.col("first"), F.col("pos"))).alias("gone")
     marks = shared.groupBy("late", "_row").agg(gone, (F.count("*") > F.size(F.collect_set("pos"))).alias("repeated"))
     marks = marks.select("late", "_row", F.when(F.size("gone") > 0, F.col("gone")).alias("gone"), "repeated")
-    marks = written(marks.filter("gone is not null or repeated"), "lines-gone").hint("shuffle_hash")
+    marks = written(marks.filter("gone is not null or repeated"), "lines-gone")
+    rows, places = marks.agg(F.count("*"), F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()
+    marks = marks.hint("broadcast" if fits(docs.sparkSession, 48 * rows + 4 * places) else "shuffle_hash")
     out = keyed.join(marks, ["late", "_row"], "left")
 
     names = [c for c in docs.columns if c != "removed_lines"]
