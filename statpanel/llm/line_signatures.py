@@ -16,6 +16,8 @@ PLACES = 24
 WORDS = PLACES // 4
 #: Characters that are hashed at a time; longer lines are cut, with an overlap. Lines that a task remembers, so as not to sign them again.
 PIECE, REMEMBERED = 1 << 16, 1 << 18
+#: Slots in which shingles are counted: 8 MB at the driver and in each worker.
+SLOTS = 1 << 20
 #: Stands behind lines of fewer characters than a shingle has; no character of a text.
 PAD = "\ud800"
 
@@ -116,6 +118,68 @@ def signed(docs: DataFrame, white: str) -> DataFrame:
     return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, schema)
 
 
+def once_a_task(lines: DataFrame) -> DataFrame:
+    """Rows (n, line) without most of those whose n a task has seen before."""
+
+    def run(batches):
+        seen: set[int] = set()
+        for batch in batches:
+            new = []
+            for i, n in enumerate(batch.column(0).to_pylist()):
+                if n not in seen:
+                    seen.add(n)
+                    new.append(i)
+            if len(seen) > REMEMBERED:
+                seen.clear()
+            yield batch.take(pa.array(new, pa.int64()))
+
+    return lines.mapInArrow(run, "n long, line string")
+
+
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(40)).astype(np.int64) % SLOTS
+
+
+def shingle_counts(lines: DataFrame) -> np.ndarray:
+    """In how many lines, added up over the shingles whose hashes share one of SLOTS slots, a shingle stands. Any corpus gives SLOTS numbers."""
+
+    def run(batches):
+        counts = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for part in chunks(batch, "line"):
+                for line in texts_of(part, "line"):
+                    np.add.at(counts, _slots(shingle_hashes(line)), 1)
+        held = np.nonzero(counts)[0]
+        yield pa.RecordBatch.from_pydict({"slot": held, "often": counts[held]})
+
+    counted = lines.select("line").mapInArrow(run, "slot long, often long")
+    total = counted.groupBy("slot").agg(F.sum("often").alias("often")).toArrow()
+    out = np.zeros(SLOTS, np.int64)
+    out[total["slot"].to_numpy()] = total["often"].to_numpy()
+    return out
+
+
+def first_shingles(lines: DataFrame, often, similar: float) -> DataFrame:
+    """(n, c, m, left, s) of rows (n, c, line): of a line's m shingles the first m - ceil(similar * m) + 1 in the order of their broadcast
+    counts, then hashes; `left` counts that one and those behind it."""
+
+    def run(batches):
+        counts = often.value
+        for batch in batches:
+            for part in chunks(batch, "line", 1 << 18):
+                rows = []
+                for n, c, line in zip(*(column.to_pylist() for column in part.columns)):
+                    shingles = shingle_hashes(line)
+                    m = len(shingles)
+                    first = m - int(np.ceil(m * similar - 1e-9)) + 1
+                    chosen = shingles[np.lexsort((shingles, counts[_slots(shingles)]))[:first]]
+                    rows.append((np.full(first, n), np.full(first, c), np.full(first, m), m - np.arange(first), chosen.view(np.int64)))
+                columns = [np.concatenate(x) for x in zip(*rows)] if rows else [np.zeros(0, np.int64)] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["n", "c", "m", "left", "s"])
+
+    return lines.select("n", "c", "line").mapInArrow(run, "n long, c long, m long, left long, s long")
+
+
 def similar_pairs(pairs: DataFrame, similar: float) -> DataFrame:
     """The (a, b) of rows (a, line_a, b, line_b) whose lines have a Jaccard similarity of `similar` or more."""
 

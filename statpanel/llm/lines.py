@@ -25,6 +25,9 @@ SIMILARITY = 0.8
 BANDS, ROWS = 8, 3
 #: Of the places of a signature at least so many must agree: fewer do for 2 in 10**4 pairs with a similarity of 0.8.
 AGREE = 12
+#: Couples of further places that lines of a large bucket are keyed by. At a similarity of 0.8 none agrees for 6 pairs in 1,000, but most pairs
+#: share several buckets: 2 in 10**4 are missed.
+COUPLES = 5
 #: Lines that share a bucket and more, beyond which they are only paired by their rarest shingles.
 MANY = 32
 #: The shingle stands in a group ahead of the one character that is consumed.
@@ -61,19 +64,6 @@ def _lines(docs: DataFrame, *kept: str) -> DataFrame:
     return lines.withColumns({"n": F.xxhash64("line"), "n2": F.xxhash64(F.lit(7), "line")})
 
 
-def _cut(rows: DataFrame, *kept: str) -> DataFrame:
-    """(*kept, shingle): all shingles of `line`, as characters of four bytes, so that they are cut out without counting characters."""
-    wide = rows.select(*kept, F.length("line").alias("_chars"), F.encode("line", "UTF-32").alias("_wide"))
-    places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("_chars") - (WIDTH - 1)))
-    each = wide.select(*kept, "_wide", F.explode(places).alias("_i"))
-    return each.select(*kept, F.substring(F.col("_wide"), F.col("_i") * 4 - 3, F.lit(4 * WIDTH)).alias("shingle"))
-
-
-def _hashed(rows: DataFrame, *kept: str) -> DataFrame:
-    """(*kept, s): 64-bit hashes of all shingles of `line`."""
-    return _cut(rows, *kept).select(*kept, F.xxhash64("shingle").alias("s"))
-
-
 def _signed(docs: DataFrame) -> DataFrame:
     """(n, s0 to s5): the packed signature of every distinct line."""
     rows = line_signatures.signed(docs, WHITE)
@@ -104,8 +94,8 @@ def _finer(signed: DataFrame, open_: DataFrame) -> DataFrame:
     """(key, n, c): for each open (bucket, n, c), keys of the bucket's band and two more places of the signature."""
     rest = [[i for i in range(PLACES) if i % BANDS != b] for b in range(BANDS)]
     couple = lambda b, k: F.xxhash64(F.col("bucket"), F.lit(k), _together(*rest[b][2 * k : 2 * k + 2]))
-    keys = lambda b: F.array(*[couple(b, k) for k in range((PLACES - ROWS) // 2)])
-    banded = signed.select("*", F.posexplode(_bands()).alias("b", "bucket")).join(open_, ["bucket", "n"])
+    keys = lambda b: F.array(*[couple(b, k) for k in range(COUPLES)])
+    banded = open_.join(signed, "n").withColumn("b", F.array_position(_bands(), F.col("bucket")) - 1)
     which = reduce(lambda out, b: out.when(F.col("b") == b, keys(b)), range(1, BANDS), F.when(F.col("b") == 0, keys(0)))
     return banded.select(F.explode(which).alias("key"), "n", "c").distinct()
 
@@ -145,8 +135,8 @@ def similar_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
     def apart(open_: DataFrame) -> DataFrame:
         """Pairs of different classes that share a bucket and whose signatures agree in enough places.
 
-        Of a bucket of MANY lines at most, all such pairs. In larger ones lines have to share two more places of the signature, as all but 1 in
-        20,000 do at a similarity of 0.8, and where many of different classes still meet, one of their rarest shingles.
+        Of a bucket of MANY lines at most, all such pairs. In larger ones lines have to share one of COUPLES more couples of places of the
+        signature, and where many of different classes still meet, one of their rarest shingles.
         """
         few = open_.filter(F.col("size") <= MANY).join(signed, "n")
         one, two = few.alias("one"), few.alias("two")
@@ -171,15 +161,10 @@ def similar_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
         m - ceil(similar * m) + 1 hold a common one. With the rarest first, what many lines share makes no pair. If the first common
         one stands at place i of m and j of k, no more than min(m - i, k - j) can be common, and similar lines need similar / (1 + similar) of m + k.
         """
-        wide = perhaps_among(_lines(docs), "n", classes.select("n")).join(classes, "n").dropDuplicates(["n", "n2"])
-        each = _hashed(wide, "n").distinct()
-        often = each.groupBy("s").agg(F.count("*").alias("often"))
-        order = F.sort_array(F.collect_list(F.struct("often", "s")))
-        rare = each.join(often, "s").groupBy("n").agg(order.alias("rare"))
-        first = F.size("rare") - F.ceil(F.size("rare") * F.lit(similar) - 1e-9) + 1
-        rare = rare.select("n", F.size("rare").alias("m"), F.posexplode(F.slice("rare", 1, first.cast("int"))).alias("i", "r"))
-        rare = rare.select("n", (F.col("m") - F.col("i")).alias("left"), "m", "r.s")
-        rare = written(rare.join(classes, "n").select("n", "c", "m", "left", "s"), "lines-rare")
+        wide = line_signatures.once_a_task(perhaps_among(_lines(docs).select("n", "line"), "n", classes.select("n")))
+        wide = written(wide.join(classes, "n").dropDuplicates(["n"]).select("n", "c", "line"), "lines-wide")
+        often = docs.sparkSession.sparkContext.broadcast(line_signatures.shingle_counts(wide))
+        rare = written(line_signatures.first_shingles(wide, often, similar), "lines-rare")
         one, two = rare.alias("one"), rare.alias("two")
         same = (F.col("one.s") == F.col("two.s")) & (F.col("one.c") < F.col("two.c"))
         need = (F.col("one.m") + F.col("two.m")) * F.lit(similar / (1 + similar)) - 1e-9
