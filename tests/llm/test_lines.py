@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from statpanel.llm import lines, queries
+from statpanel.llm import line_signatures, lines, queries
 from tests.llm import texts
 
 SCHEMA = "doc_id long, text string, late double, pos string, kept int"
@@ -112,6 +112,7 @@ def test_query(spark):
 
 
 def test_plan_has_no_python(spark):
+    """The last step, which puts the texts together, has none; signatures and comparisons, written before, have."""
     plan = queries.QUERIES["op8_lines"](spark, texts.SMALL)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
 
@@ -144,3 +145,40 @@ def test_one_changed_letter_is_found_in_lines_of_some_ten_words(spark):
         typo = [*words[:6], words[6][:2] + words[6][2].upper() + words[6][3:], *words[7:]]
         rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(typo))]
     assert sum(r[2] for r in got(spark, rows)) >= 190
+
+
+def test_hashed_shingles_compare_as_their_texts():
+    rng = random.Random(7)
+    made = ["Be.", "Be", "x" * 40, "漢字" * 20, "a  b   c", "é" * 4, "é" * 3] + ["".join(rng.choices("ab ", k=rng.randint(1, 60))) for _ in range(60)]
+    for a in made:
+        assert len(line_signatures.shingle_hashes(a)) == len(shingle_set(a))
+        for b in made:
+            x, y = shingle_set(a), shingle_set(b)
+            near = line_signatures.share_at_least(line_signatures.shingle_hashes(a), line_signatures.shingle_hashes(b), 0.5)
+            assert near == (len(x & y) >= 0.5 * len(x | y))
+
+
+def test_signatures_of_cut_lines_equal_those_of_whole_ones(monkeypatch):
+    rng = random.Random(8)
+    made = ["".join(rng.choices("abcdefgh ", k=k)) for k in (1, 4, 5, 6, 30, 31, 500, 2000)]
+    whole = line_signatures.signatures(made)
+    monkeypatch.setattr(line_signatures, "PIECE", 7)
+    assert (line_signatures.signatures(made) == whole).all()
+
+
+def test_large_buckets_of_lines_that_are_just_apart(spark, monkeypatch):
+    """Lines of one template that differ in one to four of twelve words, paired by rarest shingles: against all pairs."""
+    monkeypatch.setattr(lines, "MANY", 4)
+    paired = []
+    monkeypatch.setattr(line_signatures, "first_shingles", lambda *a, f=line_signatures.first_shingles: paired.append(1) or f(*a))
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(312)]
+    rows = []
+    for i in range(150):
+        line = list(words[:12])
+        for _ in range(rng.randint(2, 4)):
+            line[rng.randrange(12)] = rng.choice(words[12:])
+        rows.append((i, " ".join(line)))
+    want, found = brute(rows), got(spark, rows)
+    assert paired and sum(a != b for a, b in zip(want, found)) <= 1
+    assert sum(r[2] for r in found) <= sum(r[2] for r in want)
