@@ -27,6 +27,9 @@ LEAST_CHI, FULL, LEAST_ROWS = 10.0, 2000, 2
 #: The same for two terms together, and least expected rows in a cell. Two terms that tell nothing alone are tried among the PAIRED most frequent.
 PAIR_CHI, PAIR_ROWS, PAIRED = 40.0, 2.0, 2048
 
+#: Buckets, and rows, of the sample that are counted at a time.
+PART, PART_ROWS = 1 << 20, 1024
+
 _WORD = re.compile(r"\w+")
 
 
@@ -75,14 +78,25 @@ def _chi(a, b, positive, negative) -> np.ndarray:
     return np.where(least >= PAIR_ROWS, chi, 0)
 
 
+def _counted(rows: list[np.ndarray]) -> np.ndarray:
+    """How many of the rows hold each bucket. They are joined a part at a time: all at once would take several times the sample's memory."""
+    counts, part, size = np.zeros(BUCKETS, np.int64), [], 0
+    for i, row in enumerate(rows):
+        part.append(row)
+        size += len(row)
+        if size >= PART or i + 1 == len(rows):
+            counts += np.bincount(np.concatenate(part), minlength=BUCKETS)
+            part, size = [], 0
+    return counts
+
+
 def telling(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """A mask of the buckets that tell of the label, alone or with another. The others would only add their noise, text by text.
 
     A bucket that tells nothing alone counts if, among the rows that have some telling bucket, its presence depends on the label; and so do
     both of two buckets, of the PAIRED most frequent, of which one depends on the label among the rows that have the other.
     """
-    both = [np.concatenate([np.zeros(0, np.int32), *(r for r, y in zip(rows, labels) if y == c)]) for c in (1, 0)]
-    a, b = (np.bincount(x, minlength=BUCKETS).astype(np.float64) for x in both)
+    a, b = (_counted([r for r, y in zip(rows, labels) if y == c]).astype(np.float64) for c in (1, 0))
     n, positive = len(labels), float(labels.sum())
     c, d = positive - a, n - positive - b
     chi = n * (a * d - b * c) ** 2 / np.maximum((a + b) * (c + d) * positive * (n - positive), 1)
@@ -94,10 +108,9 @@ def telling(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
         for bucket in row[alone[row]]:
             having.setdefault(int(bucket), []).append(i)
     for some in having.values():
-        held = [np.concatenate([np.zeros(0, np.int32), *(rows[i] for i in some if labels[i] == y)]) for y in (1, 0)]
         yes = int(labels[some].sum())
         # Counted over all buckets: sorting what many rows hold would take several times the sample's memory.
-        with_yes, with_no = (np.bincount(x, minlength=BUCKETS) for x in held)
+        with_yes, with_no = (_counted([rows[i] for i in some if labels[i] == y]) for y in (1, 0))
         found = np.nonzero(with_yes + with_no)[0]
         with_yes, with_no = with_yes[found].astype(np.float64), with_no[found].astype(np.float64)
         seen[found[_chi(with_yes, with_no, yes, len(some) - yes) >= PAIR_CHI]] = True
@@ -106,12 +119,16 @@ def telling(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     pool = pool[np.argsort(-(a + b)[pool], kind="stable")[:PAIRED]]
     place = np.full(BUCKETS, -1)
     place[pool] = np.arange(len(pool))
-    has = np.zeros((n, len(pool)), np.float32)
-    for i, row in enumerate(rows):
-        at = place[row]
-        has[i, at[at >= 0]] = 1
-    toxic = has[labels == 1]
-    yes, all_ = toxic.T @ toxic, has.T @ has
+    yes, all_ = (np.zeros((len(pool), len(pool)), np.float32) for _ in range(2))
+    for first in range(0, n, PART_ROWS):  # sums of ones, exact in any order
+        some = rows[first : first + PART_ROWS]
+        has = np.zeros((len(some), len(pool)), np.float32)
+        for i, row in enumerate(some):
+            at = place[row]
+            has[i, at[at >= 0]] = 1
+        toxic = has[labels[first : first + PART_ROWS] == 1]
+        yes += toxic.T @ toxic
+        all_ += has.T @ has
     for i in range(len(pool)):
         with_yes, with_all = yes[i].astype(np.float64), all_[i].astype(np.float64)
         tells = _chi(with_yes, with_all - with_yes, with_yes[i], with_all[i] - with_yes[i]) >= PAIR_CHI

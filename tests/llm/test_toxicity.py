@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -100,3 +101,16 @@ def test_group_term_beside_a_telling_insult():
 def test_small_label_sets_keep_what_tells():
     rows = [np.array([1] if i < 5 else [2], np.int32) for i in range(100)]
     assert toxicity.telling(rows, (np.arange(100) < 50).astype(np.float32))[1]
+
+
+def test_telling_takes_little_beside_its_sample():
+    """The sample is 6000 rows of 1000 buckets, 24 MB; every row has one of two buckets that tell alone."""
+    rng = np.random.default_rng(5)
+    labels = (np.arange(6000) % 2).astype(np.float32)
+    rows = [np.unique(np.append(rng.integers(100, toxicity.BUCKETS, 1000), int(y))).astype(np.int32) for y in labels]
+    tracemalloc.start()
+    seen = toxicity.telling(rows, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen[[0, 1]].all()
+    assert peak < 80e6
