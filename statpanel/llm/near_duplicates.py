@@ -8,13 +8,13 @@ compared exactly, and classes are the connected components of what is confirmed.
 from __future__ import annotations
 
 import math
-from collections import Counter
-from itertools import combinations
+from collections.abc import Callable
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statpanel.llm.common import linked, perhaps_among, text_key, written
@@ -27,8 +27,8 @@ BANDS = 10
 SAMPLES = 2 * BANDS
 #: Least equal samples for a comparison; at a similarity of 0.8 fewer occur once in 10**6 pairs.
 LEAST_EQUAL = 7
-#: Words whose document frequency is told apart; rarer ones all count as frequent as the last of these.
-FREQUENT_WORDS = 1 << 16
+#: Words whose document frequencies all workers hold, the most frequent of about SAMPLED texts; those of all others come along with the texts.
+FREQUENT_WORDS, SAMPLED = 1 << 16, 8192
 
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -44,59 +44,93 @@ def words_of(text: str) -> list[str]:
 
 
 class Weights:
-    """Inverse document frequencies by word: ln(1 + documents / documents with the word)."""
+    """Inverse document frequencies by word: ln(1 + documents / documents with the word). A word it lacks counts as in one document."""
 
     def __init__(self, documents: int, hashes: np.ndarray, counts: np.ndarray):
         order = np.argsort(hashes)
+        self.documents, self.rest = documents, math.log1p(documents)
         self.hashes, self.idf = hashes[order], np.log1p(documents / counts[order])
-        rarest = int(counts.min()) if len(counts) >= FREQUENT_WORDS else 1
-        self.rest = math.log1p(documents / max(rarest, 1))
 
-    def of(self, values: np.ndarray) -> np.ndarray:
+    def of(self, values: np.ndarray, rest: np.ndarray | None = None) -> np.ndarray:
+        """Those of hashed words; `rest` has those of words that it lacks."""
+        rest = np.full(len(values), self.rest) if rest is None else rest
         if not len(self.hashes):
-            return np.full(len(values), self.rest)
+            return rest
         at = np.minimum(np.searchsorted(self.hashes, values), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == values, self.idf[at], self.rest)
+        return np.where(self.hashes[at] == values, self.idf[at], rest)
 
 
-class Shingler:
-    """Shingle hashes and weights of texts; remembers a bounded number of words."""
+class Remembered:
+    """Hashes of words, and what `value` makes of these; remembers a bounded number of words."""
 
-    def __init__(self, weights: Weights, most: int = 200_000):
-        self.weights, self.most = weights, most
-        self.hashes, self.idf = np.zeros(most, np.uint64), np.zeros(most)
+    def __init__(self, value: Callable[[np.ndarray], np.ndarray], most: int = 200_000):
+        self.value, self.most = value, most
+        self.hashes, self.values = np.zeros(most, np.uint64), np.zeros(most)
         self.numbers: dict[str, int] = {}
 
-    def _numbers(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(words) > self.most // 2:  # a text with more words than are remembered goes in parts
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if len(words) > self.most // 2:  # more words than are remembered go in parts
             half = len(words) // 2
-            return tuple(np.concatenate(x) for x in zip(self._numbers(words[:half]), self._numbers(words[half:])))
+            return tuple(np.concatenate(x) for x in zip(self.of(words[:half]), self.of(words[half:])))
         new = list(set(words).difference(self.numbers))
         if len(self.numbers) + len(new) > self.most:
             self.numbers.clear()
             new = list(set(words))
         if new:
             n = len(self.numbers)
-            values = np.fromiter(map(xxhash.xxh64_intdigest, new), np.uint64, len(new))
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, new), np.uint64, len(new))
             self.numbers.update(zip(new, range(n, n + len(new))))
-            self.hashes[n : n + len(new)], self.idf[n : n + len(new)] = values, self.weights.of(values)
+            self.hashes[n : n + len(new)], self.values[n : n + len(new)] = hashes, self.value(hashes)
         at = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
-        return self.hashes[at], self.idf[at]
+        return self.hashes[at], self.values[at]
+
+
+class Shingler:
+    """Shingle hashes and weights of texts."""
+
+    def __init__(self, weights: Weights):
+        self.weights = weights
+        self.rarer = Weights(weights.documents, np.zeros(0, np.uint64), np.zeros(0))
+        self.words = Remembered(lambda hashes: self.weights.of(hashes, self.rarer.of(hashes)))
+
+    def meet(self, part: pa.RecordBatch, *sides: str) -> None:
+        """From now on use the frequencies that come along with the texts of `part`, in place of those of the part before."""
+        words, often = (np.concatenate([part.column(c + s).flatten().to_numpy(False) for s in sides]) for c in ("words", "often"))
+        words, at = np.unique(words.astype(np.int64).view(np.uint64), return_index=True)
+        self.rarer = Weights(self.weights.documents, words, often[at])
+
+    def of_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted distinct shingles of each text, one text after the other, their weights, and how many each text has.
+
+        A text of fewer words than a shingle is one shingle of them all, without words it has none.
+        """
+        split = [words_of(t) for t in texts]
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        hashes, idf = self.words.of(list(chain.from_iterable(split)))
+        spans = np.minimum(sizes, WORDS)
+        here = np.where(sizes > 0, sizes - spans + 1, 0)
+        owner = np.repeat(np.arange(len(split)), here)
+        at = np.arange(len(owner)) + np.repeat(np.cumsum(sizes) - sizes - np.cumsum(here) + here, here)
+        span = spans[owner]
+        shingle, weight = np.zeros(len(at), np.uint64), np.zeros(len(at))
+        for i in range(WORDS):
+            inside = i < span
+            word = np.where(inside, at + i, at)
+            shingle = np.where(inside, shingle * _M[0] + hashes[word], shingle)
+            weight += np.where(inside, idf[word], 0)
+        shingle, weight = _mix(shingle), weight / span
+        order = np.argsort(shingle, kind="stable")
+        order = order[np.argsort(owner[order].astype(np.uint16 if len(split) < 1 << 16 else np.int64), kind="stable")]
+        shingle, owner = shingle[order], owner[order]
+        first = np.ones(len(shingle), bool)
+        first[1:] = (shingle[1:] != shingle[:-1]) | (owner[1:] != owner[:-1])
+        starts = np.nonzero(first)[0]
+        count = np.diff(np.append(starts, len(shingle)))
+        return shingle[starts], weight[order[starts]] * count, np.bincount(owner[starts], minlength=len(split))
 
     def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted distinct shingles and their weights. A text of fewer words is one shingle of them all, without words it has none."""
-        words = words_of(text)
-        if not words:
-            return np.zeros(0, np.uint64), np.zeros(0)
-        hashes, idf = self._numbers(words)
-        span = min(WORDS, len(words))
-        n = len(words) - span + 1
-        shingle, weight = np.zeros(n, np.uint64), np.zeros(n)
-        for i in range(span):
-            shingle = shingle * _M[0] + hashes[i : i + n]
-            weight += idf[i : i + n]
-        shingle, first, count = np.unique(_mix(shingle), return_index=True, return_counts=True)
-        return shingle, weight[first] / span * count
+        """Sorted distinct shingles of a text, and their weights."""
+        return self.of_all([text])[:2]
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -135,50 +169,87 @@ def samples(shingles: np.ndarray, weights: np.ndarray, starts: np.ndarray, count
     return out
 
 
-def word_weights(texts: DataFrame) -> Weights:
-    """Document frequencies over all rows. The driver gets the FREQUENT_WORDS most frequent, as hash and count."""
-
-    def count(batches):
-        seen: Counter = Counter()
-
-        def out():
-            hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in seen), np.uint64, len(seen)).view(np.int64)
-            return pa.RecordBatch.from_pydict({"word": hashes, "n": np.fromiter(seen.values(), np.int64, len(seen))})
+def _frequent(nodes: DataFrame, count: int) -> np.ndarray:
+    """Sorted hashes of the FREQUENT_WORDS words that most of about SAMPLED nodes have. They only decide how a word is counted."""
 
+    def run(batches):
+        memory = Remembered(lambda hashes: np.zeros(len(hashes)))
         for batch in batches:
             for part in chunks(batch, "text"):
-                for text in texts_of(part):
-                    seen.update(set(words_of(text)))
-                if len(seen) > 200_000:
-                    yield out()
-                    seen.clear()
-        if seen:
-            yield out()
+                words, n = np.unique(memory.of([w for t in texts_of(part) for w in set(words_of(t))])[0], return_counts=True)
+                yield pa.RecordBatch.from_pydict({"word": words.view(np.int64), "n": n})
+
+    some = nodes.filter(F.pmod(F.xxhash64("n"), F.lit(max(1, count // SAMPLED))) == 0)
+    counted = some.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return np.sort(counted.orderBy(F.desc("n"), "word").limit(FREQUENT_WORDS).toArrow()["word"].to_numpy().view(np.uint64))
 
-    counted = texts.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "word").limit(FREQUENT_WORDS).toArrow()
-    return Weights(texts.count(), top["word"].to_numpy().view(np.uint64), top["n"].to_numpy())
 
+def word_weights(nodes: DataFrame) -> tuple[Weights, DataFrame | None]:
+    """Weights by the number of documents that have a word, over all rows of nodes (n, text, copies), each as many documents as `copies`.
 
-def _signatures(rows: DataFrame, weights) -> DataFrame:
-    """doc_id, key, samples of each row; null samples where a text has no word."""
+    Every word is counted exactly. The driver gets FREQUENT_WORDS words at most; the others are added up by shuffles, and a table (n, words,
+    often) has those of each text, None if there are none.
+    """
+    count, documents = nodes.agg(F.count("*"), F.coalesce(F.sum("copies"), F.lit(0))).first()
+    shared = nodes.sparkSession.sparkContext.broadcast(_frequent(nodes, count))
+
+    def run(batches):
+        frequent = shared.value
+
+        def place(hashes):
+            at = np.searchsorted(frequent, hashes)
+            return np.where(np.append(frequent, 0)[at] == hashes, at, -1) if len(frequent) else np.full(len(hashes), -1)
+
+        memory, total = Remembered(place), np.zeros(len(frequent), np.int64)
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                sets = [set(words_of(t)) for t in texts_of(part)]
+                owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+                hashes, at = memory.of(list(chain.from_iterable(sets)))
+                n, copies = (part.column(c).to_numpy()[owner] for c in ("n", "copies"))
+                known = at >= 0
+                np.add.at(total, at[known].astype(np.int64), copies[known])
+                rest = {"word": hashes[~known].view(np.int64), "n": n[~known], "copies": copies[~known]}
+                yield pa.RecordBatch.from_pydict(rest)
+        yield pa.RecordBatch.from_pydict({"word": frequent.view(np.int64), "n": np.full(len(frequent), -1), "copies": total})
+
+    seen = nodes.select("n", "text", "copies").mapInArrow(run, "word long, n long, copies long").filter("copies > 0")
+    seen = written(seen, "near-words")
+    known = seen.filter("n < 0").groupBy("word").agg(F.sum("copies").alias("often")).toArrow()
+    weights = Weights(documents, known["word"].to_numpy().view(np.uint64), known["often"].to_numpy())
+    seen = seen.filter("n >= 0")
+    if seen.isEmpty():
+        return weights, None
+    each = seen.select("n", "word", F.sum("copies").over(Window.partitionBy("word")).alias("often"))
+    rarer = each.groupBy("n").agg(F.collect_list("word").alias("words"), F.collect_list("often").alias("often"))
+    return weights, written(rarer, "near-rarer")
+
+
+def _with_rarer(texts: DataFrame, rarer: DataFrame | None) -> DataFrame:
+    """n, text, and the text's rarer words and their frequencies."""
+    if rarer is not None:
+        return texts.select("n", "text").join(rarer, "n", "left")
+    return texts.select("n", "text", *[F.lit(None).cast("array<long>").alias(c) for c in ("words", "often")])
+
+
+def _signatures(texts: DataFrame, weights) -> DataFrame:
+    """n and samples of each text; null samples where it has no word."""
 
     def run(batches):
         shingler = Shingler(weights.value)
         for batch in batches:
             for part in chunks(batch, "text", 1 << 18):
-                found = [shingler.of(t) for t in texts_of(part)]
-                some = [i for i, (s, _) in enumerate(found) if len(s)]
-                out: list = [None] * len(found)
-                if some:
-                    shingles, weight = (np.concatenate([found[i][k] for i in some]) for k in (0, 1))
-                    starts = np.cumsum([0, *(len(found[i][0]) for i in some[:-1])])
+                shingler.meet(part, "")
+                shingles, weight, sizes = shingler.of_all(texts_of(part))
+                out: list = [None] * len(sizes)
+                some = np.nonzero(sizes)[0]
+                if len(some):
+                    starts = np.cumsum(sizes[some]) - sizes[some]
                     for i, sample in zip(some, samples(shingles, weight, starts).view(np.int32)):
                         out[i] = sample
-                columns = [part.column("doc_id"), part.column("key"), pa.array(out, pa.list_(pa.int32()))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "samples"])
+                yield pa.RecordBatch.from_arrays([part.column("n"), pa.array(out, pa.list_(pa.int32()))], ["n", "samples"])
 
-    return rows.mapInArrow(run, "doc_id long, key binary, samples array<int>")
+    return texts.mapInArrow(run, "n long, samples array<int>")
 
 
 def _bands():
@@ -204,36 +275,32 @@ def near_classes(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
     (doc_id, key), null ids last: one row of each class, unless whole rows repeat. A class of only null ids has a null class_id. Other
     columns are ignored; an empty table gives an empty table.
 
-    Equal texts are one node from the start, so groups of copies cost one comparison. Texts are read again for comparisons, and only
-    those of nodes that share a bucket are shuffled.
+    Equal texts are one node from the start, so groups of copies are signed once and cost one comparison. Texts are read again for
+    comparisons, and only those of nodes that share a bucket are shuffled then.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.withColumn("key", text_key(F.col("text")))
-    weights = spark.sparkContext.broadcast(word_weights(texts))
-    rows = written(_signatures(texts, weights), "near-rows")
     late = F.coalesce("doc_id", F.lit((1 << 63) - 1))
-    nodes = rows.groupBy("key").agg(F.min(F.struct(late.alias("late"), "doc_id", "samples")).alias("m"))
-    nodes = nodes.select("key", "m.late", "m.doc_id", "m.samples", F.monotonically_increasing_id().alias("n"))
-    nodes = written(nodes, "near-nodes")
+    least = F.min(F.struct(late.alias("late"), "doc_id")).alias("m")
+    whole = texts.groupBy("key").agg(least, F.count("*").alias("copies"), F.first("text").alias("text"))
+    whole = whole.select("key", "m.late", "m.doc_id", "copies", "text", F.monotonically_increasing_id().alias("n"))
+    whole = written(whole, "near-nodes")
+    frequencies, rarer = word_weights(whole)
+    weights = docs.sparkSession.sparkContext.broadcast(frequencies)
+    nodes = written(_signatures(_with_rarer(whole, rarer), weights), "near-signed")
 
     found = {}
 
     def verify(pairs: DataFrame) -> DataFrame:
         if not found:  # the first pairs name all nodes that can ever be compared
-            involved = pairs.select(F.explode(F.array("a", "b")).alias("n")).distinct()
-            wanted = nodes.join(involved, "n").select("key", "doc_id", "n", F.xxhash64("key", "doc_id").alias("h"))
-            wanted = written(wanted, "near-nodes")
-            again = texts.withColumn("h", F.xxhash64("key", "doc_id"))
-            again = perhaps_among(again, "h", wanted.select("h")).drop("h")
-            same = (again.key == wanted.key) & again.doc_id.eqNullSafe(wanted.doc_id)
-            again = again.join(wanted, same).select("n", "text")
-            found["texts"] = written(again.dropDuplicates(["n"]), "near-texts")
+            involved = written(pairs.select(F.explode(F.array("a", "b")).alias("n")).distinct(), "near-involved")
+            again = perhaps_among(whole.select("n", "text"), "n", involved).join(involved, "n")
+            found["texts"] = written(_with_rarer(again, rarer), "near-texts")
         side = lambda s: nodes.select(F.col("n").alias(s), F.col("samples").alias(f"samples_{s}"))
         equal = F.size(F.filter(F.zip_with("samples_a", "samples_b", lambda x, y: x == y), lambda e: e))
         pairs = pairs.join(side("a"), "a").join(side("b"), "b").filter(equal >= LEAST_EQUAL).select("a", "b")
-        text = lambda s: found["texts"].select(F.col("n").alias(s), F.col("text").alias(f"text_{s}"))
-        pairs = pairs.join(text("b"), "b").join(text("a"), "a").select("a", "text_a", "b", "text_b")
+        text = lambda s: found["texts"].select(F.col("n").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("text", "words", "often")])
+        pairs = pairs.join(text("b"), "b").join(text("a"), "a")
 
         def compare(batches):
             shingler = Shingler(weights.value)
@@ -253,10 +320,9 @@ def near_classes(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
             for batch in batches:
                 # A few texts at a time become Python strings; a pair's two texts are of like length, as their samples agree.
                 for part in chunks(batch, "text_a", 1 << 18):
-                    keep = [
-                        similarity(shingles(a, s), shingles(b, t)) >= similar - 1e-9
-                        for a, s, b, t in zip(*(c.to_pylist() for c in part.columns))
-                    ]
+                    shingler.meet(part, "_a", "_b")
+                    columns = [part.column(c).to_pylist() for c in ("a", "text_a", "b", "text_b")]
+                    keep = [similarity(shingles(a, s), shingles(b, t)) >= similar - 1e-9 for a, s, b, t in zip(*columns)]
                     yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
         return pairs.mapInArrow(compare, "a long, b long")
@@ -275,11 +341,11 @@ def near_classes(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
         return one.join(two, where).select(F.col("one.n").alias("x"), F.col("two.n").alias("y"))
 
     labels = linked(_buckets(nodes), verify, "near-links", apart, sparing=True)
-    classed = nodes.join(labels, F.col("n") == F.col("id"), "left")
+    classed = whole.join(labels, F.col("n") == F.col("id"), "left")
     classed = written(classed.select("key", "late", "doc_id", F.coalesce("component", "n").alias("c")), "near-classes")
     firsts = classed.groupBy("c").agg(F.min(F.struct("late", "doc_id", "key")).alias("m"))
     named = classed.join(firsts, "c").select("key", F.col("m.doc_id").alias("class_id"), F.col("m.key").alias("first_key"))
-    out = rows.select("doc_id", "key").join(named, "key")
+    out = texts.select("doc_id", "key").join(named, "key")
     first = (F.col("key") == F.col("first_key")) & F.col("doc_id").eqNullSafe(F.col("class_id"))
     return out.select("doc_id", "key", "class_id", first.alias("first"))
 

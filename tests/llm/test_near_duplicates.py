@@ -106,3 +106,34 @@ def test_samples_agree_as_often_as_texts_are_similar():
     starts = np.array([0, len(x[0])])
     found = near.samples(np.concatenate([x[0], y[0]]), np.concatenate([x[1], y[1]]), starts, 1500)
     assert abs((found[0] == found[1]).mean() - near.similarity(x, y)) < 0.04
+
+
+def test_rarer_words_count_by_their_own_frequency(spark, monkeypatch):
+    """Only three words are known to all workers. Weights and classes are those of exact frequencies of all words, copies counted."""
+    monkeypatch.setattr(near, "FREQUENT_WORDS", 3)
+    passages = [" ".join(f"p{i % 40}" for i in range(k, k + 26)) for k in range(0, 30, 3)]
+    rows = groups(5)[:120] + [(1000 + i, p + f" r{i} q{i // 2} s{i // 3}") for i, p in enumerate(passages * 3)]
+    rows += [(2000 + i, rows[i][1]) for i in range(30)]
+    assert got(spark, rows) == classes(rows)
+
+    nodes = spark.createDataFrame([(i, t, 1) for i, (_, t) in enumerate(rows)], "n long, text string, copies long").repartition(3)
+    found, rarer = near.word_weights(nodes)
+    want = weights(rows)
+    have = dict(zip(found.hashes.tolist(), found.idf.tolist()))
+    assert len(have) == 3
+    for r in rarer.collect():
+        more = near.Weights(len(rows), np.array(r["words"], np.int64).view(np.uint64), np.array(r["often"]))
+        hashes = np.array([near.xxhash.xxh64_intdigest(w) for w in set(near.words_of(rows[r["n"]][1]))], np.uint64)
+        assert np.array_equal(found.of(hashes, more.of(hashes)), want.of(hashes))
+
+
+def test_shingles_of_several_texts_are_those_of_each():
+    rows = [*enumerate(["", "a", "a b c", " ", "a b a b a b a b a b", *(t for _, t in groups()[:20]), "b"])]
+    shingler = near.Shingler(weights(rows))
+    shingles, weight, sizes = shingler.of_all([t for _, t in rows])
+    ends = np.cumsum(sizes)
+    for (_, t), a, b in zip(rows, ends - sizes, ends):
+        one, mass = shingler.of(t)
+        assert np.array_equal(one, shingles[a:b]) and np.array_equal(mass, weight[a:b])
+        n = len(near.words_of(t))
+        assert not n or np.all(one[1:] > one[:-1]) and len(one) == len({tuple(t.split()[i : i + 5]) for i in range(max(1, n - 4))})
