@@ -7,6 +7,7 @@ executors by Spark, and mapped there, so that all workers of a host share one co
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import re
@@ -34,6 +35,8 @@ _WORDS = regex.compile(WORD_PATTERN)
 _UNUSUAL = re.compile(f"[^{USUAL}]")
 #: A space that does not stand between two other characters, and white space that is rare.
 _ODD_SPACE = re.compile(r"\A | \Z|\s\s")
+#: Marks that are a word of their own behind letters.
+_MARKS = frozenset(".,;:!?)")
 _RARE_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 
 #: Longest word in the lexicon, in bytes; characters that a worker tokenizes at a time.
@@ -117,11 +120,17 @@ class Vocabulary:
         return parts
 
     def decode(self, ids: np.ndarray) -> str:
+        return self.decode_all(ids, np.array([0, len(ids)]))[0]
+
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """Several texts, whose ids stand one after the other, and begin and end at `ends`."""
         ids = np.where((ids < 0) | (ids >= len(self._sizes)), len(self._sizes) - 1, ids)
         sizes = self._sizes[ids]
-        ends = np.cumsum(sizes)
-        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self._starts[ids] - ends + sizes, sizes)
-        return self._flat[places].tobytes().decode("utf-8", "replace")
+        to = np.cumsum(sizes)
+        places = np.arange(to[-1] if len(to) else 0) + np.repeat(self._starts[ids] - to + sizes, sizes)
+        data = self._flat[places].tobytes()
+        cuts = np.append(0, to)[ends].tolist()
+        return [data[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
 
     def _merge_long(self, parts: list[int]) -> list[int]:
         """The same with a heap over a linked list: long words cost n log n."""
@@ -225,8 +234,9 @@ class Lexicon:
         state = np.full(len(words), self.root, np.int64)
         number = np.zeros(len(words), np.int64)
         alive = lengths <= longest
+        rows = np.nonzero(alive)[0]
         for i in range(longest):
-            rows = np.nonzero(alive & (lengths > i))[0]
+            rows = rows[lengths[rows] > i]
             key = state[rows] * 256 + letters[rows, i]
             edge = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             hit = self.keys[edge] == key
@@ -278,21 +288,28 @@ class Encoder:
         """The words of a part with a space `ahead` or none; an added token, or a word that the library's splitter found, is one."""
         if part.isalpha():
             return [ahead + part]
+        if part[-1:] in _MARKS and part[:-1].isalpha():
+            return [ahead + part[:-1], part[-1]]
         part = ahead + part
         return [part] if part.startswith("\0a") or unusual(part) else _WORDS.findall(part)
 
     def _ids(self, parts: list[str], ahead: str = "") -> list[bytes]:
-        split = [self.words(p, ahead) for p in parts]
+        split = [[ahead + p] if p.isalpha() else self.words(p, ahead) for p in parts]
         words = list(set(chain.from_iterable(split)).difference(self.known))
-        new: dict[str, bytes] = {}
-        plain = [w for w in words if not w.startswith("\0a")]
-        raw = [w.encode() for w in plain]
+        plain = words if ahead else [w for w in words if not w.startswith("\0a")]
+        plain.sort()  # neighbours take like ways through the lexicon
+        raw = list(map(str.encode, plain))
         ids = self.lexicon.find(raw) if self.lexicon else [None] * len(raw)
         merge = self.vocabulary.merge
-        for word, data, known in zip(plain, raw, ids):
-            new[word] = array("i", merge(data)).tobytes() if known is None else known
-        new |= {w: array("i", [self.vocabulary.added[w[2:]]]).tobytes() for w in words if w.startswith("\0a")}
-        return [b"".join([new[w] if w in new else self.known[w] for w in s]) for s in split]
+        found = [array("i", merge(data)).tobytes() if known is None else known for data, known in zip(raw, ids)]
+        new: dict[str, bytes] = dict(zip(plain, found))
+        if len(plain) < len(words):
+            new |= {w: array("i", [self.vocabulary.added[w[2:]]]).tobytes() for w in words if w.startswith("\0a")}
+        # Most parts are one word.
+        known = self.known
+        return [
+            (new.get(s[0]) or known[s[0]]) if len(s) == 1 else b"".join([new.get(w) or known[w] for w in s]) for s in split
+        ]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and where each text's begin and end."""
@@ -300,6 +317,15 @@ class Encoder:
             self.known.clear()
             self.spaced.clear()
             self.held = 0
+        collects = gc.isenabled()
+        gc.disable()  # the many short lists hold no cycles; searching them for some takes a tenth of the time
+        try:
+            return self._encode(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         split = [self.parts(t) for t in texts]
         long = self._remember(self.known, {w for first, _ in split for w in first}, "")
         long_spaced = self._remember(self.spaced, set(chain.from_iterable(rest for _, rest in split)), " ")
@@ -316,14 +342,18 @@ class Encoder:
         missing = list(parts.difference(table))
         ids = self._ids(missing, ahead)
         table.update(zip(missing, ids))
-        stay = [(w, x) for w, x in zip(missing, ids) if len(w) <= LONG_PART]
-        self.held += sum(4 * len(w) + len(x) + EACH for w, x in stay)
-        return [w for w in missing if len(w) > LONG_PART]
+        long = [i for i, w in enumerate(missing) if len(w) > LONG_PART]
+        self.held += 4 * sum(map(len, missing)) + sum(map(len, ids)) + EACH * len(missing)
+        self.held -= sum(4 * len(missing[i]) + len(ids[i]) + EACH for i in long)
+        return [missing[i] for i in long]
 
     def decode(self, ids: np.ndarray) -> str:
         """As the library's decode(ids, skip_special_tokens=False); ids without a token are skipped."""
         return self.vocabulary.decode(ids)
 
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        return self.vocabulary.decode_all(ids, ends)
+
 
 def chunks(batch: pa.RecordBatch, column: str, size: int = CHUNK) -> Iterator[pa.RecordBatch]:
     """Cut a batch where its texts reach `size` bytes; a longer text is a chunk of its own."""
@@ -412,7 +442,7 @@ def round_trip(docs: DataFrame, vocabulary: str, lexicon: str | None = None, key
         for batch in batches:
             for part in chunks(batch, "text"):
                 ids, ends = encoder.encode(texts_of(part))
-                decoded = [encoder.decode(ids[a:b]) for a, b in zip(ends, ends[1:])]
+                decoded = encoder.decode_all(ids, ends)
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(decoded, pa.string())], [key, "ids", "decoded"])
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gc
 import hashlib
 import random
 
@@ -94,3 +95,15 @@ def test_what_a_worker_remembers_is_bounded_by_bytes(library, monkeypatch):
         for text in (whole, f"{whole}{i} {whole} x", many):
             assert encoder.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
         assert size() < 300_000 and max(map(len, [*encoder.known, *encoder.spaced])) <= lexicon.LONG_PART
+
+
+def test_marks_behind_letters_and_texts_decoded_together(library):
+    rows = ["end. now, (so) it's 'tis' a.b c.. d!? É. ǅ; 中. ½. x) 9) ) . a.", "", "one", " two.", "it's.", "á. b", "né:"]
+    encoder = lexicon.Encoder(PATH)
+    ids, ends = encoder.encode(rows)
+    want_ = [library.encode(t, add_special_tokens=False).ids for t in rows]
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == want_
+    assert encoder.decode_all(ids, ends) == rows
+    odd = np.array([ids[0], -1, 10**6, 220, 128, ids[1]], np.int32)
+    assert encoder.decode_all(odd, np.array([0, 2, 2, 6])) == [encoder.decode(odd[:2]), "", encoder.decode(odd[2:])]
+    assert gc.isenabled()
