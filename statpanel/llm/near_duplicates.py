@@ -34,9 +34,12 @@ _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB1
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _M[1]
-    x = (x ^ (x >> np.uint64(27))) * _M[2]
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= _M[1]
+    x ^= x >> np.uint64(27)
+    x *= _M[2]
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def words_of(text: str) -> list[str]:
@@ -60,28 +63,39 @@ class Weights:
         return np.where(self.hashes[at] == values, self.idf[at], rest)
 
 
+class _Numbers(dict):
+    """Numbers of words in the order they were first asked for; `new` has the words not yet valued."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
 class Remembered:
     """Hashes of words, and what `value` makes of these; remembers a bounded number of words."""
 
     def __init__(self, value: Callable[[np.ndarray], np.ndarray], most: int = 200_000):
         self.value, self.most = value, most
         self.hashes, self.values = np.zeros(most, np.uint64), np.zeros(most)
-        self.numbers: dict[str, int] = {}
+        self.numbers = _Numbers()
 
     def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(words) > self.most // 2:  # more words than are remembered go in parts
+        if len(words) > max(1, self.most // 2):  # more words than are remembered go in parts
             half = len(words) // 2
             return tuple(np.concatenate(x) for x in zip(self.of(words[:half]), self.of(words[half:])))
-        new = list(set(words).difference(self.numbers))
-        if len(self.numbers) + len(new) > self.most:
-            self.numbers.clear()
-            new = list(set(words))
+        if len(self.numbers) + len(words) > self.most:
+            self.numbers = _Numbers()
+        at = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+        new, self.numbers.new = self.numbers.new, []
         if new:
-            n = len(self.numbers)
+            n = len(self.numbers) - len(new)
             hashes = np.fromiter(map(xxhash.xxh64_intdigest, new), np.uint64, len(new))
-            self.numbers.update(zip(new, range(n, n + len(new))))
             self.hashes[n : n + len(new)], self.values[n : n + len(new)] = hashes, self.value(hashes)
-        at = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
         return self.hashes[at], self.values[at]
 
 
@@ -141,31 +155,47 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float(low / whole) if len(i) else 0.0
 
 
+def _uniform(x: np.ndarray, shift: int, bits: int) -> np.ndarray:
+    """Numbers between 0 and 1 of so many bits of x."""
+    some = (x >> np.uint64(shift)) & np.uint64((1 << bits) - 1)
+    out = some.view(np.int64).astype(np.float64)
+    out += 0.5
+    out *= 2.0**-bits
+    return out
+
+
 def samples(shingles: np.ndarray, weights: np.ndarray, starts: np.ndarray, count: int = SAMPLES) -> np.ndarray:
     """Consistent weighted samples of several texts, whose shingles stand one after the other from `starts` on.
 
     For each shingle, r and c are Gamma(2, 1) and b uniform, all drawn from the shingle's hash; with t = floor(ln w / r + b)
     the sample is the (shingle, t) with the least c exp(-r (t - b + 1)).
+
+    With c = -ln v and r = -ln u that is at least (1 - v) u / w. Only shingles whose bound is not above the value of one with a low bound
+    are computed; the others cannot be the least.
     """
-    log_weight = np.log(weights)
     lengths = np.diff(np.append(starts, len(shingles)))
+    share = 1 / weights
     out = np.zeros((len(starts), count), np.uint32)
-    low24, low16 = np.uint64(0xFFFFFF), np.uint64(0xFFFF)
     for d in range(count):
         x = _mix(shingles + np.uint64((2 * d + 1) * int(_M[0]) % 2**64))
         y = _mix(x + _M[0])
-        u1 = ((x >> np.uint64(40)).astype(np.float64) + 0.5) * 2.0**-24
-        u2 = (((x >> np.uint64(16)) & low24).astype(np.float64) + 0.5) * 2.0**-24
-        u3 = ((y >> np.uint64(40)).astype(np.float64) + 0.5) * 2.0**-24
-        u4 = (((y >> np.uint64(16)) & low24).astype(np.float64) + 0.5) * 2.0**-24
-        b = ((x & low16).astype(np.float64) + 0.5) * 2.0**-16
-        r = -np.log(u1 * u2)
-        t = np.floor(log_weight / r + b)
-        value = np.log(-np.log(u3 * u4)) - r * (t - b + 1)
-        least = np.repeat(np.minimum.reduceat(value, starts), lengths)
-        at = np.nonzero(value == least)[0]
-        at = at[np.searchsorted(at, starts)]
-        out[:, d] = (_mix(shingles[at] ^ _mix(t[at].astype(np.int64).view(np.uint64))) >> np.uint64(32)).astype(np.uint32)
+        u, v = (_uniform(z, 40, 24) * _uniform(z, 16, 24) for z in (x, y))
+
+        def values(at):
+            b, r = _uniform(x[at], 0, 16), -np.log(u[at])
+            t = np.floor(np.log(weights[at]) / r + b)
+            return np.log(-np.log(v[at])) - r * (t - b + 1), t
+
+        bound = (1 - v) * u
+        bound *= share
+        some = np.nonzero(bound <= np.repeat(3 * np.minimum.reduceat(bound, starts), lengths))[0]
+        most = np.exp(np.minimum.reduceat(values(some)[0], np.searchsorted(some, starts))) * (1 + 1e-9)
+        at = np.nonzero(bound <= np.repeat(most, lengths))[0]
+        (value, t), first = values(at), np.searchsorted(at, starts)
+        least = np.repeat(np.minimum.reduceat(value, first), np.diff(np.append(first, len(at))))
+        equal = np.nonzero(value == least)[0]
+        equal = equal[np.searchsorted(equal, first)]
+        out[:, d] = (_mix(shingles[at[equal]] ^ _mix(t[equal].astype(np.int64).view(np.uint64))) >> np.uint64(32)).astype(np.uint32)
     return out
 
 

@@ -137,3 +137,40 @@ def test_shingles_of_several_texts_are_those_of_each():
         assert np.array_equal(one, shingles[a:b]) and np.array_equal(mass, weight[a:b])
         n = len(near.words_of(t))
         assert not n or np.all(one[1:] > one[:-1]) and len(one) == len({tuple(t.split()[i : i + 5]) for i in range(max(1, n - 4))})
+
+
+def test_samples_are_those_of_the_formula():
+    rng = np.random.default_rng(7)
+    shingles = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
+    weights = np.exp(rng.normal(0, 3, len(shingles)))
+    starts = np.array([0, 1, 2, 40, 41, 900, 2999])
+    got = near.samples(shingles, weights, starts)
+    for d in range(near.SAMPLES):
+        x = near._mix(shingles + np.uint64((2 * d + 1) * int(near._M[0]) % 2**64))
+        y = near._mix(x + near._M[0])
+        part = lambda z, shift, bits: (((z >> np.uint64(shift)) & np.uint64((1 << bits) - 1)).astype(float) + 0.5) * 2.0**-bits
+        r, c, b = -np.log(part(x, 40, 24) * part(x, 16, 24)), -np.log(part(y, 40, 24) * part(y, 16, 24)), part(x, 0, 16)
+        t = np.floor(np.log(weights) / r + b)
+        value = np.log(c) - r * (t - b + 1)
+        for i, (low, high) in enumerate(zip(starts, [*starts[1:], len(shingles)])):
+            at = low + np.argmin(value[low:high])
+            here = near._mix(shingles[at : at + 1] ^ near._mix(t[at : at + 1].astype(np.int64).view(np.uint64)))
+            assert got[i, d] == here[0] >> np.uint64(32)
+
+
+def test_a_word_is_looked_up_once_and_memory_is_bounded():
+    asked = []
+
+    class Word(str):
+        def __hash__(self):
+            asked.append(str(self))
+            return super().__hash__()
+
+    memory = near.Remembered(lambda hashes: hashes.astype(float), most=8)
+    memory.of(["a", "b", "c"])
+    assert len(memory.of([Word("a"), Word("b")])[0]) == 2 and asked == ["a", "b"]
+    for _ in range(3):
+        words = [f"w{i % 29}" for i in range(100)]
+        hashes, values = memory.of(words)
+        assert hashes.tolist() == [near.xxhash.xxh64_intdigest(w) for w in words] and (values == hashes.astype(float)).all()
+        assert len(memory.numbers) <= 8
