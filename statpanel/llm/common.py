@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statpanel.sources.scratch import scratch_path
@@ -15,22 +17,67 @@ from statpanel.sources.scratch import scratch_path
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: Paths of the tables written since the innermost `working` of this thread began.
+_PATHS: ContextVar[list[str] | None] = ContextVar("paths", default=None)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Through Spark's file systems, as the folder may be in a store that only Spark reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
+def _path(df: DataFrame) -> str | None:
+    return vars(df).get("_written")
+
+
+def written(df: DataFrame, name: str, *spent: DataFrame) -> DataFrame:
     """`df` as a parquet table in the shared working folder, read again.
 
     Cuts the lineage: a lost executor costs the tasks it ran, not the steps before the table. Each call writes
-    to a new folder below `spark.checkpoint.dir`; the owner of that folder clears it. The shuffles of this write are of no use
-    after it, so Spark is asked to remove their files then, instead of when the driver collects garbage.
+    to a new folder below `spark.checkpoint.dir`. The shuffles of this write are of no use
+    after it, so Spark is asked to remove their files then, instead of when the driver collects garbage. The written tables among `spent`,
+    which nothing reads any more once `df` is written, are removed then; `working` removes others. What is left the owner of the folder clears.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
+    if _PATHS.get() is not None:
+        _PATHS.get().append(path)
     try:
         df.write.parquet(path)
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    for table_ in spent:
+        if _path(table_):
+            _remove(spark, _path(table_))
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+@contextlib.contextmanager
+def working(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables written inside are removed at the end, but those passed to the function that this yields, which the result reads."""
+    paths: list[str] = []
+    kept: set[str] = set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(_path(df))
+        return df
+
+    token = _PATHS.set(paths)
+    try:
+        yield keep
+    finally:
+        _PATHS.reset(token)
+        outer = _PATHS.get()
+        if outer is not None:
+            outer.extend(kept)
+        for path in paths:
+            if path not in kept:
+                _remove(spark, path)
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
@@ -76,12 +123,14 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        down = written(large.filter("a <> b").distinct(), name)
+        down = written(large.filter("a <> b").distinct(), name, links)
         low = down.groupBy("a").agg(F.min("b").alias("m"))
         hooked = down.join(low, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
-        links = written(hooked.filter("a <> b").distinct(), name)
+        links = written(hooked.filter("a <> b").distinct(), name, down)
     nodes = links.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    return nodes.union(links.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct()
+    out = nodes.union(links.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct()
+    out._written = _path(links)
+    return out
 
 
 def fits(spark, size: int) -> bool:
@@ -118,10 +167,12 @@ def _hubs(open_: DataFrame, turn: int, sparing: bool) -> DataFrame:
     """(bucket, y, yc): of each bucket the node that its other nodes are compared with, and its class.
 
     In the first turn the smallest. Later the one that meets most others, such as the text that others are copies of; with `sparing`
-    any of the bucket's largest class, another one each turn.
+    any of the bucket's largest class, another one each turn, but in the second that with the least `share` where open_ has that column.
     """
     if not turn:
         first = F.min(F.struct("n", "c"))
+    elif turn == 1 and "share" in open_.columns:
+        first = F.min(F.struct("share", "n", "c"))
     elif not sparing:
         met = open_.groupBy("n").agg(F.sum("size").alias("met"))
         open_, first = open_.join(met, "n"), F.min(F.struct(-F.col("met"), "n", "c"))
@@ -138,6 +189,7 @@ def linked(
     name: str,
     apart: Callable[[DataFrame], DataFrame],
     sparing: bool = False,
+    measured: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Classes (id, component) of nodes `n` that share a `bucket` and that `verify` confirms, without all pairs of a bucket.
 
@@ -148,20 +200,31 @@ def linked(
     comparisons per node, and no link between classes is lost.
 
     With `sparing`, for buckets that seldom hold nodes by chance, a turn compares a node with SOME others of its buckets: first with their
-    smallest ones, then, turn after turn, with some of the largest class of a bucket, as long as that leaves a quarter less to do.
+    smallest ones, then, turn after turn, with some of the largest class of a bucket, as long as that leaves a quarter less to do. After the
+    first turn `measured` adds to rows (bucket, n, size) a column `share`, less for nodes that more are likely to be similar to, and others
+    for `apart`, and leaves out nodes that nothing can be similar to; the second turn compares nodes with those of the least share.
     """
     # Buckets are added up before the shuffle and joined back: a bucket of any size is split over tasks.
-    several = members.groupBy("bucket").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("size"))
-    several = several.filter("least < most").select("bucket", "size").hint("shuffle_hash")
+    several = members.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1").hint("shuffle_hash")
     members = written(members.join(several, "bucket").select("bucket", "n", "size"), name)
     open_ = members.withColumn("c", F.col("n"))
     links = tried = labels = None
     left, turn, last = None, 0, False
+
+    def still_open() -> DataFrame:
+        """The rows of buckets that hold several classes."""
+        labelled = members.join(labels, F.col("n") == F.col("id"), "left")
+        labelled = labelled.select(*members.columns, F.coalesce("component", "n").alias("c"))
+        if not sparing:  # the one pair of a bucket of two has been compared
+            labelled = labelled.filter("size > 2")
+        split = labelled.groupBy("bucket").agg(F.min("c").alias("least"), F.max("c").alias("most")).filter("least < most")
+        return labelled.join(split.select("bucket").hint("shuffle_hash"), "bucket")
+
     while True:
         if last:
-            pairs = apart(open_.select("bucket", "n", "c", "size"))
+            pairs = spent = apart(open_)
         else:
-            pairs = open_.join(_hubs(open_, turn, sparing).hint("shuffle_hash"), "bucket").filter("yc <> c")
+            pairs = spent = open_.join(_hubs(open_, turn, sparing).hint("shuffle_hash"), "bucket").filter("yc <> c")
             if sparing:  # a node has so many buckets and no more
                 some = F.slice(F.sort_array(F.collect_set(F.struct(F.xxhash64("y", "n"), "y"))), 1, SOME)
                 pairs = pairs.groupBy("n").agg(some.alias("some")).select("n", F.explode("some.y").alias("y"))
@@ -169,21 +232,25 @@ def linked(
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = written(pairs, name)
+        pairs = written(pairs, name, spent)
         tried = pairs if tried is None else tried.union(pairs)
         found = written(verify(pairs), name) if not turn or not pairs.isEmpty() else pairs.limit(0)
+        stale = open_
         if not turn or not found.isEmpty():
             links = found if links is None else links.union(found)
-            labels = components(links, name)
+            old, labels = labels, components(links, name)
+        else:
+            old = None
         if last:
             return labels
-        labelled = members.join(labels, F.col("n") == F.col("id"), "left")
-        labelled = labelled.select("bucket", "n", "size", F.coalesce("component", "n").alias("c"))
-        if not sparing:  # the one pair of a bucket of two has been compared
-            labelled = labelled.filter("size > 2")
-        split = labelled.groupBy("bucket").agg(F.min("c").alias("least"), F.max("c").alias("most")).filter("least < most")
-        open_ = written(labelled.join(split.select("bucket").hint("shuffle_hash"), "bucket"), name)
+        open_ = written(still_open(), name, *(t for t in (stale, old) if t is not None))
         before, left, turn = left, open_.count(), turn + 1
         if not left:
             return labels
         last = before is not None and 4 * left > 3 * before if sparing else turn == 2
+        if turn == 1 and measured is not None:
+            members = written(measured(open_.drop("c")), name, members)
+            open_ = written(still_open(), name, open_)
+            left = open_.count()
+            if not left:
+                return labels

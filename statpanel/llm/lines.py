@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statpanel.llm import line_signatures
-from statpanel.llm.common import fits, linked, perhaps_among, written
+from statpanel.llm.common import fits, linked, perhaps_among, working, written
 from statpanel.llm.line_signatures import PLACES, WIDTH, WORDS
 
 SIMILARITY = 0.8
@@ -122,7 +122,7 @@ def similar_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
             wanted = wanted.join(found["texts"], "n", "left_anti")
         wanted = written(wanted, "lines-involved")
         texts = perhaps_among(_lines(docs), "n", wanted).join(wanted, "n").select("n", "n2", "line").dropDuplicates(["n", "n2"])
-        found["texts"] = written(texts.union(found["texts"]) if found else texts, "lines-texts")
+        found["texts"] = written(texts.union(found["texts"]) if found else texts, "lines-texts", wanted, *found.values())
         return found["texts"]
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -142,17 +142,18 @@ def similar_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
         one, two = few.alias("one"), few.alias("two")
         likely_ = _agreeing("one.s", "two.s") >= AGREE
         pairs = one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.c") < F.col("two.c")) & likely_)
-        pairs = written(pairs.select(F.col("one.n").alias("x"), F.col("two.n").alias("y")), "lines-few")
+        pairs = few = written(pairs.select(F.col("one.n").alias("x"), F.col("two.n").alias("y")), "lines-few")
         finer = written(_finer(signed, open_.filter(F.col("size") > MANY).drop("size")), "lines-finer")
         span = finer.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most"), F.count("*").alias("size"))
         span = span.filter("least < most").select("key", "size").hint("shuffle_hash")
-        meeting = written(finer.join(span, "key"), "lines-meeting")
+        meeting = written(finer.join(span, "key"), "lines-meeting", finer)
         small = meeting.filter(F.col("size") <= MANY)
         one, two = small.alias("one"), small.alias("two")
         more = one.join(two, (F.col("one.key") == F.col("two.key")) & (F.col("one.c") < F.col("two.c")))
         pairs = pairs.union(more.select(F.col("one.n").alias("x"), F.col("two.n").alias("y")))
         large = written(meeting.filter(F.col("size") > MANY).select("n", "c").distinct(), "lines-many")
-        return pairs if large.isEmpty() else pairs.union(rare_pairs(large))
+        pairs = written(pairs, "lines-small", few, meeting)
+        return pairs if large.isEmpty() else written(pairs.union(rare_pairs(large)), "lines-apart", pairs)
 
     def rare_pairs(classes: DataFrame) -> DataFrame:
         """Pairs of different classes that share one of their rarest shingles.
@@ -190,22 +191,8 @@ def deduplicated_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFram
     another. Texts are shuffled at most once, to their own removals; not at all where these are few enough to be broadcast.
     """
     keyed = _keyed(docs.drop("removed_lines"))
-    lines = keyed.drop("_doc")
-    occurs = written(_lines(lines, "late", "_row").select("late", "_row", "pos", "n", "n2"), "lines-places")
-    labels = written(similar_lines(lines, similar), "lines-classes")
-    spot = F.struct("late", "_row", "pos")
-    keys = occurs.groupBy("n", "n2").agg(F.min(spot).alias("first"), F.count("*").alias("copies"))
-    keys = keys.join(labels, ["n", "n2"], "left").filter("copies > 1 or component is not null")
-    keys = written(keys, "lines-shared")
-    firsts = keys.filter("component is not null").groupBy("component").agg(F.min("first").alias("class_first"))
-    keys = keys.join(firsts, "component", "left")
-    keys = written(keys.select("n", "n2", F.coalesce("class_first", "first").alias("first")), "lines-firsts")
-    # Small sides are hashed, so that places and texts need no sort. All lines of rows that repeat are shared ones.
-    shared = occurs.join(keys.hint("shuffle_hash"), ["n", "n2"])
-    gone = F.collect_set(F.when(spot != F.col("first"), F.col("pos"))).alias("gone")
-    marks = shared.groupBy("late", "_row").agg(gone, (F.count("*") > F.size(F.collect_set("pos"))).alias("repeated"))
-    marks = marks.select("late", "_row", F.when(F.size("gone") > 0, F.col("gone")).alias("gone"), "repeated")
-    marks = written(marks.filter("gone is not null or repeated"), "lines-gone")
+    with working(docs.sparkSession) as kept:
+        marks = kept(_gone(keyed.drop("_doc"), similar))
     rows, places = marks.agg(F.count("*"), F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()
     marks = marks.hint("broadcast" if fits(docs.sparkSession, 48 * rows + 4 * places) else "shuffle_hash")
     out = keyed.join(marks, ["late", "_row"], "left")
@@ -227,3 +214,23 @@ def deduplicated_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFram
     many = out.filter("repeated").withColumn("number", number)
     full = F.filter(F.transform(_split(F.col("text")), lambda x, i: F.when(_trimmed(x) != "", i)), lambda i: i.isNotNull())
     return single.unionByName(finished(many, F.when(F.col("number") == 1, F.col("gone")).otherwise(full)))
+
+
+def _gone(lines: DataFrame, similar: float) -> DataFrame:
+    """(late, _row, gone, repeated) of the rows that lose lines, at the places `gone`, or that repeat in all columns."""
+    occurs = written(_lines(lines, "late", "_row").select("late", "_row", "pos", "n", "n2"), "lines-places")
+    with working(lines.sparkSession) as kept:
+        labels = kept(written(similar_lines(lines, similar), "lines-classes"))
+    spot = F.struct("late", "_row", "pos")
+    keys = occurs.groupBy("n", "n2").agg(F.min(spot).alias("first"), F.count("*").alias("copies"))
+    keys = keys.join(labels, ["n", "n2"], "left").filter("copies > 1 or component is not null")
+    keys = shared_ = written(keys, "lines-shared", labels)
+    firsts = keys.filter("component is not null").groupBy("component").agg(F.min("first").alias("class_first"))
+    keys = keys.join(firsts, "component", "left")
+    keys = written(keys.select("n", "n2", F.coalesce("class_first", "first").alias("first")), "lines-firsts", shared_)
+    # Small sides are hashed, so that places and texts need no sort. All lines of rows that repeat are shared ones.
+    shared = occurs.join(keys.hint("shuffle_hash"), ["n", "n2"])
+    gone = F.collect_set(F.when(spot != F.col("first"), F.col("pos"))).alias("gone")
+    marks = shared.groupBy("late", "_row").agg(gone, (F.count("*") > F.size(F.collect_set("pos"))).alias("repeated"))
+    marks = marks.select("late", "_row", F.when(F.size("gone") > 0, F.col("gone")).alias("gone"), "repeated")
+    return written(marks.filter("gone is not null or repeated"), "lines-gone")

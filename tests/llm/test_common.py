@@ -45,3 +45,23 @@ def test_nothing_among_the_members_is_lost(spark):
     assert {r["k"] for r in members.collect()} <= found
     assert len(found) < 700
     assert common.perhaps_among(rows, "k", members.limit(0)).isEmpty()
+
+
+def test_spent_and_working_tables_are_removed(spark):
+    from pathlib import Path
+
+    rows = spark.range(10)
+    one = common.written(rows, "one")
+    two = common.written(one.filter("id > 3"), "two", one, rows)
+    assert not Path(one._written).exists() and two.count() == 6
+    with common.working(spark) as outer:
+        first = common.written(two, "first")
+        with common.working(spark) as inner:
+            kept, lost = inner(common.written(first, "kept")), common.written(first, "lost")
+        assert kept.count() == 6 and not Path(lost._written).exists()
+        with pytest.raises(ZeroDivisionError), common.working(spark):
+            broken = common.written(first, "broken")
+            1 / 0
+        last = outer(common.written(kept, "last"))
+    assert [Path(t._written).exists() for t in (first, kept, broken, last, two)] == [False, False, False, True, True]
+    assert last.count() == 6

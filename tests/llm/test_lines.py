@@ -182,3 +182,17 @@ def test_large_buckets_of_lines_that_are_just_apart(spark, monkeypatch):
     want, found = brute(rows), got(spark, rows)
     assert paired and sum(a != b for a, b in zip(want, found)) <= 1
     assert sum(r[2] for r in found) <= sum(r[2] for r in want)
+
+
+def test_working_tables_are_removed(spark):
+    """Only the table of the places to remove stays, which the result reads."""
+    from pathlib import Path
+
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(root.iterdir())
+    rows = [(i, f"a line that stands in all\nline number {i} of some length, {i * 7919}\nand another {i // 2} {i * 31}") for i in range(40)]
+    want = brute(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = lines.deduplicated_lines(docs)
+    assert len({p for p in root.iterdir() if p not in before}) == 1
+    assert sorted(map(tuple, found.collect()), key=str) == want
