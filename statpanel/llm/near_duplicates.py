@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statpanel.llm.common import linked, perhaps_among, text_key, written
+from statpanel.llm.common import linked, perhaps_among, text_key, working, written
 from statpanel.llm.lexicon import chunks, texts_of
 
 WORDS = 5
@@ -99,13 +99,16 @@ class Remembered:
         return self.hashes[at], self.values[at]
 
 
+def _hashed(words: list[str]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
 class Shingler:
     """Shingle hashes and weights of texts."""
 
     def __init__(self, weights: Weights):
         self.weights = weights
         self.rarer = Weights(weights.documents, np.zeros(0, np.uint64), np.zeros(0))
-        self.words = Remembered(lambda hashes: self.weights.of(hashes, self.rarer.of(hashes)))
 
     def meet(self, part: pa.RecordBatch, *sides: str) -> None:
         """From now on use the frequencies that come along with the texts of `part`, in place of those of the part before."""
@@ -120,7 +123,9 @@ class Shingler:
         """
         split = [words_of(t) for t in texts]
         sizes = np.fromiter(map(len, split), np.int64, len(split))
-        hashes, idf = self.words.of(list(chain.from_iterable(split)))
+        hashes = _hashed(list(chain.from_iterable(split)))
+        words, which = np.unique(hashes, return_inverse=True)
+        idf = self.weights.of(words, self.rarer.of(words))[which]
         spans = np.minimum(sizes, WORDS)
         here = np.where(sizes > 0, sizes - spans + 1, 0)
         owner = np.repeat(np.arange(len(split)), here)
@@ -149,10 +154,13 @@ class Shingler:
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity: sum of the lesser weights over sum of the greater; 0 if either has no shingle."""
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    low = np.minimum(a[1][i], b[1][j]).sum()
+    if not len(a[0]) or not len(b[0]):
+        return 0.0
+    at = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
+    both = np.nonzero(b[0][at] == a[0])[0]
+    low = np.minimum(a[1][both], b[1][at[both]]).sum()
     whole = a[1].sum() + b[1].sum() - low
-    return float(low / whole) if len(i) else 0.0
+    return float(low / whole) if len(both) else 0.0
 
 
 def _uniform(x: np.ndarray, shift: int, bits: int) -> np.ndarray:
@@ -218,7 +226,7 @@ def word_weights(nodes: DataFrame) -> tuple[Weights, DataFrame | None]:
     """Weights by the number of documents that have a word, over all rows of nodes (n, text, copies), each as many documents as `copies`.
 
     Every word is counted exactly. The driver gets FREQUENT_WORDS words at most; the others are added up by shuffles, and a table (n, words,
-    often) has those of each text, None if there are none.
+    often) has those of each text that are in several documents, None if all words are known to the driver.
     """
     count, documents = nodes.agg(F.count("*"), F.coalesce(F.sum("copies"), F.lit(0))).first()
     shared = nodes.sparkSession.sparkContext.broadcast(_frequent(nodes, count))
@@ -226,33 +234,32 @@ def word_weights(nodes: DataFrame) -> tuple[Weights, DataFrame | None]:
     def run(batches):
         frequent = shared.value
 
-        def place(hashes):
-            at = np.searchsorted(frequent, hashes)
-            return np.where(np.append(frequent, 0)[at] == hashes, at, -1) if len(frequent) else np.full(len(hashes), -1)
-
-        memory, total = Remembered(place), np.zeros(len(frequent), np.int64)
+        total, ended = np.zeros(len(frequent), np.int64), np.append(frequent, np.uint64(0))
         for batch in batches:
             for part in chunks(batch, "text"):
                 sets = [set(words_of(t)) for t in texts_of(part)]
                 owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-                hashes, at = memory.of(list(chain.from_iterable(sets)))
+                hashes = _hashed(list(chain.from_iterable(sets)))
+                words, which = np.unique(hashes, return_inverse=True)
+                at = np.searchsorted(frequent, words)
+                at = np.where((at < len(frequent)) & (ended[at] == words), at, -1)[which]
                 n, copies = (part.column(c).to_numpy()[owner] for c in ("n", "copies"))
                 known = at >= 0
-                np.add.at(total, at[known].astype(np.int64), copies[known])
+                np.add.at(total, at[known], copies[known])
                 rest = {"word": hashes[~known].view(np.int64), "n": n[~known], "copies": copies[~known]}
                 yield pa.RecordBatch.from_pydict(rest)
         yield pa.RecordBatch.from_pydict({"word": frequent.view(np.int64), "n": np.full(len(frequent), -1), "copies": total})
 
     seen = nodes.select("n", "text", "copies").mapInArrow(run, "word long, n long, copies long").filter("copies > 0")
-    seen = written(seen, "near-words")
+    seen = words = written(seen, "near-words")
     known = seen.filter("n < 0").groupBy("word").agg(F.sum("copies").alias("often")).toArrow()
     weights = Weights(documents, known["word"].to_numpy().view(np.uint64), known["often"].to_numpy())
     seen = seen.filter("n >= 0")
     if seen.isEmpty():
         return weights, None
-    each = seen.select("n", "word", F.sum("copies").over(Window.partitionBy("word")).alias("often"))
+    each = seen.select("n", "word", F.sum("copies").over(Window.partitionBy("word")).alias("often")).filter("often > 1")
     rarer = each.groupBy("n").agg(F.collect_list("word").alias("words"), F.collect_list("often").alias("often"))
-    return weights, written(rarer, "near-rarer")
+    return weights, written(rarer, "near-rarer", words)
 
 
 def _with_rarer(texts: DataFrame, rarer: DataFrame | None) -> DataFrame:
@@ -310,13 +317,24 @@ def near_classes(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.withColumn("key", text_key(F.col("text")))
+    with working(docs.sparkSession) as kept:
+        classed = kept(_classed(texts, similar))
+    firsts = classed.groupBy("c").agg(F.min(F.struct("late", "doc_id", "key")).alias("m"))
+    named = classed.join(firsts, "c").select("key", F.col("m.doc_id").alias("class_id"), F.col("m.key").alias("first_key"))
+    out = texts.select("doc_id", "key").join(named, "key")
+    first = (F.col("key") == F.col("first_key")) & F.col("doc_id").eqNullSafe(F.col("class_id"))
+    return out.select("doc_id", "key", "class_id", first.alias("first"))
+
+
+def _classed(texts: DataFrame, similar: float) -> DataFrame:
+    """(key, late, doc_id, c) of every distinct text of rows (doc_id, text, key): its least doc_id, and a number of its class."""
     late = F.coalesce("doc_id", F.lit((1 << 63) - 1))
     least = F.min(F.struct(late.alias("late"), "doc_id")).alias("m")
     whole = texts.groupBy("key").agg(least, F.count("*").alias("copies"), F.first("text").alias("text"))
     whole = whole.select("key", "m.late", "m.doc_id", "copies", "text", F.monotonically_increasing_id().alias("n"))
     whole = written(whole, "near-nodes")
     frequencies, rarer = word_weights(whole)
-    weights = docs.sparkSession.sparkContext.broadcast(frequencies)
+    weights = texts.sparkSession.sparkContext.broadcast(frequencies)
     nodes = written(_signatures(_with_rarer(whole, rarer), weights), "near-signed")
 
     found = {}
@@ -325,7 +343,7 @@ def near_classes(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
         if not found:  # the first pairs name all nodes that can ever be compared
             involved = written(pairs.select(F.explode(F.array("a", "b")).alias("n")).distinct(), "near-involved")
             again = perhaps_among(whole.select("n", "text"), "n", involved).join(involved, "n")
-            found["texts"] = written(_with_rarer(again, rarer), "near-texts")
+            found["texts"] = written(_with_rarer(again, rarer), "near-texts", involved, *([] if rarer is None else [rarer]))
         side = lambda s: nodes.select(F.col("n").alias(s), F.col("samples").alias(f"samples_{s}"))
         equal = F.size(F.filter(F.zip_with("samples_a", "samples_b", lambda x, y: x == y), lambda e: e))
         pairs = pairs.join(side("a"), "a").join(side("b"), "b").filter(equal >= LEAST_EQUAL).select("a", "b")
@@ -337,47 +355,68 @@ def near_classes(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
             last: dict[int, tuple] = {}
             held = 0
 
-            def shingles(n: int, text: str) -> tuple:
-                nonlocal held
-                if n not in last:
-                    if held > 1 << 24:
-                        last.clear()
-                        held = 0
-                    last[n] = shingler.of(text)
-                    held += 16 * len(last[n][0])
-                return last[n]
-
             for batch in batches:
                 # A few texts at a time become Python strings; a pair's two texts are of like length, as their samples agree.
                 for part in chunks(batch, "text_a", 1 << 18):
                     shingler.meet(part, "_a", "_b")
-                    columns = [part.column(c).to_pylist() for c in ("a", "text_a", "b", "text_b")]
-                    keep = [similarity(shingles(a, s), shingles(b, t)) >= similar - 1e-9 for a, s, b, t in zip(*columns)]
+                    a, b = (part.column(c).to_pylist() for c in "ab")
+                    if held > 1 << 24:
+                        last.clear()
+                        held = 0
+                    new = {n: (side, i) for side, ns in (("text_a", a), ("text_b", b)) for i, n in enumerate(ns) if n not in last}
+                    shingles, weight, sizes = shingler.of_all([part.column(side)[i].as_py() for side, i in new.values()])
+                    ends = np.cumsum(sizes)
+                    last.update((n, (shingles[x:y], weight[x:y])) for n, x, y in zip(new, ends - sizes, ends))
+                    held += 16 * len(shingles)
+                    keep = [similarity(last[x], last[y]) >= similar - 1e-9 for x, y in zip(a, b)]
                     yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
         return pairs.mapInArrow(compare, "a long, b long")
 
+    def measured(rows: DataFrame) -> DataFrame:
+        """Adds to rows with n: `mass`, the weight of all the text's shingles, `common`, that of those that another text of `rows` has, and the
+        `share` of those that none has. Texts of which too little is common to be similar to any are left out.
+
+        Of two texts no more can be in both than is common, and of x and y that is similar / (1 + similar) of both masses at least.
+        """
+
+        def run(batches):
+            shingler = Shingler(weights.value)
+            for batch in batches:
+                for part in chunks(batch, "text", 1 << 18):
+                    shingler.meet(part, "")
+                    shingles, weight, sizes = shingler.of_all(texts_of(part))
+                    n = np.repeat(part.column("n").to_numpy(), sizes)
+                    yield pa.RecordBatch.from_pydict({"s": shingles.view(np.int64), "n": n, "w": weight})
+
+        ns = written(rows.select("n").distinct(), "near-open")
+        own = perhaps_among(found["texts"], "n", ns).join(ns, "n")
+        held = written(own.mapInArrow(run, "s long, n long, w double"), "near-shingles", ns)
+        mass = held.groupBy("n").agg(F.sum("w").alias("mass"))
+        once = held.groupBy("s").agg(F.count("*").alias("k"), F.first("n").alias("n"), F.first("w").alias("w")).filter("k = 1")
+        lone = once.groupBy("n").agg(F.sum("w").alias("lone"))
+        each = mass.join(lone, "n", "left").withColumn("common", F.col("mass") - F.coalesce("lone", F.lit(0.0)))
+        each = each.withColumn("share", 1 - F.col("common") / F.col("mass")).filter(F.col("share") <= 1 - similar + 1e-6)
+        each = written(each.select("n", "mass", "common", "share"), "near-measured", held)
+        return rows.join(each, "n").select(*rows.columns, "mass", "common", "share")
+
     def apart(open_: DataFrame) -> DataFrame:
-        """Pairs of a bucket across classes with enough equal samples, each only in the bucket of its first two equal bands."""
+        """Pairs of a bucket across classes with enough equal samples and enough in common, each only in the bucket of its first two equal bands."""
         signed = open_.join(nodes.select("n", "samples", _bands().alias("bands")), "n")
         one, two = signed.alias("one"), signed.alias("two")
         same = F.filter(F.zip_with("one.bands", "two.bands", lambda x, y: F.when(x == y, x)), lambda b: b.isNotNull())
         where = (
             (F.col("one.bucket") == F.col("two.bucket"))
             & (F.col("one.c") < F.col("two.c"))
+            & (F.least("one.common", "two.common") >= (F.col("one.mass") + F.col("two.mass")) * F.lit(similar / (1 + similar) - 1e-6))
             & (F.xxhash64(F.get(same, F.lit(0)), F.get(same, F.lit(1))) == F.col("one.bucket"))
             & (F.size(F.filter(F.zip_with("one.samples", "two.samples", lambda x, y: x == y), lambda e: e)) >= LEAST_EQUAL)
         )
         return one.join(two, where).select(F.col("one.n").alias("x"), F.col("two.n").alias("y"))
 
-    labels = linked(_buckets(nodes), verify, "near-links", apart, sparing=True)
+    labels = linked(_buckets(nodes), verify, "near-links", apart, sparing=True, measured=measured)
     classed = whole.join(labels, F.col("n") == F.col("id"), "left")
-    classed = written(classed.select("key", "late", "doc_id", F.coalesce("component", "n").alias("c")), "near-classes")
-    firsts = classed.groupBy("c").agg(F.min(F.struct("late", "doc_id", "key")).alias("m"))
-    named = classed.join(firsts, "c").select("key", F.col("m.doc_id").alias("class_id"), F.col("m.key").alias("first_key"))
-    out = texts.select("doc_id", "key").join(named, "key")
-    first = (F.col("key") == F.col("first_key")) & F.col("doc_id").eqNullSafe(F.col("class_id"))
-    return out.select("doc_id", "key", "class_id", first.alias("first"))
+    return written(classed.select("key", "late", "doc_id", F.coalesce("component", "n").alias("c")), "near-classes")
 
 
 def deduplicated(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:

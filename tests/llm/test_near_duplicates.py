@@ -174,3 +174,40 @@ def test_a_word_is_looked_up_once_and_memory_is_bounded():
         hashes, values = memory.of(words)
         assert hashes.tolist() == [near.xxhash.xxh64_intdigest(w) for w in words] and (values == hashes.astype(float)).all()
         assert len(memory.numbers) <= 8
+
+
+def test_a_large_group_that_is_just_apart_makes_few_pairs(spark, monkeypatch):
+    """Texts with words of their own instead of some of one text's: most are near the text, or near none; only few are compared pair by pair."""
+    pairs = []
+
+    def linked(members, verify, name, apart, **more):
+        def counted(open_):
+            found = apart(open_)
+            pairs.append(found.distinct().count())
+            return found
+
+        return plain(members, verify, name, counted, **more)
+
+    plain = near.linked
+    monkeypatch.setattr(near, "linked", linked)
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(0, " ".join(words))]
+    for n in range(1, 150):
+        changed = rng.randint(2, 30)
+        at = rng.randrange(300 - changed)
+        rows.append((n, " ".join([*words[:at], *(f"x{n}y{i}" for i in range(changed)), *words[at + changed :]])))
+    want = classes(rows)
+    assert got(spark, rows) == want
+    assert len({c for _, c in want}) > 30
+    assert sum(pairs) < 150
+
+
+def test_working_tables_are_removed(spark):
+    from pathlib import Path
+
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(root.iterdir())
+    found = near.near_classes(spark.createDataFrame(groups(6), "doc_id long, text string"))
+    assert len({p for p in root.iterdir() if p not in before}) == 1
+    assert found.count() == len(groups(6))
