@@ -1,35 +1,32 @@
 """Fuzzy line deduplication: MinHash bands, exact comparison, distributed union-find.
 
 Lines are compared by character shingles: WIDTH characters from every character on, or the whole of a shorter line. MinHash signatures of the
-shingles are cut into bands; of lines that share a band, those whose signatures agree in enough places are compared exactly, by
-64-bit hashes of the shingles; classes are the connected components of similar lines, and one line of each class stays.
+shingles are cut into bands; lines that share a band, and whose signatures agree in enough places, are of one bucket, and the lines of a bucket
+are compared exactly, by 64-bit hashes of the shingles; classes are the connected components of similar lines, and one line of each class stays.
 
-Signatures and exact comparisons are made in numpy inside tasks: cutting and hashing shingles with DataFrame functions took several times the
-CPU. All else is DataFrame functions.
+Signatures, their bands and exact comparisons are made in numpy inside tasks: cutting and hashing shingles, and dealing out bands, with DataFrame
+functions took several times the CPU. All else is DataFrame functions.
 """
 
 from __future__ import annotations
 
 from functools import reduce
-from operator import add, or_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statpanel.llm import line_signatures
-from statpanel.llm.common import fits, linked, perhaps_among, working, written
-from statpanel.llm.line_signatures import PLACES, WIDTH, WORDS
+from statpanel.llm.common import components, fits, perhaps_among, working, written
+from statpanel.llm.line_signatures import BANDS, RECORD, WIDTH
 
 SIMILARITY = 0.8
-#: Lines are compared if one band of three hashes agrees: at a similarity of 0.8 that is missed for 3 pairs in 1,000, at 0.9 for 3 in 10**5.
-BANDS, ROWS = 8, 3
-#: Of the places of a signature at least so many must agree: fewer do for 2 in 10**4 pairs with a similarity of 0.8.
-AGREE = 12
-#: Couples of further places that lines of a large bucket are keyed by. At a similarity of 0.8 none agrees for 6 pairs in 1,000, but most pairs
-#: share several buckets: 2 in 10**4 are missed.
-COUPLES = 5
-#: Lines that share a bucket and more, beyond which they are only paired by their rarest shingles.
+#: Lines of a band that are compared pair by pair at once.
 MANY = 32
+#: Bytes of the records of a part, which one task takes at a time.
+PART = 1 << 20
+#: Characters of a bucket's lines that one task compares with each other, if lines times characters are at most 4 * MANY**6.
+TOGETHER = 1 << 21
 #: The shingle stands in a group ahead of the one character that is consumed.
 SHINGLE = rf"(?s)(?=(.{{{WIDTH}}}|\A.{{1,{WIDTH - 1}}}(?!.)))."
 WHITE = " \t\r\x0b\x0c"
@@ -64,118 +61,78 @@ def _lines(docs: DataFrame, *kept: str) -> DataFrame:
     return lines.withColumns({"n": F.xxhash64("line"), "n2": F.xxhash64(F.lit(7), "line")})
 
 
-def _signed(docs: DataFrame) -> DataFrame:
-    """(n, s0 to s5): the packed signature of every distinct line."""
-    rows = line_signatures.signed(docs, WHITE)
-    return written(rows.groupBy("n").agg(*[F.first(f"s{w}").alias(f"s{w}") for w in range(WORDS)]), "lines-signed")
+def _signed(docs: DataFrame, lines: int | None = None) -> DataFrame:
+    """(part, records): the bands of the signature of every distinct line, packed. `lines` is the number of lines, if known."""
+    lines = _lines(docs).count() if lines is None else lines
+    return line_signatures.signed(docs, WHITE, 1 + lines * BANDS * RECORD.itemsize // PART)
 
 
-def _place(i: int, word: str = "s") -> Column:
-    """The 16 bits of a place of the packed signature."""
-    return F.shiftrightunsigned(F.col(f"{word}{i // 4}"), 16 * (i % 4)).bitwiseAND(0xFFFF)
-
-
-def _together(*places: int) -> Column:
-    """Up to four places of the signature in one number."""
-    return reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft(_place(i), 16 * at) for at, i in enumerate(places)])
-
+def _buckets(signed: DataFrame) -> DataFrame:
+    """(bucket, n): the lines that share a band, and whose signatures agree in enough places."""
+    return line_signatures.buckets(signed, MANY)
 
-def _bands() -> Column:
-    """The hash of each band of a signature."""
-    return F.array(*[F.xxhash64(F.lit(b), _together(*range(b, PLACES, BANDS))) for b in range(BANDS)])
 
+def similar_lines(docs: DataFrame, similar: float = SIMILARITY, lines: int | None = None) -> DataFrame:
+    """(n, n2, component): the classes of distinct lines that are similar to another distinct line, by the lines' hashes.
 
-def _buckets(signed: DataFrame) -> DataFrame:
-    """(bucket, n): the bands of the signatures."""
-    return signed.select(F.explode(_bands()).alias("bucket"), "n")
-
-
-def _finer(signed: DataFrame, open_: DataFrame) -> DataFrame:
-    """(key, n, c): for each open (bucket, n, c), keys of the bucket's band and two more places of the signature."""
-    rest = [[i for i in range(PLACES) if i % BANDS != b] for b in range(BANDS)]
-    couple = lambda b, k: F.xxhash64(F.col("bucket"), F.lit(k), _together(*rest[b][2 * k : 2 * k + 2]))
-    keys = lambda b: F.array(*[couple(b, k) for k in range(COUPLES)])
-    banded = open_.join(signed, "n").withColumn("b", F.array_position(_bands(), F.col("bucket")) - 1)
-    which = reduce(lambda out, b: out.when(F.col("b") == b, keys(b)), range(1, BANDS), F.when(F.col("b") == 0, keys(0)))
-    return banded.select(F.explode(which).alias("key"), "n", "c").distinct()
-
-
-def _agreeing(one: str, two: str) -> Column:
-    """In how many places two packed signatures agree."""
-    return reduce(add, [(_place(i, one) == _place(i, two)).cast("int") for i in range(PLACES)])
-
-
-def similar_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
-    """(n, n2, component): the classes of distinct lines that are similar to another distinct line, by the lines' hashes."""
-    found: dict[str, DataFrame] = {}
-    signed = _signed(docs)
-
-    def likely(pairs: DataFrame) -> DataFrame:
-        """The pairs whose signatures agree in enough places."""
-        side = lambda s: signed.select(F.col("n").alias(s), *[F.col(f"s{w}").alias(f"{s}{w}") for w in range(WORDS)])
-        return pairs.join(side("a"), "a").join(side("b"), "b").filter(_agreeing("a", "b") >= AGREE).select("a", "b")
-
-    def texts_of(pairs: DataFrame) -> DataFrame:
-        """(n, n2, line) of the lines of `pairs`, of those not yet known from the documents."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("n")).distinct()
-        if found:
-            wanted = wanted.join(found["texts"], "n", "left_anti")
-        wanted = written(wanted, "lines-involved")
-        texts = perhaps_among(_lines(docs), "n", wanted).join(wanted, "n").select("n", "n2", "line").dropDuplicates(["n", "n2"])
-        found["texts"] = written(texts.union(found["texts"]) if found else texts, "lines-texts", wanted, *found.values())
-        return found["texts"]
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        pairs = written(likely(pairs), "lines-likely")
-        texts = texts_of(pairs)
-        side = lambda s: texts.select(F.col("n").alias(s), F.col("line").alias(f"line_{s}"))
-        both = pairs.join(side("b"), "b").join(side("a"), "a")
-        return line_signatures.similar_pairs(both, similar)
-
-    def apart(open_: DataFrame) -> DataFrame:
-        """Pairs of different classes that share a bucket and whose signatures agree in enough places.
-
-        Of a bucket of MANY lines at most, all such pairs. In larger ones lines have to share one of COUPLES more couples of places of the
-        signature, and where many of different classes still meet, one of their rarest shingles.
-        """
-        few = open_.filter(F.col("size") <= MANY).join(signed, "n")
-        one, two = few.alias("one"), few.alias("two")
-        likely_ = _agreeing("one.s", "two.s") >= AGREE
-        pairs = one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.c") < F.col("two.c")) & likely_)
-        pairs = few = written(pairs.select(F.col("one.n").alias("x"), F.col("two.n").alias("y")), "lines-few")
-        finer = written(_finer(signed, open_.filter(F.col("size") > MANY).drop("size")), "lines-finer")
-        span = finer.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most"), F.count("*").alias("size"))
-        span = span.filter("least < most").select("key", "size").hint("shuffle_hash")
-        meeting = written(finer.join(span, "key"), "lines-meeting", finer)
-        small = meeting.filter(F.col("size") <= MANY)
-        one, two = small.alias("one"), small.alias("two")
-        more = one.join(two, (F.col("one.key") == F.col("two.key")) & (F.col("one.c") < F.col("two.c")))
-        pairs = pairs.union(more.select(F.col("one.n").alias("x"), F.col("two.n").alias("y")))
-        large = written(meeting.filter(F.col("size") > MANY).select("n", "c").distinct(), "lines-many")
-        pairs = written(pairs, "lines-small", few, meeting)
-        return pairs if large.isEmpty() else written(pairs.union(rare_pairs(large)), "lines-apart", pairs)
-
-    def rare_pairs(classes: DataFrame) -> DataFrame:
-        """Pairs of different classes that share one of their rarest shingles.
-
-        A line of m shingles has at most m - similar * m that a similar line lacks, so of any order of the shingles the first
-        m - ceil(similar * m) + 1 hold a common one. With the rarest first, what many lines share makes no pair. If the first common
-        one stands at place i of m and j of k, no more than min(m - i, k - j) can be common, and similar lines need similar / (1 + similar) of m + k.
-        """
-        wide = line_signatures.once_a_task(perhaps_among(_lines(docs).select("n", "line"), "n", classes.select("n")))
-        wide = written(wide.join(classes, "n").dropDuplicates(["n"]).select("n", "c", "line"), "lines-wide")
-        often = docs.sparkSession.sparkContext.broadcast(line_signatures.shingle_counts(wide))
-        rare = written(line_signatures.first_shingles(wide, often, similar), "lines-rare")
-        one, two = rare.alias("one"), rare.alias("two")
-        same = (F.col("one.s") == F.col("two.s")) & (F.col("one.c") < F.col("two.c"))
-        need = (F.col("one.m") + F.col("two.m")) * F.lit(similar / (1 + similar)) - 1e-9
-        near = F.least("one.left", "two.left") >= need
-        return one.join(two, same & near).select(F.col("one.n").alias("x"), F.col("two.n").alias("y"))
-
-    labels = linked(_buckets(signed), verify, "lines-links", apart)
-    if not found:
-        return docs.sparkSession.createDataFrame([], "n long, n2 long, component long")
-    return labels.join(found["texts"], labels.id == found["texts"].n).select("n", "n2", "component")
+    Lines of a bucket are compared where their texts lie together, so no pair of a bucket is a row. Of buckets too large for one task each line
+    is compared with the first, and with its neighbours in a block; then lines of different classes are paired by their rarest shingles.
+    """
+    members = written(_buckets(_signed(docs, lines)), "lines-members")
+    wanted = written(members.select("n").distinct(), "lines-involved")
+    texts = perhaps_among(_lines(docs), "n", wanted).select("n", "n2", "line").dropDuplicates(["n", "n2"])
+    texts = written(texts, "lines-texts", wanted)
+
+    lengths = texts.select("n", F.length("line").cast("long").alias("chars"))
+    size = members.join(lengths, "n").groupBy("bucket").agg(F.count("*").alias("lines"), F.sum("chars").alias("chars"))
+    size = size.filter((F.col("lines") * F.col("chars") > 4 * MANY**6) | (F.col("chars") > TOGETHER))
+    large = written(size.select("bucket"), "lines-large")
+    several = not large.isEmpty()
+    rows, wide = members, None
+    if several:
+        wide = written(members.join(large, "bucket").join(lengths, "n"), "lines-wide")
+        rows = members.join(large, "bucket", "left_anti").union(_blocks(wide))
+    links = written(line_signatures.similar_in_buckets(rows.join(texts.select("n", "line"), "n"), similar), "lines-links", members)
+    labels = components(links, "lines-links")
+    if several:
+        classes = wide.select("bucket", "n").join(labels, F.col("n") == F.col("id"), "left")
+        classes = classes.select("bucket", "n", F.coalesce("component", "n").alias("c"))
+        split = classes.groupBy("bucket").agg(F.min("c").alias("least"), F.max("c").alias("most")).filter("least < most")
+        apart = written(classes.join(split, "bucket", "left_semi").select("n", "c").distinct(), "lines-apart", wide)
+        if not apart.isEmpty():
+            side = lambda s: texts.select(F.col("n").alias(s), F.col("line").alias(f"line_{s}"))
+            pairs = _rare_pairs(apart, texts, similar)
+            more = line_signatures.similar_pairs(pairs.join(side("b"), "b").join(side("a"), "a"), similar)
+            links = written(links.union(more), "lines-links", links, apart)
+            labels = components(links, "lines-links")
+    return labels.join(texts, labels.id == texts.n).select("n", "n2", "component")
+
+
+def _blocks(wide: DataFrame) -> DataFrame:
+    """(bucket, n) of blocks of rows (bucket, n, chars) of large buckets, each with the bucket's first line, by which a bucket goes."""
+    before = Window.partitionBy("bucket").orderBy("n")
+    chars = F.sum("chars").over(before.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    block = F.floor((F.row_number().over(before) - 1) / (2 * MANY**2)) + F.floor(chars / TOGETHER)
+    blocks = wide.select("bucket", "n", block.alias("block")).select(F.xxhash64("bucket", "block").alias("key"), "bucket", "n")
+    return blocks.select(F.col("key").alias("bucket"), F.explode(F.array("n", "bucket")).alias("n")).distinct()
+
+
+def _rare_pairs(classes: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
+    """Pairs (a, b) of lines (n, c) of different classes that share one of their rarest shingles.
+
+    A line of m shingles has at most m - similar * m that a similar line lacks, so of any order of the shingles the first
+    m - ceil(similar * m) + 1 hold a common one. With the rarest first, what many lines share makes no pair. If the first common
+    one stands at place i of m and j of k, no more than min(m - i, k - j) can be common, and similar lines need similar / (1 + similar) of m + k.
+    """
+    wide = written(texts.dropDuplicates(["n"]).join(classes, "n").select("n", "c", "line"), "lines-wide")
+    often = texts.sparkSession.sparkContext.broadcast(line_signatures.shingle_counts(wide))
+    rare = written(line_signatures.first_shingles(wide, often, similar), "lines-rare", wide)
+    one, two = rare.alias("one"), rare.alias("two")
+    same = (F.col("one.s") == F.col("two.s")) & (F.col("one.c") < F.col("two.c"))
+    need = (F.col("one.m") + F.col("two.m")) * F.lit(similar / (1 + similar)) - 1e-9
+    near = F.least("one.left", "two.left") >= need
+    pairs = one.join(two, same & near).select(F.least("one.n", "two.n").alias("a"), F.greatest("one.n", "two.n").alias("b"))
+    return written(pairs.distinct(), "lines-rare-pairs", rare)
 
 
 def deduplicated_lines(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
@@ -220,7 +177,7 @@ def _gone(lines: DataFrame, similar: float) -> DataFrame:
     """(late, _row, gone, repeated) of the rows that lose lines, at the places `gone`, or that repeat in all columns."""
     occurs = written(_lines(lines, "late", "_row").select("late", "_row", "pos", "n", "n2"), "lines-places")
     with working(lines.sparkSession) as kept:
-        labels = kept(written(similar_lines(lines, similar), "lines-classes"))
+        labels = kept(written(similar_lines(lines, similar, occurs.count()), "lines-classes"))
     spot = F.struct("late", "_row", "pos")
     keys = occurs.groupBy("n", "n2").agg(F.min(spot).alias("first"), F.count("*").alias("copies"))
     keys = keys.join(labels, ["n", "n2"], "left").filter("copies > 1 or component is not null")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 
 from statpanel.llm import line_signatures, lines, queries
@@ -196,3 +197,101 @@ def test_working_tables_are_removed(spark):
     found = lines.deduplicated_lines(docs)
     assert len({p for p in root.iterdir() if p not in before}) == 1
     assert sorted(map(tuple, found.collect()), key=str) == want
+
+
+def prose(rng, lines_, words=40, length=30):
+    """Lines of few words, so that many share a band by chance."""
+    held = ["".join(rng.choices("aeinst", k=rng.randint(1, 4))) for _ in range(words)]
+    return [" ".join(rng.choices(held, k=length)) for _ in range(lines_)]
+
+
+def test_only_lines_with_a_likely_partner_are_rows(spark):
+    """Lines that share a band by chance are told apart where the bands meet: of 3,000 only the copies with a change come out."""
+    rng = random.Random(10)
+    made = prose(rng, 3000)
+    made += [line[:-1] + "x" for line in made[:50]]
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    number = {r["n"]: r["doc_id"] for r in docs.select("doc_id", lines.F.xxhash64("text").alias("n")).collect()}
+    found = {}
+    rows = lines._buckets(lines._signed(docs)).collect()
+    for r in rows:
+        found.setdefault(r["bucket"], set()).add(number[r["n"]])
+    assert sum(any({i, 3000 + i} <= f for f in found.values()) for i in range(50)) >= 49
+    assert len(rows) < len(made)
+
+
+def agreeing(places, band):
+    """The pairs of lines that share the band and agree in enough places."""
+    same = lambda a, b: all(a[i] == b[i] for i in range(band, line_signatures.PLACES, line_signatures.BANDS))
+    return {
+        (i, j) for j in range(len(places)) for i in range(j) if same(places[i], places[j]) and (places[i] == places[j]).sum() >= line_signatures.AGREE
+    }
+
+
+@pytest.mark.parametrize("many, large, few", [(32, 1024, 64), (4, 1024, 64), (4, 1024, 3), (4, 16, 3), (4, 8, 64)])
+def test_lines_that_agree_meet_in_buckets_of_any_size(monkeypatch, many, large, few):
+    monkeypatch.setattr(line_signatures, "LARGE", large)
+    monkeypatch.setattr(line_signatures, "FEW", few)
+    rng = np.random.default_rng(11)
+    base = rng.integers(0, 1 << 16, (12, line_signatures.PLACES))
+    places = np.where(rng.random((240, line_signatures.PLACES)) < 0.75, base[rng.integers(0, 12, 240)], rng.integers(0, 1 << 16, (240, 24)))
+    places[:120, 0::8] = base[0, 0::8]  # one large bucket
+    places = places.astype(np.uint16)
+    records = line_signatures._records(places, rng.permutation(240).astype(np.uint64))
+    table = line_signatures.pa.table({"records": [records.tobytes(), records[:100].tobytes()]})
+
+    class Parts:
+        groupBy = lambda self, part: self
+        distinct = lambda self: self
+
+        def applyInArrow(self, run, schema):
+            self.found = run(table)
+            return self
+
+    found = line_signatures.buckets(Parts(), many).found.to_pydict()
+    at = {int(n): i for i, n in enumerate(records["n"][:240])}
+    met = {}
+    for bucket, n in zip(found["bucket"], found["n"]):
+        met.setdefault(bucket, set()).add(at[n])
+        assert bucket <= n
+    want = set().union(*(agreeing(places, b) for b in range(line_signatures.BANDS)))
+    missed = [p for p in want if not any(p[0] in m and p[1] in m for m in met.values())]
+    assert len(want) > 500 and len(missed) <= (0.01 * len(want) if large < 1024 else 0), (len(missed), len(want))
+
+
+def test_lines_of_one_bucket_are_compared_as_pairs_are():
+    rng = random.Random(12)
+    made = prose(rng, 12, words=200) + ["a", "b", "a ", "é" * 4]
+    for _ in range(60):
+        line = list(rng.choice(made))
+        for _ in range(rng.randint(1, 9)):
+            line[rng.randrange(len(line))] = rng.choice("abcd ")
+        made.append("".join(line))
+    sets = line_signatures._sets(made)
+    assert all((a == line_signatures.shingle_hashes(line)).all() for a, line in zip(sets, made))
+    found = line_signatures._alike(sets, 0.8)
+    group = list(range(len(made)))
+    for j in range(len(made)):
+        for i in range(j):
+            if group[i] != group[j] and line_signatures.share_at_least(sets[i], sets[j], 0.8):
+                group = [group[i] if g == group[j] else g for g in group]
+    star = {j: i for i, j in found}
+    got_ = [star.get(j, j) for j in range(len(made))]
+    assert len({*zip(group, got_)}) == len(set(group)) == len(set(got_)) < len(made)
+
+
+def test_buckets_too_large_for_one_task(spark, monkeypatch):
+    """Compared in blocks, then by rarest shingles: the classes are the same."""
+    rng = random.Random(13)
+    base = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=200))
+    rows = []
+    for i in range(60):
+        line = list(base)
+        for _ in range(rng.randint(1, 8)):
+            line[rng.randrange(len(line))] = rng.choice("0123456789")
+        rows.append((i, "".join(line)))
+    blocks = []
+    monkeypatch.setattr(lines, "TOGETHER", 1000)
+    monkeypatch.setattr(lines, "_blocks", lambda wide, f=lines._blocks: blocks.append(1) or f(wide))
+    want = brute(rows)
+    assert got(spark, rows) == want and blocks and 0 < sum(r[2] for r in want) < 60
