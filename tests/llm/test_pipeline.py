@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from statpanel.llm import toxicity
+from statpanel.llm import common, lines, toxicity
 from statpanel.llm.common import written
 from tests.llm import test_lines, test_near_duplicates, test_packing, texts
 
@@ -71,3 +73,22 @@ def test_stages_carry_columns_of_any_name(spark):
         assert 0 < result.count() <= docs.count()
         docs = result
     assert corpus_pipeline.STAGES[-1][1](spark, docs, texts.SMALL).count() > 0
+
+
+def test_working_tables_of_line_dedup_hold_few_rows(spark, monkeypatch):
+    """What share bands by chance makes no rows beside the places of the lines: such rows grew with the square of the corpus, and the disk with them."""
+    rng = random.Random(14)
+    words = ["".join(rng.choices("aeinst", k=rng.randint(1, 4))) for _ in range(40)]
+    made = [" ".join(rng.choices(words, k=30)) for _ in range(4000)]
+    rows = []
+
+    def counted(df, *names, write=common.written):
+        out = write(df, *names)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(lines, "written", counted)
+    monkeypatch.setattr(common, "written", counted)
+    docs = spark.createDataFrame([(i, "\n".join(made[4 * i : 4 * i + 4])) for i in range(1000)], "doc_id long, text string")
+    assert corpus_pipeline.drop_repeated_lines(spark, docs, "").count() == 1000
+    assert sum(rows) < 3 * len(made), rows
